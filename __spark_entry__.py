@@ -226,7 +226,7 @@ def interval_events(spark, d):
 
 def delay_series(spark, d):
     events = _hourly(_events(spark, d).select("item", "time_stamp", "id"))
-    rows = ops.delay_series(events, snapshot_history(events, "hour"))
+    rows = ops.delay_series(events, stored(snapshot_history(events, "hour"), "history"))
     return _plain_time(rows.select(
         "item", "cumulated", "time_x", "time_y",
         (micros_of("time_y") - micros_of("time_x")).alias("delay_us"),

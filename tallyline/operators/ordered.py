@@ -1,15 +1,18 @@
 """Ordered scans: running sums, ranks, neighbours and last-known values that survive hot groups.
 
 A window over a group puts that group into one task. Here a group may hold a third of all rows,
-so its size is checked first:
+so its size is looked at first, and the rows are cut in one of three ways:
 
-* every group small enough: plain windows, one shuffle;
-* otherwise the rows are range-partitioned by the whole sort key into slices of bounded size and
-  written once. A group then lies in neighbouring slices. Windows run inside a slice, and what a
-  slice needs from its neighbours is carried over in a table of at most two rows per slice.
+* ``whole``: every group is small enough; plain windows, one shuffle.
+* ``periods``: the order starts with a time, and some period (a day down to a second) cuts
+  every group into parts that are small enough. A part is a function of the row, so the rows
+  are shuffled once, by group and period, as in the plain form.
+* ``ranges``: otherwise, as when one moment holds a third of the rows. The rows are
+  range-partitioned by the whole sort key and written, since range bounds are sampled anew in
+  each run of a plan and two runs could cut the data at different places.
 
-The slices are written because range bounds are sampled anew each time a plan runs; reading the
-rows and the carried values from two runs could cut the data at different places.
+What a part needs from its neighbours is worked out from one small row per part, and goes into
+the part as an extra first (or last) row of the window. No join with the rows is needed.
 
 The sort key (group columns, then order columns) must be unique for a repeatable result: end the
 order with an id.
@@ -23,12 +26,16 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyline.session import stored
 
 MAX_GROUP_ROWS = 1_000_000
-MAX_SLICES = 20_000
-SLICE = "_slice"
+MAX_RANGES = 20_000
+PERIODS_S = (86_400, 3_600, 60, 1)
+PART = "_part"
+KIND = "_kind"
+HEAD, ROW, TAIL = 0, 1, 2
 
 
 @dataclass(frozen=True)
@@ -36,123 +43,155 @@ class Scan:
     """One computed column: ``kind`` over rows of the same ``group`` in sort order."""
 
     kind: str
-    value: Column | None = None
+    value: Column | str
     group: tuple[str, ...] | None = None
 
+    @property
+    def column(self) -> Column:
+        return F.col(self.value) if isinstance(self.value, str) else self.value
+
 
 def running_sum(value: Column | int = 1, group: Sequence[str] | None = None) -> Scan:
     """Sum of ``value`` up to and with this row."""
-    value = F.lit(value).cast("bigint") if isinstance(value, int) else value
-    return Scan("sum", value, _opt(group))
+    return Scan("sum", F.lit(value).cast("bigint") if isinstance(value, int) else value, _own(group))
 
 
 def position(group: Sequence[str] | None = None) -> Scan:
     """Number of earlier rows, so the first row has 0."""
-    return Scan("position", F.lit(1).cast("bigint"), _opt(group))
+    return Scan("position", F.lit(1).cast("bigint"), _own(group))
 
 
 def previous(value: str, group: Sequence[str] | None = None) -> Scan:
     """The value one row back, null on the first row."""
-    return Scan("previous", F.col(value), _opt(group))
+    return Scan("previous", value, _own(group))
 
 
 def following(value: str, group: Sequence[str] | None = None) -> Scan:
     """The value one row on, null on the last row."""
-    return Scan("following", F.col(value), _opt(group))
+    return Scan("following", value, _own(group))
 
 
 def last_known(value: str, group: Sequence[str] | None = None) -> Scan:
     """The newest non-null value up to and with this row."""
-    return Scan("last_known", F.col(value), _opt(group))
+    return Scan("last_known", value, _own(group))
 
 
-def _opt(group: Sequence[str] | None) -> tuple[str, ...] | None:
+def _own(group: Sequence[str] | None) -> tuple[str, ...] | None:
     return None if group is None else tuple(group)
 
 
-def largest_group(df: DataFrame, group: Sequence[str]) -> tuple[int, int]:
-    """Rows in the largest group and in all groups; one row comes back to the driver."""
-    counts = df.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
-    row = counts.agg(F.max("n").alias("top"), F.sum("n").alias("total")).first()
-    return row["top"] or 0, row["total"] or 0
-
-
-def _slices(df: DataFrame, sort: Sequence[str], rows: int, rows_per_slice: int) -> DataFrame:
-    n = max(2, min(MAX_SLICES, math.ceil(rows / rows_per_slice)))
-    return stored(df.repartitionByRange(n, *sort).withColumn(SLICE, F.spark_partition_id()), "slices")
-
-
-def _boxed(scan: Scan) -> Column:
-    # In a struct a null value can be told from a row that is not there.
-    return F.struct(scan.value.alias("v"))
-
-
-def _local(scan: Scan, window) -> Column:
-    if scan.kind in ("sum", "position"):
-        return F.sum(scan.value).over(window.rowsBetween(Window.unboundedPreceding, 0))
+def _over(scan: Scan, value: Column, window) -> Column:
+    so_far = window.rowsBetween(Window.unboundedPreceding, 0)
+    if scan.kind == "sum":
+        return F.sum(value).over(so_far)
+    if scan.kind == "position":
+        return F.sum(value).over(so_far) - 1
     if scan.kind == "previous":
-        return F.lag(_boxed(scan)).over(window)
+        return F.lag(value).over(window)
     if scan.kind == "following":
-        return F.lead(_boxed(scan)).over(window)
-    return F.last(scan.value, ignorenulls=True).over(window.rowsBetween(Window.unboundedPreceding, 0))
-
-
-def _finish(scan: Scan, local: Column, carried: Column | None) -> Column:
-    if scan.kind in ("sum", "position"):
-        total = local if carried is None else (
-            F.when(local.isNull(), carried).otherwise(local + F.coalesce(carried, F.lit(0)))
-        )
-        return total - 1 if scan.kind == "position" else total
-    value = local if carried is None else F.coalesce(local, carried)
-    return value if scan.kind == "last_known" else value.getField("v")
+        return F.lead(value).over(window)
+    return F.last(value, ignorenulls=True).over(so_far)
 
 
 def _edge(scan: Scan, order: Sequence[str]) -> Column:
-    """What a slice passes on about one of its groups."""
+    """What a part passes on about a group in it."""
     at = F.struct(*order)
     if scan.kind in ("sum", "position"):
-        return F.sum(scan.value)
+        return F.sum(scan.column)
     if scan.kind == "previous":
-        return F.max_by(_boxed(scan), at)
+        # The last time of a part is its greatest; a plain maximum can be hashed.
+        return F.max(scan.column) if scan.value == order[0] else F.max_by(scan.column, at)
     if scan.kind == "following":
-        return F.min_by(_boxed(scan), at)
-    return F.max_by(scan.value, F.when(scan.value.isNotNull(), at))
+        return F.min_by(scan.column, at)
+    return F.max_by(scan.column, F.when(scan.column.isNotNull(), at))
 
 
-def _carry(scan: Scan, edge: Column, window) -> Column:
-    """What reaches a slice from its neighbours."""
-    earlier = window.rowsBetween(Window.unboundedPreceding, -1)
+def _carry(scan: Scan, edge: Column, parts) -> Column:
+    """What reaches a part from its neighbours."""
+    earlier = parts.rowsBetween(Window.unboundedPreceding, -1)
     if scan.kind in ("sum", "position"):
         return F.sum(edge).over(earlier)
     if scan.kind == "previous":
-        return F.lag(edge).over(window)
+        return F.lag(edge).over(parts)
     if scan.kind == "following":
-        return F.lead(edge).over(window)
+        return F.lead(edge).over(parts)
     return F.last(edge, ignorenulls=True).over(earlier)
 
 
-def _carried(base: DataFrame, group: Sequence[str], order: Sequence[str], scans: dict[str, Scan]) -> DataFrame:
-    """Carried values per (slice, group).
+def _carried(rows: DataFrame, group: Sequence[str], order: Sequence[str], scans: dict[str, Scan]) -> DataFrame:
+    edges = rows.groupBy(PART, *group).agg(*[_edge(s, order).alias(f"_in_{o}") for o, s in scans.items()])
+    parts = Window.partitionBy(*group).orderBy(PART)
+    return edges.select(
+        PART, *group, *[_carry(s, F.col(f"_in_{o}"), parts).alias(f"_in_{o}") for o, s in scans.items()]
+    )
 
-    Only the first and the last group of a slice can go on in another one, so at most two rows
-    per slice remain, and the table is safe to broadcast.
-    """
-    rows = base
-    if group:
-        key = F.struct(*group)
-        ends = base.groupBy(SLICE).agg(F.min(key).alias("_first"), F.max(key).alias("_last"))
-        rows = base.join(F.broadcast(ends), SLICE).filter(
-            key.eqNullSafe(F.col("_first")) | key.eqNullSafe(F.col("_last"))
-        )
-    edges = rows.groupBy(SLICE, *group).agg(
-        *[_edge(s, order).alias(f"_edge_{out}") for out, s in scans.items()]
+
+def _at_the_ends(rows: DataFrame, group: Sequence[str]) -> DataFrame:
+    """Rows of the first and the last group of each range; only these go on in another range."""
+    if not group:
+        return rows
+    key = F.struct(*group)
+    ends = rows.groupBy(PART).agg(F.min(key).alias("_first"), F.max(key).alias("_last"))
+    # One row per range, so at most MAX_RANGES rows.
+    return rows.join(F.broadcast(ends), PART).filter(
+        key.eqNullSafe(F.col("_first")) | key.eqNullSafe(F.col("_last"))
     )
-    along = Window.partitionBy(*group).orderBy(SLICE)
-    return edges.select(
-        F.col(SLICE).alias("_at"),
-        *[F.col(g).alias(f"_key_{i}") for i, g in enumerate(group)],
-        *[_carry(s, F.col(f"_edge_{out}"), along).alias(f"_carry_{out}") for out, s in scans.items()],
+
+
+def _scan_parts(
+    rows: DataFrame, group: Sequence[str], order: Sequence[str], scans: dict[str, Scan], carried: DataFrame,
+    finer: dict[tuple[str, ...], dict[str, Scan]] | None = None,
+) -> DataFrame:
+    """Windows within the parts, with the carried values as extra rows before and after."""
+    forward = {o for o, s in scans.items() if s.kind == "following"}
+    ends = [(HEAD, set(scans) - forward), (TAIL, forward)]
+    values = {f"_in_{o}": s.column for o, s in scans.items()}
+    both = rows.withColumns({**values, KIND: F.lit(ROW)})
+    for kind, outs in ends:
+        if outs:
+            end = carried.select(PART, *group, *[f"_in_{o}" for o in outs], F.lit(kind).alias(KIND))
+            both = both.unionByName(end, allowMissingColumns=True)
+    window = Window.partitionBy(PART, *group).orderBy(KIND, *order)
+    out = both.withColumns({o: _over(s, F.col(f"_in_{o}"), window) for o, s in scans.items()})
+    for own, members in (finer or {}).items():
+        # A finer group lies within one part. KIND keeps the extra rows out of it.
+        inner = Window.partitionBy(PART, *group, KIND, *own[len(group):]).orderBy(*(list(group) + list(order))[len(own):])
+        out = out.withColumns({o: _over(s, s.column, inner) for o, s in members.items()})
+    return out.filter(F.col(KIND) == ROW).drop(KIND, *values)
+
+
+def _largest_group(df: DataFrame, group: Sequence[str]) -> tuple[int, int]:
+    """Rows in the largest group and in all groups; one row comes back to the driver."""
+    counts = df.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
+    row = counts.agg(F.max("n").alias("top"), F.sum("n").alias("total")).first()
+    return row["top"] or 0, row["total"] or 0
+
+
+def _period_of(ts: str, seconds: int) -> Column:
+    # Rows without a time come first in the order and get the lowest part.
+    return F.coalesce(F.floor(F.unix_seconds(ts) / F.lit(seconds)), F.lit(-(2**62)))
+
+
+def _period(df: DataFrame, group: Sequence[str], ts: str, limit: int) -> int | None:
+    """The longest period that cuts all groups into parts within ``limit``, if there is one.
+
+    The periods of one group are put in order in one task, so they must be within it as well.
+    """
+    if not isinstance(df.schema[ts].dataType, T.TimestampType):
+        return None
+    shortest = PERIODS_S[-1]
+    counts = stored(
+        df.groupBy(*group, _period_of(ts, shortest).alias("_s")).agg(F.count(F.lit(1)).alias("n")), "periods"
     )
+    for seconds in PERIODS_S:
+        parts = counts.groupBy(*group, F.floor(F.col("_s") / F.lit(seconds)).alias("_p")).agg(F.sum("n").alias("n"))
+        per_group = parts.groupBy(*group).agg(F.max("n").alias("rows"), F.count(F.lit(1)).alias("parts"))
+        row = per_group.agg(F.max("rows").alias("rows"), F.max("parts").alias("parts")).first()
+        if row["parts"] > limit:
+            return None
+        if row["rows"] <= limit:
+            return seconds
+    return None
 
 
 def ordered_scan(
@@ -169,35 +208,36 @@ def ordered_scan(
     """
     group, order = list(group), list(order)
     sort = group + order
-    by_group: dict[tuple[str, ...], dict[str, Scan]] = {}
+    levels: dict[tuple[str, ...], dict[str, Scan]] = {tuple(group): {}}
     for out, scan in scans.items():
-        own = scan.group if scan.group is not None else tuple(group)
-        if list(own) != sort[: len(own)]:
-            raise ValueError(f"group {own} of {out} must be a prefix of {sort}")
-        by_group.setdefault(own, {})[out] = scan
-    coarsest = min(by_group, key=len)
-    sliced = False
-    if max_group_rows is not None:
-        top, total = largest_group(df, coarsest)
-        sliced = top > max_group_rows
-    base = _slices(df, sort, total, max_group_rows) if sliced else df
-
-    out_df = base
-    # Coarse groups first: their shuffle and sort also serve the finer ones.
-    for own in sorted(by_group, key=len):
-        members = by_group[own]
-        window = Window.partitionBy(*([SLICE] if sliced else []), *own).orderBy(*sort[len(own):])
-        out_df = out_df.withColumns({f"_local_{o}": _local(s, window) for o, s in members.items()})
-    for own in sorted(by_group, key=len):
-        members = by_group[own]
-        if sliced:
-            carried = _carried(base, own, sort[len(own):], members)
-            same = F.col(SLICE) == F.col("_at")
-            for i, g in enumerate(own):
-                same = same & out_df[g].eqNullSafe(carried[f"_key_{i}"])
-            out_df = out_df.join(F.broadcast(carried), same, "left")
-        out_df = out_df.withColumns({
-            o: _finish(s, F.col(f"_local_{o}"), F.col(f"_carry_{o}") if sliced else None)
-            for o, s in members.items()
-        }).drop("_at", *[f"_key_{i}" for i in range(len(own))], *[f"_carry_{o}" for o in members])
-    return out_df.select(*df.columns, *scans)
+        own = tuple(group) if scan.group is None else scan.group
+        if list(own) != sort[: max(len(own), len(group))]:
+            raise ValueError(f"group {own} of {out} must be {group} and the first of {order}")
+        levels.setdefault(own, {})[out] = scan
+    levels = {own: levels[own] for own in sorted(levels, key=len) if levels[own]}
+    wanted = [*df.columns, *scans]
+    top, total = (0, 0) if max_group_rows is None else _largest_group(df, min(levels, key=len))
+
+    if max_group_rows is None or top <= max_group_rows:
+        # Coarse groups first: their shuffle and sort also serve the finer ones.
+        for own, members in levels.items():
+            window = Window.partitionBy(*own).orderBy(*sort[len(own):])
+            df = df.withColumns({o: _over(s, s.column, window) for o, s in members.items()})
+        return df.select(*wanted)
+
+    coarse = tuple(group)
+    seconds = _period(df, group, order[0], max_group_rows) if coarse in levels else None
+    if seconds is not None:
+        rows = df.withColumn(PART, _period_of(order[0], seconds))
+        finer = {own: members for own, members in levels.items() if own != coarse}
+        carried = _carried(rows, group, order, levels[coarse])
+        return _scan_parts(rows, group, order, levels[coarse], carried, finer).select(*wanted)
+
+    n = max(2, min(MAX_RANGES, math.ceil(total / max_group_rows)))
+    base = stored(df.repartitionByRange(n, *sort).withColumn(PART, F.spark_partition_id()), "ranges")
+    out = base
+    for own, members in levels.items():
+        rest = sort[len(own):]
+        carried = _carried(_at_the_ends(base, own), own, rest, members)
+        out = _scan_parts(out, own, rest, members, carried)
+    return out.select(*wanted)

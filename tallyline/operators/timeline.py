@@ -104,6 +104,8 @@ def positional_slice(
     max_group_rows: int | None = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Rows at 0-based places ``lo`` up to but not with ``hi``, per key."""
+    if not keys:
+        return df.orderBy(*order).offset(lo).limit(hi - lo)
     if hi <= GROUP_LIMIT:
         # Spark keeps only the first ``hi`` rows per key and task before the shuffle.
         window = Window.partitionBy(*keys).orderBy(*order)
@@ -240,13 +242,17 @@ def delay_series(
 
     ``time_x`` is the event time with ties spread, ``time_y`` the snapshot time. Many snapshots
     may show the same count. The join is written as snapshots with their event (a left join,
-    whose skewed side adaptive execution can split) plus the events no snapshot shows.
+    whose skewed side adaptive execution can split) plus the events no snapshot shows. Events
+    without a key are left out, so that both parts can use one shuffle of the events.
     """
+    keyed = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     placed = ordered_scan(
-        events, keys, [ts, tie], max_group_rows,
+        events.filter(keyed), keys, [ts, tie], max_group_rows,
         cumulated=running_sum(), _rank=position(group=[*keys, ts]),
     )
-    purchases = placed.select(*keys, "cumulated", shifted_time(ts, "_rank").alias("time_x"))
+    purchases = placed.filter(F.col("cumulated").isNotNull()).select(
+        *keys, "cumulated", shifted_time(ts, "_rank").alias("time_x")
+    )
     shown = snapshots.select(*keys, F.col(count).cast("bigint").alias("cumulated"), F.col(ts).alias("time_y"))
     on = [*keys, "cumulated"]
     seen = shown.join(purchases, on, "left").select(*on, "time_x", "time_y")

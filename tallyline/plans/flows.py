@@ -12,11 +12,11 @@ from tallyline.functions.encode import encode
 from tallyline.operators.counts import count_items
 from tallyline.operators.merge import latest_snapshot
 from tallyline.plans.layers import run_batch_view
-from tallyline.schema import RAW_VIEW, REALTIME_VIEW
+from tallyline.schema import BATCH_VIEW, EPOCH_TABLE, RAW_VIEW, REALTIME_VIEW
 from tallyline.session import work_dir
 from tallyline.sources.tables import purchases, stream_purchases
 from tallyline.sources.topics import read_events
-from tallyline.sources.views import read_view
+from tallyline.sources.views import ensure_view, read_view
 from tallyline.streaming.epochs import covered_units, rotate_epoch, uncovered
 from tallyline.streaming.queries import (
     DRAIN, append_raw_view, archive, replay, run_until_ok, snapshot_stream, write_snapshot,
@@ -45,6 +45,8 @@ def hand_off(spark: SparkSession, sf_dir: str) -> Layers:
     """
     work = work_dir(spark, "layers")
     layers = Layers(f"{work}/batch", f"{work}/realtime", f"{work}/epochs")
+    ensure_view(spark, layers.batch, BATCH_VIEW, ("run_id",))
+    ensure_view(spark, layers.epochs, EPOCH_TABLE, ("run_id",))
     live = stream_purchases(spark, sf_dir).select("item", "unit")
     snapshot_stream(
         live, layers.realtime, f"{work}/checkpoint", ["item", "unit"], trigger=DRAIN
@@ -161,7 +163,7 @@ def batch_runs(spark: SparkSession, sf_dir: str, cuts: tuple[str | None, ...]) -
     events = purchases(spark, sf_dir).select("item", "unit")
     for run_id, cut in enumerate(cuts, start=1):
         run_batch_view(events, view, run_id, before=cut)
-    return spark.read.parquet(view).select("run_id", "item", "count")
+    return read_view(spark, view, BATCH_VIEW).select("run_id", "item", "count")
 
 
 def decoded_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

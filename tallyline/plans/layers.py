@@ -9,14 +9,22 @@ from pyspark.sql import functions as F
 
 from tallyline.operators.counts import count_items
 from tallyline.operators.merge import latest_snapshot, serving_view
-from tallyline.schema import BATCH_VIEW, REALTIME_VIEW
+from tallyline.schema import BATCH_VIEW, EPOCH_TABLE, REALTIME_VIEW
 from tallyline.sources.views import read_view
 from tallyline.streaming.epochs import covered_units, publish_run
 
+NO_RUN = -1
 
-def _per_unit(spark: SparkSession, view: str, run_id: int, keys: Sequence[str]) -> DataFrame:
-    counts = spark.read.parquet(f"{view}_units")
-    return counts.filter(F.col("run_id") == run_id).select("unit", *keys, "count")
+
+def _overwrite(rows: DataFrame, path: str, run_id: int) -> DataFrame:
+    """Store the rows as the partition of one run, in place of an earlier try, and read it back."""
+    run = F.lit(run_id).cast("bigint")
+    rows = rows.withColumn("run_id", run)
+    (
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("run_id").parquet(path)
+    )
+    return read_view(rows.sparkSession, path, rows.schema).filter(F.col("run_id") == run)
 
 
 def run_batch_view(
@@ -34,28 +42,14 @@ def run_batch_view(
     covered units come from that small table. The units are published last, so readers never
     see a run that is not whole.
     """
-    spark = events.sparkSession
     closed = events if before is None else events.filter(F.col("unit") < before)
-    stamped = count_items(closed, ["unit", *keys]).withColumn("run_id", F.lit(run_id).cast("bigint"))
-    _overwrite(stamped, f"{view}_units")
-    per_unit = _per_unit(spark, view, run_id, keys)
+    per_unit = _overwrite(count_items(closed, ["unit", *keys]), f"{view}_units", run_id)
     totals = per_unit.groupBy(*keys).agg(F.sum("count").cast("bigint").alias("count"))
-    _overwrite(
-        totals.withColumns({
-            "time_stamp": F.current_timestamp(), "id": F.uuid(), "run_id": F.lit(run_id).cast("bigint"),
-        }),
-        view,
-    )
+    stamped = totals.withColumns({"time_stamp": F.current_timestamp(), "id": F.uuid()})
+    stored_run = _overwrite(stamped, view, run_id)
     if epoch_table:
         publish_run(per_unit, epoch_table, run_id)
-    return read_view(spark, view, BATCH_VIEW).filter(F.col("run_id") == run_id)
-
-
-def _overwrite(rows: DataFrame, path: str) -> None:
-    (
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("run_id").parquet(path)
-    )
+    return stored_run
 
 
 def served_totals(
@@ -66,8 +60,8 @@ def served_totals(
 
     The run is read once, as a number, so a run published meanwhile cannot be mixed in.
     """
-    covered = covered_units(spark, epoch_table)
-    run_id = covered.agg(F.max("run_id").alias("r")).first()["r"]
+    published = read_view(spark, epoch_table, EPOCH_TABLE)
+    run_id = published.agg(F.coalesce(F.max("run_id"), F.lit(NO_RUN)).alias("r")).first()["r"]
     batch = read_view(spark, batch_view, BATCH_VIEW).filter(F.col("run_id") == run_id)
     live = latest_snapshot(read_view(spark, realtime_view, REALTIME_VIEW), [*keys, "unit"])
     return serving_view(batch, live, covered_units(spark, epoch_table, run_id), keys)

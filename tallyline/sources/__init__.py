@@ -1,8 +1,8 @@
 from tallyline.sources.tables import purchases, stream_purchases
 from tallyline.sources.topics import read_events, read_archive_json
-from tallyline.sources.views import ensure_view, read_csv_view, read_view
+from tallyline.sources.views import ensure_table, ensure_view, read_csv_view, read_view
 
 __all__ = [
-    "ensure_view", "purchases", "read_archive_json", "read_csv_view", "read_events", "read_view",
+    "ensure_table", "ensure_view", "purchases", "read_archive_json", "read_csv_view", "read_events", "read_view",
     "stream_purchases",
 ]

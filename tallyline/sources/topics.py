@@ -42,7 +42,9 @@ def read_events(
     options = options or {}
     reader = (spark.readStream if streaming else spark.read).options(**options)
     if fmt == "kafka":
-        log = reader.format("kafka").option("startingOffsets", start).load()
+        if streaming:
+            reader = reader.option("startingOffsets", start)
+        log = reader.format("kafka").load()
         run = F.floor(F.col("offset") / F.lit(offsets_per_unit))
         return log.select(
             F.col("value").cast("string").alias("value"),

@@ -17,9 +17,19 @@ def read_view(
     return spark.read.schema(schema).format(fmt).load(path)
 
 
-def ensure_view(spark: SparkSession, table: str, schema: T.StructType, partitions: tuple[str, ...] = (),
-                path: str | None = None, fmt: str = "parquet") -> DataFrame:
-    """Create the view's table if it is not there; existing rows stay."""
+def ensure_view(
+    spark: SparkSession, path: str, schema: T.StructType, partitions: tuple[str, ...] = (), fmt: str = "parquet"
+) -> DataFrame:
+    """Create an empty view at ``path`` if there is none, so readers need not wait for a first write."""
+    spark.createDataFrame([], schema).write.mode("ignore").partitionBy(*partitions).format(fmt).save(path)
+    return read_view(spark, path, schema, fmt)
+
+
+def ensure_table(
+    spark: SparkSession, table: str, schema: T.StructType, partitions: tuple[str, ...] = (),
+    path: str | None = None, fmt: str = "parquet",
+) -> DataFrame:
+    """The same for a view that is a table of the catalogue."""
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     by = f" PARTITIONED BY ({', '.join(partitions)})" if partitions else ""
     where = f" LOCATION '{path}'" if path else ""
