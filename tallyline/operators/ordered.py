@@ -33,8 +33,8 @@ from tallyline.session import stored
 MAX_GROUP_ROWS = 1_000_000
 MAX_RANGES = 20_000
 PERIODS_S = (86_400, 3_600, 60, 1)
-PART = "_part"
-KIND = "_kind"
+PART = "_scan_part"
+KIND = "_scan_kind"
 HEAD, ROW, TAIL = 0, 1, 2
 
 
@@ -119,10 +119,10 @@ def _carry(scan: Scan, edge: Column, parts) -> Column:
 
 
 def _carried(rows: DataFrame, group: Sequence[str], order: Sequence[str], scans: dict[str, Scan]) -> DataFrame:
-    edges = rows.groupBy(PART, *group).agg(*[_edge(s, order).alias(f"_in_{o}") for o, s in scans.items()])
+    edges = rows.groupBy(PART, *group).agg(*[_edge(s, order).alias(f"_scan_in_{o}") for o, s in scans.items()])
     parts = Window.partitionBy(*group).orderBy(PART)
     return edges.select(
-        PART, *group, *[_carry(s, F.col(f"_in_{o}"), parts).alias(f"_in_{o}") for o, s in scans.items()]
+        PART, *group, *[_carry(s, F.col(f"_scan_in_{o}"), parts).alias(f"_scan_in_{o}") for o, s in scans.items()]
     )
 
 
@@ -145,14 +145,14 @@ def _scan_parts(
     """Windows within the parts, with the carried values as extra rows before and after."""
     forward = {o for o, s in scans.items() if s.kind == "following"}
     ends = [(HEAD, set(scans) - forward), (TAIL, forward)]
-    values = {f"_in_{o}": s.column for o, s in scans.items()}
+    values = {f"_scan_in_{o}": s.column for o, s in scans.items()}
     both = rows.withColumns({**values, KIND: F.lit(ROW)})
     for kind, outs in ends:
         if outs:
-            end = carried.select(PART, *group, *[f"_in_{o}" for o in outs], F.lit(kind).alias(KIND))
+            end = carried.select(PART, *group, *[f"_scan_in_{o}" for o in outs], F.lit(kind).alias(KIND))
             both = both.unionByName(end, allowMissingColumns=True)
     window = Window.partitionBy(PART, *group).orderBy(KIND, *order)
-    out = both.withColumns({o: _over(s, F.col(f"_in_{o}"), window) for o, s in scans.items()})
+    out = both.withColumns({o: _over(s, F.col(f"_scan_in_{o}"), window) for o, s in scans.items()})
     for own, members in (finer or {}).items():
         # A finer group lies within one part. KIND keeps the extra rows out of it.
         inner = Window.partitionBy(PART, *group, KIND, *own[len(group):]).orderBy(*(list(group) + list(order))[len(own):])

@@ -178,19 +178,19 @@ def _sums_by_scan(spans, readings, keys, ts, value, max_group_rows) -> DataFrame
     # Starts and readings in one time order; each reading belongs to the newest start before it.
     # At equal times the starts come first, empty intervals before the one that holds rows.
     starts = spans.select(
-        *keys, F.col("start").alias("_t"), F.lit(0).alias("_kind"), F.col("end").alias("_e"),
+        *keys, F.col("start").alias("_t"), F.lit(0).alias("_side"), F.col("end").alias("_e"),
         F.struct("start", "end").alias("_span"), F.lit(None).cast("bigint").alias("_v"),
     )
     # Readings at one time share their interval, so they are added up before the sort.
     reads = readings.groupBy(*keys, F.col(ts).alias("_t")).agg(F.sum(value).cast("bigint").alias("_v")).select(
-        *keys, "_t", F.lit(1).alias("_kind"), F.lit(None).cast("timestamp").alias("_e"),
+        *keys, "_t", F.lit(1).alias("_side"), F.lit(None).cast("timestamp").alias("_e"),
         F.lit(None).cast(starts.schema["_span"].dataType).alias("_span"), "_v",
     )
     scanned = ordered_scan(
-        starts.unionByName(reads), keys, ["_t", "_kind", "_e"], max_group_rows, _in=last_known("_span")
+        starts.unionByName(reads), keys, ["_t", "_side", "_e"], max_group_rows, _in=last_known("_span")
     )
     return (
-        scanned.filter((F.col("_kind") == 1) & (F.col("_t") < F.col("_in.end")))
+        scanned.filter((F.col("_side") == 1) & (F.col("_t") < F.col("_in.end")))
         .groupBy(*keys, F.col("_in.start").alias("start"), F.col("_in.end").alias("end"))
         .agg(F.sum("_v").alias("_sum"))
     )
