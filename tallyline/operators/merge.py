@@ -10,15 +10,17 @@ from pyspark.sql import functions as F
 RESET_BATCH = -1
 
 
-def latest_snapshot(view: DataFrame, keys: Sequence[str] = ("item",), mode: str = "complete") -> DataFrame:
+def latest_snapshot(
+    view: DataFrame, keys: Sequence[str] = ("item",), mode: str = "complete", epoch: int | None = None
+) -> DataFrame:
     """Current count per key of a real-time view history.
 
-    Only the newest epoch counts. In complete mode its newest micro-batch holds every key seen,
+    Only one epoch counts, by default the newest. In complete mode its newest micro-batch holds every key seen,
     and the zero rows of the reset stand in for the others, so two partitions are read. In
     update mode each key is taken from the last micro-batch that changed it.
     """
-    newest = view.agg(F.max("epoch").alias("e")).scalar()
-    current = view.filter(F.col("epoch") == newest)
+    chosen = F.lit(epoch) if epoch is not None else view.agg(F.max("epoch").alias("e")).scalar()
+    current = view.filter(F.col("epoch") == chosen)
     if mode == "complete":
         last = current.agg(F.max("batch_id").alias("b")).scalar()
         current = current.filter((F.col("batch_id") == last) | (F.col("batch_id") == RESET_BATCH))

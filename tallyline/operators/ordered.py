@@ -160,13 +160,24 @@ def _scan_parts(
     return out.filter(F.col(KIND) == ROW).drop(KIND, *values)
 
 
-def _largest_group(df: DataFrame, group: Sequence[str]) -> tuple[int, int]:
+def _sizes(df: DataFrame, group: Sequence[str | Column]) -> tuple[int, int]:
     """Rows in the largest group and in all groups; one row comes back to the driver."""
     counts = df.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
     row = counts.agg(F.max("n").alias("top"), F.sum("n").alias("total")).first()
     return row["top"] or 0, row["total"] or 0
 
 
+def _largest_group(df: DataFrame, group: Sequence[str], limit: int) -> tuple[int, int]:
+    """Rows in the largest group, or a bound of it that is within ``limit``, and in all groups."""
+    if group and isinstance(df.schema[group[-1]].dataType, T.TimestampType):
+        # Groups by moment can be nearly as many as the rows. The count per minute is far
+        # smaller, and no moment holds more rows than its minute.
+        top, total = _sizes(df, [*group[:-1], _period_of(group[-1], 60).alias("_minute")])
+        if top <= limit:
+            return top, total
+    return _sizes(df, group)
+
+
 def _period_of(ts: str, seconds: int) -> Column:
     # Rows without a time come first in the order and get the lowest part.
     return F.coalesce(F.floor(F.unix_seconds(ts) / F.lit(seconds)), F.lit(-(2**62)))
@@ -216,7 +227,7 @@ def ordered_scan(
         levels.setdefault(own, {})[out] = scan
     levels = {own: levels[own] for own in sorted(levels, key=len) if levels[own]}
     wanted = [*df.columns, *scans]
-    top, total = (0, 0) if max_group_rows is None else _largest_group(df, min(levels, key=len))
+    top, total = (0, 0) if max_group_rows is None else _largest_group(df, min(levels, key=len), max_group_rows)
 
     if max_group_rows is None or top <= max_group_rows:
         # Coarse groups first: their shuffle and sort also serve the finer ones.

@@ -63,19 +63,18 @@ def spread_ties(
     return ranked.withColumn(ts, shifted_time(ts, "_rank", step_ms)).drop("_rank")
 
 
-def in_tie(df: DataFrame, keys: Sequence[str] = ("item",), ts: str = "time_stamp", out: str = "in_tie") -> DataFrame:
-    """Mark rows whose time occurs more than once for their key.
-
-    Times with more than one row are found by a pre-aggregated count and joined back. Every
-    tied row carries the tie's key, so a hot tie is a skewed probe side, which adaptive
-    execution splits; the other side has one row per tie.
-    """
-    on = [*keys, ts]
-    ties = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(
-        *[F.col(c).alias(f"_tie_{c}") for c in on], F.lit(True).alias(out)
-    )
-    same = reduce(lambda a, b: a & b, [df[c].eqNullSafe(ties[f"_tie_{c}"]) for c in on])
-    return df.join(ties, same, "left").select(*df.columns, F.coalesce(out, F.lit(False)).alias(out))
+def in_tie(
+    df: DataFrame,
+    keys: Sequence[str] = ("item",),
+    ts: str = "time_stamp",
+    tie: str = "id",
+    out: str = "in_tie",
+    max_group_rows: int | None = MAX_GROUP_ROWS,
+) -> DataFrame:
+    """Mark rows whose time occurs more than once for their key: one before or one behind."""
+    scanned = ordered_scan(df, [*keys, ts], [tie], max_group_rows, _rank=position(), _next=following(tie))
+    alike = (F.col("_rank") > 0) | F.col("_next").isNotNull()
+    return scanned.withColumn(out, alike).drop("_rank", "_next")
 
 
 def gap(

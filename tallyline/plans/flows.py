@@ -61,15 +61,16 @@ def epoch_change(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts per epoch when the live view is restarted behind a published batch run."""
     layers = hand_off(spark, sf_dir)
     epoch = rotate_epoch(spark, layers.realtime, ["item"])
-    rest = uncovered(stream_purchases(spark, sf_dir).select("item", "unit"),
-                     covered_units(spark, layers.epochs))
+    rest = uncovered(
+        stream_purchases(spark, sf_dir).select("item", "unit"), covered_units(spark, layers.epochs)
+    )
     snapshot_stream(
         rest, layers.realtime, f"{layers.realtime}_checkpoint_{epoch}", ["item", "unit"], epoch, DRAIN
     ).awaitTermination()
     view = read_view(spark, layers.realtime, REALTIME_VIEW)
     per_epoch = []
     for number in range(epoch + 1):
-        counts = latest_snapshot(view.filter(F.col("epoch") == number), ["item", "unit"])
+        counts = latest_snapshot(view, ["item", "unit"], epoch=number)
         per_epoch.append(
             counts.groupBy("item").agg(F.sum("count").cast("bigint").alias("count"))
             .withColumn("epoch", F.lit(number).cast("bigint"))

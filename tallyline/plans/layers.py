@@ -11,7 +11,7 @@ from tallyline.operators.counts import count_items
 from tallyline.operators.merge import latest_snapshot, serving_view
 from tallyline.schema import BATCH_VIEW, EPOCH_TABLE, REALTIME_VIEW
 from tallyline.sources.views import read_view
-from tallyline.streaming.epochs import covered_units, publish_run
+from tallyline.streaming.epochs import active_epoch, covered_units, publish_run
 
 NO_RUN = -1
 
@@ -54,14 +54,16 @@ def run_batch_view(
 
 def served_totals(
     spark: SparkSession, batch_view: str, realtime_view: str, epoch_table: str,
-    keys: Sequence[str] = ("item",),
+    keys: Sequence[str] = ("item",), active: str | None = None,
 ) -> DataFrame:
     """Current total per key: the newest published batch run plus the live counts behind it.
 
-    The run is read once, as a number, so a run published meanwhile cannot be mixed in.
+    The run is read once, as a number, so a run published meanwhile cannot be mixed in. With a
+    table of active epochs the live counts come from the active one, else from the newest.
     """
     published = read_view(spark, epoch_table, EPOCH_TABLE)
     run_id = published.agg(F.coalesce(F.max("run_id"), F.lit(NO_RUN)).alias("r")).first()["r"]
     batch = read_view(spark, batch_view, BATCH_VIEW).filter(F.col("run_id") == run_id)
-    live = latest_snapshot(read_view(spark, realtime_view, REALTIME_VIEW), [*keys, "unit"])
+    epoch = None if active is None else active_epoch(spark, active)
+    live = latest_snapshot(read_view(spark, realtime_view, REALTIME_VIEW), [*keys, "unit"], epoch=epoch)
     return serving_view(batch, live, covered_units(spark, epoch_table, run_id), keys)

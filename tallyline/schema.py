@@ -59,6 +59,8 @@ REALTIME_VIEW = _struct(
 
 EPOCH_TABLE = _struct(unit=T.StringType(), published_at=T.TimestampType(), run_id=T.LongType())
 
+ACTIVE_EPOCHS = _struct(activated_at=T.TimestampType(), epoch=T.LongType())
+
 CONTROL = _struct(restart=T.StringType(), run_id=T.LongType())
 
 # Headerless CSV exports of the views, columns in stored order.

@@ -1,12 +1,16 @@
-from tallyline.streaming.control import emit_restart, encode_restart, restart_signals
-from tallyline.streaming.epochs import covered_units, newest_epoch, publish_run, rotate_epoch
+from tallyline.streaming.control import emit_restart, encode_restart, on_restart, restart_signals
+from tallyline.streaming.epochs import (
+    activate_epoch, active_epoch, covered_units, newest_epoch, publish_run, reset_counts,
+    restart_behind_run, rotate_epoch, uncovered,
+)
 from tallyline.streaming.queries import (
     append_raw_view, archive, batch_sizes, publish, replay, run_until_ok, snapshot_stream,
     write_snapshot,
 )
 
 __all__ = [
-    "append_raw_view", "archive", "batch_sizes", "covered_units", "emit_restart", "encode_restart",
-    "newest_epoch", "publish", "publish_run", "replay", "restart_signals", "rotate_epoch",
-    "run_until_ok", "snapshot_stream", "write_snapshot",
+    "activate_epoch", "active_epoch", "append_raw_view", "archive", "batch_sizes", "covered_units",
+    "emit_restart", "encode_restart", "newest_epoch", "on_restart", "publish", "publish_run",
+    "replay", "reset_counts", "restart_behind_run", "restart_signals", "rotate_epoch",
+    "run_until_ok", "snapshot_stream", "uncovered", "write_snapshot",
 ]

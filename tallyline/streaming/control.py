@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from tallyline.schema import CONTROL
 
@@ -25,3 +28,19 @@ def restart_signals(messages: DataFrame) -> DataFrame:
     """The runs whose messages ask for a restart; anything else on the topic is passed over."""
     parsed = messages.select(F.inline(F.array(F.from_json(F.col("value").cast("string"), CONTROL))))
     return parsed.filter(F.col("restart") == RESTART).select("run_id")
+
+
+def on_restart(
+    messages: DataFrame, act: Callable[[int], None], checkpoint: str, trigger: dict
+) -> StreamingQuery:
+    """Call ``act`` with the newest run each time the control topic asks for a restart."""
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        run_id = batch.agg(F.max("run_id").alias("r")).first()["r"]
+        if run_id is not None:
+            act(run_id)
+
+    return (
+        restart_signals(messages).writeStream.foreachBatch(handle)
+        .option("checkpointLocation", checkpoint).trigger(**trigger).start()
+    )

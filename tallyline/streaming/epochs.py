@@ -2,18 +2,20 @@
 
 A published batch run lists the ingestion units it covers. Readers add the live counts of all
 other units, so a unit is counted once, whenever the run is published. When the live state has
-grown, a new epoch starts behind the published units with zero counts.
+grown, a new epoch starts behind the published units with zero counts. Readers stay with the old
+epoch until the new one has caught up and is made the active one.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from tallyline.operators.merge import RESET_BATCH, latest_snapshot
-from tallyline.schema import EPOCH_TABLE, REALTIME_VIEW
+from tallyline.schema import ACTIVE_EPOCHS, EPOCH_TABLE, REALTIME_VIEW
 from tallyline.sources.views import read_view
 from tallyline.streaming.queries import write_snapshot
 
@@ -65,3 +67,27 @@ def rotate_epoch(spark: SparkSession, realtime: str, keys: Sequence[str] = ("ite
 def uncovered(payloads: DataFrame, covered: DataFrame) -> DataFrame:
     """Payloads of units a published run does not cover; works on streams too."""
     return payloads.join(covered.select("unit").distinct(), "unit", "left_anti")
+
+
+def restart_behind_run(
+    query: StreamingQuery, start: Callable[[int], StreamingQuery], realtime: str, keys: Sequence[str] = ("item",)
+) -> StreamingQuery:
+    """Stop the live query, set its counts to zero and start it afresh as the next epoch."""
+    spark = SparkSession.active()
+    query.stop()
+    query.awaitTermination()
+    return start(rotate_epoch(spark, realtime, keys))
+
+
+def activate_epoch(spark: SparkSession, active: str, epoch: int) -> None:
+    """Make readers use ``epoch`` from now on."""
+    row = spark.range(epoch, epoch + 1).select(F.current_timestamp().alias("activated_at"), F.col("id").alias("epoch"))
+    (
+        row.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("epoch").parquet(active)
+    )
+
+
+def active_epoch(spark: SparkSession, active: str) -> int:
+    row = read_view(spark, active, ACTIVE_EPOCHS).agg(F.coalesce(F.max("epoch"), F.lit(0)).alias("e")).first()
+    return row["e"]

@@ -51,26 +51,31 @@ def append_raw_view(payloads: DataFrame, path: str, checkpoint: str, trigger: di
 
 
 def write_snapshot(
-    path: str, epoch: int, fmt: str = "parquet", options: dict[str, str] | None = None
+    path: str | None, epoch: int, fmt: str = "parquet", options: dict[str, str] | None = None,
+    mode: str = "overwrite",
 ) -> Callable[[DataFrame, int], None]:
-    """A micro-batch callback that appends the counts, stamped, to the view's history.
+    """A micro-batch callback that adds the counts, stamped, to the view's history.
 
-    Each micro-batch owns the partition ``epoch=/batch_id=``. A repeated batch overwrites it, so
-    a retry leaves no second copy. Errors go up and stop the query: the batch is then run again.
+    With files each micro-batch owns the partition ``epoch=/batch_id=``; a repeated batch
+    overwrites it, so a retry leaves no second copy. ``mode="append"`` is for stores reached
+    through a connector; ``id`` is made from epoch, batch and key there, so that a retry writes
+    the same rows again and a store keyed by ``id`` keeps one. Errors go up and stop the query:
+    the batch is then run again.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        keys = [c for c in batch.columns if c != "count"]
+        mark = F.to_json(F.struct(F.lit(epoch).alias("epoch"), F.lit(batch_id).alias("batch"), *keys))
         stamped = batch.withColumns({
             "time_stamp": F.current_timestamp(),
-            "id": F.uuid(),
+            "id": F.sha2(mark, 256) if mode == "append" else F.uuid(),
             "epoch": F.lit(epoch).cast("bigint"),
             "batch_id": F.lit(batch_id).cast("bigint"),
         })
-        (
-            stamped.write.format(fmt).options(**(options or {}))
-            .mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy("epoch", "batch_id").save(path)
-        )
+        writer = stamped.write.format(fmt).options(**(options or {})).mode(mode)
+        if mode == "overwrite":
+            writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy("epoch", "batch_id")
+        writer.save(path)
 
     return write
 

@@ -5,9 +5,10 @@ from pyspark.sql import functions as F
 from tallyline.functions import decode_rows
 from tallyline.operators import latest_snapshot, reconcile, serving_view
 from tallyline.plans import items_sold, run_batch_view, served_totals
-from tallyline.schema import BATCH_VIEW, EPOCH_TABLE, RAW_VIEW, REALTIME_VIEW
+from tallyline.schema import ACTIVE_EPOCHS, BATCH_VIEW, EPOCH_TABLE, RAW_VIEW, REALTIME_VIEW
 from tallyline.sources import ensure_view, read_events, read_view
 from tallyline.streaming import (
+    activate_epoch, on_restart, restart_behind_run,
     append_raw_view, archive, batch_sizes, covered_units, emit_restart, publish, replay, restart_signals,
     rotate_epoch, run_until_ok, snapshot_stream, write_snapshot,
 )
@@ -155,6 +156,8 @@ class Layers:
             f"{folder}/b", f"{folder}/v", f"{folder}/e", folder)
         ensure_view(spark, self.batch, BATCH_VIEW, ("run_id",))
         ensure_view(spark, self.epochs, EPOCH_TABLE, ("run_id",))
+        self.active = f"{folder}/a"
+        ensure_view(spark, self.active, ACTIVE_EPOCHS, ("epoch",))
 
     def drain(self, epoch=0, only_new=False):
         source = stream(self.spark, self.topic)
@@ -169,7 +172,7 @@ class Layers:
         return run_batch_view(events, self.batch, run_id, self.epochs, before=before)
 
     def served(self):
-        return served_totals(self.spark, self.batch, self.live, self.epochs)
+        return served_totals(self.spark, self.batch, self.live, self.epochs, active=self.active)
 
     def truth(self):
         return items_sold(decode_rows(read_events(self.spark, "text", str(self.topic))))
@@ -209,8 +212,10 @@ def test_new_epoch_starts_at_zero_behind_the_cut(spark, topic, folder):
     epoch = rotate_epoch(spark, layers.live)
     assert epoch == 1
     assert rows(live(spark, layers.live)) == [("a", 0), ("b", 0)]
+    assert layers.check() == [("a", 8, 4, 12), ("b", 4, 2, 6)]
     write_unit(topic, "u6", [payload("a")])
     layers.drain(epoch, only_new=True)
+    activate_epoch(spark, layers.active, epoch)
     assert layers.check() == [("a", 8, 5, 13), ("b", 4, 2, 6)]
     per_item = live(spark, layers.live, ["item", "unit"]).groupBy("item").agg(F.sum("count"))
     assert rows(per_item) == [("a", 5), ("b", 2)]
@@ -231,3 +236,38 @@ def test_restart_messages(spark, folder):
     got = restart_signals(spark.read.text(f"{folder}/control").unionByName(other))
     assert rows(got) == [(7,)]
     assert spark.read.text(f"{folder}/control").first()["value"].startswith('{"restart":"True"')
+
+
+def test_restart_message_restarts_the_live_view(spark, topic, folder):
+    def start(epoch):
+        return snapshot_stream(
+            stream(spark, topic, start="latest" if epoch else "earliest"), f"{folder}/v", f"{folder}/c{epoch}",
+            epoch=epoch, trigger=DRAIN,
+        )
+
+    first = start(0)
+    first.awaitTermination()
+    runs, restarted = [], []
+
+    def act(run_id):
+        runs.append(run_id)
+        restarted.append(restart_behind_run(first, start, f"{folder}/v"))
+
+    for run_id in (3, 4):
+        emit_restart(spark, f"{folder}/control", run_id)
+    messages = spark.readStream.text(f"{folder}/control")
+    on_restart(messages, act, f"{folder}/control-c", DRAIN).awaitTermination()
+    restarted[0].awaitTermination()
+    assert runs == [4]
+    assert rows(live(spark, f"{folder}/v")) == [("a", 0), ("b", 0)]
+
+
+def test_connector_writes_repeat_the_same_ids(spark, folder):
+    batch = spark.createDataFrame([("a", 2), ("b", 3)], "item STRING, count BIGINT")
+    write = write_snapshot(f"{folder}/store", 5, fmt="json", mode="append")
+    write(batch, 1)
+    write(batch, 1)
+    write(batch, 2)
+    stored_rows = spark.read.json(f"{folder}/store")
+    assert stored_rows.count() == 6
+    assert stored_rows.select("id").distinct().count() == 4
