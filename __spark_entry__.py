@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from tallyline import operators as ops  # noqa: E402
-from tallyline.functions import decode, encode, enrich, health_label, micros_of, price_of  # noqa: E402
+from tallyline.functions import classify, encode, enrich, health_label, micros_of, price_of  # noqa: E402
 from tallyline.operators.merge import latest_by_time, reconcile  # noqa: E402
 from tallyline.plans import flows  # noqa: E402
 from tallyline.plans.history import period_counts, snapshot_history  # noqa: E402
@@ -85,22 +85,20 @@ def encode_payload(spark, d):
 
 def malformed_rejects(spark, d):
     text = F.col("value")
-    kind = F.get_json_object(text, "$.item")
+    # Each event type but one gets its own kind of damage.
     broken = (
-        F.when(kind == "error", F.substring(text, F.lit(1), F.length(text) - 1))
-        .when(kind == "signup", F.regexp_replace(text, '"item":"signup",', ""))
-        .when(kind == "click", F.regexp_replace(text, '"item":"click"', '"item":""'))
-        .when(kind == "view", F.regexp_replace(text, r'"price":[0-9.]+', '"price":"abc"'))
+        F.when(F.col("item") == "error", F.substring(text, F.lit(1), F.length(text) - 1))
+        .when(F.col("item") == "signup", F.regexp_replace(text, '"item":"signup",', ""))
+        .when(F.col("item") == "click", F.regexp_replace(text, '"item":"click"', '"item":""'))
+        .when(F.col("item") == "view", F.regexp_replace(text, r'"price":[0-9.]+', '"price":"abc"'))
         .otherwise(text)
     )
-    lines = encode(_events(spark, d)).select(broken.alias("value"))
-    good, rejects = decode(lines)
-    counts = [F.count(F.lit(1)).alias("rows"), F.count("price").alias("priced")]
-    accepted = good.groupBy(F.concat(F.lit("accepted "), "item").alias("outcome")).agg(*counts)
-    refused = rejects.groupBy(F.col("reason").alias("outcome")).agg(
-        counts[0], F.lit(0).cast("bigint").alias("priced")
+    lines = encode(_events(spark, d), keep=("item",)).select(broken.alias("value"))
+    outcome = F.coalesce("reason", F.concat(F.lit("accepted "), "item"))
+    priced = F.count(F.when(F.col("reason").isNull(), F.col("price")))
+    return classify(lines, fields=["price"]).groupBy(outcome.alias("outcome")).agg(
+        F.count(F.lit(1)).alias("rows"), priced.alias("priced")
     )
-    return accepted.unionByName(refused)
 
 
 def batch_view_runs(spark, d):

@@ -62,14 +62,22 @@ def reject_reason(value: Column, item: Column) -> Column:
     )
 
 
+def classify(
+    df: DataFrame, schema: T.StructType = PAYLOAD, fields: Sequence[str] | None = None
+) -> DataFrame:
+    """Every payload with its fields, its text and the ``reason`` it is refused, in one pass."""
+    rows = _parsed(df, _narrow(schema, fields), keep_value=True)
+    return rows.withColumn("reason", reject_reason(F.col("value"), F.col("item")))
+
+
 def decode(
     df: DataFrame, schema: T.StructType = PAYLOAD, fields: Sequence[str] | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """Split payloads into events and rejects; rejects keep their text and carry a reason."""
-    passed = [F.col(c) for c in df.columns if c != "value"]
-    rejects = (
-        _parsed(df, _narrow(schema, ["item"]), keep_value=True)
-        .filter(~F.coalesce(usable_item(), F.lit(False)))
-        .select(*passed, "value", reject_reason(F.col("value"), F.col("item")).alias("reason"))
-    )
+    """Split payloads into events and rejects; rejects keep their text and carry a reason.
+
+    The two are read on their own, as two streams or two writes; ``classify`` gives both at once.
+    """
+    passed = [c for c in df.columns if c != "value"]
+    refused = ~F.coalesce(usable_item(), F.lit(False))
+    rejects = classify(df, schema, ["item"]).filter(refused).select(*passed, "value", "reason")
     return decode_rows(df, schema, fields), rejects

@@ -35,6 +35,7 @@ MAX_RANGES = 20_000
 PERIODS_S = (86_400, 3_600, 60, 1)
 PART = "_scan_part"
 KIND = "_scan_kind"
+COPY = "_scan_copy"
 HEAD, ROW, TAIL = 0, 1, 2
 
 
@@ -245,10 +246,12 @@ def ordered_scan(
         return _scan_parts(rows, group, order, levels[coarse], carried, finer).select(*wanted)
 
     n = max(2, min(MAX_RANGES, math.ceil(total / max_group_rows)))
-    base = stored(df.repartitionByRange(n, *sort).withColumn(PART, F.spark_partition_id()), "ranges")
-    out = base
+    # Copies with one sort key would share a range; a number tells them apart.
+    numbered = df.withColumn(COPY, F.monotonically_increasing_id())
+    ranges = numbered.repartitionByRange(n, *sort, COPY).withColumn(PART, F.spark_partition_id())
+    base = out = stored(ranges, "ranges")
     for own, members in levels.items():
-        rest = sort[len(own):]
+        rest = [*sort[len(own):], COPY]
         carried = _carried(_at_the_ends(base, own), own, rest, members)
         out = _scan_parts(out, own, rest, members, carried)
     return out.select(*wanted)

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyline.operators.ordered import ordered_scan, running_sum
+from tallyline.operators.ordered import MAX_GROUP_ROWS, ordered_scan, running_sum
+
+LONG_PERIODS = ("hour", "day", "week", "month", "quarter", "year")
 
 
 def period_counts(events: DataFrame, every: str = "hour") -> DataFrame:
@@ -18,10 +20,11 @@ def period_counts(events: DataFrame, every: str = "hour") -> DataFrame:
 def snapshot_history(events: DataFrame, every: str = "hour") -> DataFrame:
     """Total per item at the end of each period with events.
 
-    Only the counts per period are put in order, a few thousand rows per item and year, so the
-    size check of the ordered scan is left out.
+    Only the counts per period are put in order. By the hour or more that is at most 8,784 rows
+    per item and year, and the size check of the ordered scan is left out.
     """
+    limit = None if every in LONG_PERIODS else MAX_GROUP_ROWS
     totals = ordered_scan(
-        period_counts(events, every), ["item"], ["time_stamp"], None, total=running_sum(F.col("count"))
+        period_counts(events, every), ["item"], ["time_stamp"], limit, total=running_sum(F.col("count"))
     )
     return totals.select("item", F.col("total").alias("count"), "time_stamp")

@@ -81,6 +81,19 @@ def test_hot_moment_alone_is_cut_by_id(spark):
     assert max(r["tie_rank"] for r in cut.collect()) > 40
 
 
+def test_copies_are_spread_over_ranges(spark, monkeypatch):
+    kept = []
+    monkeypatch.setattr(ordered, "stored", lambda df, label, real=ordered.stored: kept.append(real(df, label)) or kept[-1])
+    made = make(False, 300) + [("hot", START, "copy", 1, None)] * 150
+    got = running_total(spark.createDataFrame(made, SCHEMA), ["item"], "t", "id", max_group_rows=40)
+    totals = sorted(r["cumulated"] for r in got.filter("item = 'hot'").collect())
+    assert totals == list(range(1, len(totals) + 1))
+    copies = sorted(r["cumulated"] for r in got.filter("id = 'copy'").collect())
+    assert copies == list(range(copies[0], copies[0] + 150))
+    sizes = kept[-1].groupBy(ordered.PART).count()
+    assert sizes.agg(F.max("count")).first()[0] < 100
+
+
 def test_no_part_holds_more_than_the_limit(spark):
     frame = spark.createDataFrame(make(False), SCHEMA)
     seconds = ordered._period(frame, ["item"], "t", 60)
