@@ -410,9 +410,10 @@ SELECT id, row_number() OVER (ORDER BY time_stamp, id) - 1 AS position FROM P"""
 {_COMBINED.format(readings='(SELECT item, time_stamp, 1 AS count FROM P)')}""",
         "delay_series": f"""WITH {_P}, {_history('hour')},
 H AS (SELECT item, CAST(date_trunc('hour', time_stamp) AS TIMESTAMP) AS t, id FROM P),
-X AS (SELECT item, row_number() OVER (PARTITION BY item ORDER BY t, id) AS cumulated,
-             t + to_milliseconds(row_number() OVER (PARTITION BY item, t ORDER BY id) - 1) AS time_x
-      FROM H)
+N AS (SELECT item, t, row_number() OVER (PARTITION BY item ORDER BY t, id) AS cumulated FROM H),
+X AS (SELECT item, cumulated,
+             t + to_milliseconds(cumulated - min(cumulated) OVER (PARTITION BY item, t)) AS time_x
+      FROM N)
 SELECT coalesce(X.item, y.item) AS item, coalesce(X.cumulated, y.count) AS cumulated, time_x,
        y.time_stamp AS time_y, date_diff('microsecond', time_x, y.time_stamp) AS delay_us
 FROM X FULL JOIN hour_history y ON y.item = X.item AND y.count = X.cumulated""",
