@@ -3,7 +3,8 @@
 A window over a group puts that group into one task. Here a group may hold a third of all rows,
 so its size is looked at first, and the rows are cut in one of three ways:
 
-* ``whole``: every group is small enough; plain windows, one shuffle.
+* ``whole``: every group is small enough; plain windows, one shuffle. A group that is the whole
+  table, with no key to shuffle by, is left whole only up to a thousand rows.
 * ``periods``: the order starts with a time, and some period (a day down to a second) cuts
   every group into parts that are small enough. A part is a function of the row, so the rows
   are shuffled once, by group and period, as in the plain form.
@@ -31,6 +32,7 @@ from pyspark.sql import types as T
 from tallyline.session import stored
 
 MAX_GROUP_ROWS = 1_000_000
+SMALL_TABLE = 1_000
 MAX_RANGES = 20_000
 PERIODS_S = (86_400, 3_600, 60, 1)
 PART = "_scan_part"
@@ -228,9 +230,15 @@ def ordered_scan(
         levels.setdefault(own, {})[out] = scan
     levels = {own: levels[own] for own in sorted(levels, key=len) if levels[own]}
     wanted = [*df.columns, *scans]
-    top, total = (0, 0) if max_group_rows is None else _largest_group(df, min(levels, key=len), max_group_rows)
-
-    if max_group_rows is None or top <= max_group_rows:
+    limit, top, total = max_group_rows, 0, 0
+    if limit is not None:
+        coarsest = min(levels, key=len)
+        top, total = _largest_group(df, coarsest, limit)
+        if not coarsest:
+            # The whole table is one group: cut it well before it fills a task.
+            limit = min(limit, max(SMALL_TABLE, total // 8))
+
+    if limit is None or top <= limit:
         # Coarse groups first: their shuffle and sort also serve the finer ones.
         for own, members in levels.items():
             window = Window.partitionBy(*own).orderBy(*sort[len(own):])
@@ -238,14 +246,14 @@ def ordered_scan(
         return df.select(*wanted)
 
     coarse = tuple(group)
-    seconds = _period(df, group, order[0], max_group_rows) if coarse in levels else None
+    seconds = _period(df, group, order[0], limit) if coarse in levels else None
     if seconds is not None:
         rows = df.withColumn(PART, _period_of(order[0], seconds))
         finer = {own: members for own, members in levels.items() if own != coarse}
         carried = _carried(rows, group, order, levels[coarse])
         return _scan_parts(rows, group, order, levels[coarse], carried, finer).select(*wanted)
 
-    n = max(2, min(MAX_RANGES, math.ceil(total / max_group_rows)))
+    n = max(2, min(MAX_RANGES, math.ceil(total / limit)))
     # Copies with one sort key would share a range; a number tells them apart.
     numbered = df.withColumn(COPY, F.monotonically_increasing_id())
     ranges = numbered.repartitionByRange(n, *sort, COPY).withColumn(PART, F.spark_partition_id())

@@ -244,7 +244,7 @@ def delay_series(
     whose skewed side adaptive execution can split) plus the events no snapshot shows. Events
     without a key are left out, so that both parts can use one shuffle of the events.
     """
-    keyed = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    keyed = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys], F.lit(True))
     placed = ordered_scan(
         events.filter(keyed), keys, [ts, tie], max_group_rows,
         cumulated=running_sum(), _rank=position(group=[*keys, ts]),

@@ -149,3 +149,14 @@ def test_timeline_fills_missing_columns(spark):
     one = make(spark, [("a", 0, 1)])
     both = timeline((one, "all_data"), (one.drop("count"), "batch"))
     assert rows(both, "category", "count") == [("all_data", 1), ("batch", None)]
+
+
+def test_one_series_without_a_key(spark, events, snapshots):
+    per_item = delay_series(events, snapshots).select("cumulated", "delay")
+    overall = delay_series(events.drop("item"), snapshots.drop("item"), keys=[]).select("cumulated", "delay")
+    assert sorted(map(str, overall.collect())) == sorted(map(str, per_item.collect()))
+    bounds = make(spark, [("a", 0, 1), ("a", 10, 5), ("a", 20, 9)]).drop("item")
+    reads = make(spark, [("a", 3, 2), ("a", 12, 4)]).drop("item")
+    for bins in (True, False):
+        got = interval_sum(bounds, reads, keys=[], broadcast_bins=bins)
+        assert [n for _, n in rows(got)] == [3, 9]
