@@ -51,9 +51,8 @@ def hand_off(spark: SparkSession, sf_dir: str) -> Layers:
     snapshot_stream(
         live, layers.realtime, f"{work}/checkpoint", ["item", "unit"], trigger=DRAIN
     ).awaitTermination()
-    events = purchases(spark, sf_dir)
-    newest = events.agg(F.date_format(F.max("time_stamp"), "yyyy-MM-dd").alias("u")).first()["u"]
-    run_batch_view(events.select("item", "unit"), layers.batch, 1, layers.epochs, before=newest)
+    events = purchases(spark, sf_dir).select("item", "unit")
+    run_batch_view(events, layers.batch, 1, layers.epochs, skip_open=True)
     return layers
 
 

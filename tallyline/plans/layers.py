@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallyline.operators.counts import count_items
 from tallyline.operators.merge import latest_snapshot, serving_view
 from tallyline.schema import BATCH_VIEW, EPOCH_TABLE, REALTIME_VIEW
+from tallyline.sources.topics import source_of
 from tallyline.sources.views import read_view
 from tallyline.streaming.epochs import active_epoch, covered_units, publish_run
 
@@ -34,16 +35,20 @@ def run_batch_view(
     epoch_table: str | None = None,
     keys: Sequence[str] = ("item",),
     before: str | None = None,
+    skip_open: bool = False,
 ) -> DataFrame:
     """Count the archive anew and store the totals under ``run_id``.
 
-    ``events`` has ``item`` and ``unit``; ``before`` keeps to units that sort below it, the
-    closed ones. The archive is read once, to counts per unit and key; totals and the list of
-    covered units come from that small table. The units are published last, so readers never
-    see a run that is not whole.
+    ``events`` has ``item`` and ``unit``. A run must keep to closed units: ``before`` reads only
+    units that sort below it, ``skip_open`` leaves out the newest unit of each source. The archive
+    is read once, to counts per unit and key; totals and the list of covered units come from that
+    small table. The units are published last, so readers never see a run that is not whole.
     """
     closed = events if before is None else events.filter(F.col("unit") < before)
     per_unit = _overwrite(count_items(closed, ["unit", *keys]), f"{view}_units", run_id)
+    if skip_open:
+        newest = per_unit.groupBy(source_of("unit")).agg(F.max("unit").alias("unit")).select("unit")
+        per_unit = per_unit.join(newest, "unit", "left_anti")
     totals = per_unit.groupBy(*keys).agg(F.sum("count").cast("bigint").alias("count"))
     stamped = totals.withColumns({"time_stamp": F.current_timestamp(), "id": F.uuid()})
     stored_run = _overwrite(stamped, view, run_id)

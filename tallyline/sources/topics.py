@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyline.schema import PAYLOAD
@@ -17,6 +17,16 @@ from tallyline.schema import PAYLOAD
 OFFSETS_PER_UNIT = 1_000_000
 
 
+def offset_unit(partition: str, offset: str, per_unit: int = OFFSETS_PER_UNIT) -> Column:
+    """Unit of a log record: its partition and its run of offsets, in sortable text."""
+    return F.format_string("%05d:%012d", F.col(partition), F.floor(F.col(offset) / F.lit(per_unit)))
+
+
+def source_of(unit: str) -> Column:
+    """What a unit's order holds within: a log partition, or all of a file topic."""
+    return F.regexp_extract(unit, "^(.*):", 1)
+
+
 def _newest_unit(spark: SparkSession, location: str) -> str | None:
     # Spark lists the files for its own scan; the names suffice and no data is read.
     files = spark.read.schema("value STRING, unit STRING").text(location).inputFiles()
@@ -45,10 +55,9 @@ def read_events(
         if streaming:
             reader = reader.option("startingOffsets", start)
         log = reader.format("kafka").load()
-        run = F.floor(F.col("offset") / F.lit(offsets_per_unit))
         return log.select(
             F.col("value").cast("string").alias("value"),
-            F.format_string("%05d:%012d", F.col("partition"), run).alias("unit"),
+            offset_unit("partition", "offset", offsets_per_unit).alias("unit"),
         )
     if unit == "file":
         return reader.schema("value STRING").format(fmt).load(location).select(
