@@ -27,7 +27,9 @@ def latest_snapshot(
     return current.groupBy(*keys).agg(F.max_by("count", "batch_id").alias("count"))
 
 
-def latest_by_time(view: DataFrame, keys: Sequence[str] = ("item",), ts: str = "time_stamp", count: str = "count") -> DataFrame:
+def latest_by_time(
+    view: DataFrame, keys: Sequence[str] = ("item",), ts: str = "time_stamp", count: str = "count"
+) -> DataFrame:
     """Newest count per key of a plain ``(keys, count, time)`` history; ties take the larger count."""
     return view.groupBy(*keys).agg(F.max_by(count, F.struct(ts, count)).alias(count))
 

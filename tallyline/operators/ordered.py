@@ -158,7 +158,8 @@ def _scan_parts(
     out = both.withColumns({o: _over(s, F.col(f"_scan_in_{o}"), window) for o, s in scans.items()})
     for own, members in (finer or {}).items():
         # A finer group lies within one part. KIND keeps the extra rows out of it.
-        inner = Window.partitionBy(PART, *group, KIND, *own[len(group):]).orderBy(*(list(group) + list(order))[len(own):])
+        rest = [*group, *order][len(own):]
+        inner = Window.partitionBy(PART, *group, KIND, *own[len(group):]).orderBy(*rest)
         out = out.withColumns({o: _over(s, s.column, inner) for o, s in members.items()})
     return out.filter(F.col(KIND) == ROW).drop(KIND, *values)
 

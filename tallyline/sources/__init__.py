@@ -3,6 +3,6 @@ from tallyline.sources.topics import offset_unit, read_archive_json, read_events
 from tallyline.sources.views import ensure_table, ensure_view, read_csv_view, read_view
 
 __all__ = [
-    "ensure_table", "ensure_view", "offset_unit", "purchases", "read_archive_json", "read_csv_view", "read_events", "read_view",
-    "source_of", "stream_purchases",
+    "ensure_table", "ensure_view", "offset_unit", "purchases", "read_archive_json", "read_csv_view",
+    "read_events", "read_view", "source_of", "stream_purchases",
 ]

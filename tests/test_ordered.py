@@ -83,7 +83,8 @@ def test_hot_moment_alone_is_cut_by_id(spark):
 
 def test_copies_are_spread_over_ranges(spark, monkeypatch):
     kept = []
-    monkeypatch.setattr(ordered, "stored", lambda df, label, real=ordered.stored: kept.append(real(df, label)) or kept[-1])
+    real = ordered.stored
+    monkeypatch.setattr(ordered, "stored", lambda df, label: kept.append(real(df, label)) or kept[-1])
     made = make(False, 300) + [("hot", START, "copy", 1, None)] * 150
     got = running_total(spark.createDataFrame(made, SCHEMA), ["item"], "t", "id", max_group_rows=40)
     totals = sorted(r["cumulated"] for r in got.filter("item = 'hot'").collect())

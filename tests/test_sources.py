@@ -3,7 +3,9 @@ from pyspark.errors import AnalysisException
 
 from tallyline.schema import BATCH_VIEW, CSV_REALTIME_VIEW
 from tallyline.session import stored, work_dir
-from tallyline.sources import ensure_table, ensure_view, purchases, read_csv_view, read_events, read_view, stream_purchases
+from tallyline.sources import (
+    ensure_table, ensure_view, purchases, read_csv_view, read_events, read_view, stream_purchases,
+)
 from tests.helpers import rows
 
 
