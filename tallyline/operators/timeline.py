@@ -18,6 +18,7 @@ from tallyline.session import stored
 GROUP_LIMIT = 1000
 # Bounds of the broadcast form of ``interval_sum``.
 MAX_BROADCAST_INTERVALS = 100_000
+MAX_BROADCAST_BINS = 500_000
 MAX_INTERVALS_PER_BIN = 8
 
 
@@ -141,7 +142,7 @@ def _bin_width(spans: DataFrame, keys: Sequence[str]) -> int | None:
             _binned(spans, width).groupBy(*keys, "_bin").agg(F.count(F.lit(1)).alias("n"))
             .agg(F.max("n").alias("top"), F.sum("n").alias("rows")).first()
         )
-        if crowd["top"] is None or crowd["rows"] > 20 * MAX_BROADCAST_INTERVALS:
+        if crowd["top"] is None or crowd["rows"] > MAX_BROADCAST_BINS:
             return None
         if crowd["top"] <= MAX_INTERVALS_PER_BIN:
             return width

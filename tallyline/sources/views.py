@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -21,7 +22,8 @@ def ensure_view(
     spark: SparkSession, path: str, schema: T.StructType, partitions: tuple[str, ...] = (), fmt: str = "parquet"
 ) -> DataFrame:
     """Create an empty view at ``path`` if there is none, so readers need not wait for a first write."""
-    spark.createDataFrame([], schema).write.mode("ignore").partitionBy(*partitions).format(fmt).save(path)
+    empty = spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+    empty.write.mode("ignore").partitionBy(*partitions).format(fmt).save(path)
     return read_view(spark, path, schema, fmt)
 
 
