@@ -297,8 +297,21 @@ def entry(spark: SparkSession) -> DataFrame:
     return count_per_item_batch(spark, "/root/testdata/sf0.001")
 
 
+def _pipeline_entries() -> tuple[dict[str, Callable[[SparkSession, str], DataFrame]], dict[str, str]]:
+    """Queries and SQL of the training-data operators; none where that subpackage is not installed."""
+    try:
+        import corpus_pipeline
+        from tallyline.llm.entries import ORACLES, QUERIES
+    except ModuleNotFoundError as error:
+        if error.name not in ("corpus_pipeline", "tallyline.llm", "tallyline.llm.entries"):
+            raise
+        return {}, {}
+    sql = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return QUERIES | {"pipeline": corpus_pipeline.run}, ORACLES | sql
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {query.__name__: query for query in QUERIES}
+    return {query.__name__: query for query in QUERIES} | _pipeline_entries()[0]
 
 
 # -- SQL -----------------------------------------------------------------------------------
@@ -345,7 +358,7 @@ def oracle_sql() -> dict[str, str]:
         + (f" WHERE unit < '{cut}'" if cut else "") + " GROUP BY item"
         for i, cut in enumerate(RUN_CUTS, start=1)
     )
-    return {
+    return _pipeline_entries()[1] | {
         "count_per_item_batch": _COUNT,
         "count_per_item_stream": _COUNT,
         "decoded_count": _COUNT,
