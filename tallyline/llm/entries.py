@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from tallyline.llm.minhash import op4_minhash_near_dedup
+from tallyline.llm.packing import op1_best_fit_packing
 
 QUERIES = {
+    "op1_best_fit_packing": op1_best_fit_packing,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
 }
 
