@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from tallyline.llm.minhash import op4_minhash_near_dedup
 from tallyline.llm.packing import op1_best_fit_packing
+from tallyline.llm.toxicity import op10_toxicity
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLES: dict[str, str] = {}

@@ -29,6 +29,12 @@ _LOWER[65:91] += 32
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
+#: Everything but ASCII letters and bytes beyond ASCII.
+NO_LETTER = np.ones(256, bool)
+NO_LETTER[128:] = False
+NO_LETTER[65:91] = False
+NO_LETTER[97:123] = False
+
 _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
@@ -86,17 +92,18 @@ def span_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarra
     return (sums[end] - sums[start]) * powers(len(sums))[1][start]
 
 
-def word_hashes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Hash, start and end of each word of a block, and the bounds of the rows in words.
+def word_spans(
+    data: np.ndarray, bounds: np.ndarray, outside: np.ndarray = _SPACE
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of each word of a block, and the bounds of the rows in words.
 
-    Words are runs of bytes other than space and the control characters 9 to 13; A to Z count as
-    lower case.
+    Words are runs of bytes other than those marked in ``outside``: by default space and the
+    control characters 9 to 13. No word goes beyond a row.
     """
     if not len(data):
         none = np.zeros(0, np.int64)
-        return np.zeros(0, np.uint64), none, none, np.zeros(len(bounds), np.int64)
-    low = _LOWER[data]
-    inside = ~_SPACE[data]
+        return none, none, np.zeros(len(bounds), np.int64)
+    inside = ~outside[data]
     first, last = inside.copy(), inside.copy()
     first[1:] &= ~inside[:-1]
     last[:-1] &= ~inside[1:]
@@ -104,8 +111,13 @@ def word_hashes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nd
     first[edges] = inside[edges]
     edges = bounds[1:][bounds[:-1] < bounds[1:]] - 1
     last[edges] = inside[edges]
-    start, end = np.flatnonzero(first), np.flatnonzero(last) + 1
-    return mix(span_hash(prefix_hashes(low), start, end)), start, end, np.searchsorted(start, bounds)
+    start = np.flatnonzero(first)
+    return start, np.flatnonzero(last) + 1, np.searchsorted(start, bounds)
+
+
+def lower_hashes(data: np.ndarray) -> np.ndarray:
+    """``prefix_hashes`` with A to Z as lower case."""
+    return prefix_hashes(_LOWER[data])
 
 
 def shingle_sets(column: pa.Array) -> Iterator[np.ndarray]:
@@ -115,7 +127,8 @@ def shingle_sets(column: pa.Array) -> Iterator[np.ndarray]:
     """
     k = SHINGLE_WORDS
     for _, data, bounds in text_blocks(column):
-        words, _, _, at = word_hashes(data, bounds)
+        start, end, at = word_spans(data, bounds)
+        words = mix(span_hash(lower_hashes(data), start, end))
         n = max(0, len(words) - k + 1)
         rolled = np.zeros(n, np.uint64)
         for j in range(k):
