@@ -297,6 +297,16 @@ def entry(spark: SparkSession) -> DataFrame:
     return count_per_item_batch(spark, "/root/testdata/sf0.001")
 
 
+def _importable(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """The query, with this folder on the path of Spark's Python workers."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parent))
+        return query(spark, sf_dir)
+
+    return run
+
+
 def _pipeline_entries() -> tuple[dict[str, Callable[[SparkSession, str], DataFrame]], dict[str, str]]:
     """Queries and SQL of the training-data operators; none where that subpackage is not installed."""
     try:
@@ -307,7 +317,8 @@ def _pipeline_entries() -> tuple[dict[str, Callable[[SparkSession, str], DataFra
             raise
         return {}, {}
     sql = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
-    return QUERIES | {"pipeline": corpus_pipeline.run}, ORACLES | sql
+    found = QUERIES | {"pipeline": corpus_pipeline.run}
+    return {name: _importable(query) for name, query in found.items()}, ORACLES | sql
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
