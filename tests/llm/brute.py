@@ -49,3 +49,21 @@ def near_duplicates(rows, percent=75):
     ]
     of = components(sets, links)
     return {i: (len(sets[i]), of[i]) for i in sets}
+
+
+def repeats(texts, length=400):
+    """[(n_bytes, n_removed, n_spans, kept bytes)] of the texts."""
+    from collections import Counter
+
+    data = [(t or "").encode() for t in texts]
+    seen = Counter(hash(d[i : i + length]) for d in data for i in range(len(d) - length + 1))
+    out = []
+    for d in data:
+        gone = bytearray(len(d))
+        for i in range(len(d) - length + 1):
+            if seen[hash(d[i : i + length])] > 1:
+                gone[i : i + length] = b"\1" * length
+        flags = bytes(gone)
+        spans = sum(1 for i, g in enumerate(flags) if g and (i == 0 or not flags[i - 1]))
+        out.append((len(d), sum(flags), spans, bytes(c for c, g in zip(d, flags, strict=True) if not g)))
+    return out
