@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from tallyline.llm.minhash import op4_minhash_near_dedup
 from tallyline.llm.packing import op1_best_fit_packing
+from tallyline.llm.secrets import op2_secret_scan
 from tallyline.llm.suffixes import op6_suffix_array_dedup
 from tallyline.llm.toxicity import op10_toxicity
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_secret_scan": op2_secret_scan,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
     "op6_suffix_array_dedup": op6_suffix_array_dedup,
     "op10_toxicity": op10_toxicity,

@@ -1,0 +1,231 @@
+"""Secret scanning: candidates by pattern, false positives removed by a random forest.
+
+DataFrame and SQL functions only; the forest is Spark's own.
+"""
+
+from __future__ import annotations
+
+from pyspark.ml import PipelineModel
+from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from tallyline.session import stored
+
+#: Put around candidates while they are looked for; where a text has them, they count as spaces.
+OPEN, CLOSE = "\x01", "\x02"
+#: Characters of the surroundings that the forest sees.
+BEFORE, AFTER = 64, 32
+MASK = "[SECRET]"
+
+# Published forms of credentials, then assigned values, then long mixed strings.
+PATTERNS = {
+    "private_key": r"-----BEGIN [A-Z ]{0,24}PRIVATE KEY-----[A-Za-z0-9+/=\s]*+-----END [A-Z ]{0,24}PRIVATE KEY-----",
+    "cloud_key_id": r"(?<![A-Za-z0-9])A(?:KIA|SIA)[0-9A-Z]{16}(?![0-9A-Za-z])",
+    "code_host_token": r"(?<![A-Za-z0-9])gh[pousr]_[A-Za-z0-9]{36,}+",
+    "chat_token": r"(?<![A-Za-z0-9])xox[abeprs]-[A-Za-z0-9-]{10,}+",
+    "map_key": r"(?<![A-Za-z0-9])AIza[0-9A-Za-z_-]{35}",
+    "payment_key": r"(?<![A-Za-z0-9])[rs]k_(?:live|test)_[0-9A-Za-z]{16,}+",
+    "web_token": r"(?<![A-Za-z0-9])eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+(?:\.[A-Za-z0-9_-]*+)?",
+    "assigned": r"(?<=[=:\"']|[=:]\s)(?<=(?i:password|passwd|pwd|secret|token|api[_-]?key)[\"']?\s{0,2}[:=]\s{0,2}[\"']?)[^\s\"'<>]{8,}+",
+    "mixed": r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{20,}+={0,2}",
+}
+
+# Words of the dictionary. Letters within them speak against a random string.
+WORDS = (
+    "about account after alpha apple article base before beta blue change check class client code color common company "
+    "config content copy count data date default delete design detail document domain draft drop dummy edit email empty "
+    "entry error event example false field file first float format from front global green group guide header hello help "
+    "here home host image import index info input insert item json label last left level library light limit line link "
+    "list local login main make manual master media member message model module month more name network news next node "
+    "note null number object open order other page param parent part pass path photo place point post price print "
+    "product project property public query read record release remove report request reset result right root sample save "
+    "schema score script search section select server service session setting simple size small sort source start state "
+    "status stream string style summary system table task team template test text that their theme there this time title "
+    "tool topic total trace track train type under union update upload user value version video view warning week which "
+    "white width window with word work world write xxxx year your"
+).split()
+# Words before or behind a candidate, by what they speak for.
+CREDENTIAL = "token|secret|passw|pwd|api.?key|access.?key|auth|bearer|credential|private|client.?id"
+DIGEST = "commit|sha-?\\d|md5|checksum|digest|hash|etag|revision|uuid|guid|blob|tree|build|integrity|order|invoice|isbn|tracking"
+PLACEHOLDER = "example|sample|dummy|placeholder|your|changeme|replace|fake|test"
+TEST_PATH = "(?i)(^|[/._-])(tests?|spec|fixtures?|mocks?|examples?|samples?|docs?|demo)([/._-]|$)"
+# Frequent pairs of letters.
+PAIRS = "th|he|in|er|an|re|on|at|en|nd|ti|es|or|te|of|ed|is|it|al|ar|st|to|nt|ng|se|ha|as|ou|io|le|ve|co|me|de|hi|ri|ro|ic|ne|ea|ra|ce"
+
+FEATURES = [
+    "size", "digits", "uppers", "lowers", "others", "transitions", "pairs", "repeats", "runs", "distinct",
+    "hex", "number", "coverage", "credential", "assigned", "quoted", "digest", "placeholder", "test_path",
+]
+
+
+def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str = "source") -> DataFrame:
+    """Per candidate: ``doc_id``, ``path``, ``rule``, ``start``, ``length`` (characters), ``value``, ``before``, ``after``."""
+    text = F.translate(F.coalesce(F.col(text_col).cast("string"), F.lit("")), OPEN + CLOSE, "  ")
+    marked = F.regexp_replace(text, "|".join(f"(?:{p})" for p in PATTERNS.values()), f"{OPEN}$0{CLOSE}")
+    rows = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"), F.col(path_col).cast("string").alias("path"), marked.alias("marked")
+    ).where(F.contains("marked", F.lit(OPEN)))
+    rows = rows.select("doc_id", "path", F.monotonically_increasing_id().alias("row"), F.split("marked", OPEN).alias("parts"))
+    part = F.col("part")
+    rows = rows.select("doc_id", "path", "row", F.posexplode("parts").alias("n", "part"))
+    value = F.substring_index(part, CLOSE, 1)
+    rest = F.substring_index(part, CLOSE, -1)
+    rows = rows.select(
+        "doc_id", "path", "row", "n",
+        F.when(F.col("n") > 0, value).alias("value"), F.length(rest).alias("rest"),
+        F.right(rest, F.lit(BEFORE)).alias("tail"), F.left(rest, F.lit(AFTER)).alias("after"),
+    )
+    own = Window.partitionBy("row").orderBy("n")
+    ahead = F.sum(F.coalesce(F.length("value"), F.lit(0)) + F.col("rest")).over(own) - F.col("rest") - F.length("value")
+    rows = rows.select(
+        "doc_id", "path", ahead.cast("long").alias("start"), F.length("value").alias("length"), "value",
+        F.lag("tail").over(own).alias("before"), "after",
+    ).where(F.col("value").isNotNull())
+    rule = F.lit("assigned")
+    for name, pattern in reversed(PATTERNS.items()):
+        if name != "assigned":
+            rule = F.when(F.col("value").rlike(f"^(?:{pattern})$"), name).otherwise(rule)
+    return rows.withColumn("rule", rule)
+
+
+def _count(text: Column, pattern: str) -> Column:
+    return F.regexp_count(text, F.lit(pattern)).cast("double")
+
+
+def with_features(found: DataFrame) -> DataFrame:
+    """The features of candidates (``value``, ``before``, ``after``, ``path``) as columns."""
+    value, low = F.col("value"), F.lower("value")
+    before, after = F.lower(F.coalesce("before", F.lit(""))), F.lower(F.coalesce("after", F.lit("")))
+    size = F.greatest(F.length("value"), F.lit(1)).cast("double")
+    kind = F.regexp_replace(value, "[a-z]", "a")
+    kind = F.regexp_replace(F.regexp_replace(F.regexp_replace(kind, "[A-Z]", "A"), "[0-9]", "0"), "[^aA0]", "_")
+    letters = F.regexp_replace(low, "[^a-z]", "")
+    covered = F.length(letters) - F.length(F.regexp_replace(low, f"{'|'.join(sorted(WORDS, key=len, reverse=True))}|[^a-z]", ""))
+    yes = lambda c: c.cast("double")
+    return found.withColumns({
+        "size": size,
+        "digits": _count(value, "[0-9]") / size, "uppers": _count(value, "[A-Z]") / size,
+        "lowers": _count(value, "[a-z]") / size, "others": _count(value, "[^A-Za-z0-9]") / size,
+        "transitions": _count(kind, "a(?=[A0_])|A(?=[a0_])|0(?=[aA_])|_(?=[aA0])") / size,
+        "pairs": _count(low, f"(?=(?:{PAIRS}))") / size,
+        "repeats": _count(value, "(.)(?=\\1)") / size,
+        "runs": _count(low, "(?=01|12|23|34|45|56|67|78|89|ab|bc|cd|de|ef|fg|gh|hi|ij|jk|kl|lm|mn|no)") / size,
+        "distinct": F.size(F.array_distinct(F.split(value, ""))) / F.least(size, F.lit(64.0)),
+        "hex": yes(low.rlike("^[0-9a-f]+$")), "number": yes(value.rlike("^[0-9_+/.-]+=*$")),
+        "coverage": covered / F.greatest(F.length(letters), F.lit(1)),
+        "credential": yes(F.regexp_like(F.right(before, F.lit(32)), F.lit(CREDENTIAL))),
+        "assigned": yes(F.regexp_like(before, F.lit("[=:]\\s{0,2}[\"']?$"))),
+        "quoted": yes(F.regexp_like(before, F.lit("[\"']$")) & F.regexp_like(after, F.lit("^[\"']"))),
+        "digest": yes(F.regexp_like(before, F.lit(f"({DIGEST})\\W{{0,4}}(\\w+\\W{{1,4}})?$"))),
+        "placeholder": yes(F.regexp_like(F.concat(before, low), F.lit(PLACEHOLDER))),
+        "test_path": yes(F.regexp_like(F.coalesce("path", F.lit("")), F.lit(TEST_PATH))),
+    })
+
+
+def labelled_findings(spark: SparkSession, n: int = 4800) -> DataFrame:
+    """``n`` labelled findings to start with, derived from hashes of the numbers below ``n``.
+
+    Columns as those of ``candidates`` that the forest sees, and ``label`` (1: a secret). They show
+    what reviews of findings show: random strings beside words of credentials are secrets; digests,
+    identifiers, numbers, placeholders, names put together and values in test files are not. A user
+    with reviewed findings of their own passes those instead.
+    """
+    x = spark.range(n).select("id", F.sha2(F.col("id").cast("string").cast("binary"), 256).alias("h"))
+    x = x.withColumn("b", F.translate(F.base64(F.unhex("h")), "+/=", "xYz"))
+    h, b = F.col("h"), F.col("b")
+    kind = F.col("id") % 24
+    pick = lambda words, by: F.element_at(
+        F.array(*[F.lit(w) for w in words]), (F.xxhash64("id", F.lit(by)) % len(words) + len(words)).cast("int") % len(words) + 1
+    )
+    some = pick(WORDS, 1)
+    between = pick(["_", "-", "/", ""], 2)
+    ending = F.substring(F.conv(F.left(h, F.lit(4)), 16, 10), 1, 4)
+    joined = F.concat(pick(WORDS, 3), between, pick(WORDS, 4), between, pick(WORDS, 5), between, ending)
+    name = pick(["token", "secret", "password", "api_key", "access_key", "auth_token", "client_secret", "TOKEN"], 6)
+    sign = pick([' = "', '="', ': "', ":", "=", " = '"], 7)
+    told = F.concat(some, F.lit(" "), name, sign)
+    digest = F.concat(some, F.lit(" "), pick(["commit", "sha1", "md5", "checksum", "digest", "revision", "build", "etag"], 8), pick([" ", ": ", "=", ' "'], 9))
+    plain = F.concat(pick(WORDS, 10), F.lit(" "), pick(WORDS, 11), F.lit(" "))
+    assigned = F.concat(some, F.lit(" "), pick(["id", "name", "file", "label", "page", "value"], 12), pick([" = \"", "=", ": "], 13))
+    size = (F.xxhash64("id", F.lit(14)) % 5 + 5) % 5
+    hexes = F.substring(h, F.lit(1), F.element_at(F.array(*[F.lit(v) for v in (24, 32, 40, 48, 64)]), size.cast("int") + 1))
+    mixed = F.substring(b, F.lit(1), F.element_at(F.array(*[F.lit(v) for v in (16, 20, 24, 32, 40)]), size.cast("int") + 1))
+    uuid = F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.substring(h, 13, 4), F.substring(h, 17, 4), F.substring(h, 21, 12))
+    number = F.substring(F.regexp_replace(h, "[a-f]", ""), 1, 22)
+    holder = pick(["YOUR_API_KEY_HERE_1", "xxxxxxxxxxxxxxxxxxxx1", "0123456789abcdef0123456789", "changeme_example_123", "example-token-000000000000",
+                   "replace_with_your_secret_1", "1234567890123456789012345", "aaaaaaaaaaaaaaaaaaaaaaaa1"], 15)
+    # Value, text before it, path and label of each kind; the first twelve are secrets.
+    kinds = [
+        (hexes, told, "src", 1), (hexes, told, "app", 1), (F.upper(hexes), told, "src", 1), (F.upper(hexes), F.upper(told), "etc", 1),
+        (mixed, told, "src", 1), (mixed, told, "conf", 1), (F.substring(b, 1, 12), told, "src", 1), (F.concat(F.lit("ghp_"), F.substring(b, 1, 36)), plain, "src", 1),
+        (F.concat(F.lit("AKIA"), F.upper(F.substring(b, 1, 16))), plain, "src", 1), (F.concat(F.lit("sk_live_"), F.substring(b, 1, 24)), plain, "app", 1),
+        (F.concat(F.lit("eyJ"), F.substring(b, 1, 16), F.lit("."), F.substring(b, 17, 20)), plain, "app", 1),
+        (F.substring(b, 1, 40), F.concat(F.lit("authorization: bearer "), F.lit("")), "src", 1),
+        (hexes, digest, "src", 0), (F.substring(h, 1, 40), digest, "app", 0), (uuid, assigned, "src", 0), (uuid, plain, "src", 0),
+        (joined, told, "src", 0), (joined, plain, "src", 0), (joined, assigned, "app", 0), (holder, told, "src", 0),
+        (holder, told, "conf", 0), (number, plain, "src", 0), (hexes, told, "tests/fixtures", 0), (mixed, told, "docs/examples", 0),
+    ]
+    columns = {"value": F.lit(""), "before": F.lit(""), "path": F.lit(""), "label": F.lit(0)}
+    for at, (value, before, path, label) in enumerate(kinds):
+        for key, one in zip(columns, (value, before, F.lit(path), F.lit(label)), strict=True):
+            columns[key] = F.when(kind == at, one).otherwise(columns[key])
+    quote = F.when(F.col("before").rlike("[\"']$"), F.right("before", F.lit(1))).otherwise("")
+    return x.select(*(c.alias(k) for k, c in columns.items()), some.alias("some")).select(
+        "value", "before", F.concat(quote, F.lit(" "), "some").alias("after"), "path", "label"
+    )
+
+
+def fit_forest(findings: DataFrame, trees: int = 24, depth: int = 7, seed: int = 2) -> PipelineModel:
+    """A random forest from labelled findings (``value``, ``before``, ``after``, ``path``, ``label``)."""
+    rows = with_features(findings).select(*FEATURES, F.col("label").cast("double").alias("label"))
+    rows = stored(rows, "labelled-findings")
+    assembler = VectorAssembler(inputCols=FEATURES, outputCol="vector")
+    forest = RandomForestClassifier(
+        featuresCol="vector", labelCol="label", numTrees=trees, maxDepth=depth, seed=seed, featureSubsetStrategy="onethird"
+    )
+    return PipelineModel([assembler, forest.fit(assembler.transform(rows))])
+
+
+def scan_secrets(
+    docs: DataFrame, model: PipelineModel | None = None, threshold: float = 0.5,
+    id_col: str = "doc_id", text_col: str = "text", path_col: str = "source",
+) -> DataFrame:
+    """Per candidate: place, rule, value, ``score`` of the forest and ``secret`` (score from ``threshold`` on).
+
+    Whole texts are scanned; null and empty ones have no candidates. ``start`` counts characters from
+    0. Rows with null or repeated ids are scanned one by one; a null path counts as empty. Without a
+    model, one is fitted on ``labelled_findings``.
+    """
+    model = model or fit_forest(labelled_findings(docs.sparkSession))
+    scored = model.transform(with_features(candidates(docs, id_col, text_col, path_col)))
+    score = vector_to_array("probability")[1]
+    return scored.select(
+        "doc_id", "path", "rule", "start", F.col("length").cast("long").alias("length"), "value",
+        score.alias("score"), (score >= threshold).alias("secret"),
+    )
+
+
+def mask_secrets(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with every secret that ``found`` has for the document replaced by ``MASK``.
+
+    ``found``: the result of ``scan_secrets``. The columns stay as they are; documents without
+    secrets, with a null text or a null id are not changed.
+    """
+    values = (
+        found.where("secret and doc_id is not null").groupBy(F.col("doc_id").alias("_id"))
+        .agg(F.sort_array(F.collect_set("value"), asc=False).alias("_values"))
+    )
+    # The longest first, so that no secret hides within another.
+    values = values.withColumn("_values", F.expr("array_sort(_values, (x, y) -> length(y) - length(x))"))
+    rows = docs.join(values, F.col(id_col).cast("long") == F.col("_id"), "left")
+    masked = F.aggregate("_values", F.col(text_col).cast("string"), lambda t, v: F.replace(t, v, F.lit(MASK)))
+    text = F.when(F.col("_values").isNotNull(), masked).otherwise(F.col(text_col))
+    return rows.select(*(text.alias(c) if c == text_col else F.col(c) for c in docs.columns))
+
+
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidates for secrets in all ``documents``, with the decision of the forest."""
+    return scan_secrets(spark.read.parquet(f"{sf_dir}/documents.parquet"))
