@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyline.llm.graph import connected_components
@@ -131,6 +131,55 @@ def _confirmed(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, percent: in
     return stored(rows.select("a", "b", "ta", "tb").mapInArrow(_linked(percent), "a long, b long").distinct(), "links")
 
 
+def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for doc_id, found in zip(batch.column(0).to_pylist(), shingle_sets(batch.column(1)), strict=True):
+            ids = pa.array(np.full(len(found), doc_id), pa.int64())
+            yield pa.RecordBatch.from_arrays([ids, pa.array(found.view(np.int64))], ["doc_id", "shingle"])
+
+
+def _held(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The shingles that more than one document of the table has, and how many each document has alone.
+
+    ``doc_id``, ``shingle``, ``held`` (number of documents that have it); ``doc_id``, ``alone``.
+    """
+    rows = stored(texts.mapInArrow(_exploded, "doc_id long, shingle long"), "shingles")
+    counts = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("held"), F.min("doc_id").alias("doc_id"))
+    counts = stored(counts, "held")
+    alone = counts.where("held = 1").groupBy("doc_id").agg(F.count(F.lit(1)).alias("alone"))
+    return rows.join(counts.where("held > 1").select("shingle", "held"), "shingle"), stored(alone, "alone")
+
+
+def _rare_pairs(held: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components that can reach the threshold, found by their rarest shingles.
+
+    Of two linked sets, the smaller one has all but a ``1 - 2p/(100+p)`` part in common with the other,
+    the larger all but a ``1 - p/100`` part. So, with the shingles ordered by rarity, the first that
+    they share is among the first so many of each; those that a document has alone come before all.
+    """
+    n = F.col("n_shingles")
+    order = Window.partitionBy("doc_id").orderBy("held", "shingle")
+    rows = held.join(nodes, "doc_id")
+    rows = rows.withColumn("at", F.row_number().over(order) + F.col("alone"))
+    rows = rows.where(F.col("at") <= n - F.ceil(n * percent / 100) + 1)
+    few = rows.where(F.col("at") <= n - F.ceil(n * 2 * percent / (100 + percent)) + 1)
+    cols = ("doc_id", "c", "n_shingles", "sketch", "shared", "at")
+    x = few.select("shingle", *(F.col(c).alias(f"{c}_x") for c in cols))
+    y = rows.select("shingle", *(F.col(c).alias(f"{c}_y") for c in cols))
+    both = percent * (F.col("n_shingles_x") + F.col("n_shingles_y"))
+    # Nothing rarer is in common, so no more than what follows can be.
+    rest = F.least(F.col("n_shingles_x") - F.col("at_x"), F.col("n_shingles_y") - F.col("at_y")) + 1
+    size_x, size_y = F.struct("n_shingles_x", "doc_id_x"), F.struct("n_shingles_y", "doc_id_y")
+    pairs = x.join(
+        y,
+        (x["shingle"] == y["shingle"]) & (size_x < size_y) & (F.col("c_x") != F.col("c_y"))
+        & ((100 + percent) * F.least("shared_x", "shared_y", rest) >= both)
+        & (100 * F.col("n_shingles_x") >= percent * F.col("n_shingles_y"))
+        & (estimate("sketch_x", "sketch_y") >= percent / 100 - SLACK),
+    )
+    return pairs.select(F.least("doc_id_x", "doc_id_y").alias("a"), F.greatest("doc_id_x", "doc_id_y").alias("b"))
+
+
 def _with_components(buckets: DataFrame, links: DataFrame) -> DataFrame:
     """Buckets that still hold more than one component, with the component of each member."""
     component = connected_components(links)
@@ -151,9 +200,10 @@ def minhash_components(
     (as 64-bit hashes). Equal sets are one node from the start, so copies never meet as pairs.
 
     Within a bucket no list of all pairs is made. First every member is held against the least
-    one. Where that leaves more than one component, members are held against another member,
-    chosen by band. Only the pairs between components that are then still apart are looked at
-    one by one, so the result is that of all candidate pairs.
+    one. Where that leaves more than one component, members are held against the one that has
+    the smallest share of shingles of its own. What is then still apart is joined on its rarest
+    shingles, which every linked pair must share, between components only. So the result is that
+    of all candidate pairs.
 
     Null or empty texts, and texts without words, have no shingles and are linked with nothing.
     Rows with the same ``doc_id`` count as one document. A row with a null id is returned unlinked,
@@ -161,8 +211,8 @@ def minhash_components(
     empty result.
     """
     spark = docs.sparkSession
-    rows = stored(signatures(docs, id_col, text_col), "signatures")
-    named = rows.where("n_shingles > 0 and doc_id is not null")
+    signed = stored(signatures(docs, id_col, text_col), "signatures")
+    named = signed.where("n_shingles > 0 and doc_id is not null")
     classes = stored(
         named.groupBy("digest").agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("n")), "classes"
     )
@@ -181,27 +231,24 @@ def minhash_components(
     links = confirm(buckets.select(F.col("first").alias("a"), F.col("doc_id").alias("b")))
 
     apart = stored(_with_components(buckets, links), "apart")
-    other = apart.groupBy("key").agg(F.min_by(F.struct("doc_id", "c"), F.xxhash64("key", "doc_id")).alias("o"))
-    pairs = apart.join(other, "key").where("c != o.c")
+    # A pair has no more shingles in common than either has with all the others that are left.
+    held, alone = _held(texts.join(apart.select("doc_id").distinct(), "doc_id", "left_semi"))
+    nodes = nodes.join(alone, "doc_id", "left").fillna(0, ["alone"])
+    nodes = nodes.select("doc_id", "n_shingles", "sketch", "alone", (F.col("n_shingles") - F.col("alone")).alias("shared"))
+    nodes = stored(nodes, "nodes")
+    rows = apart.join(nodes.select("doc_id", (F.col("alone") / F.col("n_shingles")).alias("own")), "doc_id")
+    centre = rows.groupBy("key").agg(F.min_by(F.struct("doc_id", "c"), F.struct("own", "doc_id")).alias("o"))
+    pairs = apart.join(centre, "key").where("c != o.c")
     links = links.union(confirm(pairs.select(F.least("o.doc_id", "doc_id").alias("a"), F.greatest("o.doc_id", "doc_id").alias("b"))))
 
-    apart = stored(_with_components(apart.select("key", "doc_id"), links), "apart")
-    apart = apart.join(nodes.select("doc_id", "n_shingles", "sketch"), "doc_id")
-    x = apart.select("key", F.col("doc_id").alias("a"), F.col("c").alias("ca"), F.col("n_shingles").alias("na"), F.col("sketch").alias("sa"))
-    y = apart.select("key", F.col("doc_id").alias("b"), F.col("c").alias("cb"), F.col("n_shingles").alias("nb"), F.col("sketch").alias("sb"))
-    pairs = x.join(
-        y,
-        (x["key"] == y["key"]) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))
-        & (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
-        & (estimate("sa", "sb") >= percent / 100 - SLACK),
-    ).select("a", "b")
-    links = links.union(confirm(pairs))
+    left = _with_components(apart.select("key", "doc_id"), links).select("doc_id", "c").distinct()
+    links = links.union(confirm(_rare_pairs(held, nodes.join(stored(left, "left"), "doc_id"), percent)))
 
     component = connected_components(links).withColumnRenamed("id", "node")
     of_class = classes.join(component, "node", "left").select(
         "digest", F.coalesce("component_id", "node").alias("component_id")
     )
-    out = rows.select("doc_id", "n_shingles", "digest").join(of_class, "digest", "left")
+    out = signed.select("doc_id", "n_shingles", "digest").join(of_class, "digest", "left")
     component_id = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return out.select(
         "doc_id", "n_shingles", component_id.alias("component_id"),
