@@ -31,6 +31,7 @@ GROUP = 1024
 #: Contexts sorted in one task.
 CONTEXTS_PER_TASK = 8_000
 
+RESULTS = ("n_bytes", "n_removed", "spans", "kept", "kept_sha256")
 ROWS = "gram long, context long, did long, rid long, place long, front int, windows int"
 
 
@@ -370,7 +371,9 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def remove_repeats(
     docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """The columns of ``docs`` and ``n_bytes``, ``n_removed``, ``spans``, ``kept``, ``kept_sha256``.
+    """The columns of ``docs``, and ``n_bytes``, ``n_removed``, ``spans``, ``kept``, ``kept_sha256``.
+
+    A column of ``docs`` with one of these names gives way to the result.
 
     Texts are taken as UTF-8 bytes, null as empty. A byte is removed if it lies in a string of
     ``length`` bytes that starts at another place too, in the same document or in another; places may
@@ -378,7 +381,7 @@ def remove_repeats(
     ``end``). ``kept``: the remaining bytes, which need not be whole characters; null where nothing
     was removed. Texts shorter than ``length`` are never touched. Repeated rows are places of their
     own, so copies of a long enough text go altogether. Rows with a null id are treated like all
-    others. Other columns are carried along; the names added here must be free.
+    others.
 
     Steps: anchors of all texts; those that occur once drop out by a count. An anchor whose whole
     context occurs more than once has only repeated windows. What is left are anchors at the edges
@@ -437,14 +440,14 @@ def remove_repeats(
         _cut, "did long, rid long, spans array<struct<start: long, end: long>>, kept binary, kept_sha256 string"
     ).withColumnsRenamed({"did": "_did", "rid": "_rid"})
     # Size and digest are taken before the join, so that it need not carry texts nobody asks for.
-    own = docs.withColumns({
+    own = docs.select(*(c for c in docs.columns if c not in RESULTS)).withColumns({
         "_own_did": own_key[0], "_own_rid": own_key[1],
         "n_bytes": F.octet_length(text).cast("long"), "_sha256": F.sha2(text.cast("binary"), 256),
     })
     out = own.join(cut, (F.col("_own_did") == F.col("_did")) & (F.col("_own_rid") == F.col("_rid")), "left")
     spans = F.coalesce("spans", F.array().cast("array<struct<start: long, end: long>>"))
     return out.select(
-        *docs.columns, "n_bytes",
+        *(c for c in docs.columns if c not in RESULTS), "n_bytes",
         F.aggregate(spans, F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"]).alias("n_removed"),
         spans.alias("spans"), "kept", F.coalesce("kept_sha256", "_sha256").alias("kept_sha256"),
     )

@@ -118,12 +118,12 @@ def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP8_SQL = """
 WITH e AS (
-  SELECT vec_id, list_transform(embedding, x -> CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
   WHERE embedding IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
 s AS (
   SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
-         CAST(list_sum(list_transform(list_zip(q.v, c.v), z -> z[1] * z[2])) AS BIGINT) AS score
+         CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2])) AS BIGINT) AS score
   FROM e q JOIN e c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 20 = 0),
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20"""

@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyline.llm.texts import NO_LETTER, lower_hashes, mix, small_batches, span_hash, text_blocks, word_spans
 from tallyline.session import stored
@@ -214,31 +215,34 @@ def _scored(model: Model) -> Callable:
             if model.weights is None:
                 scores.append(np.zeros(batch.num_rows))
             else:
-                for places, at in _features(batch.column(batch.num_columns - 1)):
+                for places, at in _features(batch.column(1)):
                     sums = np.concatenate([[0.0], np.cumsum(model.weights[places].sum(axis=1))])
                     z = (sums[at[1:]] - sums[at[:-1]]) / np.sqrt(np.maximum(at[1:] - at[:-1], 1)) + model.bias
                     scores.append(1 / (1 + np.exp(-z)))
-            columns = [*batch.columns[:-1], pa.array(np.concatenate(scores), pa.float64())]
-            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:-1], "score"])
+            columns = [*batch.columns, pa.array(np.concatenate(scores), pa.float64())]
+            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "score"])
 
     return run
 
 
 def score_toxicity(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
-    """Per document: ``doc_id``, ``score`` (0 to 1) and ``predicted`` (1 from ``threshold`` on).
+    """Per document: ``row`` (its columns but the text), ``text``, ``score`` (0 to 1), ``predicted`` (1 from ``threshold`` on).
 
     Only the words of the whole text count. Null, empty and wordless texts get the score of the bias
-    alone; a model without weights scores all as 0. Null and repeated ids are scored row by row.
+    alone; a model without weights scores all as 0. Null and repeated ids are scored row by row. The
+    columns of a document are kept apart in ``row``, so none can clash with the results.
     """
     small_batches(docs.sparkSession)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    scored = rows.mapInArrow(_scored(model), "doc_id long, score double")
+    others = F.struct(*(c for c in docs.columns if c != "text")).alias("row")
+    rows = docs.select(others, F.col("text").cast("string").alias("text"))
+    scored = rows.mapInArrow(_scored(model), T.StructType([*rows.schema, T.StructField("score", T.DoubleType())]))
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, fit: Fit | None = None) -> DataFrame:
     """Fit on ``docs`` and ``labels`` and score all of ``docs``, with ``held_out`` per document."""
-    scored = score_toxicity(docs, fit_toxicity(docs, labels, fit), threshold)
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    scored = score_toxicity(own, fit_toxicity(own, labels, fit), threshold).select("row.doc_id", "score", "predicted")
     return scored.select("doc_id", F.coalesce(held_out("doc_id"), F.lit(False)).alias("held_out"), "score", "predicted")
 
 
