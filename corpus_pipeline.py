@@ -2,20 +2,69 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyline.llm.minhash import minhash_components
+from tallyline.llm.packing import default_tokenizer, pack_documents
+from tallyline.llm.secrets import mask_secrets, scan_secrets
+from tallyline.llm.suffixes import remove_repeats
+from tallyline.llm.toxicity import fit_toxicity, score_toxicity
 from tallyline.session import stored
 
 
+def _own(docs: DataFrame, text: Column | str = "text", n_chars: Column | None = None) -> list[Column]:
+    """The columns of ``docs`` out of ``row`` (all but the text) and a text."""
+    found = {"text": F.col(text) if isinstance(text, str) else text}
+    if n_chars is not None:
+        found["n_chars"] = n_chars
+    return [(found[c] if c in found else F.col("row")[c]).alias(c) for c in docs.columns]
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop the documents that are predicted to be toxic."""
+    model = fit_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return score_toxicity(docs, model).where("predicted = 0").select(*_own(docs))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the least ``doc_id`` of each near-duplicate component."""
-    kept = minhash_components(docs).where("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").select(docs.columns)
+    """Keep the documents with the least ``doc_id`` of each near-duplicate component."""
+    gone = minhash_components(docs).where("not kept").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+
+
+def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cut repeated strings of 400 bytes out of the texts; a text that was nothing else becomes empty.
+
+    Where a cut leaves a part of a character, that part goes too (and with it any U+FFFD of that
+    text). ``n_chars`` follows the text.
+    """
+    rows = docs.select("doc_id", "text", F.struct(*(c for c in docs.columns if c != "text")).alias("row"))
+    kept = F.col("kept").cast("string")
+    rest = F.when(F.is_valid_utf8(kept), kept).otherwise(F.replace(F.make_valid_utf8(kept), F.lit("\ufffd"), F.lit("")))
+    cut = remove_repeats(rows).select("row", F.when(F.col("kept").isNull(), F.col("text")).otherwise(rest).alias("text"))
+    return cut.select(*_own(docs, n_chars=F.coalesce(F.length("text").cast("long"), F.col("row.n_chars"))))
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Mask the secrets in the texts; no document goes. ``n_chars`` follows the text."""
+    masked = mask_secrets(docs, scan_secrets(docs))
+    n_chars = F.coalesce(F.length("text").cast("long"), F.col("n_chars"))
+    return masked.withColumn("n_chars", n_chars).select(docs.columns)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pack the documents into sequences of at most 2048 tokens."""
+    return pack_documents(docs, *default_tokenizer())
 
 
-STAGES = [("minhash_near_dedup", near_duplicates)]
+STAGES = [
+    ("toxicity", toxicity),
+    ("minhash_near_dedup", near_duplicates),
+    ("suffix_array_dedup", repeats),
+    ("secret_scan", secrets),
+    ("best_fit_packing", packing),
+]
 
 #: The stages cannot be said in SQL; tests hold them against brute force.
 ORACLE_SQL = None
