@@ -6,6 +6,7 @@ from tallyline.llm.archives import op9_warc_from_arc
 from tallyline.llm.minhash import op4_minhash_near_dedup
 from tallyline.llm.packing import op1_best_fit_packing
 from tallyline.llm.pages import op5_main_text
+from tallyline.llm.pieces import op7_sampled_pieces
 from tallyline.llm.polytope import op3_polytope_near_dedup
 from tallyline.llm.secrets import op2_secret_scan
 from tallyline.llm.suffixes import op6_suffix_array_dedup
@@ -19,6 +20,7 @@ QUERIES = {
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
     "op5_main_text": op5_main_text,
     "op6_suffix_array_dedup": op6_suffix_array_dedup,
+    "op7_sampled_pieces": op7_sampled_pieces,
     "op8_exact_top_k": op8_exact_top_k,
     "op9_warc_from_arc": op9_warc_from_arc,
     "op10_toxicity": op10_toxicity,
