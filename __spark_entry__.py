@@ -21,9 +21,10 @@ from tallyline.plans.totals import items_sold, items_sold_live  # noqa: E402
 from tallyline.schema import CSV_STREAM_ONLY_EVENTS  # noqa: E402
 from tallyline.session import stored, work_dir  # noqa: E402
 from tallyline.sources import purchases, read_archive_json, read_csv_view  # noqa: E402
+from tallyline.sources.tables import EVENTS_PER_UNIT  # noqa: E402
 from tallyline.streaming.control import encode_restart, restart_signals  # noqa: E402
 
-RUN_CUTS = ("2024-01-11", "2024-01-21", None)
+RUN_CUTS = ("000000000001", "000000000010", None)
 CAPACITY = 40
 REVENUE_FLOOR = 5000
 
@@ -56,7 +57,7 @@ def count_per_item_batch(spark, d):
 
 def count_per_item_stream(spark, d):
     _events(spark, d)
-    return items_sold_live(spark, flows.payloads(spark, d, streaming=True))
+    return items_sold_live(spark, flows.topic(spark, d, work_dir(spark, "topic")))
 
 
 def decoded_count(spark, d):
@@ -85,7 +86,7 @@ def encode_payload(spark, d):
 
 def malformed_rejects(spark, d):
     text = F.col("value")
-    # Each event type but one gets its own kind of damage.
+    # The event types of the table and the labels below. Each event type but one gets its own kind of damage.
     broken = (
         F.when(F.col("item") == "error", F.substring(text, F.lit(1), F.length(text) - 1))
         .when(F.col("item") == "signup", F.regexp_replace(text, '"item":"signup",', ""))
@@ -144,12 +145,50 @@ def fan_out(spark, d):
 def control_signals(spark, d):
     events = _events(spark, d)
     runs = events.select(
-        F.regexp_replace("unit", "-", "").cast("bigint").alias("run_id")
+        F.col("unit").cast("bigint").alias("run_id")
     ).distinct()
     topic = encode(events).unionByName(encode_restart(runs))
     return restart_signals(topic)
 
 
+def latest_start(spark, d):
+    _events(spark, d)
+    return flows.latest_start(spark, d)
+
+
+def reader_agreement(spark, d):
+    text = F.col("value")
+    # Lines that readers may take in different ways: arrays, and a field that occurs twice.
+    odd = (
+        F.when(F.col("item") == "error", F.concat(F.lit("["), text, F.lit("]")))
+        .when(F.col("item") == "signup", F.concat(F.lit("["), text, F.lit(","), text, F.lit("]")))
+        .when(F.col("item") == "click", F.regexp_replace(text, "^[{]", '{"item":"",'))
+        .otherwise(text)
+    )
+    lines = encode(_events(spark, d), keep=("item", "unit")).select(odd.alias("value"), "unit")
+    return flows.reader_agreement(spark, lines)
+
+
+def restart_on_message(spark, d):
+    _events(spark, d)
+    return flows.restarted_by_message(spark, d)
+
+
+def serving_null_units(spark, d):
+    _events(spark, d)
+    return flows.served_with_null_units(spark, d)
+
+
+def batch_sizes(spark, d):
+    _events(spark, d)
+    return flows.rows_per_batch(spark, d)
+
+
+def count_per_item_update(spark, d):
+    _events(spark, d)
+    return flows.updated_totals(spark, d)
+
+
 def latest_snapshot(spark, d):
     return latest_by_time(snapshot_history(_events(spark, d), "hour"))
 
@@ -231,6 +270,39 @@ def delay_series(spark, d):
     ))
 
 
+def interval_scan(spark, d):
+    events = _events(spark, d)
+    return _plain_time(ops.interval_sum(
+        snapshot_history(events, "day"), period_counts(events, "hour"), broadcast_bins=False
+    ))
+
+
+def interval_money(spark, d):
+    events = _events(spark, d)
+    prices = events.select("item", "time_stamp", "price")
+    forms = [
+        _money(ops.interval_sum(snapshot_history(events, "day"), prices, value="price", broadcast_bins=bins), "cumulated")
+        .withColumnRenamed("cumulated", name)
+        for name, bins in (("by_scan", False), ("by_bins", True))
+    ]
+    return _plain_time(forms[0].join(forms[1], ["item", "time_stamp"], "full"))
+
+
+def delay_null_items(spark, d):
+    lost = F.nullif("item", F.lit("error")).alias("item")
+    events = _hourly(_events(spark, d).select(lost, "time_stamp", "id"))
+    rows = ops.delay_series(events, stored(snapshot_history(events, "hour"), "history"))
+    return _plain_time(rows.select(
+        "item", "cumulated", "time_x", "time_y",
+        (micros_of("time_y") - micros_of("time_x")).alias("delay_us"),
+    ))
+
+
+def slice_overall(spark, d):
+    rows = _events(spark, d).select("item", "time_stamp", "id")
+    return _plain_time(ops.positional_slice(rows, [], ["time_stamp", "id"], 300, 1800))
+
+
 def timeline_union(spark, d):
     events = _events(spark, d).select("item", "time_stamp", "id")
     batch = stored(snapshot_history(events, "day"), "history")
@@ -289,6 +361,8 @@ QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     tie_mask, event_gap, snapshot_gap, positional_slice, row_position, interval_combined,
     interval_events, delay_series, timeline_union, enrich_catalogue, healthy_label,
     unprofitable_machines, top_machines, healthy_share, stockout_risk, silent_machines,
+    interval_scan, interval_money, delay_null_items, slice_overall, latest_start, reader_agreement,
+    restart_on_message, serving_null_units, batch_sizes, count_per_item_update,
 )
 
 
@@ -327,13 +401,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 # -- SQL -----------------------------------------------------------------------------------
 
-_P = """P AS (
+_P = f"""P AS (
   SELECT CAST(event_id AS VARCHAR) AS id, event_type AS item, user_id AS customer_id,
          CASE WHEN event_type IN ('purchase', 'view') THEN 'healthy' ELSE 'not_healthy' END AS healthy_food,
          CAST(value AS DECIMAL(18,2)) AS price,
          'SNACK--' || json_extract_string(props, '$.k') AS snack_automat_id,
-         ts AS time_stamp, strftime(ts, '%Y-%m-%d') AS unit
+         ts AS time_stamp, printf('%012d', event_id // {EVENTS_PER_UNIT}) AS unit
   FROM events)"""
+# The same where the items of one type are lost.
+_LOST = _P.replace("event_type AS item", "nullif(event_type, 'error') AS item")
 _COUNT = "SELECT event_type AS item, count(*) AS count FROM events GROUP BY 1"
 _ROW = "id, item, customer_id, healthy_food, CAST(price AS DOUBLE) AS price, snack_automat_id, time_stamp"
 _HOURS = """hours AS (
@@ -402,13 +478,35 @@ SELECT item, count(*) FILTER (unit = {open_unit}) AS count, CAST(1 AS BIGINT) AS
         "fan_out": """
 SELECT c.consumer AS consumer, (SELECT count(*) FROM events) AS rows
 FROM (VALUES ('archive'), ('validation'), ('live')) AS c(consumer)""",
-        "control_signals": "SELECT DISTINCT CAST(strftime(ts, '%Y%m%d') AS BIGINT) AS run_id FROM events",
+        "control_signals": f"SELECT DISTINCT event_id // {EVENTS_PER_UNIT} AS run_id FROM events",
         "latest_snapshot": _COUNT,
         "csv_view": f"WITH {_P} SELECT {_ROW} FROM P",
         "running_total": f"""WITH {_P}
 SELECT item, time_stamp, id, row_number() OVER (PARTITION BY item ORDER BY time_stamp, id) AS cumulated FROM P""",
         "running_total_overall": f"""WITH {_P}
 SELECT item, time_stamp, id, row_number() OVER (ORDER BY time_stamp, id) AS cumulated FROM P""",
+        "interval_scan": f"""WITH {_P}, {_history('day')}, {_HOURS}, {_SPANS}
+{_COMBINED.format(readings='hours')}""",
+        "interval_money": f"""WITH {_P}, {_history('day')}, {_SPANS}, S AS (
+SELECT spans.item AS item, e AS time_stamp, CAST(any_value(base) + coalesce(sum(r.price), 0) AS DOUBLE) AS by_scan
+FROM spans LEFT JOIN P r ON r.item = spans.item AND r.time_stamp >= s AND r.time_stamp < e
+GROUP BY spans.item, s, e)
+SELECT *, by_scan AS by_bins FROM S""",
+        "slice_overall": f"""WITH {_P}
+SELECT item, time_stamp, id FROM P QUALIFY row_number() OVER (ORDER BY time_stamp, id) BETWEEN 301 AND 1800""",
+        "latest_start": f"""WITH {_P}
+SELECT item, count(*) FILTER (CAST(unit AS BIGINT) % 3 <> 0) + count(*) FILTER (unit = (SELECT min(unit) FROM P)) AS count
+FROM P GROUP BY item""",
+        "reader_agreement": """
+SELECT r.reader AS reader, event_type AS item, count(*) AS count
+FROM events, (VALUES ('archive'), ('decoded'), ('live')) AS r(reader)
+WHERE event_type NOT IN ('error', 'signup') GROUP BY 1, 2""",
+        "restart_on_message": f"""WITH {_P}, {served}
+SELECT n.named AS named, e.epoch AS epoch, item, batch, real, batch + real AS total
+FROM served, (VALUES (true), (false)) AS n(named), (VALUES ('waiting'), ('active')) AS e(epoch)""",
+        "serving_null_units": "SELECT event_type AS item, count(*) AS batch, CAST(0 AS BIGINT) AS real, count(*) AS total FROM events GROUP BY 1",
+        "batch_sizes": f"WITH {_P} SELECT count(*) AS rows FROM P GROUP BY unit",
+        "count_per_item_update": _COUNT,
         "tie_spread": f"""WITH {_P}, H AS (SELECT item, date_trunc('hour', time_stamp) AS t, id FROM P)
 SELECT item, CAST(t AS TIMESTAMP)
          + to_milliseconds(row_number() OVER (PARTITION BY item, t ORDER BY id) - 1) AS time_stamp, id
@@ -441,6 +539,15 @@ X AS (SELECT item, cumulated,
 SELECT coalesce(X.item, y.item) AS item, coalesce(X.cumulated, y.count) AS cumulated, time_x,
        y.time_stamp AS time_y, date_diff('microsecond', time_x, y.time_stamp) AS delay_us
 FROM X FULL JOIN hour_history y ON y.item = X.item AND y.count = X.cumulated""",
+        "delay_null_items": f"""WITH {_LOST}, {_history('hour')},
+H AS (SELECT item, CAST(date_trunc('hour', time_stamp) AS TIMESTAMP) AS t, id FROM P),
+N AS (SELECT item, t, row_number() OVER (PARTITION BY item ORDER BY t, id) AS cumulated FROM H),
+X AS (SELECT item, cumulated,
+             t + to_milliseconds(cumulated - min(cumulated) OVER (PARTITION BY item, t)) AS time_x
+      FROM N)
+SELECT coalesce(X.item, y.item) AS item, coalesce(X.cumulated, y.count) AS cumulated, time_x,
+       y.time_stamp AS time_y, date_diff('microsecond', time_x, y.time_stamp) AS delay_us
+FROM X FULL JOIN hour_history y ON y.item IS NOT DISTINCT FROM X.item AND y.count = X.cumulated""",
         "timeline_union": f"""WITH {_P}, {_history('day')}, {_HOURS}, {_SPANS}
 SELECT item, time_stamp, row_number() OVER (PARTITION BY item ORDER BY time_stamp, id) AS cumulated,
        'all_data' AS category FROM P

@@ -15,7 +15,8 @@ def latest_snapshot(
 ) -> DataFrame:
     """Current count per key of a real-time view history.
 
-    Only one epoch counts, by default the newest. In complete mode its newest micro-batch holds every key seen,
+    Only one epoch counts, by default the newest. Where ``keys`` leave out the unit of a view that has
+    one, the counts of all units of a key are added up. In complete mode its newest micro-batch holds every key seen,
     and the zero rows of the reset stand in for the others, so two partitions are read. In
     update mode each key is taken from the last micro-batch that changed it.
     """
@@ -24,7 +25,11 @@ def latest_snapshot(
     if mode == "complete":
         last = current.agg(F.max("batch_id").alias("b")).scalar()
         current = current.filter((F.col("batch_id") == last) | (F.col("batch_id") == RESET_BATCH))
-    return current.groupBy(*keys).agg(F.max_by("count", "batch_id").alias("count"))
+    own = [*keys, "unit"] if "unit" in view.columns and "unit" not in keys else list(keys)
+    per_unit = current.groupBy(*own).agg(F.max_by("count", "batch_id").alias("count"))
+    if own == list(keys):
+        return per_unit
+    return per_unit.groupBy(*keys).agg(F.sum("count").cast("bigint").alias("count"))
 
 
 def latest_by_time(
@@ -34,16 +39,22 @@ def latest_by_time(
     return view.groupBy(*keys).agg(F.max_by(count, F.struct(ts, count)).alias(count))
 
 
+def without_units(rows: DataFrame, covered: DataFrame) -> DataFrame:
+    """The rows of units that ``covered`` does not list; null equals null. Works on streams too."""
+    listed = covered.select(F.col("unit").alias("_unit")).distinct()
+    return rows.join(listed, F.col("unit").eqNullSafe(F.col("_unit")), "left_anti")
+
+
 def serving_view(
     batch: DataFrame, realtime: DataFrame, covered: DataFrame, keys: Sequence[str] = ("item",)
 ) -> DataFrame:
     """Batch total plus the live counts of all units the batch run did not cover.
 
     ``batch`` has ``(keys, count)``, ``realtime`` ``(keys, unit, count)`` and ``covered`` the
-    units of that batch run.
+    units of that batch run. A null unit is a unit like any other.
     """
     live = (
-        realtime.join(covered.select("unit").distinct(), "unit", "left_anti")
+        without_units(realtime, covered)
         .groupBy(*keys).agg(F.sum("count").alias("real"))
     )
     done = batch.select(*keys, F.col("count").alias("batch"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MACHINE = "snack_automat_id"
@@ -42,7 +42,8 @@ def healthy_share(df: DataFrame) -> DataFrame:
     per_class = df.groupBy("healthy_food").agg(
         F.count(F.lit(1)).alias("sold"), F.sum("price").alias("revenue")
     )
-    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
+    # One row for each class; their sum is the number of all purchases.
+    total = F.sum("sold").over(Window.partitionBy(F.lit(0)))
     return per_class.withColumn("share", F.col("sold") / total)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.functions.time import micros_of, millis_interval
@@ -14,8 +14,6 @@ from tallyline.operators.ordered import (
 )
 from tallyline.session import stored
 
-# ``row_number() <= k`` is cut down before the shuffle up to this k (a Spark default).
-GROUP_LIMIT = 1000
 # Bounds of the broadcast form of ``interval_sum``.
 MAX_BROADCAST_INTERVALS = 100_000
 MAX_BROADCAST_BINS = 500_000
@@ -103,14 +101,11 @@ def positional_slice(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], lo: int, hi: int,
     max_group_rows: int | None = MAX_GROUP_ROWS,
 ) -> DataFrame:
-    """Rows at 0-based places ``lo`` up to but not with ``hi``, per key."""
-    if not keys:
-        return df.orderBy(*order).offset(lo).limit(hi - lo)
-    if hi <= GROUP_LIMIT:
-        # Spark keeps only the first ``hi`` rows per key and task before the shuffle.
-        window = Window.partitionBy(*keys).orderBy(*order)
-        numbered = df.withColumn("_n", F.row_number().over(window))
-        return numbered.filter((F.col("_n") > lo) & (F.col("_n") <= hi)).drop("_n")
+    """Rows at 0-based places ``lo`` up to but not with ``hi``, per key or, without keys, overall.
+
+    One way for all places and sizes: the rows are numbered by an ordered scan, so neither a hot key
+    nor a slice far behind the start comes together in one task.
+    """
     placed = row_position(df, keys, order, "_n", max_group_rows)
     return placed.filter((F.col("_n") >= lo) & (F.col("_n") < hi)).drop("_n")
 
@@ -174,15 +169,15 @@ def _sums_by_bins(spans, readings, keys, ts, value, width) -> DataFrame:
     )
 
 
-def _sums_by_scan(spans, readings, keys, ts, value, max_group_rows) -> DataFrame:
+def _sums_by_scan(spans, readings, keys, ts, value, max_group_rows, kind) -> DataFrame:
     # Starts and readings in one time order; each reading belongs to the newest start before it.
     # At equal times the starts come first, empty intervals before the one that holds rows.
     starts = spans.select(
         *keys, F.col("start").alias("_t"), F.lit(0).alias("_side"), F.col("end").alias("_e"),
-        F.struct("start", "end").alias("_span"), F.lit(None).cast("bigint").alias("_v"),
+        F.struct("start", "end").alias("_span"), F.lit(None).cast(kind).alias("_v"),
     )
     # Readings at one time share their interval, so they are added up before the sort.
-    reads = readings.groupBy(*keys, F.col(ts).alias("_t")).agg(F.sum(value).cast("bigint").alias("_v")).select(
+    reads = readings.groupBy(*keys, F.col(ts).alias("_t")).agg(F.sum(value).cast(kind).alias("_v")).select(
         *keys, "_t", F.lit(1).alias("_side"), F.lit(None).cast("timestamp").alias("_e"),
         F.lit(None).cast(starts.schema["_span"].dataType).alias("_span"), "_v",
     )
@@ -211,10 +206,13 @@ def interval_sum(
     The result stands at the end of the interval as ``(keys, time_stamp, cumulated)``; an
     interval without readings keeps its base. Few, evenly spread intervals are broadcast, binned
     by time, so readings are joined where they lie. Otherwise bounds and readings are brought
-    into one time order. ``broadcast_bins`` forces one of the two forms.
+    into one time order. ``broadcast_bins`` forces one of the two forms. Both add up in the type
+    that Spark gives the sum of the readings, so fractions are kept. Jobs that look at the bounds
+    run while the plan is made.
     """
+    kind = readings.agg(F.sum(value).alias("v")).schema["v"].dataType
     # The bounds are looked at several times below; kept, they are computed once.
-    kept = stored(bounds.select(*keys, ts, F.col(base).cast("bigint").alias("_base")), "bounds")
+    kept = stored(bounds.select(*keys, ts, F.col(base).alias("_base")), "bounds")
     spans = intervals(kept, keys, ts, max_group_rows, ("_base",))
     width = None if broadcast_bins is False else _bin_width(spans, keys)
     if broadcast_bins and width is None:
@@ -222,8 +220,8 @@ def interval_sum(
     if width is not None:
         sums = _sums_by_bins(spans, readings, keys, ts, value, width)
     else:
-        sums = _sums_by_scan(spans, readings, keys, ts, value, max_group_rows)
-    cumulated = (F.col("_base") + F.coalesce("_sum", F.lit(0))).cast("bigint")
+        sums = _sums_by_scan(spans, readings, keys, ts, value, max_group_rows, kind)
+    cumulated = F.col("_base") + F.coalesce(F.col("_sum").cast(kind), F.lit(0).cast(kind))
     return spans.join(sums, [*keys, "start", "end"], "left").select(
         *keys, F.col("end").alias(ts), cumulated.alias("cumulated")
     )
@@ -242,12 +240,11 @@ def delay_series(
 
     ``time_x`` is the event time with ties spread, ``time_y`` the snapshot time. Many snapshots
     may show the same count. The join is written as snapshots with their event (a left join,
-    whose skewed side adaptive execution can split) plus the events no snapshot shows. Events
-    without a key are left out, so that both parts can use one shuffle of the events.
+    whose skewed side adaptive execution can split) plus the events no snapshot shows. A null key
+    is a key like any other.
     """
-    keyed = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys], F.lit(True))
     placed = ordered_scan(
-        events.filter(keyed), keys, [ts, tie], max_group_rows,
+        events, keys, [ts, tie], max_group_rows,
         cumulated=running_sum(), _rank=position(group=[*keys, ts]),
     )
     purchases = placed.filter(F.col("cumulated").isNotNull()).select(
@@ -255,8 +252,15 @@ def delay_series(
     )
     shown = snapshots.select(*keys, F.col(count).cast("bigint").alias("cumulated"), F.col(ts).alias("time_y"))
     on = [*keys, "cumulated"]
-    seen = shown.join(purchases, on, "left").select(*on, "time_x", "time_y")
-    unseen = purchases.join(shown.select(*on).distinct(), on, "left_anti").select(
+
+    def alike(left: DataFrame, right: DataFrame) -> Column:
+        return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[f"_r_{c}"]) for c in on])
+
+    renamed = {c: f"_r_{c}" for c in on}
+    of_event = purchases.withColumnsRenamed(renamed)
+    seen = shown.join(of_event, alike(shown, of_event), "left").select(*on, "time_x", "time_y")
+    counts = shown.select(*on).distinct().withColumnsRenamed(renamed)
+    unseen = purchases.join(counts, alike(purchases, counts), "left_anti").select(
         *on, "time_x", F.lit(None).cast("timestamp").alias("time_y")
     )
     return seen.unionByName(unseen).withColumn("delay", F.col("time_y") - F.col("time_x"))

@@ -9,17 +9,18 @@ from pyspark.sql import functions as F
 
 from tallyline.functions.decode import decode_rows
 from tallyline.functions.encode import encode
-from tallyline.operators.counts import count_items
+from tallyline.operators.counts import count_by, count_items
 from tallyline.operators.merge import latest_snapshot
-from tallyline.plans.layers import run_batch_view
+from tallyline.plans.layers import run_batch_view, served_totals
 from tallyline.schema import BATCH_VIEW, EPOCH_TABLE, RAW_VIEW, REALTIME_VIEW
 from tallyline.session import work_dir
 from tallyline.sources.tables import purchases, stream_purchases
-from tallyline.sources.topics import read_events
+from tallyline.sources.topics import read_archive_json, read_events
 from tallyline.sources.views import ensure_view, read_view
-from tallyline.streaming.epochs import covered_units, rotate_epoch, uncovered
+from tallyline.streaming.control import emit_restart, on_restart
+from tallyline.streaming.epochs import activate_epoch, active_table, covered_units, rotate_epoch, uncovered
 from tallyline.streaming.queries import (
-    DRAIN, append_raw_view, archive, replay, run_until_ok, snapshot_stream, write_snapshot,
+    DRAIN, append_raw_view, archive, batch_sizes, publish, replay, run_until_ok, snapshot_stream, write_snapshot,
 )
 
 
@@ -29,6 +30,18 @@ def payloads(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataF
     return encode(events, keep=("unit",))
 
 
+def topic(spark: SparkSession, sf_dir: str, path: str, batches: int = 4) -> DataFrame:
+    """The table published as a file topic, one file for each unit, and read in about ``batches`` micro-batches."""
+    rows = payloads(spark, sf_dir)
+    publish(rows.repartition("unit"), path)
+    return read_events(spark, "text", path, streaming=True, options=few_files(rows, batches))
+
+
+def few_files(rows: DataFrame, batches: int) -> dict[str, str]:
+    units = rows.select("unit").distinct().count()
+    return {"maxFilesPerTrigger": str(max(1, -(-units // batches)))}
+
+
 @dataclass(frozen=True)
 class Layers:
     """Where the parts of one batch-plus-speed set-up lie."""
@@ -81,35 +94,34 @@ def epoch_change(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def recovered_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Live totals of a query whose first micro-batch fails after its write and is run again."""
+    """Live totals of a query whose second micro-batch fails after its write and is run again."""
     work = work_dir(spark, "recovery")
     write = write_snapshot(f"{work}/view", 0)
     failed = []
+    events = topic(spark, sf_dir, f"{work}/topic")
 
     def fail_once(batch: DataFrame, batch_id: int) -> None:
         write(batch, batch_id)
-        if not failed:
+        if batch_id == 1 and not failed:
             failed.append(batch_id)
             raise RuntimeError("lost after the write")
 
     run_until_ok(
-        lambda: snapshot_stream(
-            payloads(spark, sf_dir, streaming=True), f"{work}/view", f"{work}/checkpoint",
-            trigger=DRAIN, callback=fail_once,
-        ),
+        lambda: snapshot_stream(events, f"{work}/view", f"{work}/checkpoint", trigger=DRAIN, callback=fail_once),
         wait_s=0.1,
     )
     return latest_snapshot(read_view(spark, f"{work}/view", REALTIME_VIEW))
 
 
 def replayed_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Totals of the running live view beside those of a view rebuilt from the whole log."""
+    """Totals of a live view fed in several micro-batches beside those of one rebuilt from the whole log at once."""
     work = work_dir(spark, "replay")
     views = {}
+    first = topic(spark, sf_dir, f"{work}/topic")
+    again = read_events(spark, "text", f"{work}/topic", streaming=True)
+    snapshot_stream(first, f"{work}/first", f"{work}/first_checkpoint", trigger=DRAIN).awaitTermination()
+    replay(again, f"{work}/replayed", f"{work}/replayed_checkpoint").awaitTermination()
     for name in ("first", "replayed"):
-        replay(
-            payloads(spark, sf_dir, streaming=True), f"{work}/{name}", f"{work}/{name}_checkpoint"
-        ).awaitTermination()
         view = read_view(spark, f"{work}/{name}", REALTIME_VIEW)
         views[name] = latest_snapshot(view).withColumnRenamed("count", name)
     return views["first"].join(views["replayed"], "item", "full")
@@ -172,3 +184,113 @@ def decoded_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.from_json(F.col("value"), "item STRING").getField("item").alias("item")
     )
     return count_items(rows)
+
+
+def latest_start(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a stream that starts at the end of a topic counts, stopped and started again while the topic grows.
+
+    A third of the units are there at the start. Later come another third, then, while the stream is
+    down, the rest and a second file for the first unit (its own events once more).
+    """
+    work = work_dir(spark, "latest")
+    rows = payloads(spark, sf_dir).withColumn("_part", F.pmod(F.col("unit").cast("bigint"), F.lit(3)))
+    place = f"{work}/topic"
+
+    def add(part: int) -> None:
+        publish(rows.filter(F.col("_part") == part).repartition("unit"), place)
+
+    def drain() -> None:
+        late = read_events(spark, "text", place, streaming=True, start="latest", start_record=f"{work}/start")
+        snapshot_stream(late, f"{work}/view", f"{work}/checkpoint", trigger=DRAIN).awaitTermination()
+
+    add(0)
+    drain()
+    add(1)
+    drain()
+    add(2)
+    first = rows.agg(F.min("unit").alias("u")).scalar()
+    publish(rows.filter(F.col("unit") == first), place)
+    drain()
+    return latest_snapshot(read_view(spark, f"{work}/view", REALTIME_VIEW))
+
+
+def reader_agreement(spark: SparkSession, lines: DataFrame) -> DataFrame:
+    """Events per item that the archive scan, the decoder and the live view count over the same lines."""
+    work = work_dir(spark, "readers")
+    publish(lines, f"{work}/topic")
+    log = read_events(spark, "text", f"{work}/topic")
+    live = read_events(spark, "text", f"{work}/topic", streaming=True)
+    snapshot_stream(live, f"{work}/view", f"{work}/checkpoint", trigger=DRAIN).awaitTermination()
+    found = {
+        "archive": count_by(read_archive_json(spark, f"{work}/topic")),
+        "decoded": count_by(decode_rows(log)),
+        "live": latest_snapshot(read_view(spark, f"{work}/view", REALTIME_VIEW)),
+    }
+    named = [rows.select(F.lit(name).alias("reader"), "item", "count") for name, rows in found.items()]
+    return named[0].unionByName(named[1]).unionByName(named[2])
+
+
+def restarted_by_message(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals served right before and after a restart by message, with and without a run in the message.
+
+    The new epoch counts what the published run does not cover. It is served once it is made active.
+    """
+    parts = []
+    for named in (True, False):
+        layers = hand_off(spark, sf_dir)
+        control = f"{layers.batch}_control"
+        emit_restart(spark, control, 1 if named else None)
+
+        def act(run_id: int | None, layers: Layers = layers, named: bool = named) -> None:
+            epoch = rotate_epoch(spark, layers.realtime)
+            waiting = served_totals(spark, layers.batch, layers.realtime, layers.epochs)
+            waiting.write.parquet(f"{layers.batch}_waiting")
+            rest = uncovered(
+                stream_purchases(spark, sf_dir).select("item", "unit"), covered_units(spark, layers.epochs, run_id)
+            )
+            snapshot_stream(
+                rest, layers.realtime, f"{layers.realtime}_checkpoint_{epoch}", ["item", "unit"], epoch, DRAIN
+            ).awaitTermination()
+            activate_epoch(spark, active_table(layers.realtime), epoch)
+
+        messages = spark.readStream.text(control)
+        on_restart(messages, act, f"{control}_checkpoint", DRAIN, layers.epochs).awaitTermination()
+        after = served_totals(spark, layers.batch, layers.realtime, layers.epochs)
+        for when, rows in (("waiting", spark.read.schema(after.schema).parquet(f"{layers.batch}_waiting")), ("active", after)):
+            parts.append(rows.select(F.lit(named).alias("named"), F.lit(when).alias("epoch"), "item", "batch", "real", "total"))
+    out = parts[0]
+    for more in parts[1:]:
+        out = out.unionByName(more)
+    return out
+
+
+def served_with_null_units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Served totals where the events of some units have lost the name of their unit."""
+    work = work_dir(spark, "null-units")
+    layers = Layers(f"{work}/batch", f"{work}/realtime", f"{work}/epochs")
+    ensure_view(spark, layers.batch, BATCH_VIEW, ("run_id",))
+    ensure_view(spark, layers.epochs, EPOCH_TABLE, ("run_id",))
+    unit = F.when(F.col("unit").cast("bigint") % 2 == 0, F.col("unit")).alias("unit")
+    live = stream_purchases(spark, sf_dir).select("item", unit)
+    snapshot_stream(live, layers.realtime, f"{work}/checkpoint", ["item", "unit"], trigger=DRAIN).awaitTermination()
+    run_batch_view(purchases(spark, sf_dir).select("item", unit), layers.batch, 1, layers.epochs)
+    return served_totals(spark, layers.batch, layers.realtime, layers.epochs)
+
+
+def rows_per_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of every micro-batch of a topic that is read file by file."""
+    work = work_dir(spark, "batch-sizes")
+    publish(payloads(spark, sf_dir).repartition("unit"), f"{work}/topic")
+    events = read_events(spark, "text", f"{work}/topic", streaming=True, options={"maxFilesPerTrigger": "1"})
+    batch_sizes(events, f"{work}/sizes", f"{work}/checkpoint").awaitTermination()
+    return read_view(spark, f"{work}/sizes", "rows BIGINT").select("rows")
+
+
+def updated_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Live totals of a view that is written in update mode, over several micro-batches."""
+    work = work_dir(spark, "update")
+    events = topic(spark, sf_dir, f"{work}/topic")
+    snapshot_stream(
+        events, f"{work}/view", f"{work}/checkpoint", trigger={"availableNow": True}, mode="update"
+    ).awaitTermination()
+    return latest_snapshot(read_view(spark, f"{work}/view", REALTIME_VIEW), mode="update")

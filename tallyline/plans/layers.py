@@ -8,24 +8,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyline.operators.counts import count_items
-from tallyline.operators.merge import latest_snapshot, serving_view
+from tallyline.operators.merge import latest_snapshot, serving_view, without_units
 from tallyline.schema import BATCH_VIEW, EPOCH_TABLE, REALTIME_VIEW
 from tallyline.sources.topics import source_of
 from tallyline.sources.views import read_view
-from tallyline.streaming.epochs import active_epoch, covered_units, publish_run
+from tallyline.streaming.epochs import active_epoch, active_table, covered_units, publish_run, write_run
 
 NO_RUN = -1
 
 
 def _overwrite(rows: DataFrame, path: str, run_id: int) -> DataFrame:
-    """Store the rows as the partition of one run, in place of an earlier try, and read it back."""
+    """Store the rows as the folder of one run, in place of an earlier try, and read it back."""
+    write_run(rows, path, run_id)
     run = F.lit(run_id).cast("bigint")
-    rows = rows.withColumn("run_id", run)
-    (
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("run_id").parquet(path)
-    )
-    return read_view(rows.sparkSession, path, rows.schema).filter(F.col("run_id") == run)
+    schema = rows.withColumn("run_id", run).schema
+    return read_view(rows.sparkSession, path, schema).filter(F.col("run_id") == run)
 
 
 def run_batch_view(
@@ -48,7 +45,7 @@ def run_batch_view(
     per_unit = _overwrite(count_items(closed, ["unit", *keys]), f"{view}_units", run_id)
     if skip_open:
         newest = per_unit.groupBy(source_of("unit")).agg(F.max("unit").alias("unit")).select("unit")
-        per_unit = per_unit.join(newest, "unit", "left_anti")
+        per_unit = without_units(per_unit, newest)
     totals = per_unit.groupBy(*keys).agg(F.sum("count").cast("bigint").alias("count"))
     stamped = totals.withColumns({"time_stamp": F.current_timestamp(), "id": F.uuid()})
     stored_run = _overwrite(stamped, view, run_id)
@@ -63,12 +60,13 @@ def served_totals(
 ) -> DataFrame:
     """Current total per key: the newest published batch run plus the live counts behind it.
 
-    The run is read once, as a number, so a run published meanwhile cannot be mixed in. With a
-    table of active epochs the live counts come from the active one, else from the newest.
+    The run is read once, as a number, so a run published meanwhile cannot be mixed in. The live
+    counts come from the active epoch, which the table ``active`` names (by default the one that
+    lies beside the live view); a new epoch is not served before ``activate_epoch``.
     """
     published = read_view(spark, epoch_table, EPOCH_TABLE)
     run_id = published.agg(F.coalesce(F.max("run_id"), F.lit(NO_RUN)).alias("r")).first()["r"]
     batch = read_view(spark, batch_view, BATCH_VIEW).filter(F.col("run_id") == run_id)
-    epoch = None if active is None else active_epoch(spark, active)
+    epoch = active_epoch(spark, active or active_table(realtime_view), realtime_view)
     live = latest_snapshot(read_view(spark, realtime_view, REALTIME_VIEW), [*keys, "unit"], epoch=epoch)
     return serving_view(batch, live, covered_units(spark, epoch_table, run_id), keys)

@@ -11,6 +11,8 @@ from tallyline.schema import MONEY
 EVENTS_DDL = (
     "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
 )
+# Events of one ingestion unit. Event numbers follow the order of arrival.
+EVENTS_PER_UNIT = 500
 # Event types taken as healthy food; an arbitrary but fixed class of this adapter.
 HEALTHY_TYPES = ("purchase", "view")
 # Fixed value: ``props`` is always {"k": number}; a pattern finds it in a quarter of the time that
@@ -28,12 +30,12 @@ def _as_purchases(events: DataFrame) -> DataFrame:
         F.col("value").cast(MONEY).alias("price"),
         machine_name(F.nullif(F.regexp_extract("props", MACHINE_NUMBER, 1), F.lit(""))).alias("snack_automat_id"),
         F.col("ts").cast("timestamp").alias("time_stamp"),
-        F.col("ts").cast("date").cast("string").alias("unit"),
+        F.lpad(F.expr(f"CAST(event_id DIV {EVENTS_PER_UNIT} AS STRING)"), 12, "0").alias("unit"),
     )
 
 
 def purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Purchases of the whole table; ``unit`` is the day the event was taken in."""
+    """Purchases of the whole table; ``unit`` is the run of event numbers in which the event was taken in."""
     return _as_purchases(spark.read.schema(EVENTS_DDL).parquet(f"{sf_dir}/events.parquet"))
 
 

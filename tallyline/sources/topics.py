@@ -7,19 +7,17 @@ that agree on units can split the log between them without gap or overlap.
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.schema import PAYLOAD
+from tallyline.functions.decode import decode_rows
 
 OFFSETS_PER_UNIT = 1_000_000
 
 
-def offset_unit(partition: str, offset: str, per_unit: int = OFFSETS_PER_UNIT) -> Column:
-    """Unit of a log record: its partition and its run of offsets, in sortable text."""
-    return F.format_string("%05d:%012d", F.col(partition), F.floor(F.col(offset) / F.lit(per_unit)))
+def offset_unit(partition: str, offset: str, per_unit: int = OFFSETS_PER_UNIT, topic: str = "topic") -> Column:
+    """Unit of a log record: its topic, its partition and its run of offsets, in sortable text."""
+    return F.format_string("%s:%05d:%012d", F.col(topic), F.col(partition), F.floor(F.col(offset) / F.lit(per_unit)))
 
 
 def source_of(unit: str) -> Column:
@@ -27,11 +25,14 @@ def source_of(unit: str) -> Column:
     return F.regexp_extract(unit, "^(.*):", 1)
 
 
-def _newest_unit(spark: SparkSession, location: str) -> str | None:
-    # Spark lists the files for its own scan; the names suffice and no data is read.
-    files = spark.read.schema("value STRING, unit STRING").text(location).inputFiles()
-    units = [m.group(1) for m in (re.search(r"/unit=([^/]+)/", f) for f in files) if m]
-    return max(units) if units else None
+def _known_files(spark: SparkSession, location: str, record: str) -> DataFrame:
+    """The files a topic had when a reader first started at its end, out of the ``record`` of that start.
+
+    The record is written once and read back at each later start. Only names are read, not files.
+    """
+    there = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(location)
+    there.select(F.col("_metadata.file_path").alias("_file")).write.mode("ignore").parquet(record)
+    return spark.read.schema("_file STRING").parquet(record)
 
 
 def read_events(
@@ -43,11 +44,14 @@ def read_events(
     unit: str = "folder",
     options: dict[str, str] | None = None,
     offsets_per_unit: int = OFFSETS_PER_UNIT,
+    start_record: str | None = None,
 ) -> DataFrame:
     """Payloads as ``(value, unit)`` from a file topic (``fmt="text"``) or from ``fmt="kafka"``.
 
-    ``start="latest"`` skips what is already there when a new stream begins; with a checkpoint
-    the stream goes on where it stopped, whatever ``start`` says.
+    ``start="latest"`` skips what is already there when a new stream begins. For file topics the
+    files there at the first start are kept in ``start_record``, a folder that belongs to the
+    checkpoint: a later start skips the same files and no others, so files that came in the meantime,
+    also those of a unit that was open, are read.
     """
     options = options or {}
     reader = (spark.readStream if streaming else spark.read).options(**options)
@@ -60,22 +64,23 @@ def read_events(
             offset_unit("partition", "offset", offsets_per_unit).alias("unit"),
         )
     if unit == "file":
-        return reader.schema("value STRING").format(fmt).load(location).select(
-            "value", F.col("_metadata.file_name").alias("unit")
-        )
-    rows = reader.schema("value STRING, unit STRING").format(fmt).load(location)
-    if start == "latest":
-        newest = _newest_unit(spark, location)
-        if newest is not None:
-            rows = rows.filter(F.col("unit") > F.lit(newest))
-    return rows
+        rows = reader.schema("value STRING").format(fmt).load(location)
+        name = F.col("_metadata.file_name").alias("unit")
+    else:
+        rows = reader.schema("value STRING, unit STRING").format(fmt).load(location)
+        name = F.col("unit")
+    if start != "latest":
+        return rows.select("value", name)
+    if not start_record:
+        raise ValueError("a start at the end of a file topic needs a start_record beside the checkpoint")
+    rows = rows.select("value", name, F.col("_metadata.file_path").alias("_file"))
+    return rows.join(_known_files(spark, location, start_record), "_file", "left_anti").select("value", "unit")
 
 
 def read_archive_json(spark: SparkSession, location: str, fields: tuple[str, ...] = ("item",)) -> DataFrame:
-    """Batch scan of a JSON-lines archive with only ``fields`` parsed.
+    """Events of a JSON-lines archive with only ``fields`` parsed.
 
-    The JSON reader prunes columns and drops rows by pushed filters while it parses, which the
-    text scan followed by ``from_json`` cannot. Lines it cannot read come out as null rows.
+    Read as text and decoded like any other payload: Spark's JSON reader follows other rules for
+    arrays and repeated fields, and two readers of one log must agree.
     """
-    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in PAYLOAD.fields if f.name in fields)
-    return spark.read.schema(ddl + ", unit STRING").json(location)
+    return decode_rows(read_events(spark, "text", location), fields=fields)

@@ -14,21 +14,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tallyline.operators.merge import RESET_BATCH, latest_snapshot
+from tallyline.operators.merge import RESET_BATCH, latest_snapshot, without_units
 from tallyline.schema import ACTIVE_EPOCHS, EPOCH_TABLE, REALTIME_VIEW
-from tallyline.sources.views import read_view
+from tallyline.sources.views import ensure_view, read_view
 from tallyline.streaming.queries import write_snapshot
 
 
+def write_run(rows: DataFrame, path: str, run_id: int) -> None:
+    """Write the rows as the folder of one run. An earlier try is replaced, also by no rows at all."""
+    rows.write.mode("overwrite").parquet(f"{path}/run_id={run_id}")
+
+
+def active_table(realtime: str) -> str:
+    """Where the active epochs of a live view are kept unless said otherwise."""
+    return f"{realtime}_active"
+
+
 def publish_run(units: DataFrame, epoch_table: str, run_id: int) -> None:
     """List the units of a finished run. Done last, and safe to repeat."""
-    (
-        units.select("unit").distinct()
-        .withColumn("published_at", F.current_timestamp())
-        .withColumn("run_id", F.lit(run_id).cast("bigint"))
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("run_id").parquet(epoch_table)
-    )
+    write_run(units.select("unit").distinct().withColumn("published_at", F.current_timestamp()), epoch_table, run_id)
 
 
 def covered_units(spark: SparkSession, epoch_table: str, run_id: int | None = None) -> DataFrame:
@@ -66,7 +70,7 @@ def rotate_epoch(spark: SparkSession, realtime: str, keys: Sequence[str] = ("ite
 
 def uncovered(payloads: DataFrame, covered: DataFrame) -> DataFrame:
     """Payloads of units a published run does not cover; works on streams too."""
-    return payloads.join(covered.select("unit").distinct(), "unit", "left_anti")
+    return without_units(payloads, covered)
 
 
 def restart_behind_run(
@@ -80,14 +84,15 @@ def restart_behind_run(
 
 
 def activate_epoch(spark: SparkSession, active: str, epoch: int) -> None:
-    """Make readers use ``epoch`` from now on."""
+    """Make readers use ``epoch`` from now on; an earlier epoch may be made active again."""
     row = spark.range(epoch, epoch + 1).select(F.current_timestamp().alias("activated_at"), F.col("id").alias("epoch"))
-    (
-        row.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("epoch").parquet(active)
-    )
+    row.write.mode("append").partitionBy("epoch").parquet(active)
 
 
-def active_epoch(spark: SparkSession, active: str) -> int:
-    row = read_view(spark, active, ACTIVE_EPOCHS).agg(F.coalesce(F.max("epoch"), F.lit(0)).alias("e")).first()
-    return row["e"]
+def active_epoch(spark: SparkSession, active: str, realtime: str | None = None) -> int:
+    """The epoch that was made active last; before the first time, the oldest one of the live view."""
+    found = ensure_view(spark, active, ACTIVE_EPOCHS, ("epoch",))
+    row = found.agg(F.max_by("epoch", "activated_at").alias("e")).first()
+    if row["e"] is None and realtime is not None:
+        row = read_view(spark, realtime, REALTIME_VIEW).agg(F.min("epoch").alias("e")).first()
+    return 0 if row["e"] is None else row["e"]

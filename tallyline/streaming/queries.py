@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 import time
 from collections.abc import Callable, Sequence
 
@@ -17,6 +18,7 @@ from tallyline.operators.counts import count_items
 LIVE_TRIGGER = {"processingTime": "2 seconds"}
 DRAIN = {"availableNow": True}
 STATE_PARTITIONS = 8
+_starting = threading.Lock()
 
 
 def publish(events: DataFrame, location: str, fmt: str = "text", options: dict[str, str] | None = None) -> None:
@@ -106,13 +108,14 @@ def snapshot_stream(
         .option("checkpointLocation", checkpoint).trigger(**trigger)
     )
     conf = payloads.sparkSession.conf
-    before = conf.get("spark.sql.shuffle.partitions")
-    # A query takes over the session's settings when it starts.
-    conf.set("spark.sql.shuffle.partitions", str(state_partitions))
-    try:
-        return writer.start()
-    finally:
-        conf.set("spark.sql.shuffle.partitions", before)
+    # A query takes over the session's settings when it starts, so starts go one by one.
+    with _starting:
+        before = conf.get("spark.sql.shuffle.partitions")
+        conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+        try:
+            return writer.start()
+        finally:
+            conf.set("spark.sql.shuffle.partitions", before)
 
 
 def run_until_ok(
@@ -139,6 +142,11 @@ def replay(
     return snapshot_stream(payloads, path, checkpoint, keys, epoch, DRAIN)
 
 
-def batch_sizes(query: StreamingQuery) -> list[tuple[int, int]]:
-    """``(batch id, input rows)`` of the recent micro-batches that read anything."""
-    return [(p.batchId, p.numInputRows) for p in query.recentProgress if p.numInputRows > 0]
+def batch_sizes(payloads: DataFrame, path: str, checkpoint: str, trigger: dict = DRAIN) -> StreamingQuery:
+    """Store ``(batch_id, rows)`` of every micro-batch; a repeated batch replaces its own row."""
+
+    def count(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.agg(F.count(F.lit(1)).alias("rows")).filter("rows > 0")
+        rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    return payloads.writeStream.foreachBatch(count).option("checkpointLocation", checkpoint).trigger(**trigger).start()

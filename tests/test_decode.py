@@ -60,7 +60,14 @@ def test_every_way_of_counting_uses_the_same_rule(spark, lines, folder):
     assert rows(count_items(parsed)) == expected
     lines.withColumn("unit", F.lit("u")).write.partitionBy("unit").text(f"{folder}/log")
     scanned = read_archive_json(spark, f"{folder}/log")
-    assert rows(count_items(scanned)) == expected
+    assert rows(count_by(scanned)) == expected
+
+
+def test_archive_scan_and_decoder_agree_on_odd_lines(spark, folder):
+    lines = ['[{"item":"a"}]', '[{"item":"a"},{"item":"a"}]', '{"item":"","item":"a"}', '{"item":"b"}']
+    frame = spark.createDataFrame([(x, "u") for x in lines], "value STRING, unit STRING")
+    frame.write.partitionBy("unit").text(f"{folder}/log")
+    assert rows(count_by(read_archive_json(spark, f"{folder}/log"))) == rows(count_by(decode_rows(frame)))
 
 
 def test_payload_is_parsed_once(lines):

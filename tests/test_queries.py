@@ -12,14 +12,14 @@ pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="tables are no
 
 
 def test_each_query_has_its_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert {query.__name__ for query in entry.QUERIES} <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_entry(spark):
     assert sum(r["count"] for r in entry.entry(spark).collect()) == 1000
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(entry.oracle_sql()))
 def test_query(spark, name):
     df = entry.queries()[name](spark, FOLDER)
     cur = connect(FOLDER).execute(entry.oracle_sql()[name])

@@ -1,3 +1,4 @@
+from decimal import Decimal
 from datetime import datetime, timedelta
 from statistics import median
 
@@ -141,8 +142,26 @@ def test_positional_slice(spark):
     assert rows(positional_slice(frame, ["item"], order, 2, 5), "count") == [(2,), (3,), (4,)]
     assert rows(positional_slice(frame, ["item"], order, 8, 2000), "count") == [(8,), (9,)]
     assert rows(positional_slice(frame, [], order, 3, 6), "item", "count") == [("a", 3), ("a", 4), ("b", 3)]
-    plan = positional_slice(frame, ["item"], order, 2, 5)._jdf.queryExecution().executedPlan().toString()
-    assert "WindowGroupLimit" in plan
+    plan = positional_slice(frame, [], order, 2, 5)._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" not in plan
+
+
+def test_interval_sums_keep_fractions_in_both_forms(spark):
+    bounds = make(spark, [("a", 0, 10), ("a", 10, 20), ("a", 20, 30)])
+    for kind, half in (("DOUBLE", 0.5), ("DECIMAL(18,2)", Decimal("0.50"))):
+        readings = make(spark, [("a", s, 1) for s in (1, 2, 3, 4)]).withColumn("count", F.lit(half).cast(kind))
+        for form in (True, False):
+            got = interval_sum(bounds, readings, broadcast_bins=form)
+            assert [float(v) for (v,) in rows(got, "cumulated")] == [12.0, 20.0]
+
+
+def test_delays_of_null_keys_are_kept(spark):
+    events = make(spark, [("a", 1, 1), (None, 2, 1)]).withColumn("id", F.lit("x")).drop("count")
+    shown = make(spark, [(None, 5, 1)])
+    for most in (1, 1_000_000):
+        got = delay_series(events, shown, max_group_rows=most)
+        assert got.count() == 2
+        assert got.filter("item IS NULL AND time_x IS NOT NULL AND time_y IS NOT NULL").count() == 1
 
 
 def test_timeline_fills_missing_columns(spark):
