@@ -109,6 +109,8 @@ class Weights:
     tag: float = -1.0
 
     def of(self, t: Token) -> float:
+        if t.chrome and t.inside:  # left out anyway; it does not end the article around it
+            return 0.0
         if not t.words:
             return self.tags.get(t.tag, self.tag) if t.tag else 0.0
         if t.chrome:

@@ -369,7 +369,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def remove_repeats(
-    docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", group: int = GROUP
 ) -> DataFrame:
     """The columns of ``docs``, and ``n_bytes``, ``n_removed``, ``spans``, ``kept``, ``kept_sha256``.
 
@@ -386,7 +386,7 @@ def remove_repeats(
     Steps: anchors of all texts; those that occur once drop out by a count. An anchor whose whole
     context occurs more than once has only repeated windows. What is left are anchors at the edges
     of repeated strings: their contexts are fetched from the texts and suffix-sorted, or, if an
-    anchor has more than ``GROUP`` different contexts, counted window by window.
+    anchor has more than ``group`` different contexts, counted window by window.
     """
     if length <= GRAM:
         raise ValueError(f"length must exceed {GRAM}")
@@ -420,7 +420,7 @@ def remove_repeats(
     bytes_of = packed.join(asked, key).select(*key, "packed", "asked").mapInArrow(
         _context_rows(length), "gram long, n long, did long, rid long, place long, front int, bytes binary"
     )
-    crowded = several.where(F.col("different") > GROUP).select("gram")
+    crowded = several.where(F.col("different") > group).select("gram")
     bytes_of = stored(bytes_of, "context-bytes")
     tasks = max(1, -(-edges.count() // CONTEXTS_PER_TASK))
     spans = "did long, rid long, start long, end long"

@@ -36,10 +36,11 @@ class Fit:
     least_share: float = 0.005
     least_documents: int = 3
     least_ratio: float = 1.0
-    steps: int = 1500
+    steps: int = 600
     batch: int = 128
     rate: float = 0.05
     first_weight: float = 0.1
+    longest: float = 10.0
     seed: int = 10
 
 
@@ -103,10 +104,13 @@ def nnpu(
     ``rows``, ``cols``, ``values``: the non-zero features in row order; ``positive``: per row, True for a
     confirmed positive, False for unlabelled. The risk is
     ``prior * E_P[l(+)] + max(0, E_U[l(-)] - prior * E_P[l(-)])``; where the second part of a batch falls
-    below zero, the step goes against its gradient instead.
+    below zero, the step goes against its gradient instead. The gradient of a row is cut to that of a
+    row of length ``fit.longest``, so that no single odd text moves the weights far.
     """
     random = np.random.default_rng(fit.seed)
     ends = np.searchsorted(rows, np.arange(len(positive) + 1))
+    length = np.sqrt(np.bincount(rows, values**2, len(positive)))
+    cut = np.minimum(1.0, fit.longest / np.maximum(length, 1e-12))
     weights, bias = np.full(n_cols, fit.first_weight), 0.0
     seen, seen_bias = np.full(n_cols, 1e-8), 1e-8
     p, u = np.flatnonzero(positive), np.flatnonzero(~positive)
@@ -128,6 +132,7 @@ def nnpu(
                 slope = np.where(is_p, prior * (prob - 1 - prob) / len(own_p), prob / len(own_u))
             else:
                 slope = np.where(is_p, prior * prob / len(own_p), -prob / len(own_u))
+            slope *= cut[picked]
             step = np.bincount(cols[at], slope[which] * values[at], n_cols)
             seen += step**2
             weights -= fit.rate * step / np.sqrt(seen)

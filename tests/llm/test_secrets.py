@@ -1,0 +1,59 @@
+import re
+
+from pyspark.sql import functions as F
+
+from tallyline.llm import secrets
+
+HEX = "cb1a9fee807a05366fcb8b6c95c7c565ede51a72"
+KIND = "doc_id LONG, text STRING, source STRING, score STRING"
+
+
+def test_forest_on_held_out_findings(spark):
+    rows = secrets.labelled_findings(spark)
+    part = F.pmod(F.xxhash64("value", "before"), F.lit(4))
+    model = secrets.fit_forest(rows.where(part != 0))
+    got = model.transform(secrets.with_features(rows.where(part == 0)))
+    right, n = got.agg(F.avg((F.col("prediction") == F.col("label")).cast("double")), F.count(F.lit(1))).first()
+    assert n > 800 and right > 0.97
+
+
+def test_findings_and_masks(spark):
+    texts = [
+        f'some words token = "{HEX}" and more',
+        f"commit {HEX} of the tree",
+        f"\x01odd\x02 é token = \"{HEX.upper()}\"!! again token = \"{HEX.upper()}\"",
+        "an id 123e4567-e89b-12d3-a456-426614174000 in the log",
+        None, "", "plain words only", f'token = "{HEX}"', "word " * 30_000 + f'secret: "{HEX[::-1]}"',
+        "-----BEGIN PRIVATE KEY-----\nQUJD\n-----END PRIVATE KEY-----",
+    ]
+    rows = [(i, t, "src" if i != 7 else "tests/fixtures", "clash") for i, t in enumerate(texts)] + [(None, texts[0], None, None)]
+    docs = spark.createDataFrame(rows, KIND)
+    found = secrets.scan_secrets(docs)
+    got = found.collect()
+    for r in got:
+        if r.doc_id is not None and "\x01" not in texts[r.doc_id]:
+            assert texts[r.doc_id][r.start : r.start + r.length] == r.value
+    decided = {(r.doc_id, r.secret) for r in got}
+    assert {(0, True), (1, False), (2, True), (3, False), (7, False), (8, True), (None, True)} <= decided
+    assert {r.doc_id for r in got} == {0, 1, 2, 3, 7, 8, 9, None}
+    masked = {r.doc_id: r for r in secrets.mask_secrets(docs, found).collect()}
+    assert masked[0].text == f'some words token = "{secrets.MASK}" and more'
+    assert masked[1].text == texts[1] and masked[4].text is None and masked[5].text == "" and masked[0].score == "clash"
+    assert HEX.upper() not in masked[2].text and len(masked) == len(rows)
+
+
+def test_every_planted_secret_is_found(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    planted = {
+        (r.doc_id, m.start(1)) for r in docs.collect() for m in re.finditer(r'(?i)token = "([0-9a-f]{40})"', r.text or "")
+    }
+    got = {(r.doc_id, r.start) for r in secrets.op2_secret_scan(spark, "/root/testdata/sf0.01").where("secret").collect()}
+    assert planted <= got and len(got - planted) <= len(planted) // 10 + 1
+
+
+def test_empty_table_and_plan(spark):
+    docs = spark.createDataFrame([], KIND)
+    found = secrets.scan_secrets(docs)
+    assert found.count() == 0 and secrets.mask_secrets(docs, found).count() == 0
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
