@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_made: list[str] = []
 
 
 def build_session(app: str = "tallyline", master: str | None = None, **conf) -> SparkSession:
@@ -33,10 +34,27 @@ def work_dir(spark: SparkSession, label: str) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        # ``local-cluster`` has executors of their own, like any cluster.
+        if not spark.sparkContext.master.split("[")[0] == "local":
             raise ValueError("spark.checkpoint.dir must name a folder shared by all executors")
         root = tempfile.mkdtemp(prefix="tallyline-")
-    return f"{root.rstrip('/')}/tallyline/{label}-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/tallyline/{label}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def clear_work(spark: SparkSession) -> int:
+    """Remove the work folders that this process has made and return their number.
+
+    For when the results of its queries have been read or written: they may rest on these folders.
+    Folders of other processes are not touched.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    removed = 0
+    while _made:
+        path = jvm.org.apache.hadoop.fs.Path(_made.pop())
+        removed += bool(path.getFileSystem(conf).delete(path, True))
+    return removed
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
