@@ -17,8 +17,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
     Alternating large-star and small-star steps, each a join with the least neighbour of every
     node, until the edges are stars around the least node. A node with very many edges is
-    aggregated before the shuffle and its join can be split. Edges with a null end and loops are
-    left out. Each step is a table in the shared folder, so a lost executor costs one step.
+    aggregated before the shuffle, and its join with the stored result can be split. Edges with a
+    null end and loops are left out. Each step is a table in the shared folder, so a lost executor
+    costs one step.
     """
     edges = edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     edges = stored(edges, "edges")
@@ -26,9 +27,10 @@ def connected_components(edges: DataFrame) -> DataFrame:
     while before[0]:
         ends = edges.union(edges.select("b", "a"))
         least = ends.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        least = stored(least, "least")
         large = ends.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = stored(large.distinct(), "edges")
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        least = stored(large.groupBy("a").agg(F.min("b").alias("m")), "least")
         small = large.join(least, "a").where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         edges = stored(small.union(least).distinct(), "edges")
         after = _state(edges)

@@ -219,8 +219,10 @@ def minhash_components(
     nodes = named.join(classes.select(F.col("node").alias("doc_id"), "digest"), ["doc_id", "digest"], "left_semi")
     keys = nodes.select("doc_id", F.explode("bands").alias("key"))
     full = keys.groupBy("key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
+    # As a table, so that the join can be split where a bucket holds very many documents.
+    full = stored(full.select("key", "first"), "full-buckets")
     # Only members of buckets with company, each with the least member.
-    buckets = stored(keys.join(full.select("key", "first"), "key"), "buckets")
+    buckets = stored(keys.join(full, "key"), "buckets")
     nodes = stored(nodes.join(buckets.select("doc_id").distinct(), "doc_id", "left_semi"), "nodes")
     near = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     texts = stored(near.join(nodes.select("doc_id").distinct(), "doc_id", "left_semi"), "texts")
@@ -238,6 +240,7 @@ def minhash_components(
     nodes = stored(nodes, "nodes")
     rows = apart.join(nodes.select("doc_id", (F.col("alone") / F.col("n_shingles")).alias("own")), "doc_id")
     centre = rows.groupBy("key").agg(F.min_by(F.struct("doc_id", "c"), F.struct("own", "doc_id")).alias("o"))
+    centre = stored(centre, "centres")
     pairs = apart.join(centre, "key").where("c != o.c")
     links = links.union(confirm(pairs.select(F.least("o.doc_id", "doc_id").alias("a"), F.greatest("o.doc_id", "doc_id").alias("b"))))
 

@@ -227,7 +227,8 @@ def vector_components(
         shape = shape_for(row["size"], row["n"], cosine)
         own = nodes.where(F.col("size") == row["size"])
         keys = stored(own.select("node", "v").mapInArrow(_bucketed(shape), "node long, key long").distinct(), "buckets")
-        full = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        # As a table, so that the join can be split where a bucket holds very many vectors.
+        full = stored(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "full-buckets")
         blocks = F.ceil(F.col("n") / block).cast("int")
         dealt = keys.join(full, "key").withColumn("blocks", blocks)
         dealt = dealt.withColumn("first", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
