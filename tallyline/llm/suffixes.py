@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -25,9 +26,10 @@ LENGTH = 400
 GRAM = 48
 #: Texts are cut into overlapping segments of so many bytes; a place in one takes 22 bits.
 SEGMENT = 1 << 22
-#: Different contexts of one anchor that are sorted in one task. Anchors with more are counted
-#: window by window instead.
+#: Different contexts of one anchor that are sorted in one task. Anchors with more are counted in
+#: blocks of windows instead, of these sizes one after the other.
 GROUP = 1024
+BLOCKS = (48, 6, 1)
 #: Contexts sorted in one task.
 CONTEXTS_PER_TASK = 8_000
 
@@ -310,29 +312,73 @@ def _sorted_groups(length: int) -> Callable:
     return run
 
 
-def _window_rows(length: int) -> Callable:
-    """Each window of the contexts: hash, how often the context occurs, place."""
+def _blocks(length: int, size: int) -> Callable:
+    """The windows of contexts in blocks of ``size``, by how far the anchor is behind the start of a window.
+
+    ``core``: hash of what all windows of such a block share, also where a context has only some of
+    them; ``full``: hash of all that the windows at hand cover.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, bounds = byte_column(batch.column(6))
+            if not batch.num_rows:
+                continue
+            gram, n, place, least, most = (batch.column(c).to_numpy() for c in ("gram", "n", "place", "least", "most"))
+            data, bounds = byte_column(batch.column("bytes"))
             data, bounds = data[bounds[0] : bounds[-1]], bounds - bounds[0]
             sums = prefix_hashes(data)
-            count = bounds[1:] - bounds[:-1] - length + 1
+            count = most // size - least // size + 1
             row = np.repeat(np.arange(len(count)), count)
-            offset = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
-            start = bounds[:-1][row] + offset
-            found = mix(span_hash(sums, start, start + length))
-            begin = (batch.column(4).to_numpy() - batch.column(5).to_numpy())[row] + offset
+            block = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count) + (least // size)[row]
+            lo, hi = np.maximum(least[row], block * size), np.minimum(most[row], block * size + size - 1)
+            anchor = bounds[:-1][row] + most[row]
+            core = span_hash(sums, anchor - block * size, anchor - block * size - size + 1 + length)
+            start, end = anchor - hi, anchor - lo + length
+            full = span_hash(sums, start, end)
+            own = mix(gram[row].view(np.uint64) + block.astype(np.uint64))
+            range_ = (lo.astype(np.uint64) << np.uint64(12)) + hi.astype(np.uint64)
+            held = data.tobytes()
+            cut = [held[x:y] for x, y in zip(start.tolist(), end.tolist(), strict=True)]
             take = pa.array(row)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(found.view(np.int64)), batch.column(1).take(take), batch.column(2).take(take), batch.column(3).take(take), pa.array(begin)],
-                ["window", "n", "did", "rid", "start"],
+                [
+                    pa.array(mix(core + own).view(np.int64)), pa.array(mix(full + mix(own + range_)).view(np.int64)),
+                    batch.column("gram").take(take), batch.column("n").take(take), batch.column("did").take(take),
+                    batch.column("rid").take(take), batch.column("place").take(take),
+                    pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32)), pa.array(cut, pa.binary()),
+                ],
+                ["core", "full", "gram", "n", "did", "rid", "place", "least", "most", "bytes"],
             )
 
     return run
 
 
+def _crowded_spans(contexts: DataFrame, length: int) -> list[DataFrame]:
+    """Repeated windows of contexts whose anchors have very many of them, without bringing these together.
+
+    Windows go by blocks, ever smaller ones. A block that occurs as a whole more than once has only
+    repeated windows. One whose core no other block shares has none. The different blocks that share
+    a core are cut into smaller ones. All is done by counts, which are combined before the shuffle.
+    """
+    fields = "gram long, n long, did long, rid long, place long, least int, most int, bytes binary"
+    last = F.col("front") - F.octet_length("bytes") + length
+    rows = contexts.select("gram", "n", "did", "rid", "place", last.cast("int").alias("least"), F.col("front").cast("int").alias("most"), "bytes")
+    found = []
+    for size in BLOCKS:
+        blocks = stored(rows.mapInArrow(_blocks(length, size), f"core long, full long, {fields}"), "blocks")
+        different = stored(
+            blocks.groupBy("core", "full", "gram", "least", "most").agg(
+                F.sum("n").alias("n"), F.min(F.struct("did", "rid", "place")).alias("at"), F.first("bytes").alias("bytes")
+            ), "different-blocks",
+        )
+        again = blocks.where("n = 1").join(different.where("n > 1").select("full").distinct(), "full", "left_semi")
+        start, end = F.col("place") - F.col("most"), F.col("place") - F.col("least") + F.lit(length)
+        found.append(again.select("did", "rid", start.alias("start"), end.alias("end")))
+        shared = stored(different.groupBy("core").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("core"), "cores")
+        rows = different.join(shared, "core", "left_semi").select("gram", "n", "at.*", "least", "most", "bytes")
+    return found
+
+
 def _merged(starts: list[int], ends: list[int]) -> list[tuple[int, int]]:
     spans: list[tuple[int, int]] = []
     for start, end in sorted(zip(starts, ends, strict=True)):
@@ -386,7 +432,7 @@ def remove_repeats(
     Steps: anchors of all texts; those that occur once drop out by a count. An anchor whose whole
     context occurs more than once has only repeated windows. What is left are anchors at the edges
     of repeated strings: their contexts are fetched from the texts and suffix-sorted, or, if an
-    anchor has more than ``group`` different contexts, counted window by window.
+    anchor has more than ``group`` different contexts, counted in ever smaller blocks of windows.
     """
     if length <= GRAM:
         raise ValueError(f"length must exceed {GRAM}")
@@ -400,7 +446,9 @@ def remove_repeats(
     texts = texts.where(F.octet_length("text") >= length)
 
     rows = stored(texts.mapInArrow(_anchor_rows(length), ROWS), "anchors")
+    # Kept as a table, so that the join below can be split where one anchor has very many rows.
     often = rows.groupBy("gram").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("gram")
+    often = stored(often, "repeated-grams")
     rows = stored(rows.join(often, "gram", "left_semi"), "repeated-anchors")
     contexts = rows.groupBy("gram", "context").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("did", "rid", "place", "front", "windows")).alias("at")
@@ -411,6 +459,7 @@ def remove_repeats(
     whole = whole.select(*key, begin.alias("start"), (begin + F.col("windows") + F.lit(length - 1)).alias("end"))
 
     several = contexts.groupBy("gram").agg(F.count(F.lit(1)).alias("different")).where("different > 1")
+    several = stored(several, "edge-grams")
     edges = contexts.join(several, "gram").select("gram", "n", "different", "at.*")
     edges = stored(edges, "edges")
     packed = texts.mapInArrow(_squeezed, "did long, rid long, packed binary")
@@ -427,13 +476,12 @@ def remove_repeats(
     few = bytes_of.join(crowded, "gram", "left_anti").select(bytes_of.columns)
     parts = few.repartition(tasks, "gram").mapInArrow(_sorted_groups(length), spans)
     many = bytes_of.join(crowded, "gram", "left_semi").select(bytes_of.columns)
-    windows = many.mapInArrow(_window_rows(length), "window long, n long, did long, rid long, start long")
-    windows = stored(windows, "windows")
-    again = windows.groupBy("window").agg(F.sum("n").alias("times")).where("times > 1").select("window")
-    single = windows.join(again, "window", "left_semi").where("n = 1")
-    single = single.select(*key, "start", (F.col("start") + length).alias("end"))
+    spans_of = [whole, parts]
+    if not crowded.isEmpty():
+        spans_of += _crowded_spans(many, length)
+    everything = reduce(DataFrame.unionByName, spans_of)
 
-    removed = whole.unionByName(parts).unionByName(single).groupBy(*key).agg(
+    removed = everything.groupBy(*key).agg(
         F.collect_list(F.struct("start", "end")).alias("found")
     )
     cut = packed.join(removed, key).select(*key, "packed", "found").mapInArrow(
