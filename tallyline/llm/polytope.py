@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +23,8 @@ BLOCK = 2048
 #: Members of buckets that one task reads, and pairs that it compares at once.
 ROWS_PER_TASK = 20_000
 PAIRS = 1 << 15
+#: Larger buckets are compared by products of matrices.
+SMALL = 64
 ROTATIONS = 3
 
 
@@ -139,6 +142,18 @@ def _pairs_of(sizes: np.ndarray, begin: np.ndarray) -> Iterator[tuple[np.ndarray
                 yield (at + i[part : part + PAIRS]).reshape(-1), (at + j[part : part + PAIRS]).reshape(-1)
 
 
+def _near_in_large(
+    unit: np.ndarray, sizes: np.ndarray, begin: np.ndarray, cosine: float
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs within large groups that a product of matrices shows to be near; a little too many of them."""
+    for at, size in zip(begin[sizes > SMALL].tolist(), sizes[sizes > SMALL].tolist(), strict=True):
+        own = unit[at : at + size]
+        for lo in range(0, size, SMALL):
+            p, q = np.nonzero(own[lo : lo + SMALL] @ own[lo:].T >= cosine - 1e-9)
+            keep = p < q
+            yield p[keep] + at + lo, q[keep] + at + lo
+
+
 def _linked(shape: Polytope, cosine: float) -> Callable:
     """Per member of a task's buckets: how many vectors it is linked with that it meets here first, and
     one that it is joined with."""
@@ -154,8 +169,9 @@ def _linked(shape: Polytope, cosine: float) -> Callable:
         new = np.ones(len(key), bool)
         new[1:] = (key[1:] != key[:-1]) | (a[1:] != a[:-1]) | (b[1:] != b[:-1])
         begin = np.flatnonzero(new)
+        sizes = np.diff(np.append(begin, len(key)))
         left, right = [], []
-        for p, q in _pairs_of(np.diff(np.append(begin, len(key))), begin):
+        for p, q in chain(_pairs_of(np.where(sizes > SMALL, 0, sizes), begin), _near_in_large(unit, sizes, begin, cosine)):
             # Two blocks of one bucket: pairs within a block are for its own task.
             keep = (a[p] == b[p]) | (first[p] != first[q])
             p, q = p[keep], q[keep]

@@ -58,3 +58,14 @@ def test_rotations_keep_lengths():
     y = polytope.hadamard(x.copy()) / np.sqrt(32)
     assert np.allclose(np.linalg.norm(x, axis=1), np.linalg.norm(y, axis=1))
     assert np.allclose(polytope.hadamard(y.copy()) / np.sqrt(32), x)
+
+
+def test_pairs_of_large_groups():
+    random = np.random.default_rng(2)
+    x = random.normal(size=(8, 16))[random.integers(0, 8, 500)] + 0.2 * random.normal(size=(500, 16))
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    sizes, begin = np.array([3, 297, 200]), np.array([0, 3, 300])
+    got = {pair for p, q in polytope._near_in_large(unit, sizes, begin, 0.9) for pair in zip(p.tolist(), q.tolist(), strict=True)}
+    near = unit @ unit.T
+    want = {(i, j) for lo, hi in ((3, 300), (300, 500)) for i in range(lo, hi) for j in range(i + 1, hi) if near[i, j] >= 0.9}
+    assert want <= got and all(near[i, j] >= 0.9 - 1e-8 for i, j in got)
