@@ -313,7 +313,7 @@ def _sorted_groups(length: int) -> Callable:
 
 
 def _blocks(length: int, size: int) -> Callable:
-    """The windows of contexts in blocks of ``size``, by how far the anchor is behind the start of a window.
+    """The open windows of contexts in blocks of ``size``, by how far the anchor is behind the start of a window.
 
     ``core``: hash of what all windows of such a block share, also where a context has only some of
     them; ``full``: hash of all that the windows at hand cover.
@@ -323,31 +323,30 @@ def _blocks(length: int, size: int) -> Callable:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            gram, n, place, least, most = (batch.column(c).to_numpy() for c in ("gram", "n", "place", "least", "most"))
+            open_ = batch.column("open")
+            n, least, most = (open_.flatten().field(c).to_numpy() for c in ("n", "least", "most"))
+            context = np.repeat(np.arange(len(open_)), open_.value_lengths().to_numpy())
             data, bounds = byte_column(batch.column("bytes"))
             data, bounds = data[bounds[0] : bounds[-1]], bounds - bounds[0]
             sums = prefix_hashes(data)
             count = most // size - least // size + 1
-            row = np.repeat(np.arange(len(count)), count)
-            block = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count) + (least // size)[row]
-            lo, hi = np.maximum(least[row], block * size), np.minimum(most[row], block * size + size - 1)
-            anchor = bounds[:-1][row] + most[row]
+            which = np.repeat(np.arange(len(count)), count)
+            block = np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count) + (least // size)[which]
+            lo, hi = np.maximum(least[which], block * size), np.minimum(most[which], block * size + size - 1)
+            row = context[which]
+            anchor = bounds[:-1][row] + batch.column("front").to_numpy()[row]
             core = span_hash(sums, anchor - block * size, anchor - block * size - size + 1 + length)
-            start, end = anchor - hi, anchor - lo + length
-            full = span_hash(sums, start, end)
-            own = mix(gram[row].view(np.uint64) + block.astype(np.uint64))
+            full = span_hash(sums, anchor - hi, anchor - lo + length)
+            own = mix(batch.column("gram").to_numpy()[row].view(np.uint64) + block.astype(np.uint64))
             range_ = (lo.astype(np.uint64) << np.uint64(12)) + hi.astype(np.uint64)
-            held = data.tobytes()
-            cut = [held[x:y] for x, y in zip(start.tolist(), end.tolist(), strict=True)]
             take = pa.array(row)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(mix(core + own).view(np.int64)), pa.array(mix(full + mix(own + range_)).view(np.int64)),
-                    batch.column("gram").take(take), batch.column("n").take(take), batch.column("did").take(take),
-                    batch.column("rid").take(take), batch.column("place").take(take),
-                    pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32)), pa.array(cut, pa.binary()),
+                    pa.array(n[which]), *(batch.column(c).take(take) for c in ("gram", "did", "rid", "place")),
+                    pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32)),
                 ],
-                ["core", "full", "gram", "n", "did", "rid", "place", "least", "most", "bytes"],
+                ["core", "full", "n", "gram", "did", "rid", "place", "least", "most"],
             )
 
     return run
@@ -358,24 +357,30 @@ def _crowded_spans(contexts: DataFrame, length: int) -> list[DataFrame]:
 
     Windows go by blocks, ever smaller ones. A block that occurs as a whole more than once has only
     repeated windows. One whose core no other block shares has none. The different blocks that share
-    a core are cut into smaller ones. All is done by counts, which are combined before the shuffle.
+    a core are cut into smaller ones. All is done by counts of hashes, which are combined before the
+    shuffle.
     """
-    fields = "gram long, n long, did long, rid long, place long, least int, most int, bytes binary"
-    last = F.col("front") - F.octet_length("bytes") + length
-    rows = contexts.select("gram", "n", "did", "rid", "place", last.cast("int").alias("least"), F.col("front").cast("int").alias("most"), "bytes")
+    context = ["gram", "did", "rid", "place"]
+    contexts = stored(contexts, "crowded-contexts")
+    least = (F.col("front") - F.octet_length("bytes") + length).cast("int")
+    whole = F.struct("n", least.alias("least"), F.col("front").cast("int").alias("most"))
+    rows = contexts.withColumn("open", F.array(whole))
     found = []
     for size in BLOCKS:
-        blocks = stored(rows.mapInArrow(_blocks(length, size), f"core long, full long, {fields}"), "blocks")
+        rows = rows.select(*context, "front", "bytes", "open")
+        kinds = "core long, full long, n long, gram long, did long, rid long, place long, least int, most int"
+        blocks = stored(rows.mapInArrow(_blocks(length, size), kinds), "blocks")
         different = stored(
-            blocks.groupBy("core", "full", "gram", "least", "most").agg(
-                F.sum("n").alias("n"), F.min(F.struct("did", "rid", "place")).alias("at"), F.first("bytes").alias("bytes")
-            ), "different-blocks",
+            blocks.groupBy("core", "full").agg(F.sum("n").alias("n"), F.min(F.struct(*context, "least", "most")).alias("at")),
+            "different-blocks",
         )
         again = blocks.where("n = 1").join(different.where("n > 1").select("full").distinct(), "full", "left_semi")
         start, end = F.col("place") - F.col("most"), F.col("place") - F.col("least") + F.lit(length)
         found.append(again.select("did", "rid", start.alias("start"), end.alias("end")))
         shared = stored(different.groupBy("core").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("core"), "cores")
-        rows = different.join(shared, "core", "left_semi").select("gram", "n", "at.*", "least", "most", "bytes")
+        left = different.join(shared, "core", "left_semi").select("n", "at.*")
+        left = left.groupBy(*context).agg(F.collect_list(F.struct("n", "least", "most")).alias("open"))
+        rows = contexts.join(stored(left, "open-blocks"), context)
     return found
 
 
