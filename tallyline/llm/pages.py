@@ -34,16 +34,22 @@ BLOCKS = {
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 # A paragraph, item or cell ends where the next one begins.
 ENDS = {"p": {"p"}, "li": {"li", "p"}, "td": {"td", "th", "p"}, "th": {"td", "th", "p"}, "tr": {"tr", "td", "th", "p"}, "option": {"option"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"}}
-# Words in a class or id that mark something other than the article.
-_MARKED = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|side-?bar|cookies?|consent|notice|newsletter|subscribe|share|social|"
-    r"comments?|comment-?list|disqus|replies|related|breadcrumbs?|menu|nav\w*|footer|header|toolbar|popup|modal)(?:$|[\s_-])", re.I,
+# Whole classes, ids and roles that name something other than the article. Names that only have such a
+# word as a part, as "has-sidebar" or "header-fixed", say how a page is laid out.
+_COMMENTS = r"comments?|disqus|replies"
+_PARTS = (
+    r"ads?|advert(?:s|isements?|ising)?|adsbygoogle|banner|sponsor(?:s|ed)?|promo(?:s|tions?)?|side-?bar|cookies?|consent|notice|newsletter|"
+    rf"subscribe|share|social|{_COMMENTS}|related|breadcrumbs?|menu|nav(?:bar|igation)?|footer|header|toolbar|popup|modal"
 )
+_MARKED = re.compile(rf"(?:site[_-])?(?:{_PARTS})(?:[_-](?:{_PARTS}|area|bar|box|buttons|container|links|list|section|widget))*")
+_OF_READERS = re.compile(rf"(?:{_COMMENTS})(?:[_-].*)?")
+# Elements that a class never takes out.
+WHOLE = {"html", "body", "main", "article"}
 _TOKEN = re.compile(
     rf"<!--.*?(?:--!?>|\Z)|<({RAW})\b(?:\"[^\"]*\"|'[^']*'|[^>\"'])*>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)[\"']?[^>]*>?|<[!?][^>]*>?|([^<]+)|(<)", re.S | re.I,
 )
-_CLASS = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
 
 
 class Token(NamedTuple):
@@ -57,19 +63,61 @@ class Token(NamedTuple):
     inside: bool  # within an element that holds the article
     chrome: bool  # within an element that is never part of it
     tag: str
+    marked: str  # class, id or role that names another part, of the nearest element that has one
 
 
-def tokens(page: str) -> Iterator[Token]:
+@dataclass
+class _Marked:
+    """An element with such a name, and what it holds outside of ``CHROME``."""
+
+    name: str
+    around: int  # place of the marked element around it, or -1
+    words: int = 0
+    articles: int = 0
+    mains: int = 0
+    heading: bool = False  # the first one of the page
+
+
+def _names(marked: list[_Marked], own: _Marked) -> list[str]:
+    """What each marked element counts as; ``own`` is the page outside of them.
+
+    An element around the article is no other part, whatever its class: one that holds all the ``main``
+    of the page, or, if there is none, all its articles, or the first ``h1`` and most of the words.
+    Articles in readers' comments are not meant. Such an element counts as what is around it.
+    """
+    for one in reversed(marked):
+        up = marked[one.around] if one.around >= 0 else own
+        up.words += one.words
+        up.articles += one.articles
+        up.mains += one.mains
+        up.heading |= one.heading
+    names: list[str] = []
+    for one in marked:
+        whole = one.mains == own.mains if own.mains else 0 < one.articles == own.articles
+        whole |= one.heading and 2 * one.words > own.words
+        names.append((names[one.around] if one.around >= 0 else "") if whole else one.name)
+    return names
+
+
+def tokens(page: str) -> list[Token]:
     """The words and tags of a page in order, in one pass; comments, scripts and styles are left out."""
-    stack: list[tuple[str, str, bool, bool]] = []  # name, mark, article, never article
+    stack: list[tuple[str, str, bool, bool, int]] = []  # name, mark, article, never article, place in marked
+    none = ("", "", False, False, -1)
+    rows: list[Token] = []
+    places: list[tuple[int, int]] = []  # token, marked element
+    marked, own, headed = [], _Marked("", -1), False
     block, link = "", 0
     for found in _TOKEN.finditer(page):
         _, closing, name, attributes, text, other = found.groups()
         if text or other:
             words = len((text or other).split())
             if words or text:
-                top = stack[-1] if stack else ("", "", False, False)
-                yield Token(words, text or other, top[1], block, link > 0, top[2], top[3], "")
+                top = stack[-1] if stack else none
+                if top[4] >= 0:
+                    places.append((len(rows), top[4]))
+                if not top[3]:
+                    (marked[top[4]] if top[4] >= 0 else own).words += words
+                rows.append(Token(words, text or other, top[1], block, link > 0, top[2], top[3], "", ""))
             continue
         if not name:
             continue
@@ -87,14 +135,36 @@ def tokens(page: str) -> Iterator[Token]:
                     stack.pop()
                 if name not in ENDS and stack and stack[-1][0] == "p":
                     stack.pop()
-                marks = " ".join("".join(m) for m in _CLASS.findall(attributes))
-                bad = name in CHROME or bool(_MARKED.search(marks))
-                up = stack[-1] if stack else ("", "", False, False)
-                mark = name if name in CHROME else f"{name}.{marks.split()[0].lower()}" if marks.split() and name not in CONTENT else up[1]
-                stack.append((name, mark, up[2] or name in CONTENT, up[3] or bad))
+                up = stack[-1] if stack else none
+                classes, held = [], up[4]
+                if "=" in attributes:
+                    for key, *values in _ATTRIBUTE.findall(attributes):
+                        if key.lower() in ("class", "id", "role"):
+                            classes += "".join(values).lower().split()
+                if name not in WHOLE and (part := next((c for c in classes if _MARKED.fullmatch(c)), "")):
+                    marked.append(_Marked(part, held))
+                    held = len(marked) - 1
+                if not up[3] and (name in CONTENT or name == "h1"):
+                    at = marked[held] if held >= 0 else own
+                    if name == "main":
+                        at.mains += 1
+                    elif name == "article":
+                        at.articles += not _OF_READERS.fullmatch(at.name)
+                    elif not headed:
+                        at.heading = headed = True
+                mark = name if name in CHROME else f"{name}.{classes[0]}" if classes and name not in CONTENT else up[1]
+                stack.append((name, mark, up[2] or name in CONTENT, up[3] or name in CHROME, held))
             block = "" if name in VOID and not stack else (stack[-1][0] if stack else "")
-        top = stack[-1] if stack else ("", "", False, False)
-        yield Token(0, "", top[1], block, False, top[2], top[3], name)
+        top = stack[-1] if stack else none
+        if top[4] >= 0:
+            places.append((len(rows), top[4]))
+        rows.append(Token(0, "", top[1], block, False, top[2], top[3], name, ""))
+    if marked:
+        names = _names(marked, own)
+        for at, k in places:
+            if names[k]:
+                rows[at] = rows[at]._replace(marked=names[k])
+    return rows
 
 
 @dataclass(frozen=True)
@@ -107,15 +177,19 @@ class Weights:
     tags: dict[str, float] = field(default_factory=dict)
     word: float = 1.0
     tag: float = -1.0
+    marks: dict[str, float] = field(default_factory=dict)
+    mark: float = -MOST
 
     def of(self, t: Token) -> float:
-        if t.chrome and t.inside:  # left out anyway; it does not end the article around it
+        if t.inside and (t.chrome or t.marked):  # left out anyway; it does not end the article around it
             return 0.0
         if not t.words:
             return self.tags.get(t.tag, self.tag) if t.tag else 0.0
         if t.chrome:
             return -MOST * t.words
         one = self.word + self.around.get(t.around, 0.0) + self.block.get(t.block, 0.0) + (self.link if t.link else 0.0)
+        if t.marked:
+            one += self.marks.get(t.marked, self.mark)
         return max(-MOST, min(MOST, one)) * t.words
 
 
@@ -135,9 +209,18 @@ def best_region(scores: list[float]) -> tuple[int, int]:
 
 
 def main_text(page: str | None, weights: Weights) -> str:
-    """The blocks of the best region, one in a line."""
-    found = list(tokens(page or ""))
-    start, end = best_region([weights.of(t) for t in found])
+    """The blocks of the best region, one in a line.
+
+    Marked parts are left out within an article, and where their words score negative. If nothing
+    else on the page scores, the marks are taken for layout and the page is scored without them.
+    """
+    found = tokens(page or "")
+    scores = [weights.of(t) for t in found]
+    start, end = best_region(scores)
+    if start == end and any(t.marked and t.words and not t.chrome for t in found):
+        found = [t._replace(marked="") if t.marked else t for t in found]
+        scores = [weights.of(t) for t in found]
+        start, end = best_region(scores)
     blocks, held = [], []
 
     def close() -> None:
@@ -146,11 +229,11 @@ def main_text(page: str | None, weights: Weights) -> str:
             blocks.append(text)
         held.clear()
 
-    for t in found[start:end]:
+    for t, score in zip(found[start:end], scores[start:end], strict=True):
         if t.tag:
             if t.tag in BLOCKS:
                 close()
-        elif not t.chrome:
+        elif not t.chrome and not (t.marked and (t.inside or score < 0)):
             held.append(t.text)
     close()
     return "\n".join(blocks)
@@ -163,12 +246,13 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for page in batch.column(0).to_pylist():
             for t in tokens(page or ""):
                 if t.tag:
-                    counts["tag", t.tag, t.inside and not t.chrome] += 1
+                    counts["tag", t.tag, t.inside and not t.chrome and not t.marked] += 1
                 elif t.words:
-                    label = t.inside and not t.chrome
+                    label = t.inside and not t.chrome and not t.marked
                     counts["around", t.around, label] += t.words
                     counts["block", t.block, label] += t.words
                     counts["link", str(t.link), label] += t.words
+                    counts["mark", t.marked, t.inside and not t.chrome and not _OF_READERS.fullmatch(t.marked)] += t.words
         rows = [(*k, n) for k, n in counts.items()]
         columns = list(zip(*rows, strict=True)) or [[]] * 4
         kinds = [pa.string(), pa.string(), pa.bool_(), pa.int64()]
@@ -182,7 +266,7 @@ def fit_weights(pages: DataFrame, most_pages: int = LABELLED_PAGES, most_names:
 
     At most ``most_pages`` of them are used, those with the least hash of the id. A weight is the
     logarithm of how much likelier words of a kind are within articles than elsewhere; tags never
-    score above -0.05. The ``most_names`` most frequent names of each part are kept. Without labelled
+    score above -0.05, and names of other parts never weigh above -0.1. The ``most_names`` most frequent names of each part are kept. Without labelled
     pages the defaults hold.
     """
     spark = pages.sparkSession
@@ -198,7 +282,7 @@ def fit_weights(pages: DataFrame, most_pages: int = LABELLED_PAGES, most_names:
     )
     counts = stored(counts, "weights")
     kept = []
-    for part in ("around", "block", "link", "tag"):
+    for part in ("around", "block", "link", "tag", "mark"):
         kept += counts.where(F.col("part") == part).orderBy(F.desc(F.col("yes") + F.col("no")), "name").limit(most_names).collect()
     if not kept:
         return Weights()
@@ -213,6 +297,7 @@ def fit_weights(pages: DataFrame, most_pages: int = LABELLED_PAGES, most_names:
     return Weights(
         around=odds("around"), block=odds("block"), link=min(-0.1, odds("link").get("True", -1.5)),
         tags={k: min(-0.05, v) for k, v in odds("tag").items()},
+        marks={k: min(-0.1, v) for k, v in odds("mark").items() if k},
     )
 
 

@@ -18,6 +18,40 @@ def test_article_without_the_rest(spark):
     assert got[1].n_chars == len(WANT) and got[1].url == "u"
 
 
+def test_classes_of_bodies_and_wrappers(spark):
+    plain = PAGE.replace("<article>", "<div>").replace("</article>", "</div>").replace("<aside>Side remark here</aside><form><input>Your mail</form>", "")
+    bodies = ["page has-sidebar", "no-sidebar", "header-fixed", "nav menu", "comments"]
+    wraps = [*bodies, "entry-content has-share", "navy", "sidebar", "ad"]
+    made = [p.replace("<body>", f'<body class="{c}">') for c in bodies for p in (PAGE, plain)]
+    made += [p.replace("<body>", f'<body><div class="{c}" data-id="share">').replace("</body>", "</div></body>") for c in wraps for p in (PAGE, plain)]
+    made += [PAGE.replace("<article>", f'<article class="{c}"><div id="{c}">').replace("</article>", "</div></article>") for c in ("has-share", "menu-open")]
+    made += [f'<div class="sidebar"><p>{WANT}</p></div>'.replace("\n", "<p>").replace("&", "&amp;")]
+    kinds = "page_id LONG, url STRING, html STRING"
+    frame = spark.createDataFrame([(k, None, p) for k, p in enumerate(made)], kinds)
+    got = {r.page_id: r.text for r in pages.extract_main(frame).collect()}
+    assert {made[k]: v for k, v in got.items() if v != WANT} == {}
+
+
+def test_marked_parts_are_still_left_out():
+    weights = pages.Weights()
+    words = "some words of the article that go on "
+    for mark in ("ad", "cookie-notice", "comment-list", "site-footer", "share-buttons"):
+        part = f'<div class="{mark}">Other words here</div>'
+        for page in (f"<article><p>{words * 4}</p>{part}<p>{words * 4}</p></article>", f"{part}<div><p>{words * 4}</p>{part}<p>{words * 4}</p></div>{part}"):
+            assert "Other" not in pages.main_text(page, weights) and pages.main_text(page, weights).count("some") == 8
+    readers = '<div id="comments">' + f"<article><p>{words * 9}</p></article>" * 3 + "</div>"
+    for page in (f"<div><h1>A title of some words</h1><p>{words}</p></div>{readers}", f"<article><h1>A title of some words</h1><p>{words}</p>{readers}</article>"):
+        assert pages.main_text(page, weights) == f"A title of some words\n{words.strip()}"
+
+
+def test_marks_are_learnt(spark):
+    page = '<article><p>{0}</p></article><div class="promo">{0}</div><div class="ads">{0}</div>'.format("some words " * 9)
+    inner = '<article><div class="related">{0}</div><p>{0}</p></article>'.format("some words " * 9)
+    frame = spark.createDataFrame([(k, None, p) for k, p in enumerate([page, inner] * 5)], "page_id LONG, url STRING, html STRING")
+    marks = pages.fit_weights(frame).marks
+    assert set(marks) == {"promo", "ads", "related"} and marks["promo"] < -1 and marks["related"] == -0.1
+
+
 def test_odd_pages(spark):
     odd = [None, "", "   ", "plain words only", "<p>", "<", "a < b", "<!-- open", "<script>never ends", "<article></article>",
            "<p class='x>broken", "<article><p>" + "word " * 50_000 + "</article>", "</div></p></html>"]
