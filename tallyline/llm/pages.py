@@ -24,7 +24,7 @@ MOST = 4.0
 
 # Elements by their part in a page.
 CONTENT = {"article", "main"}
-CHROME = {"nav", "header", "footer", "aside", "form", "menu", "dialog", "head", "button", "select", "figcaption"}
+CHROME = {"nav", "header", "footer", "aside", "form", "menu", "dialog", "head", "button", "select"}
 RAW = "script|style|noscript|template|textarea|svg|iframe|object|title"
 BLOCKS = {
     "address", "article", "aside", "blockquote", "body", "br", "caption", "center", "dd", "details", "dialog", "dir", "div", "dl", "dt",

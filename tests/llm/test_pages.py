@@ -52,6 +52,17 @@ def test_marks_are_learnt(spark):
     assert set(marks) == {"promo", "ads", "related"} and marks["promo"] < -1 and marks["related"] == -0.1
 
 
+def test_captions_of_figures_stay(spark):
+    figure = '<figure><img src="a.png"><figcaption>What the picture shows</figcaption></figure>'
+    page = PAGE.replace("<p>Last words", figure + "<p>Last words")
+    frame = spark.createDataFrame([(1, "u", page)], "page_id LONG, url STRING, html STRING")
+    want = WANT.replace("\nLast", "\nWhat the picture shows\nLast")
+    assert pages.extract_main(frame).first().text == want
+    words = "some words of the article that go on " * 3
+    plain = f"<div><p>{words}</p>{figure}<p>{words}</p></div>"
+    assert pages.main_text(plain, pages.Weights()) == f"{words.strip()}\nWhat the picture shows\n{words.strip()}"
+
+
 def test_odd_pages(spark):
     odd = [None, "", "   ", "plain words only", "<p>", "<", "a < b", "<!-- open", "<script>never ends", "<article></article>",
            "<p class='x>broken", "<article><p>" + "word " * 50_000 + "</article>", "</div></p></html>"]
