@@ -67,27 +67,35 @@ FEATURES = [
 ]
 
 
+def _text_hash(id_col: str, text_col: str) -> Column:
+    """What a document without an id is known by."""
+    return F.when(F.col(id_col).cast("long").isNull(), F.sha2(F.col(text_col).cast("string").cast("binary"), 256))
+
+
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str = "source") -> DataFrame:
-    """Per candidate: ``doc_id``, ``path``, ``rule``, ``start``, ``length`` (characters), ``value``, ``before``, ``after``."""
+    """Per candidate: ``doc_id``, ``path``, ``rule``, ``start``, ``length`` (characters), ``value``, ``before``, ``after``.
+
+    Where ``doc_id`` is null, ``text_hash`` tells the document instead.
+    """
     text = F.translate(F.coalesce(F.col(text_col).cast("string"), F.lit("")), OPEN + CLOSE, "  ")
     marked = F.regexp_replace(text, "|".join(f"(?:{p})" for p in PATTERNS.values()), f"{OPEN}$0{CLOSE}")
     rows = docs.select(
-        F.col(id_col).cast("long").alias("doc_id"), F.col(path_col).cast("string").alias("path"), marked.alias("marked")
+        F.col(id_col).cast("long").alias("doc_id"), _text_hash(id_col, text_col).alias("text_hash"), F.col(path_col).cast("string").alias("path"), marked.alias("marked")
     ).where(F.contains("marked", F.lit(OPEN)))
-    rows = rows.select("doc_id", "path", F.monotonically_increasing_id().alias("row"), F.split("marked", OPEN).alias("parts"))
+    rows = rows.select("doc_id", "text_hash", "path", F.monotonically_increasing_id().alias("row"), F.split("marked", OPEN).alias("parts"))
     part = F.col("part")
-    rows = rows.select("doc_id", "path", "row", F.posexplode("parts").alias("n", "part"))
+    rows = rows.select("doc_id", "text_hash", "path", "row", F.posexplode("parts").alias("n", "part"))
     value = F.substring_index(part, CLOSE, 1)
     rest = F.substring_index(part, CLOSE, -1)
     rows = rows.select(
-        "doc_id", "path", "row", "n",
+        "doc_id", "text_hash", "path", "row", "n",
         F.when(F.col("n") > 0, value).alias("value"), F.length(rest).alias("rest"),
         F.right(rest, F.lit(BEFORE)).alias("tail"), F.left(rest, F.lit(AFTER)).alias("after"),
     )
     own = Window.partitionBy("row").orderBy("n")
     ahead = F.sum(F.coalesce(F.length("value"), F.lit(0)) + F.col("rest")).over(own) - F.col("rest") - F.length("value")
     rows = rows.select(
-        "doc_id", "path", ahead.cast("long").alias("start"), F.length("value").alias("length"), "value",
+        "doc_id", "text_hash", "path", ahead.cast("long").alias("start"), F.length("value").alias("length"), "value",
         F.lag("tail").over(own).alias("before"), "after",
     ).where(F.col("value").isNotNull())
     rule = F.lit("assigned")
@@ -225,15 +233,15 @@ def scan_secrets(
     """Per candidate: place, rule, value, ``score`` of the forest and ``secret`` (score from ``threshold`` on).
 
     Whole texts are scanned; null and empty ones have no candidates. ``start`` counts characters from
-    0. Rows with null or repeated ids are scanned one by one; a null path counts as empty. Without a
-    model, one is fitted on ``labelled_findings``.
+    0. Rows with null or repeated ids are scanned one by one, and ``text_hash`` (of the text) stands for
+    a null id; a null path counts as empty. Without a model, one is fitted on ``labelled_findings``.
     """
     model = model or fit_forest(labelled_findings(docs.sparkSession))
     scored = model.transform(with_features(candidates(docs, id_col, text_col, path_col)))
     score = vector_to_array("probability")[1]
     return scored.select(
         "doc_id", "path", "rule", "start", F.col("length").cast("long").alias("length"), "value",
-        score.alias("score"), (score >= threshold).alias("secret"),
+        score.alias("score"), (score >= threshold).alias("secret"), "text_hash",
     )
 
 
@@ -241,15 +249,15 @@ def mask_secrets(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text
     """``docs`` with every secret that ``found`` has for the document replaced by ``MASK``.
 
     ``found``: the result of ``scan_secrets``. The columns stay as they are; documents without
-    secrets, with a null text or a null id are not changed.
+    secrets or with a null text are not changed. Those without an id are found by the hash of their text.
     """
     values = (
-        found.where("secret and doc_id is not null").groupBy(F.col("doc_id").alias("_id"))
+        found.where("secret").groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
         .agg(F.sort_array(F.collect_set("value"), asc=False).alias("_values"))
     )
     # The longest first, so that no secret hides within another.
     values = values.withColumn("_values", F.expr("array_sort(_values, (x, y) -> length(y) - length(x))"))
-    rows = docs.join(values, F.col(id_col).cast("long") == F.col("_id"), "left")
+    rows = docs.join(values, F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & _text_hash(id_col, text_col).eqNullSafe(F.col("_hash")), "left")
     masked = F.aggregate("_values", F.col(text_col).cast("string"), lambda t, v: F.replace(t, v, F.lit(MASK)))
     text = F.when(F.col("_values").isNotNull(), masked).otherwise(F.col(text_col))
     return rows.select(*(text.alias(c) if c == text_col else F.col(c) for c in docs.columns))
@@ -257,4 +265,4 @@ def mask_secrets(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text
 
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Candidates for secrets in all ``documents``, with the decision of the forest."""
-    return scan_secrets(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return scan_secrets(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("text_hash")

@@ -42,6 +42,16 @@ def test_findings_and_masks(spark):
     assert HEX.upper() not in masked[2].text and len(masked) == len(rows)
 
 
+def test_rows_without_an_id_are_masked(spark):
+    told = 'then token = "{}" and more'
+    texts = [told.format(HEX), told.format(HEX[::-1]), f"commit {HEX} of the tree", None, "plain words"]
+    rows = [(None, t, "src", str(k)) for k, t in enumerate(texts)] + [(None, texts[0], "src", "5"), (7, texts[0], "src", "6"), (7, texts[1], "src", "7")]
+    docs = spark.createDataFrame(rows, KIND)
+    got = {r.score: r.text for r in secrets.mask_secrets(docs, secrets.scan_secrets(docs)).collect()}
+    hidden = told.format(secrets.MASK)
+    assert got == {"0": hidden, "1": hidden, "2": texts[2], "3": None, "4": "plain words", "5": hidden, "6": hidden, "7": hidden}
+
+
 def test_every_rule_under_every_source(spark):
     odd = "q7Zp2XkV9sRt4LmN8bWc3HyJ6dFg1TaKe5UoPiQvEx0"
     pem = "\n".join((odd[k:] + odd[:k] + odd)[:64] for k in range(25))
