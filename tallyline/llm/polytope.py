@@ -17,7 +17,7 @@ from tallyline.session import stored
 
 #: Part of the pairs at the very threshold that may share no bucket.
 MISS = 1e-6
-MOST_TABLES = 64
+MOST_TABLES = 128
 #: Members of a bucket that are held against each other in one task; larger buckets are cut into blocks.
 BLOCK = 2048
 #: Members of buckets that one task reads, and pairs that it compares at once.
@@ -47,7 +47,7 @@ class Polytope:
         self.dims, self.hashes, self.tables = dims, hashes, tables
         self.width = 1 << max(1, (dims - 1).bit_length())
         random = np.random.default_rng(3)
-        self.signs = random.choice(np.array([-1.0, 1.0]), (MOST_TABLES, hashes, ROTATIONS, self.width))
+        self.signs = random.choice(np.array([-1.0, 1.0]), (tables, hashes, ROTATIONS, self.width))
 
     def vertices(self, unit: np.ndarray, table: int, hash_: int) -> tuple[np.ndarray, np.ndarray]:
         """The nearest and second nearest vertex of each rotated vector, and by how much the second is behind."""
@@ -85,7 +85,9 @@ class Polytope:
 def shape_for(dims: int, rows: int, cosine: float, miss: float = MISS) -> Polytope:
     """Hashes by the number of rows, and tables by how often pairs at the threshold meet in one.
 
-    The rate is taken from 4000 random pairs at that very cosine.
+    The rate is taken from 4000 random pairs at that very cosine. Where it asks for more than
+    ``MOST_TABLES`` tables, fewer hashes are taken, so that pairs meet more often; with one hash there
+    are as many tables as it asks for.
     """
     width = 1 << max(1, (dims - 1).bit_length())
     hashes = max(1, math.ceil(math.log(max(4 * rows, 2)) / math.log(2 * width)))
@@ -96,10 +98,16 @@ def shape_for(dims: int, rows: int, cosine: float, miss: float = MISS) -> Polyto
     y -= (y * x).sum(axis=1, keepdims=True) * x
     y /= np.maximum(np.linalg.norm(y, axis=1, keepdims=True), 1e-12)
     y = cosine * x + math.sqrt(1 - cosine**2) * y
-    trial = Polytope(dims, hashes, 4)
-    meet = (trial.keys(x)[:, :, :, None] == trial.keys(y)[:, :, None, :]).any(axis=(2, 3)).mean()
-    tables = MOST_TABLES if meet <= 0 else math.ceil(math.log(miss) / math.log(max(1 - meet, 1e-9)))
-    return Polytope(dims, hashes, min(MOST_TABLES, max(4, tables)))
+    while True:
+        trial = Polytope(dims, hashes, 4)
+        meet = (trial.keys(x)[:, :, :, None] == trial.keys(y)[:, :, None, :]).any(axis=(2, 3)).mean()
+        tables = math.ceil(math.log(miss) / math.log(max(1 - meet, 1e-9))) if meet > 0 else math.inf
+        if hashes == 1 or tables <= MOST_TABLES:
+            break
+        hashes -= 1
+    if tables == math.inf:
+        raise ValueError(f"pairs at cosine {cosine} do not meet in {dims} dimensions, so no number of tables finds them")
+    return Polytope(dims, hashes, max(4, tables))
 
 
 def _vectors(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

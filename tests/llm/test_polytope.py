@@ -69,3 +69,17 @@ def test_pairs_of_large_groups():
     near = unit @ unit.T
     want = {(i, j) for lo, hi in ((3, 300), (300, 500)) for i in range(lo, hi) for j in range(i + 1, hi) if near[i, j] >= 0.9}
     assert want <= got and all(near[i, j] >= 0.9 - 1e-8 for i, j in got)
+
+
+def test_miss_rate_of_large_tables():
+    random = np.random.default_rng(7)
+    for dims, rows in ((64, 10**6), (64, 10**8), (64, 10**10), (384, 10**9)):
+        shape = polytope.shape_for(dims, rows, 0.9)
+        x = random.normal(size=(6000, dims))
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        y = random.normal(size=x.shape)
+        y -= (y * x).sum(axis=1, keepdims=True) * x
+        y = 0.9 * x + (1 - 0.81) ** 0.5 * y / np.linalg.norm(y, axis=1, keepdims=True)
+        few = polytope.Polytope(dims, shape.hashes, 4)
+        meet = (few.keys(x)[:, :, :, None] == few.keys(y)[:, :, None, :]).any(axis=(2, 3)).mean()
+        assert shape.signs.shape[0] == shape.tables and (1 - meet) ** shape.tables < 3e-6
