@@ -67,3 +67,87 @@ def repeats(texts, length=400):
         spans = sum(1 for i, g in enumerate(flags) if g and (i == 0 or not flags[i - 1]))
         out.append((len(d), sum(flags), spans, bytes(c for c, g in zip(d, flags, strict=True) if not g)))
     return out
+
+
+def digest(text):
+    import hashlib
+
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def merkle(rows, fan=8):
+    """{number of the row: (leaf, subroot, root, proof, folded, verified)} of (doc_id, source, lang, n_chars, text) rows."""
+    import zlib
+
+    def leaf(row):
+        return digest("".join("-" if v is None else f"{len(str(v).encode())}:{v}" for v in row))
+
+    def low(text):
+        return None if text is None else "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
+
+    def grow(nodes):
+        levels = [nodes]
+        while len(levels[-1]) > 1:
+            levels.append([digest("".join(levels[-1][i : i + fan])) for i in range(0, len(levels[-1]), fan)])
+        return levels
+
+    def way(levels, at):
+        for level in levels[:-1]:
+            run = level[at // fan * fan : at // fan * fan + fan]
+            yield run[: at % fan], run[at % fan + 1 :]
+            at //= fan
+
+    groups = defaultdict(list)
+    for i, (doc, source, lang, n, text) in enumerate(rows):
+        groups[(lang is not None, (lang or "").encode())].append((doc is not None, doc or 0, leaf((doc, source, lang, n, text)), i))
+    trees = {g: (grow([m[2] for m in sorted(held)]), sorted(held)) for g, held in groups.items()}
+    names = sorted(trees)
+    top, out = grow([trees[g][0][-1][0] for g in names]), {}
+    for place, g in enumerate(names):
+        levels, held = trees[g]
+        for at, (_, _, own, i) in enumerate(held):
+            path = [*way(levels, at), *way(top, place)]
+            doc, source, lang, n, text = rows[i]
+            cur = own
+            if doc is not None and zlib.crc32(str(doc).encode()) % 3 == 0:
+                cur = leaf((doc, source, lang, n, low(text)))
+            for left, right in path:
+                cur = digest("".join([*left, cur, *right]))
+            proof = digest("".join("".join(left + right) for left, right in path))
+            out[i] = (own, levels[-1][0], top[-1][0], proof, cur, cur == top[-1][0])
+    return out
+
+
+def trie(rows):
+    """{(conv_id, depth): (parent, members, children, leaves, saved, ends)} of (conv_id, turn, role, text) rows."""
+    import zlib
+
+    own = defaultdict(list)
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            own[conv].append(((turn is not None, turn or 0), role or "", text or ""))
+    own = {c: [(r, t) for _, r, t in sorted(turns)] for c, turns in own.items()}
+    made = {}
+    for c, turns in own.items():
+        h = zlib.crc32(str(c).encode()) % 4
+        made[c] = own.get(c - int(abs(c) % 20 * (1 if c >= 0 else -1)), [])[:h] + turns[h:]
+    members, kids = defaultdict(list), defaultdict(set)
+    for c in sorted(made):
+        path = tuple(made[c])
+        for d in range(len(path) + 1):
+            members[path[:d]].append(c)
+            if d < len(path):
+                kids[path[:d]].add(path[: d + 1])
+    leaves, saved = defaultdict(int), defaultdict(int)
+    for path, held in members.items():
+        words = len(_WORD.findall(path[-1][1].encode())) if path else 0
+        for d in range(len(path) + 1):
+            leaves[path[:d]] += not kids[path]
+            saved[path[:d]] += (len(held) - 1) * words
+    return {
+        (held[0], len(path)): (
+            members[path[:-1]][0] if path else None, len(held), len(kids[path]), leaves[path], saved[path],
+            digest(",".join(str(c) for c in held if len(made[c]) == len(path))),
+        )
+        for path, held in members.items()
+    }
