@@ -234,6 +234,8 @@ def build_manifest(
     name = F.col(group) if isinstance(group, str) else group
     # "-" sorts before "=", so null comes before every name.
     named = rows.withColumn("grp", F.coalesce(F.concat(F.lit("="), name.cast("string")), F.lit("-")))
+    # Texts are read and hashed once; counts, ranges and windows go over digests.
+    named = stored(named, "merkle-rows")
     placed = ordered_scan(named, ["grp"], [*order, "leaf"], ordered_rows, at=position())
     leaves = stored(placed.select(
         "grp", "at", F.unhex("leaf").alias("digest"), F.unhex("changed").alias("changed"), "row",
