@@ -9,6 +9,7 @@ from tallyline.llm.packing import op1_best_fit_packing
 from tallyline.llm.pages import op5_main_text
 from tallyline.llm.pieces import op7_sampled_pieces
 from tallyline.llm.polytope import op3_polytope_near_dedup
+from tallyline.llm.prints import op12_document_fingerprints
 from tallyline.llm.secrets import op2_secret_scan
 from tallyline.llm.suffixes import op6_suffix_array_dedup
 from tallyline.llm.topk import OP8_SQL, op8_exact_top_k
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_warc_from_arc": op9_warc_from_arc,
     "op10_toxicity": op10_toxicity,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_document_fingerprints": op12_document_fingerprints,
     "op13_conversation_trie": op13_conversation_trie,
 }
 
