@@ -18,11 +18,12 @@ from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyline.operators.ordered import ordered_scan, position
-from tallyline.session import stored
+from tallyline.session import work_dir
 
 PRIMES = (2_147_483_647, 2_147_483_629)
 BASES = (1_000_003, 998_244_353)
@@ -247,6 +248,14 @@ _TYPES = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.fl
 _BATCH = 512
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts compressed one by one, so that the shuffle carries about half of them."""
+    pack = zstandard.ZstdCompressor(level=1).compress
+    for batch in batches:
+        texts = batch.column(0).cast(pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array([pack(t.as_py()) for t in texts], pa.binary()), *batch.columns[1:]], ["packed", *batch.schema.names[1:]])
+
+
 def _in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One ordered range: each row beside the next, and the first and last ones for what lies beyond.
 
@@ -261,10 +270,10 @@ def _in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out.clear()
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
 
-    before = None
+    before, unpack = None, zstandard.ZstdDecompressor().decompress
     for batch in batches:
         for part, ident, text in zip(*(batch.column(i) for i in range(3)), strict=True):
-            row = (part.as_py(), ident.as_py(), text.as_py() or "")
+            row = (part.as_py(), ident.as_py(), unpack(text.as_py()).decode())
             own = fingerprint(row[2])
             if before is None:
                 out.append((row[0], "first", row[1], row[2], len(row[2]), None, own, None, None, None))
@@ -297,16 +306,23 @@ def document_fingerprints(docs: DataFrame) -> DataFrame:
     Null texts are empty; two empty texts are alike (1), an empty and another one not (0). Columns
     beside ``doc_id`` and ``text`` are not looked at. No rows give no rows.
 
-    The texts are shuffled once, into ordered ranges, and each range is read as a stream. What lies
+    The texts are shuffled once, compressed, into ordered ranges, and each range is read as a stream. What lies
     beyond its last row comes from the first row of the next range.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     # Exact copies of a row may be many; their numbers spread them over ranges.
-    order = [F.desc_nulls_last("doc_id"), F.xxhash64("text").asc(), F.col("_copy").asc()]
-    ranges = rows.withColumn("_copy", F.monotonically_increasing_id()).repartitionByRange(*order).sortWithinPartitions(*order)
-    marked = ranges.select(F.spark_partition_id().alias("part"), "doc_id", "text")
+    rows = docs.select(
+        text.alias("text"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("hash"),
+        F.monotonically_increasing_id().alias("copy"),
+    ).mapInArrow(_packed, "packed binary, doc_id long, hash long, copy long")
+    order = [F.desc_nulls_last("doc_id"), F.col("hash").asc(), F.col("copy").asc()]
+    ranges = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    marked = ranges.select(F.spark_partition_id().alias("part"), "doc_id", "packed")
     # Written once, as ranges are cut anew whenever the plan is run.
-    found = stored(marked.mapInArrow(_in_order, f"part int, kind string, doc_id long, text string, {_RESULT}"), "prints")
+    path = work_dir(docs.sparkSession, "prints")
+    compared = marked.mapInArrow(_in_order, f"part int, kind string, doc_id long, text string, {_RESULT}")
+    compared.write.option("compression", "zstd").parquet(path)
+    found = docs.sparkSession.read.schema(compared.schema).parquet(path)
     firsts = found.where("kind = 'first'").select("part", F.col("text").alias("next"), F.col("fingerprint").alias("next_print"))
     numbers = ordered_scan(firsts.select("part"), [], ["part"], at=position())
     parts = numbers.count()
