@@ -156,6 +156,16 @@ def latest_start(spark, d):
     return flows.latest_start(spark, d)
 
 
+def empty_start(spark, d):
+    _events(spark, d)
+    return flows.empty_start(spark, d)
+
+
+def compacted_history(spark, d):
+    _events(spark, d)
+    return flows.compacted_history(spark, d)
+
+
 def reader_agreement(spark, d):
     text = F.col("value")
     # Lines that readers may take in different ways: arrays, and a field that occurs twice.
@@ -363,6 +373,7 @@ QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     unprofitable_machines, top_machines, healthy_share, stockout_risk, silent_machines,
     interval_scan, interval_money, delay_null_items, slice_overall, latest_start, reader_agreement,
     restart_on_message, serving_null_units, batch_sizes, count_per_item_update,
+    empty_start, compacted_history,
 )
 
 
@@ -497,6 +508,12 @@ SELECT item, time_stamp, id FROM P QUALIFY row_number() OVER (ORDER BY time_stam
         "latest_start": f"""WITH {_P}
 SELECT item, count(*) FILTER (CAST(unit AS BIGINT) % 3 <> 0) + count(*) FILTER (unit = (SELECT min(unit) FROM P)) AS count
 FROM P GROUP BY item""",
+        "empty_start": _COUNT,
+        # In update mode an item's snapshots are the batches with events of it; every unit has some of each.
+        "compacted_history": f"""WITH {_P}, U AS (SELECT count(DISTINCT unit) AS units FROM P),
+B AS (SELECT CAST(ceil(units / ceil(units / 8)) AS BIGINT) AS snapshots FROM U)
+SELECT m.mode AS mode, item, count(*) AS count, any_value(snapshots) AS snapshots
+FROM P, B, (VALUES ('complete'), ('update')) AS m(mode) GROUP BY 1, 2""",
         "reader_agreement": """
 SELECT r.reader AS reader, event_type AS item, count(*) AS count
 FROM events, (VALUES ('archive'), ('decoded'), ('live')) AS r(reader)

@@ -25,7 +25,12 @@ def latest_snapshot(
     if mode == "complete":
         last = current.agg(F.max("batch_id").alias("b")).scalar()
         current = current.filter((F.col("batch_id") == last) | (F.col("batch_id") == RESET_BATCH))
-    own = [*keys, "unit"] if "unit" in view.columns and "unit" not in keys else list(keys)
+    return counts_of(current, keys)
+
+
+def counts_of(current: DataFrame, keys: Sequence[str] = ("item",)) -> DataFrame:
+    """Count per key out of snapshots of one epoch: of each key, and unit, the newest one."""
+    own = [*keys, "unit"] if "unit" in current.columns and "unit" not in keys else list(keys)
     per_unit = current.groupBy(*own).agg(F.max_by("count", "batch_id").alias("count"))
     if own == list(keys):
         return per_unit

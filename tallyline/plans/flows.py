@@ -19,6 +19,7 @@ from tallyline.sources.topics import read_archive_json, read_events
 from tallyline.sources.views import ensure_view, read_view
 from tallyline.streaming.control import emit_restart, on_restart
 from tallyline.streaming.epochs import activate_epoch, active_table, covered_units, rotate_epoch, uncovered
+from tallyline.streaming.history import compact_history, current_snapshot, drop_compacted, read_history
 from tallyline.streaming.queries import (
     DRAIN, append_raw_view, archive, batch_sizes, publish, replay, run_until_ok, snapshot_stream, write_snapshot,
 )
@@ -214,6 +215,45 @@ def latest_start(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_snapshot(read_view(spark, f"{work}/view", REALTIME_VIEW))
 
 
+def empty_start(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of a stream that started at the end of a topic before there was one."""
+    work = work_dir(spark, "empty")
+
+    def drain() -> None:
+        late = read_events(spark, "text", f"{work}/topic", streaming=True, start="latest", start_record=f"{work}/start")
+        snapshot_stream(late, f"{work}/view", f"{work}/checkpoint", trigger=DRAIN).awaitTermination()
+
+    drain()
+    publish(payloads(spark, sf_dir).repartition("unit"), f"{work}/topic")
+    drain()
+    return current_snapshot(spark, f"{work}/view")
+
+
+def compacted_history(spark: SparkSession, sf_dir: str, batches: int = 8) -> DataFrame:
+    """Current counts and number of snapshots per item of live views in both modes, compacted twice while they grow."""
+    parts = []
+    for mode in ("complete", "update"):
+        work = work_dir(spark, "compacted")
+        view = f"{work}/view"
+        write, events = write_snapshot(view, 0), topic(spark, sf_dir, f"{work}/topic", batches)
+
+        def tidy_halfway(batch: DataFrame, batch_id: int, write=write, view=view, mode=mode) -> None:
+            write(batch, batch_id)
+            if batch_id == batches // 2:
+                compact_history(spark, view, 0, mode)
+                drop_compacted(spark, view, 0)
+
+        snapshot_stream(
+            events, view, f"{work}/checkpoint", trigger=DRAIN, mode=mode, callback=tidy_halfway
+        ).awaitTermination()
+        compact_history(spark, view, 0, mode)
+        drop_compacted(spark, view, 0)
+        snapshots = count_by(read_history(spark, view)).withColumnRenamed("count", "snapshots")
+        now = current_snapshot(spark, view, mode=mode).join(snapshots, "item", "full")
+        parts.append(now.select(F.lit(mode).alias("mode"), "item", "count", "snapshots"))
+    return parts[0].unionByName(parts[1])
+
+
 def reader_agreement(spark: SparkSession, lines: DataFrame) -> DataFrame:
     """Events per item that the archive scan, the decoder and the live view count over the same lines."""
     work = work_dir(spark, "readers")

@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyline.operators.counts import count_items
-from tallyline.operators.merge import latest_snapshot, serving_view, without_units
-from tallyline.schema import BATCH_VIEW, EPOCH_TABLE, REALTIME_VIEW
+from tallyline.operators.merge import serving_view, without_units
+from tallyline.schema import BATCH_VIEW, EPOCH_TABLE
 from tallyline.sources.topics import source_of
 from tallyline.sources.views import read_view
 from tallyline.streaming.epochs import active_epoch, active_table, covered_units, publish_run, write_run
+from tallyline.streaming.history import current_snapshot
 
 NO_RUN = -1
 
@@ -68,5 +69,5 @@ def served_totals(
     run_id = published.agg(F.coalesce(F.max("run_id"), F.lit(NO_RUN)).alias("r")).first()["r"]
     batch = read_view(spark, batch_view, BATCH_VIEW).filter(F.col("run_id") == run_id)
     epoch = active_epoch(spark, active or active_table(realtime_view), realtime_view)
-    live = latest_snapshot(read_view(spark, realtime_view, REALTIME_VIEW), [*keys, "unit"], epoch=epoch)
+    live = current_snapshot(spark, realtime_view, [*keys, "unit"], epoch)
     return serving_view(batch, live, covered_units(spark, epoch_table, run_id), keys)

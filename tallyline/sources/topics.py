@@ -11,8 +11,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyline.functions.decode import decode_rows
+from tallyline.sources.folders import ensure_folder, exists
 
 OFFSETS_PER_UNIT = 1_000_000
+# From a file's time to its commit at most; files older than this at a start are known by time alone.
+SETTLE_S = 3_600
+# Names of recent files that go into a filter; more are joined.
+FEW_NAMES = 1_000
 
 
 def offset_unit(partition: str, offset: str, per_unit: int = OFFSETS_PER_UNIT, topic: str = "topic") -> Column:
@@ -25,14 +30,42 @@ def source_of(unit: str) -> Column:
     return F.regexp_extract(unit, "^(.*):", 1)
 
 
-def _known_files(spark: SparkSession, location: str, record: str) -> DataFrame:
-    """The files a topic had when a reader first started at its end, out of the ``record`` of that start.
+def _start_record(spark: SparkSession, location: str, record: str, settle_s: int) -> DataFrame:
+    """What a topic held when a reader first started at its end: ``(since, file)``, out of ``record``.
 
-    The record is written once and read back at each later start. Only names are read, not files.
+    ``since`` lies ``settle_s`` before the newest file (null for an empty topic, no row for a file).
+    Files below it are past; the files from it on are named one by one. Written once, from names and
+    times alone, and read back at each later start; a try that did not come to its end is done again.
     """
-    there = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(location)
-    there.select(F.col("_metadata.file_path").alias("_file")).write.mode("ignore").parquet(record)
-    return spark.read.schema("_file STRING").parquet(record)
+    if not exists(spark, f"{record}/_SUCCESS"):
+        there = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(location).select(
+            F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_modification_time").alias("time")
+        )
+        newest = there.agg((F.max("time") - F.make_dt_interval(secs=F.lit(settle_s))).alias("since"))
+        since = F.timestamp_micros(F.lit(newest.select(F.unix_micros("since").alias("s")).first()["s"]).cast("bigint"))
+        named = there.filter(F.col("time") >= since).select(since.alias("since"), "file")
+        start = spark.range(1).select(since.alias("since"), F.lit(None).cast("string").alias("file"))
+        start.unionByName(named).write.mode("overwrite").parquet(record)
+    return spark.read.schema("since TIMESTAMP, file STRING").parquet(record)
+
+
+def _after_start(rows: DataFrame, location: str, record: str, settle_s: int, few_names: int) -> DataFrame:
+    """Rows of files that were not there at the recorded start.
+
+    The time, and the names while they are few, are literals on the file's metadata, so files of the
+    past are left out of the listing and never opened. Many names are joined instead.
+    """
+    known = _start_record(rows.sparkSession, location, record, settle_s)
+    row = known.agg(F.max(F.unix_micros("since")).alias("since"), F.count("file").alias("names")).first()
+    if row["since"] is None:
+        return rows
+    name = F.col("_metadata.file_path")
+    late = rows.filter(F.col("_metadata.file_modification_time") >= F.timestamp_micros(F.lit(row["since"]).cast("bigint")))
+    files = known.filter("file IS NOT NULL").select(F.col("file").alias("_file"))
+    if row["names"] <= few_names:
+        # At most ``few_names`` names.
+        return late.filter(~name.isin([r["_file"] for r in files.collect()])) if row["names"] else late
+    return late.withColumn("_file", name).join(files, "_file", "left_anti").drop("_file")
 
 
 def read_events(
@@ -45,13 +78,18 @@ def read_events(
     options: dict[str, str] | None = None,
     offsets_per_unit: int = OFFSETS_PER_UNIT,
     start_record: str | None = None,
+    settle_s: int = SETTLE_S,
+    few_names: int = FEW_NAMES,
 ) -> DataFrame:
     """Payloads as ``(value, unit)`` from a file topic (``fmt="text"``) or from ``fmt="kafka"``.
 
     ``start="latest"`` skips what is already there when a new stream begins. For file topics the
-    files there at the first start are kept in ``start_record``, a folder that belongs to the
-    checkpoint: a later start skips the same files and no others, so files that came in the meantime,
-    also those of a unit that was open, are read.
+    newest time and the names of recent files at the first start are kept in ``start_record``, a
+    folder that belongs to the checkpoint: a later start skips the same files and no others, so files
+    that came in the meantime, also those of a unit that was open, are read. Files of the past are
+    told by their time and are not opened. A writer may take up to ``settle_s`` seconds from a file's
+    time to its commit; one that takes longer must be waited for before the first start. A file
+    topic that a stream finds missing is made, and is empty.
     """
     options = options or {}
     reader = (spark.readStream if streaming else spark.read).options(**options)
@@ -63,6 +101,8 @@ def read_events(
             F.col("value").cast("string").alias("value"),
             offset_unit("partition", "offset", offsets_per_unit).alias("unit"),
         )
+    if streaming or start == "latest":
+        ensure_folder(spark, location)
     if unit == "file":
         rows = reader.schema("value STRING").format(fmt).load(location)
         name = F.col("_metadata.file_name").alias("unit")
@@ -73,8 +113,7 @@ def read_events(
         return rows.select("value", name)
     if not start_record:
         raise ValueError("a start at the end of a file topic needs a start_record beside the checkpoint")
-    rows = rows.select("value", name, F.col("_metadata.file_path").alias("_file"))
-    return rows.join(_known_files(spark, location, start_record), "_file", "left_anti").select("value", "unit")
+    return _after_start(rows, location, start_record, settle_s, few_names).select("value", name)
 
 
 def read_archive_json(spark: SparkSession, location: str, fields: tuple[str, ...] = ("item",)) -> DataFrame:

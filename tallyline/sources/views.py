@@ -18,12 +18,15 @@ def read_view(
     return spark.read.schema(schema).format(fmt).load(path)
 
 
+def no_rows(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 def ensure_view(
     spark: SparkSession, path: str, schema: T.StructType, partitions: tuple[str, ...] = (), fmt: str = "parquet"
 ) -> DataFrame:
     """Create an empty view at ``path`` if there is none, so readers need not wait for a first write."""
-    empty = spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
-    empty.write.mode("ignore").partitionBy(*partitions).format(fmt).save(path)
+    no_rows(spark, schema).write.mode("ignore").partitionBy(*partitions).format(fmt).save(path)
     return read_view(spark, path, schema, fmt)
 
 

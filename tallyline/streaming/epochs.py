@@ -14,9 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tallyline.operators.merge import RESET_BATCH, latest_snapshot, without_units
+from tallyline.operators.merge import RESET_BATCH, without_units
 from tallyline.schema import ACTIVE_EPOCHS, EPOCH_TABLE, REALTIME_VIEW
 from tallyline.sources.views import ensure_view, read_view
+from tallyline.streaming.history import current_snapshot, known_epochs
 from tallyline.streaming.queries import write_snapshot
 
 
@@ -43,13 +44,16 @@ def covered_units(spark: SparkSession, epoch_table: str, run_id: int | None = No
 
 
 def newest_epoch(spark: SparkSession, realtime: str) -> int:
+    known = known_epochs(spark, realtime)
+    if known:
+        return known[-1]
     row = read_view(spark, realtime, REALTIME_VIEW).agg(F.max("epoch").alias("e")).first()
     return 0 if row["e"] is None else row["e"]
 
 
 def reset_counts(spark: SparkSession, realtime: str, epoch: int, keys: Sequence[str] = ("item",)) -> None:
     """Open an epoch with a zero row for each key the view knows."""
-    known = latest_snapshot(read_view(spark, realtime, REALTIME_VIEW), keys).select(*keys).distinct()
+    known = current_snapshot(spark, realtime, keys).select(*keys).distinct()
     zeros = known.withColumn("count", F.lit(0).cast("bigint"))
     for name in ("item", "unit"):
         if name not in zeros.columns:
@@ -93,6 +97,8 @@ def active_epoch(spark: SparkSession, active: str, realtime: str | None = None)
     """The epoch that was made active last; before the first time, the oldest one of the live view."""
     found = ensure_view(spark, active, ACTIVE_EPOCHS, ("epoch",))
     row = found.agg(F.max_by("epoch", "activated_at").alias("e")).first()
+    if row["e"] is None and realtime is not None and (known := known_epochs(spark, realtime)):
+        return known[0]
     if row["e"] is None and realtime is not None:
         row = read_view(spark, realtime, REALTIME_VIEW).agg(F.min("epoch").alias("e")).first()
     return 0 if row["e"] is None else row["e"]

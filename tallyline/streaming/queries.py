@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tallyline.functions.decode import decode_rows
 from tallyline.operators.counts import count_items
+from tallyline.streaming.history import point_to
 
 # Fixed value: the pace of the live view.
 LIVE_TRIGGER = {"processingTime": "2 seconds"}
@@ -59,7 +60,8 @@ def write_snapshot(
     """A micro-batch callback that adds the counts, stamped, to the view's history.
 
     With files each micro-batch owns the partition ``epoch=/batch_id=``; a repeated batch
-    overwrites it, so a retry leaves no second copy. ``mode="append"`` is for stores reached
+    overwrites it, so a retry leaves no second copy. When the rows are there, the pointer of the view
+    is moved to the batch. ``mode="append"`` is for stores reached
     through a connector; ``id`` is made from epoch, batch and key there, so that a retry writes
     the same rows again and a store keyed by ``id`` keeps one. Errors go up and stop the query:
     the batch is then run again.
@@ -78,6 +80,8 @@ def write_snapshot(
         if mode == "overwrite":
             writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy("epoch", "batch_id")
         writer.save(path)
+        if mode == "overwrite":
+            point_to(batch.sparkSession, path, epoch, batch_id)
 
     return write
 

@@ -1,3 +1,7 @@
+import contextlib
+import io
+import os
+
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
@@ -9,7 +13,8 @@ from tallyline.schema import ACTIVE_EPOCHS, BATCH_VIEW, EPOCH_TABLE, RAW_VIEW, R
 from tallyline.sources import ensure_view, offset_unit, read_events, read_view
 from tallyline.streaming import (
     activate_epoch, active_epoch, on_restart, restart_behind_run,
-    append_raw_view, archive, batch_sizes, covered_units, emit_restart, publish, replay, restart_signals,
+    append_raw_view, archive, batch_sizes, compact_history, covered_units, current_snapshot, drop_compacted, emit_restart,
+    known_epochs, newest_batch, point_to, publish, read_history, replay, restart_signals,
     rotate_epoch, run_until_ok, snapshot_stream, write_snapshot,
 )
 from tallyline.streaming.epochs import uncovered
@@ -163,6 +168,62 @@ def test_latest_start_of_flat_files(spark, tmp_path, folder):
         read_events(spark, "text", str(place), start="latest")
 
 
+def test_files_of_the_past_are_not_opened_at_a_start(spark, topic, folder):
+    place = str(topic)
+    for unit in range(6):
+        os.utime(topic / f"unit=u{unit}" / "part-0.txt", (1000 + unit, 1000 + unit))
+
+    def drain(settle_s, few_names):
+        name = f"{settle_s}-{few_names}"
+        late = stream(spark, topic, start="latest", start_record=f"{folder}/s{name}", settle_s=settle_s, few_names=few_names)
+        query = archive(late, f"{folder}/o{name}", f"{folder}/c{name}")
+        query.awaitTermination()
+        return sum(p["numInputRows"] for p in query.recentProgress), query
+
+    for settle_s, few_names, opened in ((0, 10, 0), (1, 10, 0), (0, 0, 3), (1, 0, 6), (100, 0, 21)):
+        seen, query = drain(settle_s, few_names)
+        # Names that are joined are read first; files below the recorded time never are.
+        assert seen == opened
+        plan = io.StringIO()
+        with contextlib.redirect_stdout(plan):
+            query.explain()
+        assert "DataFilters: [(file_modification_time" in plan.getvalue()
+    # Committed late: the file's time lies before the newest one's, but within the time to settle.
+    write_unit(topic, "u3", [payload("y")], "part-1.txt")
+    os.utime(topic / "unit=u3" / "part-1.txt", (1004, 1004))
+    write_unit(topic, "u9", [payload("z")])
+    for settle_s, few_names in ((1, 10), (1, 0), (100, 0)):
+        drain(settle_s, few_names)
+        got = read_events(spark, "text", f"{folder}/o{settle_s}-{few_names}")
+        assert rows(got, "unit") == [("u3",), ("u9",)]
+
+
+def test_a_start_that_broke_off_is_recorded_again(spark, topic, folder):
+    def late():
+        return read_events(spark, "text", str(topic), start="latest", start_record=f"{folder}/s").count()
+
+    assert late() == 0
+    os.remove(f"{folder}/s/_SUCCESS")
+    write_unit(topic, "u7", [payload("a")])
+    assert late() == 0
+
+
+def test_a_missing_topic_is_empty_at_first(spark, tmp_path, folder):
+    place = tmp_path / "none" / "yet"
+
+    def drain(start):
+        more = {"start_record": f"{folder}/s"} if start == "latest" else {}
+        query = archive(stream(spark, place, start=start, **more), f"{folder}/{start}", f"{folder}/{start}-c")
+        query.awaitTermination()
+
+    for start in ("latest", "earliest"):
+        drain(start)
+    write_unit(place, "u1", [payload("a")])
+    for start in ("latest", "earliest"):
+        drain(start)
+        assert read_events(spark, "text", f"{folder}/{start}").count() == 1
+
+
 def test_files_as_units(spark, tmp_path):
     for name in ("x", "y"):
         (tmp_path / name).write_text(payload("a") + "\n")
@@ -366,3 +427,56 @@ def test_snapshot_of_a_view_by_unit_adds_the_units(spark):
         [("a", "u1", 3, 0, 1), ("a", "u2", 4, 0, 1)], "item STRING, unit STRING, count BIGINT, epoch BIGINT, batch_id BIGINT"
     )
     assert rows(latest_snapshot(view)) == [("a", 7)]
+
+
+def test_pointer_opens_two_folders_of_a_long_history(spark, folder):
+    view = f"{folder}/v"
+    snapshots = spark.range(1000).selectExpr(
+        "explode(array('a', 'b')) AS item", "CAST(NULL AS STRING) AS unit", "id + 1 AS count",
+        "timestamp_seconds(id) AS time_stamp", "uuid() AS id_", "0L AS epoch", "id AS batch_id",
+    ).withColumnRenamed("id_", "id")
+    snapshots.repartition(8, "batch_id").write.partitionBy("epoch", "batch_id").parquet(view)
+    assert not known_epochs(spark, view)
+    want = rows(live(spark, view))
+    assert rows(current_snapshot(spark, view)) == want == [("a", 1000), ("b", 1000)]
+    point_to(spark, view, 0, 999)
+    point_to(spark, view, 0, 3)  # an old batch, run again
+    assert newest_batch(spark, view, 0) == 999
+    opened = current_snapshot(spark, view)
+    assert rows(opened) == want and len(opened.inputFiles()) == 1
+    rotated = rotate_epoch(spark, view)
+    assert rotated == 1 and rows(current_snapshot(spark, view)) == [("a", 0), ("b", 0)]
+    assert rows(current_snapshot(spark, view, epoch=0)) == want
+
+    before = rows(read_history(spark, view, 0))
+    assert len(before) == 2000
+    assert compact_history(spark, view, 0, rows_per_file=500) == 998
+    assert rows(read_history(spark, view, 0)) == before
+    assert drop_compacted(spark, view, 0) == 999
+    assert rows(read_history(spark, view, 0)) == before and rows(current_snapshot(spark, view, epoch=0)) == want
+    assert len(read_history(spark, view, 0).inputFiles()) <= 5
+    assert compact_history(spark, view, 0) == 998 and drop_compacted(spark, view, 0) == 0
+
+
+@pytest.mark.parametrize("mode", ["complete", "update"])
+def test_compaction_in_steps_keeps_every_answer(spark, topic, folder, mode):
+    view, write, seen = f"{folder}/v", write_snapshot(f"{folder}/v", 0), []
+
+    def tidy(batch, batch_id):
+        write(batch, batch_id)
+        compact_history(spark, view, 0, mode, max_segments=2)
+        if batch_id % 2:
+            drop_compacted(spark, view, 0)
+        seen.append(rows(current_snapshot(spark, view, mode=mode)))
+
+    write_unit(topic, "u9", [payload("z")])
+    snapshot_stream(stream(spark, topic), view, f"{folder}/c", trigger=DRAIN, mode=mode, callback=tidy).awaitTermination()
+    assert len(seen) == 7 and seen[-1] == [*TOTALS, ("z", 1)]
+    history = read_history(spark, view)
+    assert history.groupBy("batch_id", "item").count().filter("count > 1").count() == 0
+    assert rows(latest_snapshot(history, mode=mode)) == seen[-1]
+    plain = f"{folder}/plain"
+    snapshot_stream(stream(spark, topic), plain, f"{folder}/pc", trigger=DRAIN, mode=mode).awaitTermination()
+    assert rows(history, "item", "count", "batch_id") == rows(read_view(spark, plain, REALTIME_VIEW), "item", "count", "batch_id")
+    # All but the newest batch are compacted, in at most three folders.
+    assert len([f for f in history.inputFiles() if "_segments" in f]) <= 3
