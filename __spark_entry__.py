@@ -166,6 +166,11 @@ def compacted_history(spark, d):
     return flows.compacted_history(spark, d)
 
 
+def released_state(spark, d):
+    _events(spark, d)
+    return flows.released_state(spark, d)
+
+
 def reader_agreement(spark, d):
     text = F.col("value")
     # Lines that readers may take in different ways: arrays, and a field that occurs twice.
@@ -373,7 +378,7 @@ QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     unprofitable_machines, top_machines, healthy_share, stockout_risk, silent_machines,
     interval_scan, interval_money, delay_null_items, slice_overall, latest_start, reader_agreement,
     restart_on_message, serving_null_units, batch_sizes, count_per_item_update,
-    empty_start, compacted_history,
+    empty_start, compacted_history, released_state,
 )
 
 
@@ -514,6 +519,13 @@ FROM P GROUP BY item""",
 B AS (SELECT CAST(ceil(units / ceil(units / 8)) AS BIGINT) AS snapshots FROM U)
 SELECT m.mode AS mode, item, count(*) AS count, any_value(snapshots) AS snapshots
 FROM P, B, (VALUES ('complete'), ('update')) AS m(mode) GROUP BY 1, 2""",
+        "released_state": f"""WITH {_P},
+H AS (SELECT quantile_disc(u, 0.5) AS half FROM (SELECT DISTINCT CAST(unit AS BIGINT) AS u FROM P)),
+K AS (SELECT DISTINCT item, CAST(unit AS BIGINT) AS u, half FROM P, H)
+SELECT item, count(*) FILTER (CAST(unit AS BIGINT) < half) AS batch, count(*) FILTER (CAST(unit AS BIGINT) >= half) AS real,
+       count(*) AS total, (SELECT count(*) FROM K WHERE u <= half) AS state_before,
+       (SELECT count(*) FROM K WHERE u = half) AS state_published, (SELECT count(*) FROM K WHERE u >= half) AS state_after
+FROM P, H GROUP BY item""",
         "reader_agreement": """
 SELECT r.reader AS reader, event_type AS item, count(*) AS count
 FROM events, (VALUES ('archive'), ('decoded'), ('live')) AS r(reader)

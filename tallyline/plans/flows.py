@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyline.functions.decode import decode_rows
@@ -18,10 +18,10 @@ from tallyline.sources.tables import purchases, stream_purchases
 from tallyline.sources.topics import read_archive_json, read_events
 from tallyline.sources.views import ensure_view, read_view
 from tallyline.streaming.control import emit_restart, on_restart
-from tallyline.streaming.epochs import activate_epoch, active_table, covered_units, rotate_epoch, uncovered
+from tallyline.streaming.epochs import activate_epoch, active_table, covered_units, publish_cut, rotate_epoch, uncovered
 from tallyline.streaming.history import compact_history, current_snapshot, drop_compacted, read_history
 from tallyline.streaming.queries import (
-    DRAIN, append_raw_view, archive, batch_sizes, publish, replay, run_until_ok, snapshot_stream, write_snapshot,
+    AT_ONCE, DRAIN, append_raw_view, archive, batch_sizes, publish, replay, run_until_ok, snapshot_stream, write_snapshot,
 )
 
 
@@ -254,6 +254,44 @@ def compacted_history(spark: SparkSession, sf_dir: str, batches: int = 8) -> Dat
     return parts[0].unionByName(parts[1])
 
 
+def released_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Served totals of a live view whose state is let go, with the rows of that state at three times.
+
+    Over half of the units; after a batch run over these is published; and over all units.
+    """
+    work = work_dir(spark, "release")
+    layers, cuts = Layers(f"{work}/batch", f"{work}/realtime", f"{work}/epochs"), f"{work}/cuts"
+    ensure_view(spark, layers.batch, BATCH_VIEW, ("run_id",))
+    ensure_view(spark, layers.epochs, EPOCH_TABLE, ("run_id",))
+    rows = payloads(spark, sf_dir)
+    half = rows.select("unit").distinct().agg(F.expr("CAST(percentile_disc(0.5) WITHIN GROUP (ORDER BY CAST(unit AS BIGINT)) AS BIGINT)")).first()[0]
+    state = []
+
+    def add(wanted: Column) -> None:
+        publish(rows.filter(wanted).repartition("unit"), f"{work}/topic")
+
+    def settle() -> None:
+        query.processAllAvailable()
+        state.append([p for p in query.recentProgress if p["stateOperators"]][-1]["stateOperators"][0]["numRowsTotal"])
+
+    add(F.col("unit").cast("bigint") <= half)
+    events = read_events(spark, "text", f"{work}/topic", streaming=True)
+    query = snapshot_stream(
+        events, layers.realtime, f"{work}/checkpoint", ["item", "unit"], trigger=AT_ONCE, mode="update", cuts=cuts
+    )
+    settle()
+    batch = decode_rows(read_events(spark, "text", f"{work}/topic"), fields=["item"])
+    run_batch_view(batch, layers.batch, 1, layers.epochs, skip_open=True)
+    publish_cut(spark, layers.epochs, cuts, 1)
+    settle()
+    add(F.col("unit").cast("bigint") > half)
+    settle()
+    query.stop()
+    totals = served_totals(spark, layers.batch, layers.realtime, layers.epochs, mode="update")
+    names = ("state_before", "state_published", "state_after")
+    return totals.select("*", *[F.lit(n).cast("bigint").alias(name) for name, n in zip(names, state, strict=True)])
+
+
 def reader_agreement(spark: SparkSession, lines: DataFrame) -> DataFrame:
     """Events per item that the archive scan, the decoder and the live view count over the same lines."""
     work = work_dir(spark, "readers")

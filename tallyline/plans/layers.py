@@ -57,17 +57,18 @@ def run_batch_view(
 
 def served_totals(
     spark: SparkSession, batch_view: str, realtime_view: str, epoch_table: str,
-    keys: Sequence[str] = ("item",), active: str | None = None,
+    keys: Sequence[str] = ("item",), active: str | None = None, mode: str = "complete",
 ) -> DataFrame:
     """Current total per key: the newest published batch run plus the live counts behind it.
 
     The run is read once, as a number, so a run published meanwhile cannot be mixed in. The live
     counts come from the active epoch, which the table ``active`` names (by default the one that
-    lies beside the live view); a new epoch is not served before ``activate_epoch``.
+    lies beside the live view); a new epoch is not served before ``activate_epoch``. ``mode`` is the
+    output mode that the live view is written in.
     """
     published = read_view(spark, epoch_table, EPOCH_TABLE)
     run_id = published.agg(F.coalesce(F.max("run_id"), F.lit(NO_RUN)).alias("r")).first()["r"]
     batch = read_view(spark, batch_view, BATCH_VIEW).filter(F.col("run_id") == run_id)
     epoch = active_epoch(spark, active or active_table(realtime_view), realtime_view)
-    live = current_snapshot(spark, realtime_view, [*keys, "unit"], epoch)
+    live = current_snapshot(spark, realtime_view, [*keys, "unit"], epoch, mode)
     return serving_view(batch, live, covered_units(spark, epoch_table, run_id), keys)

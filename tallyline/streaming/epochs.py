@@ -19,6 +19,7 @@ from tallyline.schema import ACTIVE_EPOCHS, EPOCH_TABLE, REALTIME_VIEW
 from tallyline.sources.views import ensure_view, read_view
 from tallyline.streaming.history import current_snapshot, known_epochs
 from tallyline.streaming.queries import write_snapshot
+from tallyline.streaming.release import cut_of
 
 
 def write_run(rows: DataFrame, path: str, run_id: int) -> None:
@@ -43,6 +44,11 @@ def covered_units(spark: SparkSession, epoch_table: str, run_id: int | None = No
     return table.filter(F.col("run_id") == wanted)
 
 
+def publish_cut(spark: SparkSession, epoch_table: str, cuts: str, run_id: int) -> None:
+    """Tell live queries up to which unit a published run covers all. Done behind ``publish_run``; safe to repeat."""
+    write_run(cut_of(covered_units(spark, epoch_table, run_id)), cuts, run_id)
+
+
 def newest_epoch(spark: SparkSession, realtime: str) -> int:
     known = known_epochs(spark, realtime)
     if known:

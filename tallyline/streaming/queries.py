@@ -14,10 +14,13 @@ from pyspark.sql.streaming import StreamingQuery
 from tallyline.functions.decode import decode_rows
 from tallyline.operators.counts import count_items
 from tallyline.streaming.history import point_to
+from tallyline.streaming.release import UNIT_TIME, read_cuts, releasing
 
 # Fixed value: the pace of the live view.
 LIVE_TRIGGER = {"processingTime": "2 seconds"}
 DRAIN = {"availableNow": True}
+# A query that stays up, with a micro-batch as soon as there is something.
+AT_ONCE = {"processingTime": "0 seconds"}
 STATE_PARTITIONS = 8
 _starting = threading.Lock()
 
@@ -96,18 +99,30 @@ def snapshot_stream(
     mode: str = "complete",
     callback: Callable[[DataFrame, int], None] | None = None,
     state_partitions: int = STATE_PARTITIONS,
+    cuts: str | None = None,
 ) -> StreamingQuery:
     """Running count per key with one snapshot per micro-batch.
 
     ``mode="complete"`` writes every key each time; with many keys ``"update"`` writes only
     those that changed. The shuffle carries one row per task and key, so it follows the number
     of keys and not the volume of events; ``state_partitions`` is fixed for a checkpoint's life.
+
+    With ``cuts``, the folder of published cuts (``publish_cut``), the state of units that a published
+    run covers is let go. ``keys`` must have the unit and ``mode`` must be ``"update"``: the snapshots
+    of those units stay in the history, and are covered.
     """
     events = payloads
     if "value" in payloads.columns:
         events = decode_rows(payloads, fields=["item"])
+    if cuts is None:
+        counts = count_items(events, keys)
+    else:
+        if mode != "update" or "unit" not in keys:
+            raise ValueError("state is let go by unit, in update mode")
+        events = releasing(events.select(*keys), read_cuts(events.sparkSession, cuts))
+        counts = count_items(events, [*keys, UNIT_TIME]).drop(UNIT_TIME)
     writer = (
-        count_items(events, keys).writeStream.outputMode(mode)
+        counts.writeStream.outputMode(mode)
         .foreachBatch(callback or write_snapshot(path, epoch))
         .option("checkpointLocation", checkpoint).trigger(**trigger)
     )

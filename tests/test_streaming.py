@@ -14,11 +14,12 @@ from tallyline.sources import ensure_view, offset_unit, read_events, read_view
 from tallyline.streaming import (
     activate_epoch, active_epoch, on_restart, restart_behind_run,
     append_raw_view, archive, batch_sizes, compact_history, covered_units, current_snapshot, drop_compacted, emit_restart,
-    known_epochs, newest_batch, point_to, publish, read_history, replay, restart_signals,
+    known_epochs, newest_batch, point_to, publish, publish_cut, read_history, replay, restart_signals,
     rotate_epoch, run_until_ok, snapshot_stream, write_snapshot,
 )
 from tallyline.streaming.epochs import uncovered
-from tallyline.streaming.queries import DRAIN
+from tallyline.streaming.queries import AT_ONCE, DRAIN
+from tallyline.streaming.release import cut_of
 from tests.helpers import payload, rows, write_unit
 
 ONE_FILE = {"maxFilesPerTrigger": "1"}
@@ -480,3 +481,47 @@ def test_compaction_in_steps_keeps_every_answer(spark, topic, folder, mode):
     assert rows(history, "item", "count", "batch_id") == rows(read_view(spark, plain, REALTIME_VIEW), "item", "count", "batch_id")
     # All but the newest batch are compacted, in at most three folders.
     assert len([f for f in history.inputFiles() if "_segments" in f]) <= 3
+
+
+def test_state_of_published_units_is_let_go(spark, tmp_path, folder):
+    place, view, epochs, cuts = tmp_path / "t", f"{folder}/v", f"{folder}/e", f"{folder}/cuts"
+    ensure_view(spark, f"{folder}/b", BATCH_VIEW, ("run_id",))
+    ensure_view(spark, epochs, EPOCH_TABLE, ("run_id",))
+
+    def start():
+        source = read_events(spark, "text", str(place), streaming=True)
+        return snapshot_stream(source, view, f"{folder}/c", ["item", "unit"], trigger=AT_ONCE, mode="update", cuts=cuts)
+
+    def state():
+        query.processAllAvailable()
+        return [p for p in query.recentProgress if p["stateOperators"]][-1]["stateOperators"][0]["numRowsTotal"]
+
+    def totals():
+        got = served_totals(spark, f"{folder}/b", view, epochs, active=f"{folder}/a", mode="update")
+        return rows(got, "item", "batch", "real", "total")
+
+    for unit in range(4):
+        write_unit(place, f"u{unit}", [payload("a"), payload("b")])
+    query = start()
+    assert state() == 8 and totals() == [("a", 0, 4, 4), ("b", 0, 4, 4)]
+    run_batch_view(decode_rows(read_events(spark, "text", str(place)), fields=["item"]), f"{folder}/b", 1, epochs, skip_open=True)
+    publish_cut(spark, epochs, cuts, 1)
+    assert state() == 2 and totals() == [("a", 3, 1, 4), ("b", 3, 1, 4)]
+    write_unit(place, "u1", [payload("a")], "late.txt")  # its unit is closed
+    write_unit(place, "u4", [payload("a")])
+    write_unit(place, "u3", [payload("c")], "more.txt")
+    assert state() == 4 and totals() == [("a", 3, 2, 5), ("b", 3, 1, 4), ("c", 0, 1, 1)]
+    query.stop()
+    query.awaitTermination()
+    query = start()
+    write_unit(place, "u5", [payload("a")])
+    assert state() == 5 and totals() == [("a", 3, 3, 6), ("b", 3, 1, 4), ("c", 0, 1, 1)]
+    query.stop()
+    with pytest.raises(ValueError):
+        snapshot_stream(read_events(spark, "text", str(place), streaming=True), view, f"{folder}/x", cuts=cuts)
+
+
+def test_a_cut_is_the_lowest_of_all_sources(spark):
+    units = spark.createDataFrame([("t:0:7",), ("t:0:8",), ("t:1:5",), ("t:1:4",)], "unit STRING")
+    assert rows(cut_of(units).select(F.unix_seconds("cut"))) == [(6,)]
+    assert cut_of(units.limit(0)).count() == cut_of(spark.createDataFrame([("x",)], "unit STRING")).count() == 0
