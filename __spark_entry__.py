@@ -264,6 +264,20 @@ def row_position(spark, d):
     return ops.row_position(rows, [], ["time_stamp", "id"]).select("id", "position")
 
 
+def running_total_periods(spark, d):
+    rows = _events(spark, d).select("item", "time_stamp", "id", "price")
+    # Far below the rows of an item, so that each is cut into periods of time.
+    totals = ops.running_total(rows, weight=F.col("price"), max_group_rows=100)
+    return _plain_time(_money(totals.drop("price"), "cumulated"))
+
+
+def row_position_ranges(spark, d):
+    rows = _events(spark, d).select("item", F.date_trunc("day", "time_stamp").alias("time_stamp"), "id")
+    # A day is one moment here, with more rows than may come together, so the order is cut into ranges.
+    limit = max(5, rows.count() // 200)
+    return ops.row_position(rows, ["item"], ["time_stamp", "id"], max_group_rows=limit).select("id", "position")
+
+
 def interval_combined(spark, d):
     events = _events(spark, d)
     # The history of daily batch runs, and the live counts of each hour in between.
@@ -378,7 +392,7 @@ QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     unprofitable_machines, top_machines, healthy_share, stockout_risk, silent_machines,
     interval_scan, interval_money, delay_null_items, slice_overall, latest_start, reader_agreement,
     restart_on_message, serving_null_units, batch_sizes, count_per_item_update,
-    empty_start, compacted_history, released_state,
+    empty_start, compacted_history, released_state, running_total_periods, row_position_ranges,
 )
 
 
@@ -555,6 +569,11 @@ SELECT item, time_stamp, id FROM P
 QUALIFY row_number() OVER (PARTITION BY item ORDER BY time_stamp, id) BETWEEN 3 AND 66""",
         "row_position": f"""WITH {_P}
 SELECT id, row_number() OVER (ORDER BY time_stamp, id) - 1 AS position FROM P""",
+        "running_total_periods": f"""WITH {_P}
+SELECT item, time_stamp, id, CAST(sum(price) OVER (PARTITION BY item ORDER BY time_stamp, id ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS cumulated
+FROM P""",
+        "row_position_ranges": f"""WITH {_P}
+SELECT id, row_number() OVER (PARTITION BY item ORDER BY date_trunc('day', time_stamp), id) - 1 AS position FROM P""",
         "interval_combined": f"""WITH {_P}, {_history('day')}, {_HOURS}, {_SPANS}
 {_COMBINED.format(readings='hours')}""",
         "interval_events": f"""WITH {_P}, {_history('day')}, {_SPANS}

@@ -54,22 +54,38 @@ def brute(made, keys):
     return out
 
 
+def scans_of(df, place):
+    return df._jdf.queryExecution().sparkPlan().toString().count(f"[file:{place}]")
+
+
 @pytest.mark.parametrize("keys", [["item"], []], ids=["by item", "overall"])
 @pytest.mark.parametrize("hot_moment, limit, form", [
     (True, 10_000, "whole"), (False, 130, "periods"), (True, 60, "ranges"),
 ])
-def test_all_scans_in_all_forms(spark, monkeypatch, keys, hot_moment, limit, form):
-    kept = []
-    monkeypatch.setattr(ordered, "stored", lambda df, label, real=ordered.stored: kept.append(label) or real(df, label))
+@pytest.mark.parametrize("fanout", [4096, 3])
+def test_all_scans_in_all_forms(spark, monkeypatch, tmp_path, keys, hot_moment, limit, form, fanout):
+    kept, scanned = [], []
+    place = str(tmp_path / "input")
+
+    def recorded(df, label, real=ordered.stored):
+        kept.append(label)
+        scanned.append(scans_of(df, place))
+        return real(df, label)
+
+    monkeypatch.setattr(ordered, "stored", recorded)
     made = make(hot_moment)
+    spark.createDataFrame(made, SCHEMA).write.parquet(place)
     scans = {
         "total": running_sum(F.col("w")), "place": position(), "t_before": previous("t"),
         "mark_before": previous("mark"), "mark_after": following("mark"), "known": last_known("mark"),
         "tie": position(group=[*keys, "t"]),
     }
-    got = ordered_scan(spark.createDataFrame(made, SCHEMA), keys, ["t", "id"], limit, **scans)
-    assert kept == {"whole": [], "periods": ["periods"], "ranges": ["periods", "ranges"]}[form]
+    got = ordered_scan(spark.read.schema(SCHEMA).parquet(place), keys, ["t", "id"], limit, fanout, **scans)
+    assert ("ranges" in kept) == (form == "ranges")
+    assert (ordered.PART in got._jdf.queryExecution().analyzed().toString()) == (form != "whole")
     assert {r["id"]: tuple(r)[5:] for r in got.collect()} == brute(made, keys)
+    # The input is read for the counts, and once more.
+    assert sum(scanned) + scans_of(got, place) == 2
 
 
 def test_hot_moment_alone_is_cut_by_id(spark):
@@ -97,13 +113,30 @@ def test_copies_are_spread_over_ranges(spark, monkeypatch):
 
 def test_no_part_holds_more_than_the_limit(spark):
     frame = spark.createDataFrame(make(False), SCHEMA)
-    seconds = ordered._period(frame, ["item"], "t", 60)
+    seconds, _ = ordered._period(ordered._counted(frame, ["item"], "t", ["t", "id"], {}), ["item"], 60)
     parts = frame.groupBy("item", ordered._period_of("t", seconds)).count()
     assert parts.agg(F.max("count")).first()[0] <= 60
 
 
 def test_hot_moment_has_no_period(spark):
-    assert ordered._period(spark.createDataFrame(make(True), SCHEMA), ["item"], "t", 30) is None
+    counts = ordered._counted(spark.createDataFrame(make(True), SCHEMA), ["item"], "t", ["t", "id"], {})
+    assert ordered._period(counts, ["item"], 30) is None
+
+
+def test_sums_of_fractions_do_not_depend_on_the_cut(spark):
+    rnd = random.Random(3)
+    frame = spark.createDataFrame(make(False), SCHEMA).withColumn("x", (F.col("w") - 4) * F.lit(rnd.random()) + 0.1)
+    forms = []
+    for limit in (10_000, 60, 5):
+        got = running_total(frame, ["item"], "t", "id", F.col("x"), max_group_rows=limit)
+        assert got.schema["cumulated"].dataType.simpleString() == "double"
+        forms.append(rows(got, "id", "cumulated"))
+    assert forms[0] == forms[1] == forms[2]
+    kinds = {
+        running_total(frame, ["item"], "t", "id", F.col("w").cast("decimal(10,2)"), max_group_rows=limit).schema["cumulated"].dataType
+        for limit in (10_000, 60, 5)
+    }
+    assert len(kinds) == 1
 
 
 def test_group_must_be_first_of_the_order(spark):
