@@ -39,6 +39,8 @@ MAX_GROUP_ROWS = 1_000_000
 SMALL_TABLE = 1_000
 FANOUT = 4_096
 PERIODS_S = (86_400, 3_600, 60, 1)
+# The period of rows without a time, which come first in the order.
+NO_TIME = -(2**62)
 PART = "_scan_part"
 KIND = "_scan_kind"
 EXACT = T.DecimalType(38, 12)
@@ -215,9 +217,8 @@ def _scan_parts(
     return out.filter(F.col(KIND) == ROW).drop(KIND, *values)
 
 
-def _period_of(ts: str, seconds: int) -> Column:
-    # Rows without a time come first in the order and get the lowest part.
-    return F.coalesce(F.floor(F.unix_seconds(ts) / F.lit(seconds)), F.lit(-(2**62)))
+def period_of(ts: str, seconds: int) -> Column:
+    return F.coalesce(F.floor(F.unix_seconds(ts) / F.lit(seconds)), F.lit(NO_TIME))
 
 
 def _timed(df: DataFrame, column: str) -> bool:
@@ -226,7 +227,7 @@ def _timed(df: DataFrame, column: str) -> bool:
 
 def _counted(df: DataFrame, group: Sequence[str], ts: str | None, order: Sequence[str], scans: dict[str, Scan]) -> DataFrame:
     """Rows per group and second, with what each second passes on; without a time, rows per group."""
-    second = _period_of(ts, 1) if ts else F.lit(0).cast("bigint")
+    second = period_of(ts, 1) if ts else F.lit(0).cast("bigint")
     edges = [_edge(s, order).alias(f"_scan_in_{o}") for o, s in scans.items()] if ts else []
     counts = df.groupBy(*group, second.alias("_s")).agg(F.count(F.lit(1)).alias("_n"), *edges)
     return stored(counts, "counts")
@@ -318,10 +319,9 @@ def ordered_scan(
     period = _period(counts, group, limit) if cut else None
     if period is not None:
         seconds, parts = period
-        rows = df.withColumn(PART, _period_of(cut, seconds))
+        rows = df.withColumn(PART, period_of(cut, seconds))
         finer = {own: members for own, members in levels.items() if own != coarse}
-        # Of the lowest second, which stands for no time, the part is the same.
-        part = F.when(F.col("_s") == -(2**62), F.col("_s")).otherwise(F.floor(F.col("_s") / F.lit(seconds)))
+        part = F.when(F.col("_s") == NO_TIME, F.col("_s")).otherwise(F.floor(F.col("_s") / F.lit(seconds)))
         edges = counts.withColumn(PART, part).groupBy(PART, *group).agg(
             *[_joined_edge(s, f"_scan_in_{o}", order, "_s").alias(f"_scan_in_{o}") for o, s in levels[coarse].items()]
         )

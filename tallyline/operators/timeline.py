@@ -7,10 +7,11 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyline.functions.time import micros_of, millis_interval
 from tallyline.operators.ordered import (
-    MAX_GROUP_ROWS, following, last_known, ordered_scan, position, previous, running_sum,
+    MAX_GROUP_ROWS, NO_TIME, following, last_known, ordered_scan, period_of, position, previous, running_sum,
 )
 from tallyline.session import stored
 
@@ -97,17 +98,67 @@ def row_position(
     return ordered_scan(df, keys, order, max_group_rows, **{out: position()})
 
 
+# Periods of the table that a slice is looked up in.
+SLICE_PERIOD_S = 3_600
+
+
+def _slice_span(
+    df: DataFrame, keys: Sequence[str], ts: str, lo: int, hi: int, period_s: int, max_group_rows: int | None
+) -> DataFrame:
+    """Per key with rows at these places: the first and last period they lie in, and the rows before it."""
+    counts = stored(df.groupBy(*keys, period_of(ts, period_s).alias("_p")).agg(F.count(F.lit(1)).alias("_n")), "slice")
+    upto = ordered_scan(counts, keys, ["_p"], max_group_rows, _upto=running_sum(F.col("_n")))
+    held = upto.filter((F.col("_upto") > lo) & (F.col("_upto") - F.col("_n") < hi))
+    before = F.min(F.col("_upto") - F.col("_n")).alias("_before")
+    return held.groupBy(*keys).agg(F.min("_p").alias("_from"), F.max("_p").alias("_to"), before)
+
+
 def positional_slice(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], lo: int, hi: int,
-    max_group_rows: int | None = MAX_GROUP_ROWS,
+    max_group_rows: int | None = MAX_GROUP_ROWS, period_s: int = SLICE_PERIOD_S,
 ) -> DataFrame:
     """Rows at 0-based places ``lo`` up to but not with ``hi``, per key or, without keys, overall.
 
-    One way for all places and sizes: the rows are numbered by an ordered scan, so neither a hot key
-    nor a slice far behind the start comes together in one task.
+    Where the order begins with a time, the rows per key and period are counted first: they say in
+    which periods the places lie and how many rows stand before. Only rows of these periods are
+    read again, by a filter on the time with literal bounds that reaches the scan, and numbered from
+    the known start on. Rows without a time stand first. Other orders are numbered as a whole. Both
+    ways go through ordered scans, so neither a hot key nor a hot moment comes together in one task.
     """
-    placed = row_position(df, keys, order, "_n", max_group_rows)
-    return placed.filter((F.col("_n") >= lo) & (F.col("_n") < hi)).drop("_n")
+    if not isinstance(df.schema[order[0]].dataType, T.TimestampType):
+        placed = row_position(df, keys, order, "_n", max_group_rows)
+        return placed.filter((F.col("_n") >= lo) & (F.col("_n") < hi)).drop("_n")
+    ts, none = F.col(order[0]), F.lit(NO_TIME)
+    spans = stored(_slice_span(df, keys, order[0], lo, hi, period_s, max_group_rows), "slice")
+    row = spans.agg(
+        F.min(F.nullif("_from", none)).alias("first"), F.max("_to").alias("last"),
+        F.coalesce(F.bool_or(F.col("_from") == none), F.lit(False)).alias("untimed"), F.min("_before").alias("before"),
+    ).first()
+    if row["last"] is None:
+        return df.limit(0)
+
+    def begin(period: int) -> Column:
+        return F.timestamp_seconds(F.lit(period * period_s))
+
+    if row["last"] == NO_TIME:
+        near = ts.isNull()
+    elif row["untimed"]:
+        # A key whose places begin without a time goes on with its first times.
+        near = ts.isNull() | (ts < begin(row["last"] + 1))
+    else:
+        near = (ts >= begin(row["first"])) & (ts < begin(row["last"] + 1))
+    part = df.filter(near)
+    if keys:
+        own = spans.withColumnsRenamed({k: f"_s_{k}" for k in keys})
+        within = period_of(order[0], period_s).between(F.col("_from"), F.col("_to"))
+        for k in keys:
+            within = within & part[k].eqNullSafe(own[f"_s_{k}"])
+        part = part.join(own, within).select(*df.columns, "_before")
+    else:
+        part = part.withColumn("_before", F.lit(row["before"]))
+    placed = row_position(part, keys, order, "_n", max_group_rows)
+    at = F.col("_n") + F.col("_before")
+    return placed.filter((at >= lo) & (at < hi)).drop("_n", "_before")
 
 
 def intervals(

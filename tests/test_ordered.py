@@ -114,7 +114,7 @@ def test_copies_are_spread_over_ranges(spark, monkeypatch):
 def test_no_part_holds_more_than_the_limit(spark):
     frame = spark.createDataFrame(make(False), SCHEMA)
     seconds, _ = ordered._period(ordered._counted(frame, ["item"], "t", ["t", "id"], {}), ["item"], 60)
-    parts = frame.groupBy("item", ordered._period_of("t", seconds)).count()
+    parts = frame.groupBy("item", ordered.period_of("t", seconds)).count()
     assert parts.agg(F.max("count")).first()[0] <= 60
 
 

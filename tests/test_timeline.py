@@ -179,3 +179,38 @@ def test_one_series_without_a_key(spark, events, snapshots):
     for bins in (True, False):
         got = interval_sum(bounds, reads, keys=[], broadcast_bins=bins)
         assert [n for _, n in rows(got)] == [3, 9]
+
+
+@pytest.mark.parametrize("keys", [["item"], []], ids=["by item", "overall"])
+@pytest.mark.parametrize("limit", [10_000, 20])
+def test_slices_equal_numbered_rows(spark, keys, limit):
+    begin = datetime(2024, 8, 2)
+    made = [
+        (["a", "hot", None][i % 3 if i % 2 else 1], None if i % 17 == 0 else begin + timedelta(minutes=(i * 37 % 500) // 90 * 90), f"{i:04d}")
+        for i in range(400)
+    ]
+    frame = spark.createDataFrame(made, "item STRING, time_stamp TIMESTAMP, id STRING")
+    order = lambda r: (r[1] is not None, r[1] or begin, r[2])
+    # Moments hold dozens of rows: places begin and end within ties, and among rows without a time.
+    for lo, hi in ((0, 5), (3, 30), (20, 21), (60, 140), (0, 1000), (390, 395), (500, 600), (7, 7)):
+        want = []
+        for key in ({r[0] for r in made} if keys else {0}):
+            want += sorted((r for r in made if not keys or r[0] == key), key=order)[lo:hi]
+        got = positional_slice(frame, keys, ["time_stamp", "id"], lo, hi, limit)
+        assert got.columns == frame.columns
+        assert rows(got, "id") == sorted((r[2],) for r in want)
+
+
+def test_a_slice_reads_its_periods_alone(spark, tmp_path):
+    place = str(tmp_path / "t")
+    frame = spark.range(20_000).selectExpr("CAST(id % 3 AS STRING) AS item", "timestamp_seconds(id * 60) AS time_stamp", "CAST(id AS STRING) AS id")
+    frame.write.parquet(place)
+    for keys in (["item"], []):
+        got = positional_slice(spark.read.parquet(place), keys, ["time_stamp", "id"], 4000, 4064)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        scan = next(line for line in plan.splitlines() if f"[file:{place}]" in line)
+        assert "GreaterThanOrEqual(time_stamp" in scan and "LessThan(time_stamp" in scan
+        # Every exchange of rows lies above the filter; the rows that pass it are a few periods.
+        near = got.agg(F.min("time_stamp"), F.max("time_stamp")).first()
+        assert got.count() == 64 * (3 if keys else 1)
+        assert near[1] - near[0] < timedelta(hours=4)
