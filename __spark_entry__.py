@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from tallyline import operators as ops  # noqa: E402
-from tallyline.functions import classify, encode, enrich, health_label, micros_of, price_of  # noqa: E402
+from tallyline.functions import classify, encode, enrich, health_label, micros_of, parse_time, price_of  # noqa: E402
 from tallyline.operators.merge import latest_by_time, reconcile  # noqa: E402
 from tallyline.plans import flows  # noqa: E402
 from tallyline.plans.history import period_counts, snapshot_history  # noqa: E402
@@ -171,6 +171,22 @@ def released_state(spark, d):
     return flows.released_state(spark, d)
 
 
+def connector_append(spark, d):
+    _events(spark, d)
+    return flows.connector_append(spark, d)
+
+
+def lenient_times(spark, d):
+    # Nine ways to write a time, dealt over the events by their number.
+    shapes = (
+        "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd HH:mm:ss.SSSSSS", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm", "yyyy-MM-dd",
+        "yyyy-MM-dd HH:mm:ss'+02:00'", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'", "yyyy-MM-dd'T'HH:mm:ss'-0530'", "dd/MM/yyyy HH:mm",
+    )
+    texts = F.array(*[F.date_format("time_stamp", shape) for shape in shapes])
+    events = _events(spark, d).select("id", F.element_at(texts, (F.col("id").cast("int") % len(shapes)) + 1).alias("text"))
+    return _plain_time(events.select("id", "text", parse_time("text").alias("time_stamp")))
+
+
 def reader_agreement(spark, d):
     text = F.col("value")
     # Lines that readers may take in different ways: arrays, and a field that occurs twice.
@@ -317,6 +333,17 @@ def interval_money(spark, d):
     return _plain_time(forms[0].join(forms[1], ["item", "time_stamp"], "full"))
 
 
+def interval_null_items(spark, d):
+    lost = F.nullif("item", F.lit("error")).alias("item")
+    events = _events(spark, d).select(lost, "time_stamp", "id")
+    history, hours = stored(snapshot_history(events, "day"), "history"), stored(period_counts(events, "hour"), "hours")
+    forms = [
+        ops.interval_sum(history, hours, broadcast_bins=bins).select(F.lit(name).alias("form"), "*")
+        for name, bins in (("scan", False), ("bins", True))
+    ]
+    return _plain_time(forms[0].unionByName(forms[1]))
+
+
 def delay_null_items(spark, d):
     lost = F.nullif("item", F.lit("error")).alias("item")
     events = _hourly(_events(spark, d).select(lost, "time_stamp", "id"))
@@ -393,6 +420,7 @@ QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     interval_scan, interval_money, delay_null_items, slice_overall, latest_start, reader_agreement,
     restart_on_message, serving_null_units, batch_sizes, count_per_item_update,
     empty_start, compacted_history, released_state, running_total_periods, row_position_ranges,
+    connector_append, lenient_times, interval_null_items,
 )
 
 
@@ -540,6 +568,18 @@ SELECT item, count(*) FILTER (CAST(unit AS BIGINT) < half) AS batch, count(*) FI
        count(*) AS total, (SELECT count(*) FROM K WHERE u <= half) AS state_before,
        (SELECT count(*) FROM K WHERE u = half) AS state_published, (SELECT count(*) FROM K WHERE u >= half) AS state_after
 FROM P, H GROUP BY item""",
+        "connector_append": "SELECT event_type AS item, count(*) AS count, CAST(1 AS BIGINT) AS copies FROM events GROUP BY 1",
+        "lenient_times": f"""WITH {_P}, S AS (SELECT id, time_stamp AS t, CAST(id AS BIGINT) % 9 AS k, date_trunc('second', time_stamp) AS s FROM P)
+SELECT id, CASE k WHEN 0 THEN strftime(t, '%Y-%m-%d %H:%M:%S') WHEN 1 THEN strftime(t, '%Y-%m-%d %H:%M:%S.%f')
+         WHEN 2 THEN strftime(t, '%Y-%m-%dT%H:%M:%S') WHEN 3 THEN strftime(t, '%Y-%m-%d %H:%M') WHEN 4 THEN strftime(t, '%Y-%m-%d')
+         WHEN 5 THEN strftime(t, '%Y-%m-%d %H:%M:%S+02:00') WHEN 6 THEN strftime(t, '%Y-%m-%dT%H:%M:%S.%gZ')
+         WHEN 7 THEN strftime(t, '%Y-%m-%dT%H:%M:%S-0530') ELSE strftime(t, '%d/%m/%Y %H:%M') END AS text,
+       CASE k WHEN 0 THEN s WHEN 1 THEN t WHEN 2 THEN s WHEN 3 THEN date_trunc('minute', t) WHEN 4 THEN CAST(date_trunc('day', t) AS TIMESTAMP)
+         WHEN 5 THEN s - INTERVAL 2 HOUR WHEN 6 THEN date_trunc('millisecond', t) WHEN 7 THEN s + INTERVAL 330 MINUTE END AS time_stamp
+FROM S""",
+        "interval_null_items": f"""WITH {_LOST}, {_history('day')}, {_HOURS}, {_SPANS},
+S AS ({_COMBINED.format(readings='hours').replace('r.item = spans.item', 'r.item IS NOT DISTINCT FROM spans.item')})
+SELECT f.form AS form, S.* FROM S, (VALUES ('scan'), ('bins')) AS f(form)""",
         "reader_agreement": """
 SELECT r.reader AS reader, event_type AS item, count(*) AS count
 FROM events, (VALUES ('archive'), ('decoded'), ('live')) AS r(reader)

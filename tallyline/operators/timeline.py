@@ -212,7 +212,7 @@ def _sums_by_bins(spans, readings, keys, ts, value, width) -> DataFrame:
     right = binned.select(*[F.col(k).alias(f"_b_{k}") for k in keys], "_bin", "start", "end")
     within = _bin_of(readings[ts], width) == right["_bin"]
     for k in keys:
-        within = within & (readings[k] == right[f"_b_{k}"])
+        within = within & readings[k].eqNullSafe(right[f"_b_{k}"])
     hit = within & (readings[ts] >= right["start"]) & (readings[ts] < right["end"])
     return (
         readings.join(F.broadcast(right), hit).groupBy(*keys, "start", "end")
@@ -258,8 +258,8 @@ def interval_sum(
     interval without readings keeps its base. Few, evenly spread intervals are broadcast, binned
     by time, so readings are joined where they lie. Otherwise bounds and readings are brought
     into one time order. ``broadcast_bins`` forces one of the two forms. Both add up in the type
-    that Spark gives the sum of the readings, so fractions are kept. Jobs that look at the bounds
-    run while the plan is made.
+    that Spark gives the sum of the readings, so fractions are kept. A null key is a key like any
+    other. Jobs that look at the bounds run while the plan is made.
     """
     kind = readings.agg(F.sum(value).alias("v")).schema["v"].dataType
     # The bounds are looked at several times below; kept, they are computed once.
@@ -273,9 +273,9 @@ def interval_sum(
     else:
         sums = _sums_by_scan(spans, readings, keys, ts, value, max_group_rows, kind)
     cumulated = F.col("_base") + F.coalesce(F.col("_sum").cast(kind), F.lit(0).cast(kind))
-    return spans.join(sums, [*keys, "start", "end"], "left").select(
-        *keys, F.col("end").alias(ts), cumulated.alias("cumulated")
-    )
+    found = sums.withColumnsRenamed({c: f"_f_{c}" for c in (*keys, "start", "end")})
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_f_{c}")) for c in (*keys, "start", "end")])
+    return spans.join(found, same, "left").select(*keys, F.col("end").alias(ts), cumulated.alias("cumulated"))
 
 
 def delay_series(

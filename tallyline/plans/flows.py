@@ -13,13 +13,13 @@ from tallyline.operators.counts import count_by, count_items
 from tallyline.operators.merge import latest_snapshot
 from tallyline.plans.layers import run_batch_view, served_totals
 from tallyline.schema import BATCH_VIEW, EPOCH_TABLE, RAW_VIEW, REALTIME_VIEW
-from tallyline.session import work_dir
+from tallyline.session import stored, work_dir
 from tallyline.sources.tables import purchases, stream_purchases
 from tallyline.sources.topics import read_archive_json, read_events
 from tallyline.sources.views import ensure_view, read_view
 from tallyline.streaming.control import emit_restart, on_restart
 from tallyline.streaming.epochs import activate_epoch, active_table, covered_units, publish_cut, rotate_epoch, uncovered
-from tallyline.streaming.history import compact_history, current_snapshot, drop_compacted, read_history
+from tallyline.streaming.history import appended_once, compact_history, current_snapshot, drop_compacted, read_history
 from tallyline.streaming.queries import (
     AT_ONCE, DRAIN, append_raw_view, archive, batch_sizes, publish, replay, run_until_ok, snapshot_stream, write_snapshot,
 )
@@ -292,6 +292,30 @@ def released_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return totals.select("*", *[F.lit(n).cast("bigint").alias(name) for name, n in zip(names, state, strict=True)])
 
 
+def connector_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals of a view in a store that only appends, where the second micro-batch fails after its write and is run again.
+
+    ``copies`` is the number of rows of an item that the store holds twice.
+    """
+    work = work_dir(spark, "connector")
+    write, failed = write_snapshot(f"{work}/store", 0, fmt="json", mode="append"), []
+    events = topic(spark, sf_dir, f"{work}/topic")
+
+    def fail_once(batch: DataFrame, batch_id: int) -> None:
+        write(batch, batch_id)
+        if batch_id == 1 and not failed:
+            failed.append(batch_id)
+            raise RuntimeError("lost after the write")
+
+    run_until_ok(
+        lambda: snapshot_stream(events, "", f"{work}/checkpoint", trigger=DRAIN, callback=fail_once), wait_s=0.1
+    )
+    held = read_view(spark, f"{work}/store", REALTIME_VIEW, "json")
+    once = stored(appended_once(held), "store")
+    copies = count_by(held).withColumnRenamed("count", "held").join(count_by(once), "item")
+    return latest_snapshot(once).join(copies.select("item", (F.col("held") - F.col("count")).alias("copies")), "item")
+
+
 def reader_agreement(spark: SparkSession, lines: DataFrame) -> DataFrame:
     """Events per item that the archive scan, the decoder and the live view count over the same lines."""
     work = work_dir(spark, "readers")

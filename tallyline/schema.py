@@ -7,7 +7,18 @@ from pyspark.sql import types as T
 # Timestamp text in payloads; the fraction is optional when reading.
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 TIME_FORMAT_MICROS = "yyyy-MM-dd HH:mm:ss.SSSSSS"
-TIME_FORMAT_READ = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
+# Other ways people and programs write a time, tried in this order.
+TIME_FORMATS_READ = (
+    "yyyy-MM-dd HH:mm:ss[.SSSSSSSSS]",
+    "yyyy-MM-dd'T'HH:mm:ss[.SSSSSSSSS]",
+    "yyyy-MM-dd HH:mm:ss[.SSSSSSSSS][ ]XXX",
+    "yyyy-MM-dd'T'HH:mm:ss[.SSSSSSSSS][ ]XXX",
+    "yyyy-MM-dd HH:mm:ss[.SSSSSSSSS][ ]xx",
+    "yyyy-MM-dd'T'HH:mm:ss[.SSSSSSSSS][ ]xx",
+    "yyyy-MM-dd HH:mm[XXX]",
+    "yyyy-MM-dd'T'HH:mm[XXX]",
+    "yyyy-MM-dd",
+)
 
 MONEY = T.DecimalType(18, 2)
 

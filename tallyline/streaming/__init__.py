@@ -4,7 +4,7 @@ from tallyline.streaming.epochs import (
     reset_counts,    restart_behind_run, rotate_epoch, uncovered,
 )
 from tallyline.streaming.history import (
-    compact_history, current_snapshot, drop_compacted, known_epochs, newest_batch, point_to, read_history,
+    appended_once, compact_history, current_snapshot, drop_compacted, known_epochs, newest_batch, point_to, read_history,
 )
 from tallyline.streaming.queries import (
     append_raw_view, archive, batch_sizes, publish, replay, run_until_ok, snapshot_stream,
@@ -12,7 +12,7 @@ from tallyline.streaming.queries import (
 )
 
 __all__ = [
-    "activate_epoch", "active_epoch", "append_raw_view", "archive", "batch_sizes", "compact_history",
+    "activate_epoch", "active_epoch", "append_raw_view", "appended_once", "archive", "batch_sizes", "compact_history",
     "covered_units", "current_snapshot", "drop_compacted", "emit_restart", "encode_restart", "known_epochs",
     "newest_batch", "newest_epoch", "on_restart", "point_to", "publish", "publish_cut", "publish_run", "read_history",
     "replay", "reset_counts", "restart_behind_run", "restart_signals", "rotate_epoch",

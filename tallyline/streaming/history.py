@@ -116,6 +116,16 @@ def current_snapshot(
     return counts_of(_epoch_history(spark, realtime, epoch, state, done["upto"]), keys)
 
 
+def appended_once(rows: DataFrame) -> DataFrame:
+    """Rows of a store that only appends, each once: of those with one ``id`` the one that came first.
+
+    ``write_snapshot`` in append mode makes the ``id`` from epoch, batch and key, so a batch that is
+    run again writes the same ids.
+    """
+    first = F.min_by(F.struct(*rows.columns), "time_stamp")
+    return rows.groupBy("id").agg(first.alias("r")).select("r.*")
+
+
 def compact_history(
     spark: SparkSession, realtime: str, epoch: int, mode: str = "complete", rows_per_file: int = ROWS_PER_FILE,
     max_segments: int = MAX_SEGMENTS,

@@ -108,3 +108,17 @@ def test_enrichment_takes_another_catalogue(spark):
     slots = spark.createDataFrame([("position_1",)], "item STRING")
     other = spark.sql("SELECT 'position_1' AS item, 'tea' AS snack, CAST(4 AS DECIMAL(18,2)) AS price")
     assert enrich(slots, other).first()["snack"] == "tea"
+
+
+def test_times_as_people_write_them(spark):
+    # Texts that an earlier reader took for no time, and recorded ones.
+    texts = {
+        "2024-08-01T13:22:20": "2024-08-01 13:22:20", "2024-08-01 13:22": "2024-08-01 13:22:00", "2024-08-01": "2024-08-01 00:00:00",
+        "2024-08-01 13:22:20+02:00": "2024-08-01 11:22:20", "2024-08-01 13:22:20Z": "2024-08-01 13:22:20",
+        "2024-08-02 09:47:40.161": "2024-08-02 09:47:40.161", "2024-08-02 09:47:40.161000+0000": "2024-08-02 09:47:40.161",
+        " 2024-08-01 13:22:20 ": "2024-08-01 13:22:20", "2024-08-01T13:22:20.123456789Z": "2024-08-01 13:22:20.123456",
+        "2024-08-01 13:22:20 +01:00": "2024-08-01 12:22:20", "01/08/2024": None, "13:22": None, "2024-13-01": None, "": None, "later": None,
+    }
+    frame = spark.createDataFrame([(t,) for t in texts] + [(None,)], "t STRING")
+    got = {r[0]: r[1] for r in frame.select("t", parse_time("t").cast("string")).collect()}
+    assert got == {**texts, None: None}

@@ -214,3 +214,15 @@ def test_a_slice_reads_its_periods_alone(spark, tmp_path):
         near = got.agg(F.min("time_stamp"), F.max("time_stamp")).first()
         assert got.count() == 64 * (3 if keys else 1)
         assert near[1] - near[0] < timedelta(hours=4)
+
+
+def test_interval_sums_of_a_null_key(spark):
+    begin = datetime(2024, 8, 2)
+    bounds = spark.createDataFrame(
+        [(k, begin + timedelta(hours=h), n) for k in ("a", None) for h, n in ((0, 1), (2, 10))],
+        "item STRING, time_stamp TIMESTAMP, count BIGINT",
+    )
+    readings = spark.createDataFrame([(k, begin + timedelta(hours=1), 3) for k in ("a", None)], bounds.schema)
+    for bins in (True, False):
+        got = rows(interval_sum(bounds, readings, broadcast_bins=bins), "item", "cumulated")
+        assert got == [(None, 4), ("a", 4)]
