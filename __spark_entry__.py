@@ -409,6 +409,16 @@ def silent_machines(spark, d):
     return _plain_time(ops.silent_machines(_events(spark, d), 3.0))
 
 
+def silent_machines_live(spark, d):
+    _events(spark, d)
+    return _plain_time(flows.silent_live(spark, d, 3.0))
+
+
+def paced_totals(spark, d):
+    _events(spark, d)
+    return flows.paced_totals(spark, d)
+
+
 QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     count_per_item_batch, count_per_item_stream, decoded_count, archive_scan_count,
     archive_roundtrip, validation_view, encode_payload, malformed_rejects, batch_view_runs,
@@ -420,7 +430,7 @@ QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     interval_scan, interval_money, delay_null_items, slice_overall, latest_start, reader_agreement,
     restart_on_message, serving_null_units, batch_sizes, count_per_item_update,
     empty_start, compacted_history, released_state, running_total_periods, row_position_ranges,
-    connector_append, lenient_times, interval_null_items,
+    connector_append, lenient_times, interval_null_items, silent_machines_live, paced_totals,
 )
 
 
@@ -682,4 +692,13 @@ M AS (SELECT snack_automat_id, sold, last_seen,
              date_diff('microsecond', last_seen, (SELECT max(time_stamp) FROM P)) AS silence_us
       FROM G)
 SELECT * FROM M WHERE silence_us > 3 * mean_gap_us""",
+        "silent_machines_live": f"""WITH {_P}, G AS (
+  SELECT snack_automat_id, count(*) AS sold, min(time_stamp) AS first_seen, max(time_stamp) AS last_seen
+  FROM P GROUP BY 1 HAVING count(*) > 1),
+M AS (SELECT snack_automat_id, sold, last_seen,
+             date_diff('microsecond', first_seen, last_seen) / (sold - 1) AS mean_gap_us,
+             date_diff('microsecond', last_seen, (SELECT max(time_stamp) FROM P)) AS silence_us
+      FROM G)
+SELECT * FROM M WHERE silence_us > 3 * mean_gap_us""",
+        "paced_totals": _COUNT,
     }

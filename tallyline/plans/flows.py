@@ -11,6 +11,7 @@ from tallyline.functions.decode import decode_rows
 from tallyline.functions.encode import encode
 from tallyline.operators.counts import count_by, count_items
 from tallyline.operators.merge import latest_snapshot
+from tallyline.operators.questions import MACHINE, gap_profile, silence_alarms, standing_alarms
 from tallyline.plans.layers import run_batch_view, served_totals
 from tallyline.schema import BATCH_VIEW, EPOCH_TABLE, RAW_VIEW, REALTIME_VIEW
 from tallyline.session import stored, work_dir
@@ -21,8 +22,9 @@ from tallyline.streaming.control import emit_restart, on_restart
 from tallyline.streaming.epochs import activate_epoch, active_table, covered_units, publish_cut, rotate_epoch, uncovered
 from tallyline.streaming.history import appended_once, compact_history, current_snapshot, drop_compacted, read_history
 from tallyline.streaming.queries import (
-    AT_ONCE, DRAIN, append_raw_view, archive, batch_sizes, publish, replay, run_until_ok, snapshot_stream, write_snapshot,
+    AT_ONCE, DRAIN, LIVE_TRIGGER, append_raw_view, archive, publish, replay, run_until_ok, snapshot_stream, write_snapshot,
 )
+from tallyline.streaming.watch import BatchWatch, observed
 
 
 def payloads(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
@@ -380,12 +382,53 @@ def served_with_null_units(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rows_per_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of every micro-batch of a topic that is read file by file."""
+    """Rows of every micro-batch of a topic that is read file by file, as the query reports them."""
     work = work_dir(spark, "batch-sizes")
     publish(payloads(spark, sf_dir).repartition("unit"), f"{work}/topic")
     events = read_events(spark, "text", f"{work}/topic", streaming=True, options={"maxFilesPerTrigger": "1"})
-    batch_sizes(events, f"{work}/sizes", f"{work}/checkpoint").awaitTermination()
-    return read_view(spark, f"{work}/sizes", "rows BIGINT").select("rows")
+    with BatchWatch(spark) as watch:
+        query = (
+            observed(events).writeStream.format("noop").option("checkpointLocation", f"{work}/checkpoint")
+            .trigger(**DRAIN).start()
+        )
+        query.awaitTermination()
+        sizes = [(b["rows"],) for b in watch.take(query) if b["rows"]]
+    return spark.createDataFrame(sizes, "rows BIGINT")
+
+
+def paced_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals of a live view at its own pace, one micro-batch every two seconds, while a topic grows in four steps."""
+    work = work_dir(spark, "paced")
+    rows = payloads(spark, sf_dir)
+    events = read_events(spark, "text", f"{work}/topic", streaming=True)
+    query = snapshot_stream(events, f"{work}/view", f"{work}/checkpoint", ["item", "unit"], trigger=LIVE_TRIGGER)
+    for step in range(4):
+        publish(rows.filter(F.pmod(F.col("unit").cast("bigint"), F.lit(4)) == step).repartition("unit"), f"{work}/topic")
+        query.processAllAvailable()
+    query.stop()
+    return current_snapshot(spark, f"{work}/view")
+
+
+def silent_live(spark: SparkSession, sf_dir: str, factor: float, steps: int = 4) -> DataFrame:
+    """Silent machines by a stream of alarms, at the end of a topic that grows in time order."""
+    work = work_dir(spark, "silent")
+    bought = purchases(spark, sf_dir)
+    profile = stored(gap_profile(bought), "profile")
+    marks = bought.agg(F.max("time_stamp").alias("now"), F.max(F.col("unit").cast("bigint")).alias("last")).first()
+    live = decode_rows(
+        read_events(spark, "text", f"{work}/topic", streaming=True), fields=["snack_automat_id", "timestamp"]
+    )
+    query = (
+        silence_alarms(live.select(MACHINE, "time_stamp"), profile, factor).writeStream.format("parquet").outputMode("append")
+        .option("checkpointLocation", f"{work}/checkpoint").trigger(**AT_ONCE).start(f"{work}/alarms")
+    )
+    step = F.floor(F.col("unit").cast("bigint") * steps / (marks["last"] + 1))
+    for number in range(steps):
+        publish(payloads(spark, sf_dir).filter(step == number).repartition("unit"), f"{work}/topic")
+        query.processAllAvailable()
+    query.stop()
+    alarms = spark.read.parquet(f"{work}/alarms")
+    return standing_alarms(alarms, profile, F.lit(marks["now"]))
 
 
 def updated_totals(spark: SparkSession, sf_dir: str) -> DataFrame:

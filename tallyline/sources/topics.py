@@ -30,6 +30,20 @@ def source_of(unit: str) -> Column:
     return F.regexp_extract(unit, "^(.*):", 1)
 
 
+def topic_files(spark: SparkSession, location: str) -> DataFrame:
+    """``(file, time, unit)`` of all files of a file topic, from names and times alone; no file is opened."""
+    there = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(location)
+    # Folder names escape some characters, and paths escape them once more.
+    folder = F.nullif(F.regexp_extract(F.col("_metadata.file_path"), "/unit=([^/]*)/", 1), F.lit(""))
+    plain = folder
+    for _ in range(2):
+        plain = F.url_decode(F.replace(plain, F.lit("+"), F.lit("%2B")))
+    unit = F.nullif(plain, F.lit("__HIVE_DEFAULT_PARTITION__"))
+    return there.select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_modification_time").alias("time"), unit.alias("unit")
+    )
+
+
 def _start_record(spark: SparkSession, location: str, record: str, settle_s: int) -> DataFrame:
     """What a topic held when a reader first started at its end: ``(since, file)``, out of ``record``.
 
@@ -38,9 +52,7 @@ def _start_record(spark: SparkSession, location: str, record: str, settle_s: int
     times alone, and read back at each later start; a try that did not come to its end is done again.
     """
     if not exists(spark, f"{record}/_SUCCESS"):
-        there = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(location).select(
-            F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_modification_time").alias("time")
-        )
+        there = topic_files(spark, location)
         newest = there.agg((F.max("time") - F.make_dt_interval(secs=F.lit(settle_s))).alias("since"))
         since = F.timestamp_micros(F.lit(newest.select(F.unix_micros("since").alias("s")).first()["s"]).cast("bigint"))
         named = there.filter(F.col("time") >= since).select(since.alias("since"), "file")

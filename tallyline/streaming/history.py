@@ -116,6 +116,19 @@ def current_snapshot(
     return counts_of(_epoch_history(spark, realtime, epoch, state, done["upto"]), keys)
 
 
+def unit_delays(history: DataFrame, files: DataFrame) -> DataFrame:
+    """Per unit the time from its newest file to the first snapshot that shows all of its events.
+
+    ``history`` is a live view by item and unit, ``files`` lists ``(unit, time)`` (``topic_files``). Units
+    that are not wholly shown yet have no delay.
+    """
+    per_snapshot = history.groupBy("unit", "batch_id").agg(F.sum("count").alias("n"), F.min("time_stamp").alias("shown"))
+    whole = per_snapshot.groupBy("unit").agg(F.min_by("shown", F.struct(-F.col("n"), F.col("shown"))).alias("shown"))
+    written = files.groupBy("unit").agg(F.max("time").alias("written"))
+    both = written.join(whole, "unit")
+    return both.withColumn("delay_ms", F.unix_millis("shown") - F.unix_millis("written")).filter("delay_ms >= 0")
+
+
 def appended_once(rows: DataFrame) -> DataFrame:
     """Rows of a store that only appends, each once: of those with one ``id`` the one that came first.
 

@@ -1,24 +1,26 @@
 import contextlib
 import io
 import os
+import time
 
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tallyline.functions import decode_rows
-from tallyline.operators import latest_snapshot, reconcile, serving_view
+from tallyline.operators import latest_snapshot, reconcile, serving_view, silence_alarms, standing_alarms
 from tallyline.plans import items_sold, run_batch_view, served_totals
 from tallyline.schema import ACTIVE_EPOCHS, BATCH_VIEW, EPOCH_TABLE, RAW_VIEW, REALTIME_VIEW
-from tallyline.sources import ensure_view, offset_unit, read_events, read_view
+from tallyline.sources import ensure_view, offset_unit, read_events, read_view, topic_files
 from tallyline.streaming import (
+    BatchWatch, observed, unit_delays,
     activate_epoch, active_epoch, on_restart, restart_behind_run,
     append_raw_view, archive, batch_sizes, compact_history, covered_units, current_snapshot, drop_compacted, emit_restart,
     known_epochs, newest_batch, point_to, publish, publish_cut, read_history, replay, restart_signals,
     rotate_epoch, run_until_ok, snapshot_stream, write_snapshot,
 )
 from tallyline.streaming.epochs import uncovered
-from tallyline.streaming.queries import AT_ONCE, DRAIN
+from tallyline.streaming.queries import AT_ONCE, DRAIN, LIVE_TRIGGER
 from tallyline.streaming.release import cut_of
 from tests.helpers import payload, rows, write_unit
 
@@ -525,3 +527,61 @@ def test_a_cut_is_the_lowest_of_all_sources(spark):
     units = spark.createDataFrame([("t:0:7",), ("t:0:8",), ("t:1:5",), ("t:1:4",)], "unit STRING")
     assert rows(cut_of(units).select(F.unix_seconds("cut"))) == [(6,)]
     assert cut_of(units.limit(0)).count() == cut_of(spark.createDataFrame([("x",)], "unit STRING")).count() == 0
+
+
+def test_batches_are_watched_without_a_job_of_their_own(spark, topic, folder):
+    source = observed(stream(spark, topic), longest=F.max(F.length("value")))
+    with BatchWatch(spark) as watch:
+        query = archive(source, f"{folder}/log", f"{folder}/c")
+        query.awaitTermination()
+        seen = watch.take(query)
+    assert [b["batch_id"] for b in seen] == list(range(6))
+    assert sorted(b["rows"] for b in seen) == [3, 3, 3, 4, 4, 4]
+    assert {b["longest"] for b in seen} == {len(payload("a", price=1))} and all(b["trigger_ms"] >= 0 for b in seen)
+    assert watch.take(query) == []
+
+
+def test_delay_of_the_live_view_at_its_own_pace(spark, tmp_path, folder):
+    place, view = tmp_path / "t", f"{folder}/v"
+    source = read_events(spark, "text", str(place), streaming=True)
+    query = snapshot_stream(source, view, f"{folder}/c", ["item", "unit"], trigger=LIVE_TRIGGER)
+    for unit in range(6):
+        write_unit(place, f"u:{unit}", [payload("a"), payload("b")])
+        time.sleep(1.0)
+    query.processAllAvailable()
+    query.stop()
+    starts = [p["timestamp"][17:23] for p in query.recentProgress if p["numInputRows"]]
+    # Micro-batches begin on the even seconds, but behind one that took longer.
+    assert len(starts) >= 2 and any(float(s) % 2 < 0.2 for s in starts[1:])
+    files = topic_files(spark, str(place))
+    assert rows(files, "unit") == [(f"u:{unit}",) for unit in range(6)]
+    delays = [r["delay_ms"] for r in unit_delays(read_history(spark, view), files).collect()]
+    print("delays in ms", sorted(delays))
+    assert len(delays) == 6 and 0 <= min(delays) and max(delays) < 30_000
+
+
+def test_alarms_of_silent_machines(spark, tmp_path, folder):
+    def at(minute):
+        return f"2024-08-01 {minute // 60:02d}:{minute % 60:02d}:00"
+
+    # The gap is 10 minutes: m1 falls silent once, at 30, and comes back at 70; m2 goes on; m3 is new.
+    sold = {"u1": [("m1", 0), ("m2", 0), ("m1", 10), ("m2", 25), ("m1", 30)], "u2": [("m2", 50), ("m3", 55), ("m1", 70), ("m2", 75)],
+            "u3": [("m2", 100), ("m2", 125), (None, 126)]}
+    profile = spark.createDataFrame([("m1", 10.0), ("m2", 25.0), (None, 1.0)], "snack_automat_id STRING, mean_gap_us DOUBLE").withColumn(
+        "mean_gap_us", F.col("mean_gap_us") * 60_000_000)
+    place = tmp_path / "t"
+    for unit in sold:
+        write_unit(place, unit, [])
+    for unit, lines in sold.items():
+        write_unit(place, unit, [payload("a", snack_automat_id=m, timestamp=at(t)) for m, t in lines], "p.txt")
+        events = decode_rows(read_events(spark, "text", str(place), streaming=True))
+        query = silence_alarms(events, profile, 1.5).writeStream.format("parquet").outputMode("append").option(
+            "checkpointLocation", f"{folder}/c").trigger(**DRAIN).start(f"{folder}/alarms")
+        query.awaitTermination()
+    got = spark.read.parquet(f"{folder}/alarms")
+    assert rows(got.select("snack_automat_id", F.date_format("last_seen", "HH:mm"), "sold")) == [("m1", "00:10", 2), ("m1", "00:30", 1), ("m1", "01:10", 1)]
+    # The two gaps of m1 that are longer than 15 minutes, and its silence at the end.
+    seen = spark.createDataFrame([("m1", 4, "2024-08-01 01:10:00"), ("m2", 6, "2024-08-01 02:05:00")], "snack_automat_id STRING, sold INT, t STRING")
+    profile = seen.select("snack_automat_id", "sold", F.to_timestamp("t").alias("last_seen"), F.lit(1.0).alias("mean_gap_us"))
+    standing = standing_alarms(got, profile, F.lit("2024-08-01 02:06:00").cast("timestamp"))
+    assert rows(standing, "snack_automat_id", "silence_us") == [("m1", 56 * 60_000_000)]
