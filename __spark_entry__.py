@@ -107,6 +107,11 @@ def batch_view_runs(spark, d):
     return flows.batch_runs(spark, d, RUN_CUTS)
 
 
+def batch_view_increments(spark, d):
+    _events(spark, d)
+    return flows.incremental_runs(spark, d)
+
+
 def _served(spark, d):
     layers = flows.hand_off(spark, d)
     return served_totals(spark, layers.batch, layers.realtime, layers.epochs)
@@ -431,6 +436,7 @@ QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     restart_on_message, serving_null_units, batch_sizes, count_per_item_update,
     empty_start, compacted_history, released_state, running_total_periods, row_position_ranges,
     connector_append, lenient_times, interval_null_items, silent_machines_live, paced_totals,
+    batch_view_increments,
 )
 
 
@@ -532,6 +538,14 @@ SELECT CASE event_type WHEN 'error' THEN 'malformed' WHEN 'signup' THEN 'missing
        count(*) AS rows, count(*) FILTER (event_type = 'purchase') AS priced
 FROM events GROUP BY 1""",
         "batch_view_runs": f"WITH {_P} {runs}",
+        "batch_view_increments": f"""WITH {_P}, U AS (SELECT max(CAST(unit AS BIGINT)) AS last FROM P),
+N AS (SELECT item, CAST(unit AS BIGINT) AS u, count(*) AS n FROM P GROUP BY 1, 2),
+R AS (
+  SELECT 1 AS run_id, item, n FROM N, U WHERE u < last // 2
+  UNION ALL SELECT r.run_id, item, n FROM N, U, (VALUES (2), (3), (4)) AS r(run_id) WHERE u < last
+  UNION ALL SELECT r.run_id, item, n FROM N, (VALUES (3), (4)) AS r(run_id) WHERE u = 0),
+S AS (SELECT CAST(run_id AS BIGINT) AS run_id, item, CAST(sum(n) AS BIGINT) AS count FROM R GROUP BY 1, 2)
+SELECT *, count AS recomputed FROM S""",
         "serving_merge": f"WITH {_P}, {served} SELECT item, batch, real, batch + real AS total FROM served",
         "reconciliation": f"""WITH {_P}, {served}
 SELECT item, batch, real, batch + real AS served, (SELECT count(*) FROM P t WHERE t.item = s.item) AS truth,

@@ -12,7 +12,7 @@ from tallyline.functions.encode import encode
 from tallyline.operators.counts import count_by, count_items
 from tallyline.operators.merge import latest_snapshot
 from tallyline.operators.questions import MACHINE, gap_profile, silence_alarms, standing_alarms
-from tallyline.plans.layers import run_batch_view, served_totals
+from tallyline.plans.layers import run_batch_increment, run_batch_view, served_totals
 from tallyline.schema import BATCH_VIEW, EPOCH_TABLE, RAW_VIEW, REALTIME_VIEW
 from tallyline.session import stored, work_dir
 from tallyline.sources.tables import purchases, stream_purchases
@@ -181,6 +181,29 @@ def batch_runs(spark: SparkSession, sf_dir: str, cuts: tuple[str | None, ...]) -
     return read_view(spark, view, BATCH_VIEW).select("run_id", "item", "count")
 
 
+def incremental_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals of four incremental runs beside those of full ones, over an archive that grows.
+
+    Half of the units; all of them; all, with a late file in the first unit (its own events once more);
+    and once more with nothing new. The newest unit is left open in each run.
+    """
+    work = work_dir(spark, "increments")
+    rows, log = payloads(spark, sf_dir), f"{work}/log"
+    marks = rows.agg(F.min("unit").alias("first"), F.max(F.col("unit").cast("bigint")).alias("last")).first()
+    ensure_view(spark, f"{work}/epochs", EPOCH_TABLE, ("run_id",))
+    half = F.col("unit").cast("bigint") <= marks["last"] // 2
+    parts = []
+    for run_id, more in enumerate((half, ~half, F.col("unit") == marks["first"], None), start=1):
+        if more is not None:
+            publish(rows.filter(more).repartition("unit"), log)
+        run_batch_increment(spark, log, f"{work}/view", run_id, f"{work}/epochs", skip_open=True)
+        events = decode_rows(read_events(spark, "text", log), fields=["item"])
+        run_batch_view(events, f"{work}/full", run_id, skip_open=True)
+    for name in ("view", "full"):
+        parts.append(read_view(spark, f"{work}/{name}", BATCH_VIEW).select("run_id", "item", F.col("count").alias(name)))
+    return parts[0].join(parts[1], ["run_id", "item"], "full").withColumnsRenamed({"view": "count", "full": "recomputed"})
+
+
 def decoded_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Count per item over payload text, parsing only the item."""
     rows = payloads(spark, sf_dir).select(

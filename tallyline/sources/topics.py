@@ -37,15 +37,16 @@ def topic_files(spark: SparkSession, location: str) -> DataFrame:
     folder = F.nullif(F.regexp_extract(F.col("_metadata.file_path"), "/unit=([^/]*)/", 1), F.lit(""))
     plain = folder
     for _ in range(2):
-        plain = F.url_decode(F.replace(plain, F.lit("+"), F.lit("%2B")))
+        # A name that is not escaped text stands for itself.
+        plain = F.coalesce(F.try_url_decode(F.replace(plain, F.lit("+"), F.lit("%2B"))), plain)
     unit = F.nullif(plain, F.lit("__HIVE_DEFAULT_PARTITION__"))
     return there.select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_modification_time").alias("time"), unit.alias("unit")
     )
 
 
-def _start_record(spark: SparkSession, location: str, record: str, settle_s: int) -> DataFrame:
-    """What a topic held when a reader first started at its end: ``(since, file)``, out of ``record``.
+def file_record(spark: SparkSession, location: str, record: str, settle_s: int = SETTLE_S) -> DataFrame:
+    """What a topic held when it was first asked for: ``(since, file)``, out of ``record``.
 
     ``since`` lies ``settle_s`` before the newest file (null for an empty topic, no row for a file).
     Files below it are past; the files from it on are named one by one. Written once, from names and
@@ -67,7 +68,7 @@ def _after_start(rows: DataFrame, location: str, record: str, settle_s: int, few
     The time, and the names while they are few, are literals on the file's metadata, so files of the
     past are left out of the listing and never opened. Many names are joined instead.
     """
-    known = _start_record(rows.sparkSession, location, record, settle_s)
+    known = file_record(rows.sparkSession, location, record, settle_s)
     row = known.agg(F.max(F.unix_micros("since")).alias("since"), F.count("file").alias("names")).first()
     if row["since"] is None:
         return rows
