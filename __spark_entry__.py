@@ -70,6 +70,11 @@ def archive_scan_count(spark, d):
     return items_sold(read_archive_json(spark, flows.archive_log(spark, d)))
 
 
+def compacted_archive(spark, d):
+    _events(spark, d)
+    return flows.compacted_archive(spark, d)
+
+
 def archive_roundtrip(spark, d):
     _events(spark, d)
     return _plain_time(_money(flows.archived_events(spark, d), "price"))
@@ -436,7 +441,7 @@ QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     restart_on_message, serving_null_units, batch_sizes, count_per_item_update,
     empty_start, compacted_history, released_state, running_total_periods, row_position_ranges,
     connector_append, lenient_times, interval_null_items, silent_machines_live, paced_totals,
-    batch_view_increments,
+    batch_view_increments, compacted_archive,
 )
 
 
@@ -525,6 +530,7 @@ def oracle_sql() -> dict[str, str]:
         "decoded_count": _COUNT,
         "archive_scan_count": _COUNT,
         "archive_roundtrip": f"WITH {_P} SELECT {_ROW}, unit FROM P",
+        "compacted_archive": "SELECT event_type AS item, count(*) AS count, CAST(1 AS BIGINT) AS most_files FROM events GROUP BY 1",
         "validation_view": f"WITH {_P} SELECT {_ROW}, unit FROM P",
         "encode_payload": f"""WITH {_P}
 SELECT id, '{{"id":"' || id || '","item":"' || item || '","customer_id":' || customer_id

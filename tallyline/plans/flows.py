@@ -16,8 +16,9 @@ from tallyline.plans.layers import run_batch_increment, run_batch_view, served_t
 from tallyline.schema import BATCH_VIEW, EPOCH_TABLE, RAW_VIEW, REALTIME_VIEW
 from tallyline.session import stored, work_dir
 from tallyline.sources.tables import purchases, stream_purchases
-from tallyline.sources.topics import read_archive_json, read_events
+from tallyline.sources.topics import read_archive_json, read_events, topic_files
 from tallyline.sources.views import ensure_view, read_view
+from tallyline.streaming.compaction import compact_archive, read_archive_lines
 from tallyline.streaming.control import emit_restart, on_restart
 from tallyline.streaming.epochs import activate_epoch, active_table, covered_units, publish_cut, rotate_epoch, uncovered
 from tallyline.streaming.history import appended_once, compact_history, current_snapshot, drop_compacted, read_history
@@ -204,6 +205,26 @@ def incremental_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].join(parts[1], ["run_id", "item"], "full").withColumnsRenamed({"view": "count", "full": "recomputed"})
 
 
+def compacted_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events per item in an archive that is compacted twice while it grows, and the most files of a compacted unit.
+
+    The archive takes in half of the units, then the rest; the last unit stays open.
+    """
+    work = work_dir(spark, "compacted-archive")
+    rows, log = payloads(spark, sf_dir), f"{work}/log"
+    last = rows.agg(F.max("unit").alias("last")).first()["last"]
+    half = F.pmod(F.col("unit").cast("bigint"), F.lit(2)) == 0
+    for more in (half, ~half):
+        publish(rows.filter(more).repartition("unit"), f"{work}/topic")
+        lines = read_events(spark, "text", f"{work}/topic", streaming=True)
+        archive(lines, log, f"{work}/checkpoint", spread=4).awaitTermination()
+        compact_archive(spark, log, last)
+    files = topic_files(spark, f"{log}_compacted").filter("unit IS NOT NULL").groupBy("unit").count()
+    most = files.agg(F.coalesce(F.max("count"), F.lit(0)).alias("n")).first()["n"]
+    counts = count_by(decode_rows(read_archive_lines(spark, log), fields=["item"]))
+    return counts.withColumn("most_files", F.lit(most).cast("bigint"))
+
+
 def decoded_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Count per item over payload text, parsing only the item."""
     rows = payloads(spark, sf_dir).select(

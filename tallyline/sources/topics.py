@@ -62,23 +62,21 @@ def file_record(spark: SparkSession, location: str, record: str, settle_s: int =
     return spark.read.schema("since TIMESTAMP, file STRING").parquet(record)
 
 
-def _after_start(rows: DataFrame, location: str, record: str, settle_s: int, few_names: int) -> DataFrame:
-    """Rows of files that were not there at the recorded start.
+def without_files(rows: DataFrame, since: int | None, files: DataFrame, few_names: int = FEW_NAMES) -> DataFrame:
+    """Rows of files that are not older than ``since`` (microseconds) and not among ``files`` (``file``).
 
     The time, and the names while they are few, are literals on the file's metadata, so files of the
     past are left out of the listing and never opened. Many names are joined instead.
     """
-    known = file_record(rows.sparkSession, location, record, settle_s)
-    row = known.agg(F.max(F.unix_micros("since")).alias("since"), F.count("file").alias("names")).first()
-    if row["since"] is None:
+    if since is None:
         return rows
     name = F.col("_metadata.file_path")
-    late = rows.filter(F.col("_metadata.file_modification_time") >= F.timestamp_micros(F.lit(row["since"]).cast("bigint")))
-    files = known.filter("file IS NOT NULL").select(F.col("file").alias("_file"))
-    if row["names"] <= few_names:
-        # At most ``few_names`` names.
-        return late.filter(~name.isin([r["_file"] for r in files.collect()])) if row["names"] else late
-    return late.withColumn("_file", name).join(files, "_file", "left_anti").drop("_file")
+    late = rows.filter(F.col("_metadata.file_modification_time") >= F.timestamp_micros(F.lit(since).cast("bigint")))
+    # At most ``few_names`` names and one more.
+    names = [r["file"] for r in files.select("file").limit(few_names + 1).collect()]
+    if len(names) <= few_names:
+        return late.filter(~name.isin(names)) if names else late
+    return late.withColumn("_file", name).join(files.select(F.col("file").alias("_file")), "_file", "left_anti").drop("_file")
 
 
 def read_events(
@@ -126,7 +124,9 @@ def read_events(
         return rows.select("value", name)
     if not start_record:
         raise ValueError("a start at the end of a file topic needs a start_record beside the checkpoint")
-    return _after_start(rows, location, start_record, settle_s, few_names).select("value", name)
+    known = file_record(spark, location, start_record, settle_s)
+    since = known.agg(F.max(F.unix_micros("since")).alias("since")).first()["since"]
+    return without_files(rows, since, known.filter("file IS NOT NULL"), few_names).select("value", name)
 
 
 def read_archive_json(spark: SparkSession, location: str, fields: tuple[str, ...] = ("item",)) -> DataFrame:

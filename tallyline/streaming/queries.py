@@ -33,25 +33,38 @@ def publish(events: DataFrame, location: str, fmt: str = "text", options: dict[s
     events.select("value", "unit").write.mode("append").partitionBy("unit").format(fmt).save(location)
 
 
-def archive(payloads: DataFrame, path: str, checkpoint: str, trigger: dict = DRAIN) -> StreamingQuery:
+def dealt(rows: DataFrame, spread: int | None) -> DataFrame:
+    """Rows dealt so that a micro-batch writes at most ``spread`` files for a unit; None leaves them where they are."""
+    if spread is None:
+        return rows
+    salt = F.pmod(F.xxhash64(*rows.columns), F.lit(spread)) if spread > 1 else F.lit(0)
+    return rows.withColumn("_salt", salt).repartition("unit", "_salt").drop("_salt")
+
+
+def archive(
+    payloads: DataFrame, path: str, checkpoint: str, trigger: dict = DRAIN, spread: int | None = None
+) -> StreamingQuery:
     """Append every payload as a line of the archive, one folder per unit.
 
     The sink's commit log makes each micro-batch appear once; readers of the folder see only
-    committed files.
+    committed files. ``spread`` bounds the files per unit and micro-batch, for a shuffle of the lines;
+    ``compact_archive`` brings closed units to files of full size.
     """
     return (
-        payloads.select("value", "unit").writeStream.format("text").partitionBy("unit")
+        dealt(payloads.select("value", "unit"), spread).writeStream.format("text").partitionBy("unit")
         .outputMode("append").option("checkpointLocation", checkpoint)
         .trigger(**trigger).start(path)
     )
 
 
-def append_raw_view(payloads: DataFrame, path: str, checkpoint: str, trigger: dict = DRAIN) -> StreamingQuery:
+def append_raw_view(
+    payloads: DataFrame, path: str, checkpoint: str, trigger: dict = DRAIN, spread: int | None = None
+) -> StreamingQuery:
     """Append every event, typed, to the validation view. Events without an id get a new one."""
     rows = decode_rows(payloads)
     rows = rows.withColumn("id", F.coalesce("id", F.uuid()))
     return (
-        rows.writeStream.format("parquet").partitionBy("unit").outputMode("append")
+        dealt(rows, spread).writeStream.format("parquet").partitionBy("unit").outputMode("append")
         .option("checkpointLocation", checkpoint).trigger(**trigger).start(path)
     )
 

@@ -20,6 +20,7 @@ from tallyline.streaming import (
     known_epochs, newest_batch, point_to, publish, publish_cut, read_history, replay, restart_signals,
     rotate_epoch, run_until_ok, snapshot_stream, write_snapshot,
 )
+from tallyline.streaming import compact_archive, compaction, read_archive_lines
 from tallyline.streaming.epochs import uncovered
 from tallyline.streaming.queries import AT_ONCE, DRAIN, LIVE_TRIGGER
 from tallyline.streaming.release import cut_of
@@ -614,3 +615,46 @@ def test_increments_equal_full_runs_and_read_changed_units_alone(spark, topic, f
     units, got = run(4)
     assert got == [("a", 14), ("b", 6), ("c", 1), ("z", 1)]
     assert run(5) == ([], got)
+
+
+def test_compaction_of_an_archive_shows_each_line_once(spark, topic, folder, monkeypatch):
+    log, spots = f"{folder}/log", []
+
+    def grow():
+        archive(stream(spark, topic), log, f"{folder}/c", spread=2).awaitTermination()
+
+    def lines():
+        got = rows(read_archive_lines(spark, log))
+        assert got == rows(read_events(spark, "text", log))
+        return len(got)
+
+    real = compaction.replace_text
+    # Right before and behind the switch, and with a file that comes while a compaction is on its way.
+    def switch(spark_, path, text):
+        write_unit(topic, "u2", [payload("x")], f"while-{len(spots)}.txt")
+        grow()
+        spots.append(lines())
+        real(spark_, path, text)
+        spots.append(lines())
+
+    monkeypatch.setattr(compaction, "replace_text", switch)
+    grow()
+    assert lines() == 21
+    assert compact_archive(spark, log, "u4") == 1 and spots == [22, 22]
+    write_unit(topic, "u0", [payload("late")], "late.txt")
+    write_unit(topic, "u8", [payload("a")] * 40)
+    write_unit(topic, "__HIVE_DEFAULT_PARTITION__", [payload("n")])
+    grow()
+    assert lines() == 64 and rows(read_archive_lines(spark, log, few_names=0)) == rows(read_events(spark, "text", log))
+    # Small parts would be put together again.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert compact_archive(spark, log, "u9", target_bytes=200) == 2 and spots[2:] == [65, 65]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert lines() == 65 and compact_archive(spark, log, "u9") == 3 and compact_archive(spark, log, "u9") == 4
+    # A unit's files follow its bytes: 40 lines of 12 bytes in files of 200.
+    files = topic_files(spark, f"{log}_compacted").filter("unit IS NOT NULL")
+    found = {r["unit"]: r["count"] for r in files.filter("file LIKE '%000002%'").groupBy("unit").count().collect()}
+    # Two of the three parts may meet in one task.
+    assert found.pop("u8") in (2, 3) and found == {"u0": 1, "u2": 1, "u4": 1, "u5": 1}
