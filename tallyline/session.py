@@ -57,6 +57,17 @@ def clear_work(spark: SparkSession) -> int:
     return removed
 
 
+def release(df: DataFrame) -> None:
+    """Remove the work folders that ``df``, a ``stored`` table, is read from: for tables that nothing rests on any more."""
+    spark = df.sparkSession
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    marks = {path.rstrip("/").rsplit("/", 1)[1]: path for path in _made}
+    for name in {f.rsplit("/", 2)[1] for f in df.inputFiles()} & set(marks):
+        _made.remove(marks[name])
+        path = jvm.org.apache.hadoop.fs.Path(marks[name])
+        path.getFileSystem(conf).delete(path, True)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the work folder and read it back.
 

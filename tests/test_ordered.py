@@ -11,6 +11,7 @@ from tallyline.operators import (
     following, last_known, ordered_scan, position, previous, running_sum, running_total, spread_ties, tie_rank,
 )
 from tallyline.operators import ordered
+from tallyline.session import release
 from tests.helpers import rows
 
 START = datetime(2024, 1, 1)
@@ -157,3 +158,14 @@ def test_spread_leaves_single_rows_alone(spark):
     made = [("a", START, "1", 0, None), ("a", START, "2", 0, None), ("a", START + timedelta(seconds=1), "3", 0, None)]
     got = rows(spread_ties(spark.createDataFrame(made, SCHEMA), ["item"], "t", "id"), "id", "t")
     assert got == [("1", START), ("2", START + timedelta(milliseconds=1)), ("3", START + timedelta(seconds=1))]
+
+
+def test_released_tables_go_and_others_stay(spark, tmp_path):
+    one, two = (ordered.stored(spark.range(n), f"t{n}") for n in (3, 4))
+    spark.range(2).write.parquet(str(tmp_path / "own"))
+    own = spark.read.parquet(str(tmp_path / "own"))
+    for table in (one, own):
+        release(table)
+    assert two.count() == 4 and own.count() == 2
+    with pytest.raises(Exception, match="(?i)not.*exist|not found"):
+        one.collect()
