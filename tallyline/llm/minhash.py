@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -180,15 +180,42 @@ def _rare_pairs(held: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return pairs.select(F.least("doc_id_x", "doc_id_y").alias("a"), F.greatest("doc_id_x", "doc_id_y").alias("b"))
 
 
-def _with_components(buckets: DataFrame, links: DataFrame) -> DataFrame:
+def _with_components(buckets: DataFrame, component: DataFrame) -> DataFrame:
     """Buckets that still hold more than one component, with the component of each member."""
-    component = connected_components(links)
     rows = buckets.join(component.withColumnRenamed("id", "doc_id"), "doc_id", "left")
     rows = rows.withColumn("c", F.coalesce("component_id", "doc_id")).select("key", "doc_id", "c")
     split = rows.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi")
     return rows.join(split.select("key"), "key")
 
 
+def _joined(component: DataFrame, links: DataFrame) -> DataFrame:
+    """The components with further links, from the stars that there are already."""
+    stars = component.where("id != component_id").select(F.col("id").alias("a"), F.col("component_id").alias("b"))
+    return stored(connected_components(stars.union(links)), "components")
+
+
+def _further(
+    apart: DataFrame, component: DataFrame, nodes: DataFrame, texts: DataFrame, percent: int, links_of: Callable
+) -> DataFrame:
+    """The components with the links between members of the same bucket that the least member does not show."""
+    # A pair has no more shingles in common than either has with all the others that are left.
+    held, alone = _held(texts.join(apart.select("doc_id").distinct(), "doc_id", "left_semi"))
+    nodes = nodes.join(alone, "doc_id", "left").fillna(0, ["alone"])
+    nodes = nodes.select("doc_id", "n_shingles", "sketch", "alone", (F.col("n_shingles") - F.col("alone")).alias("shared"))
+    nodes = stored(nodes, "nodes")
+    rows = apart.join(nodes.select("doc_id", (F.col("alone") / F.col("n_shingles")).alias("own")), "doc_id")
+    centre = rows.groupBy("key").agg(F.min_by(F.struct("doc_id", "c"), F.struct("own", "doc_id")).alias("o"))
+    centre = stored(centre, "centres")
+    pairs = apart.join(centre, "key").where("c != o.c")
+    component = _joined(
+        component, links_of(pairs.select(F.least("o.doc_id", "doc_id").alias("a"), F.greatest("o.doc_id", "doc_id").alias("b")))
+    )
+    left = stored(_with_components(apart.select("key", "doc_id"), component).select("doc_id", "c").distinct(), "left")
+    if left.isEmpty():
+        return component
+    return _joined(component, links_of(_rare_pairs(held, nodes.join(left, "doc_id"), percent)))
+
+
 def minhash_components(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75
 ) -> DataFrame:
@@ -232,22 +259,11 @@ def minhash_components(
 
     links = confirm(buckets.select(F.col("first").alias("a"), F.col("doc_id").alias("b")))
 
-    apart = stored(_with_components(buckets, links), "apart")
-    # A pair has no more shingles in common than either has with all the others that are left.
-    held, alone = _held(texts.join(apart.select("doc_id").distinct(), "doc_id", "left_semi"))
-    nodes = nodes.join(alone, "doc_id", "left").fillna(0, ["alone"])
-    nodes = nodes.select("doc_id", "n_shingles", "sketch", "alone", (F.col("n_shingles") - F.col("alone")).alias("shared"))
-    nodes = stored(nodes, "nodes")
-    rows = apart.join(nodes.select("doc_id", (F.col("alone") / F.col("n_shingles")).alias("own")), "doc_id")
-    centre = rows.groupBy("key").agg(F.min_by(F.struct("doc_id", "c"), F.struct("own", "doc_id")).alias("o"))
-    centre = stored(centre, "centres")
-    pairs = apart.join(centre, "key").where("c != o.c")
-    links = links.union(confirm(pairs.select(F.least("o.doc_id", "doc_id").alias("a"), F.greatest("o.doc_id", "doc_id").alias("b"))))
-
-    left = _with_components(apart.select("key", "doc_id"), links).select("doc_id", "c").distinct()
-    links = links.union(confirm(_rare_pairs(held, nodes.join(stored(left, "left"), "doc_id"), percent)))
-
-    component = connected_components(links).withColumnRenamed("id", "node")
+    component = stored(connected_components(links), "components")
+    apart = stored(_with_components(buckets, component), "apart")
+    if not apart.isEmpty():
+        component = _further(apart, component, nodes, texts, percent, confirm)
+    component = component.withColumnRenamed("id", "node")
     of_class = classes.join(component, "node", "left").select(
         "digest", F.coalesce("component_id", "node").alias("component_id")
     )

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyline.llm.texts import byte_column, mix, powers, prefix_hashes, small_batches, span_hash
-from tallyline.session import stored
+from tallyline.session import release, stored
 
 LENGTH = 400
 #: Bytes of an anchor.
@@ -450,11 +450,13 @@ def remove_repeats(
     texts = docs.select(*(c.alias(k) for c, k in zip(own_key, key, strict=True)), text.alias("text"))
     texts = texts.where(F.octet_length("text") >= length)
 
-    rows = stored(texts.mapInArrow(_anchor_rows(length), ROWS), "anchors")
+    every = stored(texts.mapInArrow(_anchor_rows(length), ROWS), "anchors")
     # Kept as a table, so that the join below can be split where one anchor has very many rows.
-    often = rows.groupBy("gram").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("gram")
+    often = every.groupBy("gram").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("gram")
     often = stored(often, "repeated-grams")
-    rows = stored(rows.join(often, "gram", "left_semi"), "repeated-anchors")
+    rows = stored(every.join(often, "gram", "left_semi"), "repeated-anchors")
+    release(every)
+    release(often)
     contexts = rows.groupBy("gram", "context").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("did", "rid", "place", "front", "windows")).alias("at")
     )
@@ -477,6 +479,7 @@ def remove_repeats(
     crowded = several.where(F.col("different") > group).select("gram")
     bytes_of = stored(bytes_of, "context-bytes")
     tasks = max(1, -(-edges.count() // CONTEXTS_PER_TASK))
+    release(edges)
     spans = "did long, rid long, start long, end long"
     few = bytes_of.join(crowded, "gram", "left_anti").select(bytes_of.columns)
     parts = few.repartition(tasks, "gram").mapInArrow(_sorted_groups(length), spans)
