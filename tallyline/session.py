@@ -49,23 +49,35 @@ def clear_work(spark: SparkSession) -> int:
     For when the results of its queries have been read or written: they may rest on these folders.
     Folders of other processes are not touched.
     """
+    return remove_work(spark, work_folders())
+
+
+def work_folders() -> list[str]:
+    """The work folders that this process has made and not removed."""
+    return list(_made)
+
+
+def remove_work(spark: SparkSession, folders: list[str]) -> int:
+    """Remove some of these folders and return how many there were."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     removed = 0
-    while _made:
-        path = jvm.org.apache.hadoop.fs.Path(_made.pop())
-        removed += bool(path.getFileSystem(conf).delete(path, True))
+    for folder in folders:
+        if folder in _made:
+            _made.remove(folder)
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            removed += bool(path.getFileSystem(conf).delete(path, True))
     return removed
 
 
+def rests_on(df: DataFrame, folders: list[str]) -> list[str]:
+    """Those of the work folders that ``df`` reads files of."""
+    read = {part for f in df.inputFiles() for part in f.split("/")}
+    return [folder for folder in folders if folder.rstrip("/").rsplit("/", 1)[1] in read]
+
+
 def release(df: DataFrame) -> None:
     """Remove the work folders that ``df``, a ``stored`` table, is read from: for tables that nothing rests on any more."""
-    spark = df.sparkSession
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    marks = {path.rstrip("/").rsplit("/", 1)[1]: path for path in _made}
-    for name in {f.rsplit("/", 2)[1] for f in df.inputFiles()} & set(marks):
-        _made.remove(marks[name])
-        path = jvm.org.apache.hadoop.fs.Path(marks[name])
-        path.getFileSystem(conf).delete(path, True)
+    remove_work(df.sparkSession, rests_on(df, work_folders()))
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
