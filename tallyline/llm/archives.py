@@ -170,25 +170,42 @@ def _unzipped(content: bytes) -> bytes:
     return gzip.decompress(content) if content[:2] == b"\x1f\x8b" else content
 
 
+def _arc_rows(path: str, content: bytes) -> Iterator[tuple]:
+    """The records of an ARC file in the columns of ``RECORDS``, payloads as they are."""
+    name = path.rsplit("/", 1)[-1]
+    for n, (fields, body) in enumerate(arc_records(_unzipped(content))):
+        is_http = body.startswith(b"HTTP/")
+        head, payload = _split_http(body) if is_http else (b"", body)
+        digest, uri = digest_of(payload), fields["URL"]
+        ident = uuid.uuid5(uuid.NAMESPACE_URL, f"{uri} {fields['Archive-date']} {digest} {name} {n}")
+        yield (
+            f"<urn:uuid:{ident}>", "response" if is_http else "resource", uri, arc_date(fields["Archive-date"]),
+            fields["IP-address"], "application/http; msgtype=response" if is_http else fields["Content-type"],
+            head, payload, len(payload), digest, _number(_http_field(head, b"x-page-id")),
+        )
+
+
+def _heads_of_arc(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What tells revisits, without the payloads: one batch per file."""
+    kinds = {"path": pa.string(), "record_id": pa.string(), "payload_bytes": pa.int64(), "payload_digest": pa.string(), "page_id": pa.int64()}
+    for batch in batches:
+        for path, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            rows = [(path, r[0], *r[8:]) for r in _arc_rows(path, content)]
+            if rows:
+                columns = zip(zip(*rows, strict=True), kinds.values(), strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in columns], list(kinds))
+
+
 def _records_of_arc(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """WARC fields of the records of ARC files; payloads are packed, as they go through a shuffle."""
+    """WARC fields of the records of ARC files; payloads are packed, as they are stored."""
     squeeze = zstandard.ZstdCompressor(level=1).compress
     names = [x.split()[0] for x in RECORDS.split(", ")]
     kinds = [pa.string()] * 6 + [pa.binary(), pa.binary(), pa.int64(), pa.string(), pa.int64()]
     for batch in batches:
         for path, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             rows = []
-            name = path.rsplit("/", 1)[-1]
-            for n, (fields, body) in enumerate(arc_records(_unzipped(content))):
-                is_http = body.startswith(b"HTTP/")
-                head, payload = _split_http(body) if is_http else (b"", body)
-                digest, uri = digest_of(payload), fields["URL"]
-                ident = uuid.uuid5(uuid.NAMESPACE_URL, f"{uri} {fields['Archive-date']} {digest} {name} {n}")
-                rows.append((
-                    f"<urn:uuid:{ident}>", "response" if is_http else "resource", uri, arc_date(fields["Archive-date"]),
-                    fields["IP-address"], "application/http; msgtype=response" if is_http else fields["Content-type"],
-                    head, squeeze(payload), len(payload), digest, _number(_http_field(head, b"x-page-id")),
-                ))
+            for row in _arc_rows(path, content):
+                rows.append((*row[:7], squeeze(row[7]), *row[8:]))
                 if len(rows) == 1000:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
                     rows = []
@@ -232,42 +249,72 @@ def _warc_record(fields: list[tuple[str, str]], block: bytes) -> bytes:
     return b"\r\n".join(lines) + block
 
 
+class _WarcFiles:
+    """Records one behind the other, in files of about ``file_bytes``."""
+
+    def __init__(self, file_bytes: int):
+        self.file_bytes, self.held, self.size = file_bytes, [], 0
+
+    def add(self, record: tuple, refers_to: str | None) -> Iterator[pa.RecordBatch]:
+        """Take in a record in the columns of ``RECORDS``; yields a file when one is full."""
+        ident, kind, uri, date, ip, content_type, head, payload, _, digest, _ = record
+        block = head if refers_to else head + payload
+        fields = [
+            ("WARC-Type", "revisit" if refers_to else kind), ("WARC-Record-ID", ident), ("WARC-Date", date),
+            ("WARC-Target-URI", uri), ("WARC-IP-Address", ip),
+            ("WARC-Payload-Digest", f"sha1:{digest}"), ("WARC-Block-Digest", f"sha1:{digest_of(block)}"),
+        ]
+        if refers_to:
+            fields += [("WARC-Profile", REVISIT_PROFILE), ("WARC-Refers-To", refers_to)]
+        self.held.append(_warc_record([*fields, ("Content-Type", content_type)], block))
+        self.size += len(block)
+        if self.size >= self.file_bytes:
+            yield from self.rest()
+
+    def rest(self) -> Iterator[pa.RecordBatch]:
+        if self.held:
+            yield pa.RecordBatch.from_arrays([pa.array([b"\r\n\r\n".join(self.held)], pa.binary())], ["file"])
+            self.held, self.size = [], 0
+
+
 def _warc_files(file_bytes: int) -> Callable:
+    names = [x.split()[0] for x in RECORDS.split(", ")]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unpack = zstandard.ZstdDecompressor().decompress
-        held, size = [], 0
+        unpack, files = zstandard.ZstdDecompressor().decompress, _WarcFiles(file_bytes)
+        for batch in batches:
+            for r in batch.to_pylist():
+                r["payload"] = b"" if r["refers_to"] else unpack(r["payload"])
+                yield from files.add(tuple(r[c] for c in names), r["refers_to"])
+        yield from files.rest()
+
+    return run
 
-        def whole() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([b"\r\n\r\n".join(held)], pa.binary())], ["file"])
 
+def _converted(file_bytes: int) -> Callable:
+    """WARC files from whole ARC files and the revisits among the records of each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files = _WarcFiles(file_bytes)
         for batch in batches:
-            for r in batch.to_pylist():
-                payload = b"" if r["refers_to"] else unpack(r["payload"])
-                block = r["head"] + payload
-                fields = [
-                    ("WARC-Type", "revisit" if r["refers_to"] else r["type"]), ("WARC-Record-ID", r["record_id"]),
-                    ("WARC-Date", r["date"]), ("WARC-Target-URI", r["uri"]), ("WARC-IP-Address", r["ip"]),
-                    ("WARC-Payload-Digest", f"sha1:{r['payload_digest']}"), ("WARC-Block-Digest", f"sha1:{digest_of(block)}"),
-                ]
-                if r["refers_to"]:
-                    fields += [("WARC-Profile", REVISIT_PROFILE), ("WARC-Refers-To", r["refers_to"])]
-                held.append(_warc_record([*fields, ("Content-Type", r["content_type"])], block))
-                size += len(block)
-                if size >= file_bytes:
-                    yield whole()
-                    held, size = [], 0
-        if held:
-            yield whole()
+            for path, content, marks in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                first = {m["record_id"]: m["refers_to"] for m in marks or ()}
+                for record in _arc_rows(path, content):
+                    yield from files.add(record, first.get(record[0]))
+        yield from files.rest()
 
     return run
 
 
+def _write_files(files: DataFrame, path: str) -> str:
+    files.write.option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", 1).option("compression", "gzip").text(path)
+    return path
+
+
 def write_warc(records: DataFrame, path: str, file_bytes: int = FILE_BYTES) -> str:
     """Write records (as of ``read_arc`` and ``mark_revisits``) as gzipped WARC files."""
     small_batches(records.sparkSession)
-    files = records.mapInArrow(_warc_files(file_bytes), "file binary").select(F.col("file").cast("string"))
-    files.write.option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", 1).option("compression", "gzip").text(path)
-    return path
+    return _write_files(records.mapInArrow(_warc_files(file_bytes), "file binary").select(F.col("file").cast("string")), path)
 
 
 def warc_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -325,12 +372,25 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
         return stored(files.mapInArrow(_records_of_warc, kinds), "warc-records")
 
 
-def convert_arc(spark: SparkSession, arc_path: str, warc_path: str, least_bytes: int = 0) -> str:
+def convert_arc(
+    spark: SparkSession, arc_path: str, warc_path: str, least_bytes: int = 0, file_bytes: int = FILE_BYTES
+) -> str:
     """Convert the ARC files below ``arc_path`` to WARC files, repeated payloads as revisits.
 
-    Broken header lines and lengths raise an error that says what is wrong. No files give no files.
+    The files are read twice: for ids, digests and sizes, which alone are joined to find revisits, and
+    to write the records. In between, the revisits are gathered by file, so there are no more of them in one
+    row than the file has records; no payload is stored or sorted. Broken header lines and lengths
+    raise an error that says what is wrong. No files give no files.
     """
-    return write_warc(mark_revisits(read_arc(spark, arc_path), least_bytes), warc_path)
+    files = spark.read.format("binaryFile").load(arc_path).select("path", "content")
+    kinds = "path string, record_id string, payload_bytes long, payload_digest string, page_id long"
+    with one_row_batches(spark):
+        heads = stored(files.mapInArrow(_heads_of_arc, kinds), "arc-heads")
+        revisits = mark_revisits(heads, least_bytes).where("refers_to is not null")
+        by_file = stored(revisits.groupBy("path").agg(F.collect_list(F.struct("record_id", "refers_to")).alias("marks")), "revisits")
+        whole = files.join(by_file, "path", "left").select("path", "content", "marks")
+        converted = whole.mapInArrow(_converted(file_bytes), "file binary").select(F.col("file").cast("string"))
+        return _write_files(converted, warc_path)
 
 
 def op9_warc_from_arc(spark: SparkSession, sf_dir: str) -> DataFrame:
