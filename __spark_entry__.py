@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from tallyline import operators as ops  # noqa: E402
-from tallyline.functions import classify, encode, enrich, health_label, micros_of, parse_time, price_of  # noqa: E402
+from tallyline.functions import classify, encode, enrich, health_label, micros_of, parse_any_time, price_of  # noqa: E402
 from tallyline.operators.merge import latest_by_time, reconcile  # noqa: E402
 from tallyline.plans import flows  # noqa: E402
 from tallyline.plans.history import period_counts, snapshot_history  # noqa: E402
@@ -194,7 +194,7 @@ def lenient_times(spark, d):
     )
     texts = F.array(*[F.date_format("time_stamp", shape) for shape in shapes])
     events = _events(spark, d).select("id", F.element_at(texts, (F.col("id").cast("int") % len(shapes)) + 1).alias("text"))
-    return _plain_time(events.select("id", "text", parse_time("text").alias("time_stamp")))
+    return _plain_time(events.select("id", "text", parse_any_time("text").alias("time_stamp")))
 
 
 def reader_agreement(spark, d):

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tallyline.functions import decode, decode_rows, encode, enrich, health_label, parse_time, price_of
+from tallyline.functions import decode, decode_rows, encode, enrich, health_label, parse_any_time, parse_time, price_of
 from tallyline.operators import count_by, count_items
 from tallyline.sources import read_archive_json
 from tests.helpers import rows
@@ -120,5 +120,5 @@ def test_times_as_people_write_them(spark):
         "2024-08-01 13:22:20 +01:00": "2024-08-01 12:22:20", "01/08/2024": None, "13:22": None, "2024-13-01": None, "": None, "later": None,
     }
     frame = spark.createDataFrame([(t,) for t in texts] + [(None,)], "t STRING")
-    got = {r[0]: r[1] for r in frame.select("t", parse_time("t").cast("string")).collect()}
+    got = {r[0]: r[1] for r in frame.select("t", parse_any_time("t").cast("string")).collect()}
     assert got == {**texts, None: None}
