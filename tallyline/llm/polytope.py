@@ -65,22 +65,25 @@ class Polytope:
         both = np.stack([first, second], axis=1)
         return 2 * both + (np.take_along_axis(x, both, axis=1) < 0), top - size[row, second]
 
-    def keys(self, unit: np.ndarray) -> np.ndarray:
-        """Keys of the buckets of each vector: vectors x tables x (1 + hashes).
+    def table_keys(self, unit: np.ndarray, table: int) -> np.ndarray:
+        """Keys of the buckets of each vector in one table: vectors x (1 + hashes).
 
         Besides the bucket of all nearest vertices, one for each hash that takes its second nearest
         vertex instead.
         """
-        out = np.empty((len(unit), self.tables, 1 + self.hashes), np.int64)
-        for t in range(self.tables):
-            near = np.stack([self.vertices(unit, t, h)[0] for h in range(self.hashes)], axis=1)
-            for probe in range(1 + self.hashes):
-                key = np.full(len(unit), np.uint64(t + (self.dims << 16)))
-                for h in range(self.hashes):
-                    key = mix(key * np.uint64(0x9E3779B97F4A7C15) + near[:, h, int(probe == h + 1)].astype(np.uint64))
-                out[:, t, probe] = key.view(np.int64)
+        out = np.empty((len(unit), 1 + self.hashes), np.int64)
+        near = np.stack([self.vertices(unit, table, h)[0] for h in range(self.hashes)], axis=1)
+        for probe in range(1 + self.hashes):
+            key = np.full(len(unit), np.uint64(table + (self.dims << 16)))
+            for h in range(self.hashes):
+                key = mix(key * np.uint64(0x9E3779B97F4A7C15) + near[:, h, int(probe == h + 1)].astype(np.uint64))
+            out[:, probe] = key.view(np.int64)
         return out
 
+    def keys(self, unit: np.ndarray) -> np.ndarray:
+        """Keys of the buckets of each vector: vectors x tables x (1 + hashes)."""
+        return np.stack([self.table_keys(unit, t) for t in range(self.tables)], axis=1)
+
 
 def shape_for(dims: int, rows: int, cosine: float, miss: float = MISS) -> Polytope:
     """Hashes by the number of rows, and tables by how often pairs at the threshold meet in one.
@@ -189,16 +192,19 @@ def _linked(shape: Polytope, cosine: float) -> Callable:
         i, j = (np.concatenate([*z, np.zeros(0, np.int64)]).astype(np.int64) for z in (left, right))
         names, at = np.unique(node, return_inverse=True)
         if len(i):
-            used, place = np.unique(at[np.concatenate([i, j])], return_inverse=True)
-            keys = shape.keys(unit[np.unique(at, return_index=True)[1][used]])
-            p, q, own = place[: len(i)], place[len(i) :], key[i]
+            own = key[i]
             mine = np.ones(len(i), bool)
             open_ = np.arange(len(i))
+            vector = np.unique(at, return_index=True)[1]
+            # Near pairs meet early, so few vectors are hashed for the later tables.
             for t in range(shape.tables):
-                shared = keys[p[open_], t][:, :, None] == keys[q[open_], t][:, None, :]
+                used, place = np.unique(at[np.concatenate([i[open_], j[open_]])], return_inverse=True)
+                keys = shape.table_keys(unit[vector[used]], t)
+                p, q = keys[place[: len(open_)]], keys[place[len(open_) :]]
+                shared = p[:, :, None] == q[:, None, :]
                 meets = shared.any(axis=(1, 2))
                 # The bucket a pair belongs to: in the first table where it meets, the least key.
-                least = np.where(shared.any(axis=2), keys[p[open_], t], np.iinfo(np.int64).max).min(axis=1)
+                least = np.where(shared.any(axis=2), p, np.iinfo(np.int64).max).min(axis=1)
                 mine[open_[meets & (least != own[open_])]] = False
                 open_ = open_[~meets]
                 if not len(open_):
