@@ -146,13 +146,14 @@ def pack(pieces: DataFrame, capacity: Capacity | None = None, pieces_per_task: i
 
     Each task packs a random share of the pieces, longest first, so its lengths are those of the
     whole table and nearly all its sequences come out full. Capacities hold in every sequence;
-    offsets have no gaps. Pieces with equal keys are packed one by one. An empty table gives an
+    offsets have no gaps. Pieces are dealt by a number of their row, so equal ones spread over the
+    tasks too; ``pieces`` should be a stored table, whose rows keep their numbers in each reading. An empty table gives an
     empty result. One job counts the pieces while the plan is made.
     """
     capacity = capacity or Capacity()
     tasks = max(1, -(-pieces.count() // pieces_per_task))
     kinds = ", ".join(f"`{name}` {kind}" for name, kind in pieces.dtypes)
-    return pieces.repartition(tasks, F.xxhash64("doc_id", "piece", "ids_crc32")).mapInArrow(
+    return pieces.repartition(tasks, F.xxhash64(F.monotonically_increasing_id())).mapInArrow(
         _pack(capacity), f"{kinds}, sequence_id long, offset long"
     )
 
