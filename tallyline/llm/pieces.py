@@ -15,7 +15,7 @@ SPACE = 0x2581  # stands for a space in pieces
 LITERAL = 0x110000  # the same character in a text: it is encoded by its bytes
 #: Characters of a block; texts are encoded whole, a longer one is a block of its own.
 BLOCK_CHARS = 1 << 19
-#: Longer segments are filtered in logarithms.
+#: Longer segments are filtered in logarithms, and shorter ones whose weights could leave the range of floats.
 LONG = 48
 
 _SLOT = np.uint64((1 << 20) - 1)
@@ -75,9 +75,11 @@ class Lattice:
         held, times = np.unique(low, return_counts=True)
         self.slots[held[times > 1]] = -2
         scores = np.array([model.get_score(i) for i in plain])[order]
-        self.logs = np.maximum(alpha * scores, -600.0)
-        self.weights = np.exp(np.maximum(self.logs, -30.0))
-        self.logs = np.log(self.weights)
+        self.logs = alpha * scores
+        # A segment of so many characters has no weight beyond e^600 or below e^-600, however it falls apart.
+        self.long = min(LONG, int(600 / max(np.abs(self.logs).max(), 1e-9)))
+        with np.errstate(over="ignore"):
+            self.weights = np.exp(self.logs)
 
     def sums(self, classes: np.ndarray) -> np.ndarray:
         out = np.zeros(len(classes) + 1, np.uint64)
@@ -104,7 +106,7 @@ class Lattice:
             ends = np.arange(size, length + 1)
             at = start[:, None] + ends[None, :]
             place[:, size:, size] = self.find(self.hash(sums, at - size, at))
-        if length <= LONG:
+        if length <= self.long:
             weight = np.where(place >= 0, self.weights[place], 0.0)
             forward = np.zeros((n, length + 1))
             forward[:, 0] = 1.0
@@ -148,7 +150,7 @@ class Lattice:
                     u = which[live]
                     arcs = place[u, stop][:, sizes]
                     before = forward[u][:, stop - sizes]
-                    if length <= LONG:
+                    if length <= self.long:
                         odds = np.where(arcs >= 0, before * self.weights[arcs], 0.0)
                     else:
                         odds = np.where(arcs >= 0, before + self.logs[arcs], -np.inf)

@@ -45,7 +45,7 @@ def test_samples_follow_the_weights():
                 for rest in all_of(text[k:]):
                     yield (ids[text[:k]], *rest)
 
-    odds = {s: math.exp(sum(max(alpha * model.get_score(i), -30) for i in s)) for s in all_of("▁" + word)}
+    odds = {s: math.exp(sum(alpha * model.get_score(i) for i in s)) for s in all_of("▁" + word)}
     total, n = sum(odds.values()), 20_000
     seen = Counter(tuple(x.tolist()) for x in pieces.Lattice(PATH, alpha).encode([word] * n, np.arange(n).astype(np.uint64)))
     assert set(seen) <= set(odds)
@@ -53,9 +53,23 @@ def test_samples_follow_the_weights():
         assert abs(seen[s] / n - w / total) < 0.02
 
 
-def test_long_segments_use_the_same_weights(monkeypatch):
+def test_long_segments_use_the_same_weights():
     of = pieces.Lattice(PATH, 1e-4)
     texts, keys = ["internationalisation of everything"] * 300, np.arange(300).astype(np.uint64)
     plain = [x.tolist() for x in of.encode(texts, keys)]
-    monkeypatch.setattr(pieces, "LONG", 2)
+    of.long = 2
     assert [x.tolist() for x in of.encode(texts, keys)] == plain
+
+
+def test_no_weight_is_cut():
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=PATH)
+    least = min(model.get_score(i) for i in range(model.get_piece_size()))
+    for alpha in (1e-3, 0.05, 1.0):
+        of = pieces.Lattice(PATH, alpha)
+        assert of.logs.min() == alpha * least and of.long * -of.logs.min() <= 600
+    # With such weights only the best segmentations are ever drawn.
+    got = {tuple(x.tolist()) for x in of.encode(["hello there"] * 50, np.arange(50).astype(np.uint64))}
+    totals = [sum(model.get_score(i) for i in ids) for ids in got]
+    assert max(totals) - min(totals) < 40 and {of.decode(np.array(ids)) for ids in got} == {"hello there"}
