@@ -60,9 +60,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
 
 
+#: Bytes of a repeated string that the stage cuts: less than nearly all passages of over 50 words have.
+REPEATED = 224
+
+
 @_stage
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cut repeated strings of 400 bytes out of the texts; a text that was nothing else becomes empty.
+    """Cut repeated strings of ``REPEATED`` bytes out of the texts; a text that was nothing else becomes empty.
 
     Where a cut leaves a part of a character, that part goes too (and with it any U+FFFD of that
     text). ``n_chars`` follows the text.
@@ -70,7 +74,7 @@ def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = docs.select("doc_id", "text", F.struct(*(c for c in docs.columns if c != "text")).alias("row"))
     kept = F.col("kept").cast("string")
     rest = F.when(F.is_valid_utf8(kept), kept).otherwise(F.replace(F.make_valid_utf8(kept), F.lit("\ufffd"), F.lit("")))
-    cut = remove_repeats(rows).select("row", F.when(F.col("kept").isNull(), F.col("text")).otherwise(rest).alias("text"))
+    cut = remove_repeats(rows, REPEATED).select("row", F.when(F.col("kept").isNull(), F.col("text")).otherwise(rest).alias("text"))
     return cut.select(*_own(docs, n_chars=F.coalesce(F.length("text").cast("long"), F.col("row.n_chars"))))
 
 
