@@ -48,10 +48,20 @@ def test_one_of_each_group_stays(stages):
 def test_repeats_are_cut(stages):
     before = sorted(texts(stages[2]).items())
     after = texts(stages[3])
-    for (i, text), (_, gone, _, kept) in zip(before, repeats([t for _, t in before]), strict=True):
+    for (i, text), (_, gone, _, kept) in zip(before, repeats([t for _, t in before], corpus_pipeline.REPEATED), strict=True):
         assert after[i] == (text if not gone else kept.decode("utf-8", "ignore"))
 
 
+def test_passages_of_over_fifty_words_are_cut(spark):
+    words = [f"word{k % 97}{'abcde'[k % 5]}" for k in range(400)]
+    passage = " ".join(words[200:251])
+    rows = [(k, f"own start {k} {' '.join(words[40 * k : 40 * k + 30])} {passage} own end {k}", "en", "s", 0) for k in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id LONG, text STRING, lang STRING, source STRING, n_chars LONG")
+    after = texts(corpus_pipeline.repeats(spark, docs, FOLDER))
+    for k, text, *_ in rows:
+        assert passage not in after[k] and len(after[k]) < len(text) - 200 and after[k].startswith(f"own start {k}") and after[k].endswith(str(k))
+
+
 def test_secrets_are_masked_and_nothing_else(stages):
     before, after = texts(stages[3]), texts(stages[4])
     assert set(before) == set(after)
