@@ -21,6 +21,9 @@ from tallyline.session import stored
 LABELLED_PAGES = 2000
 #: No word counts for more than this, either way.
 MOST = 4.0
+#: Tags without a word between them cost no more than this within an element that holds the article,
+#: less than the word that follows brings: so no block at either end of the article is cut off.
+RUN = 0.5
 
 # Elements by their part in a page.
 CONTENT = {"article", "main"}
@@ -41,8 +44,13 @@ _PARTS = (
     r"ads?|advert(?:s|isements?|ising)?|adsbygoogle|banner|sponsor(?:s|ed)?|promo(?:s|tions?)?|side-?bar|cookies?|consent|notice|newsletter|"
     rf"subscribe|share|social|{_COMMENTS}|related|breadcrumbs?|menu|nav(?:bar|igation)?|footer|header|toolbar|popup|modal"
 )
-_MARKED = re.compile(rf"(?:site[_-])?(?:{_PARTS})(?:[_-](?:{_PARTS}|area|bar|box|buttons|container|links|list|section|widget))*")
-_OF_READERS = re.compile(rf"(?:{_COMMENTS})(?:[_-].*)?")
+_WHERE = r"area|bar|blocks?|box|buttons|container|form|links|list|section|threads?|widget|wrap(?:per)?"
+# Comments have many names that end in the word; those that begin like "no-comments" speak of the layout.
+_BY_READERS = rf"(?!(?:no|has|had|with|without|hide|hides|show|shows|is|are|un)[_-])(?:[a-z0-9]+[_-]+)*(?:(?:user|reader|visitor)s?)?(?:{_COMMENTS})(?:[_-]+(?:{_WHERE}))*"
+_MARKED = re.compile(rf"(?:site[_-])?(?:{_PARTS})(?:[_-](?:{_PARTS}|{_WHERE}))*|{_BY_READERS}")
+_OF_READERS = re.compile(rf"(?:{_COMMENTS})(?:[_-].*)?|{_BY_READERS}")
+# What a page says of its own parts in the vocabulary of schema.org.
+_TYPED = re.compile(r"comment|(?:https?://)?schema\.org/(?:user)?comments?")
 # Elements that a class never takes out.
 WHOLE = {"html", "body", "main", "article"}
 _TOKEN = re.compile(
@@ -107,6 +115,7 @@ def tokens(page: str) -> list[Token]:
     places: list[tuple[int, int]] = []  # token, marked element
     marked, own, headed = [], _Marked("", -1), False
     block, link = "", 0
+    open_: Counter = Counter()  # how often each name is on the stack, so that a stray end costs no search
     for found in _TOKEN.finditer(page):
         _, closing, name, attributes, text, other = found.groups()
         if text or other:
@@ -127,20 +136,24 @@ def tokens(page: str) -> list[Token]:
         if name in BLOCKS:
             link = 0
             if closing:
-                at = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name), None)
-                if at is not None:
-                    del stack[at:]
+                while open_[name]:
+                    ended = stack.pop()[0]
+                    open_[ended] -= 1
+                    if ended == name:
+                        break
             elif name not in VOID:
                 while stack and stack[-1][0] in ENDS.get(name, ()):
-                    stack.pop()
+                    open_[stack.pop()[0]] -= 1
                 if name not in ENDS and stack and stack[-1][0] == "p":
-                    stack.pop()
+                    open_[stack.pop()[0]] -= 1
                 up = stack[-1] if stack else none
                 classes, held = [], up[4]
                 if "=" in attributes:
                     for key, *values in _ATTRIBUTE.findall(attributes):
                         if key.lower() in ("class", "id", "role"):
                             classes += "".join(values).lower().split()
+                        elif key.lower() in ("itemprop", "itemtype") and any(_TYPED.fullmatch(v) for v in "".join(values).lower().split()):
+                            classes.append("comment")
                 if name not in WHOLE and (part := next((c for c in classes if _MARKED.fullmatch(c)), "")):
                     marked.append(_Marked(part, held))
                     held = len(marked) - 1
@@ -153,6 +166,7 @@ def tokens(page: str) -> list[Token]:
                     elif not headed:
                         at.heading = headed = True
                 mark = name if name in CHROME else f"{name}.{classes[0]}" if classes and name not in CONTENT else up[1]
+                open_[name] += 1
                 stack.append((name, mark, up[2] or name in CONTENT, up[3] or name in CHROME, held))
             block = "" if name in VOID and not stack else (stack[-1][0] if stack else "")
         top = stack[-1] if stack else none
@@ -185,13 +199,31 @@ class Weights:
             return 0.0
         if not t.words:
             return self.tags.get(t.tag, self.tag) if t.tag else 0.0
+        if t.inside:  # the page says that this is the article, whatever such words are elsewhere
+            return max(self.word, min(MOST, self.base(t))) * t.words
         if t.chrome:
             return -MOST * t.words
-        one = self.word + self.around.get(t.around, 0.0) + self.block.get(t.block, 0.0) + (self.link if t.link else 0.0)
+        one = self.base(t)
         if t.marked:
             one += self.marks.get(t.marked, self.mark)
         return max(-MOST, min(MOST, one)) * t.words
 
+    def base(self, t: Token) -> float:
+        return self.word + self.around.get(t.around, 0.0) + self.block.get(t.block, 0.0) + (self.link if t.link else 0.0)
+
+    def scores(self, found: list[Token]) -> list[float]:
+        """Scores of tokens in order; tags in a row within the article's element share the cost ``RUN``."""
+        out, left = [], RUN
+        for t in found:
+            score = self.of(t)
+            if t.words and not (t.chrome or t.marked):
+                left = RUN
+            elif t.inside and score < 0:
+                score = max(score, -left / 2)
+                left += score
+            out.append(score)
+        return out
+
 
 def best_region(scores: list[float]) -> tuple[int, int]:
     """First and last-but-one place of the contiguous part with the greatest sum; the first of equals.
@@ -211,17 +243,20 @@ def best_region(scores: list[float]) -> tuple[int, int]:
 def main_text(page: str | None, weights: Weights) -> str:
     """The blocks of the best region, one in a line.
 
-    Marked parts are left out within an article, and where their words score negative. If nothing
-    else on the page scores, the marks are taken for layout and the page is scored without them.
+    Marked parts are left out within an article, and where their words score negative. Between two
+    elements that hold the article, only they count. If nothing else on the page scores, the marks
+    are taken for layout and the page is scored without them.
     """
     found = tokens(page or "")
-    scores = [weights.of(t) for t in found]
+    scores = weights.scores(found)
     start, end = best_region(scores)
     if start == end and any(t.marked and t.words and not t.chrome for t in found):
         found = [t._replace(marked="") if t.marked else t for t in found]
-        scores = [weights.of(t) for t in found]
+        scores = weights.scores(found)
         start, end = best_region(scores)
     blocks, held = [], []
+    named = [k for k in range(start, end) if found[k].inside and found[k].words and not (found[k].chrome or found[k].marked)]
+    first, last = (named[0], named[-1]) if named else (end, end)
 
     def close() -> None:
         text = " ".join(html.unescape("".join(held)).split())
@@ -229,11 +264,12 @@ def main_text(page: str | None, weights: Weights) -> str:
             blocks.append(text)
         held.clear()
 
-    for t, score in zip(found[start:end], scores[start:end], strict=True):
+    for k in range(start, end):
+        t, score = found[k], scores[k]
         if t.tag:
             if t.tag in BLOCKS:
                 close()
-        elif not t.chrome and not (t.marked and (t.inside or score < 0)):
+        elif not t.chrome and not (t.marked and (t.inside or score < 0)) and (t.inside or not t.words or not first < k < last):
             held.append(t.text)
     close()
     return "\n".join(blocks)

@@ -75,6 +75,62 @@ def test_odd_pages(spark):
     assert pages.extract_main(frame.limit(0)).count() == 0
 
 
+def test_short_blocks_at_both_ends_stay(spark):
+    """Weights learnt where lists and boxes stand outside of articles only."""
+    words = "some words of the article that go on " * 4
+    outside = '<div class="box"><ul>' + '<li><a href="/">x</a></li>' * 9 + "</ul></div>"
+    learnt = f"{outside}<article><p>{words}</p></article>{outside}"
+    frame = spark.createDataFrame([(k, None, learnt) for k in range(5)], "page_id LONG, url STRING, html STRING")
+    weights = pages.fit_weights(frame)
+    assert weights.tags["li"] <= -1 and weights.block["li"] < -1
+    ends = {
+        "<ul><li>x</li><li>y</li></ul><p>By me</p>": "x\ny\nBy me",
+        "<table><tr><td>1</td><td><a href='z'>2</a></td></tr></table>": "1\n2",
+        "<br>" * 40 + "<div><div><ul><li><a href='/'>z</a></li></ul></div></div>": "z",
+    }
+    for part, text in ends.items():
+        for name in ("article", "main"):
+            page = f"{outside}<{name}>{part}<p>{words}</p>{part}</{name}>{outside}"
+            assert pages.main_text(page, weights) == f"{text}\n{words.strip()}\n{text}"
+    two = f"{outside}<article><p>{words}</p></article><div>Box between them</div><article><p>{words}</p></article>{outside}"
+    assert pages.main_text(two, weights) == pages.main_text(two, pages.Weights()) == f"{words.strip()}\n{words.strip()}"
+
+
+def test_names_of_comments():
+    words = "some words of the article that go on " * 4
+    readers = ("user-comments", "usercomments", "article-comments", "comments-wrapper", "post_comments_list", "reader-comment", "comment-form")
+    for mark in [f'class="{c}"' for c in readers] + ['itemprop="comment"', 'itemscope itemtype="https://schema.org/Comment"']:
+        page = f"<main><p>{words}</p><div {mark}><p>{words}Well said</p></div></main>"
+        assert pages.main_text(page, pages.Weights()) == words.strip(), mark
+    for name in ("no-comments", "has-comments", "with-comments", "commentary"):
+        page = f'<main><p>{words}</p><div class="{name}"><p>Last words</p></div></main>'
+        assert pages.main_text(page, pages.Weights()).endswith("\nLast words"), name
+
+
+def test_stray_ends_take_linear_time():
+    import time
+
+    took = []
+    for n in (4_000, 32_000):
+        page = "<div>" * n + "some words" + "</section>" * n + "<p>more words</p>"
+        start = time.perf_counter()
+        pages.tokens(page)
+        took.append(time.perf_counter() - start)
+    assert took[1] < 32 * took[0] + 0.5
+
+
+def test_best_region_against_all_parts():
+    import random
+
+    rng = random.Random(5)
+    for _ in range(300):
+        scores = [float(rng.randint(-4, 4)) for _ in range(rng.randint(0, 12))]
+        parts = [(i, j) for i in range(len(scores)) for j in range(i + 1, len(scores) + 1)]
+        most = max([0.0] + [sum(scores[i:j]) for i, j in parts])
+        start, end = pages.best_region(scores)
+        assert sum(scores[start:end]) == most and (most > 0 or start == end)
+
+
 def test_best_region():
     assert pages.best_region([]) == (0, 0)
     assert pages.best_region([-1.0, -2.0]) == (0, 0)
