@@ -20,9 +20,10 @@ OPEN, CLOSE = "\x01", "\x02"
 BEFORE, AFTER = 64, 32
 MASK = "[SECRET]"
 
+# A private key may have header lines ("Proc-Type: 4,ENCRYPTED") and line ends written as "\\n".
 # Published forms of credentials, then assigned values, then long mixed strings.
 PATTERNS = {
-    "private_key": r"-----BEGIN [A-Z ]{0,24}PRIVATE KEY-----[A-Za-z0-9+/=\s]*+-----END [A-Z ]{0,24}PRIVATE KEY-----",
+    "private_key": r"-----BEGIN [A-Z ]{0,24}PRIVATE KEY-----(?:[A-Za-z0-9+/=\s\\:,.]*+-(?!----)){0,64}+[A-Za-z0-9+/=\s\\:,.]*+-----END [A-Z ]{0,24}PRIVATE KEY-----",
     "cloud_key_id": r"(?<![A-Za-z0-9])A(?:KIA|SIA)[0-9A-Z]{16}(?![0-9A-Za-z])",
     "code_host_token": r"(?<![A-Za-z0-9])gh[pousr]_[A-Za-z0-9]{36,}+",
     "chat_token": r"(?<![A-Za-z0-9])xox[abeprs]-[A-Za-z0-9-]{10,}+",
@@ -49,6 +50,7 @@ WORDS = (
 ).split()
 # Words before or behind a candidate, by what they speak for.
 CREDENTIAL = "token|secret|passw|pwd|api.?key|access.?key|auth|bearer|credential|private|client.?id"
+PASSWORD = "pass(?:word|wd|phrase)?|pwd"
 DIGEST = "commit|sha-?\\d|md5|checksum|digest|hash|etag|revision|uuid|guid|blob|tree|build|integrity|order|invoice|isbn|tracking"
 PLACEHOLDER = "example|sample|dummy|placeholder|your|changeme|replace|fake|test"
 # A folder or file of tests; a bare name, as of a source, is no path, nor is an address.
@@ -63,7 +65,7 @@ PAIRS = "th|he|in|er|an|re|on|at|en|nd|ti|es|or|te|of|ed|is|it|al|ar|st|to|nt|ng
 
 FEATURES = [
     "size", "digits", "uppers", "lowers", "others", "transitions", "pairs", "repeats", "runs", "distinct",
-    "hex", "number", "coverage", "credential", "assigned", "quoted", "digest", "placeholder", "test_path", "form",
+    "hex", "number", "coverage", "credential", "password", "assigned", "quoted", "digest", "placeholder", "test_path", "form",
 ]
 
 
@@ -131,6 +133,7 @@ def with_features(found: DataFrame) -> DataFrame:
         "hex": yes(low.rlike("^[0-9a-f]+$")), "number": yes(value.rlike("^[0-9_+/.-]+=*$")),
         "coverage": covered / F.greatest(F.length(letters), F.lit(1)),
         "credential": yes(F.regexp_like(F.right(before, F.lit(32)), F.lit(CREDENTIAL))),
+        "password": yes(F.regexp_like(before, F.lit(f"(?:{PASSWORD})[\"']?\\s{{0,2}}[:=]\\s{{0,2}}[\"']?$"))),
         "assigned": yes(F.regexp_like(before, F.lit("[=:]\\s{0,2}[\"']?$"))),
         "quoted": yes(F.regexp_like(before, F.lit("[\"']$")) & F.regexp_like(after, F.lit("^[\"']"))),
         "digest": yes(F.regexp_like(before, F.lit(f"({DIGEST})\\W{{0,4}}(\\w+\\W{{1,4}})?$"))),
@@ -145,7 +148,8 @@ def labelled_findings(spark: SparkSession, n: int = 9600) -> DataFrame:
 
     Columns as those of ``candidates`` that the forest sees, and ``label`` (1: a secret). They show
     what reviews of findings show: published forms, wherever they stand, and random strings beside
-    words of credentials are secrets; digests, identifiers, numbers, placeholders, names put together
+    words of credentials are secrets, as are words with figures that are assigned to a password; digests,
+    identifiers, numbers, placeholders, names put together, references to where a password is kept
     and hex values in test files are not. A user with reviewed findings of their own passes those instead.
     """
     x = spark.range(n).select("id", F.sha2(F.col("id").cast("string").cast("binary"), 256).alias("h"))
@@ -161,6 +165,8 @@ def labelled_findings(spark: SparkSession, n: int = 9600) -> DataFrame:
     name = pick(["token", "secret", "password", "api_key", "access_key", "auth_token", "client_secret", "TOKEN"], 6)
     sign = pick([' = "', '="', ': "', ":", "=", " = '"], 7)
     told = F.concat(some, F.lit(" "), name, sign)
+    key_told = F.concat(some, F.lit(" "), pick(["token", "secret", "api_key", "access_key", "auth_token", "client_secret", "TOKEN"], 26), sign)
+    pass_told = F.concat(some, F.lit(" "), pick(["password", "passwd", "pwd", "db_password", "PASSWORD", "admin_pwd"], 27), sign)
     digest = F.concat(some, F.lit(" "), pick(["commit", "sha1", "md5", "checksum", "digest", "revision", "build", "etag"], 8), pick([" ", ": ", "=", ' "'], 9))
     plain = F.concat(pick(WORDS, 10), F.lit(" "), pick(WORDS, 11), F.lit(" "))
     assigned = F.concat(some, F.lit(" "), pick(["id", "name", "file", "label", "page", "value"], 12), pick([" = \"", "=", ": "], 13))
@@ -177,6 +183,15 @@ def labelled_findings(spark: SparkSession, n: int = 9600) -> DataFrame:
     body = F.when(lines == 0, F.substring(b, 1, 8)).otherwise(F.concat_ws("\n", body))
     owner = pick(["", "RSA ", "EC ", "OPENSSH ", "ENCRYPTED "], 18)
     private = F.concat(F.lit("-----BEGIN "), owner, F.lit("PRIVATE KEY-----\n"), body, F.lit("\n-----END "), owner, F.lit("PRIVATE KEY-----"))
+    locked = F.concat(F.lit("Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,"), F.upper(F.left(h, F.lit(32))), F.lit("\n\n"))
+    headed = F.concat(F.lit("-----BEGIN RSA PRIVATE KEY-----\n"), locked, body, F.lit("\n-----END RSA PRIVATE KEY-----"))
+    escaped = F.replace(F.when(size < 2, headed).otherwise(private), F.lit("\n"), F.lit("\\n"))
+    figure = F.substring(ending, 1, 1)
+    word_pass = F.element_at(F.array(
+        F.concat(pick(WORDS, 28), figure, pick(WORDS, 29)), F.concat(F.initcap(pick(WORDS, 28)), F.initcap(pick(WORDS, 29)), ending),
+        F.concat(pick(WORDS, 28), pick(["", "_", "-", "."], 30), pick(WORDS, 29), ending, pick(["", "!", "#", "$"], 31)), F.concat(F.substring(b, 1, 4), pick(WORDS, 28), ending),
+    ), (size % 4).cast("int") + 1)
+    kept_at = F.concat(pick(["${", "$(", "%(", "{{", "os.environ.", "settings.", "config.", "getenv("], 32), pick(WORDS, 33), F.lit("_"), pick(["password", "passwd", "pwd"], 34), pick(["}", ")", ")s", "}}", "", ""], 35))
     figures = F.regexp_replace(h, "[a-f]", "")
     chat = F.concat(pick(["xoxb-", "xoxp-", "xoxa-", "xoxs-"], 19), F.when(size < 2, F.concat(F.left(figures, F.lit(11)), F.lit("-"))).otherwise(""), mixed)
     either = F.when(size < 1, h).otherwise(b)
@@ -195,14 +210,16 @@ def labelled_findings(spark: SparkSession, n: int = 9600) -> DataFrame:
         (F.concat(F.lit("eyJ"), F.substring(b, 1, 16), F.lit("."), F.substring(b, 17, 20)), plain, "app", 1),
         (F.substring(b, 1, 40), F.concat(F.lit("authorization: bearer "), F.lit("")), "src", 1),
         (hexes, digest, "src", 0), (F.substring(h, 1, 40), digest, "app", 0), (uuid, assigned, "src", 0), (uuid, plain, "src", 0),
-        (joined, told, "src", 0), (joined, plain, "src", 0), (joined, assigned, "app", 0), (holder, told, "src", 0),
+        (joined, key_told, "src", 0), (joined, plain, "src", 0), (joined, assigned, "app", 0), (holder, told, "src", 0),
         (holder, told, "conf", 0), (number, plain, "src", 0), (hexes, told, "tests/fixtures", 0), (mixed, told, "docs/examples", 1),
         (mixed, told, anywhere, 1), (phrase, told, anywhere, 1), (private, plain, anywhere, 1), (private, told, anywhere, 1),
         (chat, plain, anywhere, 1), (chat, told, anywhere, 1), (map_key, plain, anywhere, 1), (map_key, told, anywhere, 1),
         (host, plain, anywhere, 1), (host, told, anywhere, 1), (cloud, plain, anywhere, 1), (cloud, told, anywhere, 1),
         (payment, plain, anywhere, 1), (payment, told, anywhere, 1), (web, plain, anywhere, 1), (web, told, anywhere, 1),
         (form_holder, told, anywhere, 0), (form_holder, plain, anywhere, 0), (hexes, told, "docs/examples", 1),
-        (hexes, digest, "tests/unit", 0), (joined, told, "docs", 0), (joined, plain, "tests/unit", 0), (uuid, plain, "docs", 0), (number, assigned, "app", 0),
+        (hexes, digest, "tests/unit", 0), (joined, key_told, "docs", 0), (joined, plain, "tests/unit", 0), (uuid, plain, "docs", 0), (number, assigned, "app", 0),
+        (word_pass, pass_told, anywhere, 1), (word_pass, pass_told, "src", 1), (kept_at, pass_told, anywhere, 0), (holder, pass_told, anywhere, 0),
+        (headed, plain, anywhere, 1), (escaped, plain, anywhere, 1), (escaped, told, anywhere, 1), (kept_at, told, "src", 0),
     ]
     kind = F.col("id") % len(kinds)
     columns = {"value": F.lit(""), "before": F.lit(""), "path": F.lit(""), "label": F.lit(0)}
@@ -251,15 +268,17 @@ def mask_secrets(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text
     ``found``: the result of ``scan_secrets``. The columns stay as they are; documents without
     secrets or with a null text are not changed. Those without an id are found by the hash of their text.
     """
+    names = {c.lower() for c in docs.columns}
+    id_, hash_, all_ = (next(n for k in range(len(names) + 1) if (n := f"{c}{k or ''}") not in names) for c in ("_id", "_hash", "_values"))
     values = (
-        found.where("secret").groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
-        .agg(F.sort_array(F.collect_set("value"), asc=False).alias("_values"))
+        found.where("secret").groupBy(F.col("doc_id").alias(id_), F.col("text_hash").alias(hash_))
+        .agg(F.sort_array(F.collect_set("value"), asc=False).alias(all_))
     )
     # The longest first, so that no secret hides within another.
-    values = values.withColumn("_values", F.expr("array_sort(_values, (x, y) -> length(y) - length(x))"))
-    rows = docs.join(values, F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & _text_hash(id_col, text_col).eqNullSafe(F.col("_hash")), "left")
-    masked = F.aggregate("_values", F.col(text_col).cast("string"), lambda t, v: F.replace(t, v, F.lit(MASK)))
-    text = F.when(F.col("_values").isNotNull(), masked).otherwise(F.col(text_col))
+    values = values.withColumn(all_, F.expr(f"array_sort({all_}, (x, y) -> length(y) - length(x))"))
+    rows = docs.join(values, F.col(id_col).cast("long").eqNullSafe(F.col(id_)) & _text_hash(id_col, text_col).eqNullSafe(F.col(hash_)), "left")
+    masked = F.aggregate(all_, F.col(text_col).cast("string"), lambda t, v: F.replace(t, v, F.lit(MASK)))
+    text = F.when(F.col(all_).isNotNull(), masked).otherwise(F.col(text_col))
     return rows.select(*(text.alias(c) if c == text_col else F.col(c) for c in docs.columns))
 
 

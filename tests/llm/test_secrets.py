@@ -78,6 +78,27 @@ def test_every_rule_under_every_source(spark):
     assert [(r, rows[k]) for k, r in enumerate(want) if (k, *r) not in got] == []
 
 
+def test_keys_with_headers_and_passwords_of_words(spark):
+    body = "\n".join((HEX[k:] + HEX)[:64].replace("a", "Q").replace("0", "z") for k in range(12))
+    headed = f"-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,{HEX[:32].upper()}\n\n{body}\n-----END RSA PRIVATE KEY-----"
+    yes = [headed, headed.replace("\n", "\\n"), headed.replace("\n", "\r\n"), f"-----BEGIN PRIVATE KEY-----\\n{body}\\n-----END PRIVATE KEY-----"]
+    told = ["password = hunter2hunter", 'PASSWORD="SummerHouse2019"', "db_password: blue-horse7719", "pwd = 'monkey1dragon'"]
+    no = ["password = ${admin_password}", "password: settings.db_password", "password = changeme_example_123", f"commit {HEX}",
+          "token = read_user_name1234", "-----BEGIN PRIVATE KEY-----" + "a-b " * 50_000, "-----BEGIN PRIVATE KEY-----\n" * 5_000]
+    texts = [f"some words {t} and more" for t in yes + told + no]
+    found = secrets.scan_secrets(spark.createDataFrame([(k, t, "src", None) for k, t in enumerate(texts)], KIND)).collect()
+    got = {r.doc_id: r.value for r in found if r.secret}
+    assert set(got) == set(range(len(yes + told))), [(r.doc_id, r.value[:60], r.score) for r in found]
+    assert [got[k] for k in range(len(yes))] == yes
+
+
+def test_columns_with_any_name(spark):
+    told = f'then token = "{HEX}" and more'
+    docs = spark.createDataFrame([(1, told, "src", "x", "y", "z")], "doc_id LONG, text STRING, source STRING, _id STRING, _hash STRING, _values STRING")
+    got = secrets.mask_secrets(docs, secrets.scan_secrets(docs)).first()
+    assert got.text == told.replace(HEX, secrets.MASK) and (got._id, got._hash, got._values) == ("x", "y", "z")
+
+
 def test_every_planted_secret_is_found(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     planted = {
