@@ -12,6 +12,7 @@ from tallyline.operators import latest_snapshot, reconcile, serving_view, silenc
 from tallyline.plans import items_sold, run_batch_increment, run_batch_view, served_totals
 from tallyline.plans import layers as layers_module
 from tallyline.schema import ACTIVE_EPOCHS, BATCH_VIEW, EPOCH_TABLE, RAW_VIEW, REALTIME_VIEW
+from tallyline.sources.folders import exists
 from tallyline.sources import ensure_view, offset_unit, read_events, read_view, topic_files
 from tallyline.streaming import (
     BatchWatch, observed, unit_delays,
@@ -22,8 +23,9 @@ from tallyline.streaming import (
 )
 from tallyline.streaming import compact_archive, compaction, read_archive_lines
 from tallyline.streaming.epochs import uncovered
-from tallyline.streaming.queries import AT_ONCE, DRAIN, LIVE_TRIGGER
+from tallyline.streaming.queries import AT_ONCE, DRAIN, LIVE_TRIGGER, lane_of
 from tallyline.streaming.release import cut_of
+from tallyline.session import LISTING_TASKS
 from tests.helpers import payload, rows, write_unit
 
 ONE_FILE = {"maxFilesPerTrigger": "1"}
@@ -658,3 +660,54 @@ def test_compaction_of_an_archive_shows_each_line_once(spark, topic, folder, mon
     found = {r["unit"]: r["count"] for r in files.filter("file LIKE '%000002%'").groupBy("unit").count().collect()}
     # Two of the three parts may meet in one task.
     assert found.pop("u8") in (2, 3) and found == {"u0": 1, "u2": 1, "u4": 1, "u5": 1}
+
+
+def test_lanes_hold_whole_units_and_each_once(spark, folder):
+    place = f"{folder}/t"
+    frame = spark.createDataFrame([(f"v{i}", None if i % 7 == 0 else f"u{i % 7}") for i in range(70)], "value STRING, unit STRING")
+    publish(frame.repartition("unit"), place, lanes=3)
+    lanes = [read_events(spark, "text", lane_of(place, n), streaming=False) for n in range(3) if exists(spark, lane_of(place, n))]
+    assert rows(lanes[0].unionByName(lanes[1]) if len(lanes) == 2 else lanes[0].unionByName(lanes[1]).unionByName(lanes[2])) == rows(frame)
+    units = [u for lane in lanes for u in rows(lane.select("unit").distinct())]
+    assert len(units) == len(set(units)) == 7
+
+
+def test_more_batches_are_reported_than_a_query_keeps_by_itself(spark, topic, folder):
+    before = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        for kept in (1_000, 4):
+            with BatchWatch(spark, kept) as watch:
+                query = archive(observed(stream(spark, topic)), f"{folder}/log{kept}", f"{folder}/c{kept}")
+                query.awaitTermination()
+            assert spark.conf.get("spark.sql.streaming.numRecentProgressUpdates") == "2"
+            if kept > 6:
+                assert [b["batch_id"] for b in watch.take(query)] == list(range(6))
+            else:
+                with pytest.raises(RuntimeError):
+                    watch.take(query)
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", before)
+
+
+def listing_tasks(spark, name, act):
+    """Tasks of the largest stage of the jobs that ``act`` runs."""
+    spark.sparkContext.setJobGroup(name, name)
+    try:
+        act()
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    tracker = spark.sparkContext.statusTracker()
+    infos = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup(name) for s in tracker.getJobInfo(j).stageIds]
+    return max(i.numTasks for i in infos if i is not None)
+
+
+def test_folders_of_many_units_are_listed_in_few_tasks(spark, tmp_path):
+    for unit in range(LISTING_TASKS + 20):
+        write_unit(tmp_path / "t", f"u{unit}", [payload("a")])
+    place = str(tmp_path / "t")
+    spark.conf.unset("spark.sql.sources.parallelPartitionDiscovery.parallelism")
+    assert 1 < listing_tasks(spark, "listed-rows", lambda: read_events(spark, "text", place)) <= LISTING_TASKS
+    spark.conf.unset("spark.sql.sources.parallelPartitionDiscovery.parallelism")
+    assert 1 < listing_tasks(spark, "listed-files", lambda: topic_files(spark, place)) <= LISTING_TASKS
+    assert read_events(spark, "text", place).count() == LISTING_TASKS + 20
