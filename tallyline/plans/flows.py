@@ -467,23 +467,26 @@ def paced_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silent_live(spark: SparkSession, sf_dir: str, factor: float, steps: int = 4) -> DataFrame:
-    """Silent machines by a stream of alarms, at the end of a topic that grows in time order."""
+    """Silent machines by a stream of alarms, at the end of a topic that grows in time order.
+
+    The stream is down while the topic grows, and goes on from its checkpoint behind each step.
+    """
     work = work_dir(spark, "silent")
     bought = purchases(spark, sf_dir)
     profile = stored(gap_profile(bought), "profile")
     marks = bought.agg(F.max("time_stamp").alias("now"), F.max(F.col("unit").cast("bigint")).alias("last")).first()
-    live = decode_rows(
-        read_events(spark, "text", f"{work}/topic", streaming=True), fields=["snack_automat_id", "timestamp"]
-    )
-    query = (
-        silence_alarms(live.select(MACHINE, "time_stamp"), profile, factor).writeStream.format("parquet").outputMode("append")
-        .option("checkpointLocation", f"{work}/checkpoint").trigger(**AT_ONCE).start(f"{work}/alarms")
-    )
     step = F.floor(F.col("unit").cast("bigint") * steps / (marks["last"] + 1))
     for number in range(steps):
         publish(payloads(spark, sf_dir).filter(step == number).repartition("unit"), f"{work}/topic")
+        live = decode_rows(
+            read_events(spark, "text", f"{work}/topic", streaming=True), fields=["snack_automat_id", "timestamp"]
+        )
+        query = (
+            silence_alarms(live.select(MACHINE, "time_stamp"), profile, factor).writeStream.format("parquet")
+            .outputMode("append").option("checkpointLocation", f"{work}/checkpoint").trigger(**AT_ONCE).start(f"{work}/alarms")
+        )
         query.processAllAvailable()
-    query.stop()
+        query.stop()
     alarms = spark.read.parquet(f"{work}/alarms")
     return standing_alarms(alarms, profile, F.lit(marks["now"]))
 
