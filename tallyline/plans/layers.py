@@ -73,12 +73,11 @@ def _units_table(spark: SparkSession, view: str, run_id: int, keys: Sequence[str
     return read_view(spark, f"{view}_units/run_id={run_id}", schema)
 
 
-def changed_units(spark: SparkSession, location: str, view: str, since_run: int, covered: DataFrame) -> DataFrame:
+def changed_units(spark: SparkSession, files: DataFrame, view: str, since_run: int, covered: DataFrame) -> DataFrame:
     """Units of an archive that a run must count again: those with files newer than ``since_run``, and those it left out.
 
-    Told from names and times of files alone.
+    Told from names and times of its files (``topic_files``) alone.
     """
-    files = topic_files(spark, location)
     known = read_view(spark, f"{view}_files/run_id={since_run}", "since TIMESTAMP, file STRING")
     since = known.agg(F.max("since").alias("t")).first()["t"]
     if since is None:
@@ -108,7 +107,9 @@ def run_batch_increment(
     """
     record = f"{view}_files/run_id={run_id}"
     remove(spark, record)
-    file_record(spark, location, record, settle_s)
+    # Listed once, for the record and for what has changed.
+    files = stored(topic_files(spark, location), "files")
+    file_record(spark, location, record, settle_s, files)
     published = read_view(spark, epoch_table, EPOCH_TABLE).filter(F.col("run_id") < run_id)
     last = published.agg(F.max("run_id").alias("r")).first()["r"]
     log = read_events(spark, "text", location)
@@ -116,7 +117,7 @@ def run_batch_increment(
         counts = count_items(decode_rows(log, fields=["item"]), ["unit", *keys])
     else:
         before = _units_table(spark, view, last, keys)
-        changed = stored(changed_units(spark, location, view, last, covered_units(spark, epoch_table, last)), "changed")
+        changed = stored(changed_units(spark, files, view, last, covered_units(spark, epoch_table, last)), "changed")
         names = [r["unit"] for r in changed.limit(few_units + 1).collect()]
         if len(names) <= few_units:
             # At most ``few_units`` names; as literals they leave out the folders of all other units.

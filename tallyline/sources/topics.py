@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyline.functions.decode import decode_rows
+from tallyline.session import few_listing_tasks
 from tallyline.sources.folders import ensure_folder, exists
 
 OFFSETS_PER_UNIT = 1_000_000
@@ -32,6 +33,7 @@ def source_of(unit: str) -> Column:
 
 def topic_files(spark: SparkSession, location: str) -> DataFrame:
     """``(file, time, unit)`` of all files of a file topic, from names and times alone; no file is opened."""
+    few_listing_tasks(spark)
     there = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(location)
     # Folder names escape some characters, and paths escape them once more.
     folder = F.nullif(F.regexp_extract(F.col("_metadata.file_path"), "/unit=([^/]*)/", 1), F.lit(""))
@@ -45,15 +47,18 @@ def topic_files(spark: SparkSession, location: str) -> DataFrame:
     )
 
 
-def file_record(spark: SparkSession, location: str, record: str, settle_s: int = SETTLE_S) -> DataFrame:
+def file_record(
+    spark: SparkSession, location: str, record: str, settle_s: int = SETTLE_S, files: DataFrame | None = None
+) -> DataFrame:
     """What a topic held when it was first asked for: ``(since, file)``, out of ``record``.
 
     ``since`` lies ``settle_s`` before the newest file (null for an empty topic, no row for a file).
     Files below it are past; the files from it on are named one by one. Written once, from names and
     times alone, and read back at each later start; a try that did not come to its end is done again.
+    ``files`` are the topic's files where the caller has listed them.
     """
     if not exists(spark, f"{record}/_SUCCESS"):
-        there = topic_files(spark, location)
+        there = topic_files(spark, location) if files is None else files
         newest = there.agg((F.max("time") - F.make_dt_interval(secs=F.lit(settle_s))).alias("since"))
         since = F.timestamp_micros(F.lit(newest.select(F.unix_micros("since").alias("s")).first()["s"]).cast("bigint"))
         named = there.filter(F.col("time") >= since).select(since.alias("since"), "file")
@@ -103,6 +108,7 @@ def read_events(
     topic that a stream finds missing is made, and is empty.
     """
     options = options or {}
+    few_listing_tasks(spark)
     reader = (spark.readStream if streaming else spark.read).options(**options)
     if fmt == "kafka":
         if streaming:

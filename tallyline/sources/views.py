@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyline.session import few_listing_tasks
+
 
 def read_csv_view(spark: SparkSession, path: str, ddl: str) -> DataFrame:
     """A headerless export; columns are named by position through ``ddl``."""
@@ -15,6 +17,7 @@ def read_csv_view(spark: SparkSession, path: str, ddl: str) -> DataFrame:
 def read_view(
     spark: SparkSession, path: str, schema: T.StructType | str, fmt: str = "parquet"
 ) -> DataFrame:
+    few_listing_tasks(spark)
     return spark.read.schema(schema).format(fmt).load(path)
 
 
