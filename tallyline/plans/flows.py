@@ -29,6 +29,9 @@ from tallyline.streaming.watch import BatchWatch, observed
 
 #: Queries that read a topic file by file at the same time.
 READ_LANES = 16
+#: Format of topics whose files hold many units, and units of such a file.
+PACKED = "parquet"
+UNITS_PER_FILE = 64
 
 
 def payloads(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
@@ -37,16 +40,41 @@ def payloads(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataF
     return encode(events, keep=("unit",))
 
 
+def publish_packed(rows: DataFrame, path: str) -> None:
+    """Payloads appended to a topic as the tasks hold them, whatever their units."""
+    publish(rows, path, PACKED, packed=True)
+
+
 def topic(spark: SparkSession, sf_dir: str, path: str, batches: int = 4) -> DataFrame:
-    """The table published as a file topic, one file for each unit, and read in about ``batches`` micro-batches."""
+    """The table published as a file topic and read in about ``batches`` micro-batches of whole units.
+
+    One file for each unit; where these are many, files of about ``UNITS_PER_FILE`` units.
+    """
     rows = payloads(spark, sf_dir)
-    publish(rows.repartition("unit"), path)
-    return read_events(spark, "text", path, streaming=True, options=few_files(rows, batches))
+    files, per_batch = files_of(rows.select("unit").distinct().count(), batches)
+    if files is None:
+        publish(rows.repartition("unit"), path, PACKED)
+    else:
+        publish_packed(rows.repartition(files, "unit"), path)
+    return read_topic(spark, path, per_batch)
+
 
+def read_topic(spark: SparkSession, path: str, per_batch: int | None = None) -> DataFrame:
+    """A topic of ``topic`` or ``publish_packed`` as a stream, with so many files a micro-batch."""
+    options = {} if per_batch is None else {"maxFilesPerTrigger": str(per_batch)}
+    return read_events(spark, PACKED, path, streaming=True, options=options)
 
-def few_files(rows: DataFrame, batches: int) -> dict[str, str]:
-    units = rows.select("unit").distinct().count()
-    return {"maxFilesPerTrigger": str(max(1, -(-units // batches)))}
+
+def files_of(units: int, batches: int) -> tuple[int | None, int]:
+    """Files of a topic with so many units (None: one for each unit), and files of one of its micro-batches.
+
+    There are as many micro-batches as with a file for each unit.
+    """
+    per_batch = max(1, -(-units // batches))
+    if units <= batches * UNITS_PER_FILE:
+        return None, per_batch
+    files = -(-per_batch // UNITS_PER_FILE)
+    return -(-units // per_batch) * files, files
 
 
 @dataclass(frozen=True)
@@ -125,7 +153,7 @@ def replayed_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = work_dir(spark, "replay")
     views = {}
     first = topic(spark, sf_dir, f"{work}/topic")
-    again = read_events(spark, "text", f"{work}/topic", streaming=True)
+    again = read_topic(spark, f"{work}/topic")
     snapshot_stream(first, f"{work}/first", f"{work}/first_checkpoint", trigger=DRAIN).awaitTermination()
     replay(again, f"{work}/replayed", f"{work}/replayed_checkpoint").awaitTermination()
     for name in ("first", "replayed"):
@@ -457,10 +485,10 @@ def paced_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals of a live view at its own pace, one micro-batch every two seconds, while a topic grows in four steps."""
     work = work_dir(spark, "paced")
     rows = payloads(spark, sf_dir)
-    events = read_events(spark, "text", f"{work}/topic", streaming=True)
+    events = read_topic(spark, f"{work}/topic")
     query = snapshot_stream(events, f"{work}/view", f"{work}/checkpoint", ["item", "unit"], trigger=LIVE_TRIGGER)
     for step in range(4):
-        publish(rows.filter(F.pmod(F.col("unit").cast("bigint"), F.lit(4)) == step).repartition("unit"), f"{work}/topic")
+        publish_packed(rows.filter(F.pmod(F.col("unit").cast("bigint"), F.lit(4)) == step), f"{work}/topic")
         query.processAllAvailable()
     query.stop()
     return current_snapshot(spark, f"{work}/view")

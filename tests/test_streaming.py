@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from tallyline.functions import decode_rows
 from tallyline.operators import latest_snapshot, reconcile, serving_view, silence_alarms, standing_alarms
 from tallyline.plans import items_sold, run_batch_increment, run_batch_view, served_totals
+from tallyline.plans import flows
 from tallyline.plans import layers as layers_module
 from tallyline.schema import ACTIVE_EPOCHS, BATCH_VIEW, EPOCH_TABLE, RAW_VIEW, REALTIME_VIEW
 from tallyline.sources.folders import exists
+from tallyline.sources.tables import EVENTS_PER_UNIT
 from tallyline.sources import ensure_view, offset_unit, read_events, read_view, topic_files
 from tallyline.streaming import (
     BatchWatch, observed, unit_delays,
@@ -711,3 +713,57 @@ def test_folders_of_many_units_are_listed_in_few_tasks(spark, tmp_path):
     spark.conf.unset("spark.sql.sources.parallelPartitionDiscovery.parallelism")
     assert 1 < listing_tasks(spark, "listed-files", lambda: topic_files(spark, place)) <= LISTING_TASKS
     assert read_events(spark, "text", place).count() == LISTING_TASKS + 20
+
+
+@pytest.mark.parametrize("units,batches,files,per_batch", [(0, 4, None, 1), (5, 8, None, 1), (512, 8, None, 64), (513, 8, 16, 2), (1200, 8, 24, 3), (72000, 8, 1128, 141)])
+def test_files_of_a_topic_of_many_units(units, batches, files, per_batch):
+    assert flows.files_of(units, batches) == (files, per_batch)
+    # As many micro-batches as with a file for each unit.
+    if files is not None:
+        assert files // per_batch == -(-units // -(-units // batches)) and files < units
+
+
+def test_a_packed_topic_reads_like_one_with_a_folder_for_each_unit(spark, folder):
+    frame = spark.createDataFrame([("v1", "u1"), ("v2", "u2"), ("v3", None)] * 2, "value STRING, unit STRING")
+    publish(frame.coalesce(1), f"{folder}/p", "parquet", packed=True)
+    publish(frame, f"{folder}/f", "parquet")
+    assert rows(read_events(spark, "parquet", f"{folder}/p")) == rows(read_events(spark, "parquet", f"{folder}/f")) == rows(frame)
+    assert topic_files(spark, f"{folder}/p").count() == 1
+    for wrong in ({}, {"fmt": "parquet", "lanes": 2}):
+        with pytest.raises(ValueError):
+            publish(frame, f"{folder}/w", packed=True, **wrong)
+
+
+@pytest.fixture(scope="module")
+def many_units(spark, tmp_path_factory):
+    """A table of 600 events, each in a unit of its own."""
+    place = str(tmp_path_factory.mktemp("many"))
+    kinds = F.element_at(F.array(*[F.lit(k) for k in ("view", "click", "error")]), (F.col("id") % 3 + 1).cast("int"))
+    made = spark.range(600).select(
+        (F.col("id") * EVENTS_PER_UNIT).alias("event_id"), F.timestamp_seconds(F.col("id") * 60).cast("timestamp_ntz").alias("ts"),
+        F.col("id").alias("user_id"), kinds.alias("event_type"), F.lit(1.0).alias("value"), F.lit('{"k": 1}').alias("props"),
+    )
+    made.coalesce(1).write.parquet(f"{place}/events.parquet")
+    return place
+
+
+@pytest.mark.parametrize("query", ["paced_totals", "compacted_history"])
+def test_a_topic_of_many_small_units_has_few_files(spark, many_units, monkeypatch, query):
+    places, real = set(), flows.publish
+
+    def watched(rows, location, *args, **more):
+        real(rows, location, *args, **more)
+        places.add(location)
+
+    monkeypatch.setattr(flows, "publish", watched)
+    got = getattr(flows, query)(spark, many_units)
+    if query == "compacted_history":
+        assert rows(got) == sorted((m, k, 200, 8) for m in ("complete", "update") for k in ("view", "click", "error"))
+    elif query == "released_state":
+        assert rows(got, "state_before", "state_published", "state_after") == [(300, 1, 301)] * 3
+    else:
+        # Of the first third nothing is counted but the first unit once more.
+        assert {r["item"]: r["count"] for r in got.collect()} == (
+            dict.fromkeys(("view", "click", "error"), 200) if query == "paced_totals" else {"view": 1, "click": 200, "error": 200}
+        )
+    assert places and all(topic_files(spark, place).count() < 60 for place in places)
