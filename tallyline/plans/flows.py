@@ -345,19 +345,19 @@ def released_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     state = []
 
     def add(wanted: Column) -> None:
-        publish(rows.filter(wanted).repartition("unit"), f"{work}/topic")
+        publish_packed(rows.filter(wanted), f"{work}/topic")
 
     def settle() -> None:
         query.processAllAvailable()
         state.append([p for p in query.recentProgress if p["stateOperators"]][-1]["stateOperators"][0]["numRowsTotal"])
 
     add(F.col("unit").cast("bigint") <= half)
-    events = read_events(spark, "text", f"{work}/topic", streaming=True)
+    events = read_topic(spark, f"{work}/topic")
     query = snapshot_stream(
         events, layers.realtime, f"{work}/checkpoint", ["item", "unit"], trigger=AT_ONCE, mode="update", cuts=cuts
     )
     settle()
-    batch = decode_rows(read_events(spark, "text", f"{work}/topic"), fields=["item"])
+    batch = decode_rows(read_events(spark, PACKED, f"{work}/topic"), fields=["item"])
     run_batch_view(batch, layers.batch, 1, layers.epochs, skip_open=True)
     publish_cut(spark, layers.epochs, cuts, 1)
     settle()
