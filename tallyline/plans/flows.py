@@ -275,10 +275,10 @@ def latest_start(spark: SparkSession, sf_dir: str) -> DataFrame:
     place = f"{work}/topic"
 
     def add(part: int) -> None:
-        publish(rows.filter(F.col("_part") == part).repartition("unit"), place)
+        publish_packed(rows.filter(F.col("_part") == part), place)
 
     def drain() -> None:
-        late = read_events(spark, "text", place, streaming=True, start="latest", start_record=f"{work}/start")
+        late = read_events(spark, PACKED, place, streaming=True, start="latest", start_record=f"{work}/start")
         snapshot_stream(late, f"{work}/view", f"{work}/checkpoint", trigger=DRAIN).awaitTermination()
 
     add(0)
@@ -287,7 +287,7 @@ def latest_start(spark: SparkSession, sf_dir: str) -> DataFrame:
     drain()
     add(2)
     first = rows.agg(F.min("unit").alias("u")).scalar()
-    publish(rows.filter(F.col("unit") == first), place)
+    publish_packed(rows.filter(F.col("unit") == first), place)
     drain()
     return latest_snapshot(read_view(spark, f"{work}/view", REALTIME_VIEW))
 
@@ -297,11 +297,11 @@ def empty_start(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = work_dir(spark, "empty")
 
     def drain() -> None:
-        late = read_events(spark, "text", f"{work}/topic", streaming=True, start="latest", start_record=f"{work}/start")
+        late = read_events(spark, PACKED, f"{work}/topic", streaming=True, start="latest", start_record=f"{work}/start")
         snapshot_stream(late, f"{work}/view", f"{work}/checkpoint", trigger=DRAIN).awaitTermination()
 
     drain()
-    publish(payloads(spark, sf_dir).repartition("unit"), f"{work}/topic")
+    publish_packed(payloads(spark, sf_dir), f"{work}/topic")
     drain()
     return current_snapshot(spark, f"{work}/view")
 
@@ -505,10 +505,8 @@ def silent_live(spark: SparkSession, sf_dir: str, factor: float, steps: int = 4)
     marks = bought.agg(F.max("time_stamp").alias("now"), F.max(F.col("unit").cast("bigint")).alias("last")).first()
     step = F.floor(F.col("unit").cast("bigint") * steps / (marks["last"] + 1))
     for number in range(steps):
-        publish(payloads(spark, sf_dir).filter(step == number).repartition("unit"), f"{work}/topic")
-        live = decode_rows(
-            read_events(spark, "text", f"{work}/topic", streaming=True), fields=["snack_automat_id", "timestamp"]
-        )
+        publish_packed(payloads(spark, sf_dir).filter(step == number), f"{work}/topic")
+        live = decode_rows(read_topic(spark, f"{work}/topic"), fields=["snack_automat_id", "timestamp"])
         query = (
             silence_alarms(live.select(MACHINE, "time_stamp"), profile, factor).writeStream.format("parquet")
             .outputMode("append").option("checkpointLocation", f"{work}/checkpoint").trigger(**AT_ONCE).start(f"{work}/alarms")

@@ -747,7 +747,7 @@ def many_units(spark, tmp_path_factory):
     return place
 
 
-@pytest.mark.parametrize("query", ["paced_totals", "released_state", "compacted_history"])
+@pytest.mark.parametrize("query", ["paced_totals", "released_state", "latest_start", "compacted_history"])
 def test_a_topic_of_many_small_units_has_few_files(spark, many_units, monkeypatch, query):
     places, real = set(), flows.publish
 
