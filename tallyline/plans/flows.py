@@ -246,8 +246,8 @@ def compacted_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     last = rows.agg(F.max("unit").alias("last")).first()["last"]
     half = F.pmod(F.col("unit").cast("bigint"), F.lit(2)) == 0
     for more in (half, ~half):
-        publish(rows.filter(more).repartition("unit"), f"{work}/topic")
-        lines = read_events(spark, "text", f"{work}/topic", streaming=True)
+        publish_packed(rows.filter(more).repartition("unit"), f"{work}/topic")
+        lines = read_topic(spark, f"{work}/topic")
         archive(lines, log, f"{work}/checkpoint", spread=4).awaitTermination()
         compact_archive(spark, log, last)
     files = topic_files(spark, f"{log}_compacted").filter("unit IS NOT NULL").groupBy("unit").count()

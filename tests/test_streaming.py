@@ -767,3 +767,12 @@ def test_a_topic_of_many_small_units_has_few_files(spark, many_units, monkeypatc
             dict.fromkeys(("view", "click", "error"), 200) if query == "paced_totals" else {"view": 1, "click": 200, "error": 200}
         )
     assert places and all(topic_files(spark, place).count() < 60 for place in places)
+
+
+def test_the_archive_keeps_together_what_one_task_reads_of_a_unit(spark, folder):
+    frame = spark.createDataFrame([(f"v{i}", f"u{i % 3}") for i in range(90)], "value STRING, unit STRING")
+    publish(frame.repartition("unit"), f"{folder}/t", "parquet", packed=True)
+    lines = read_events(spark, "parquet", f"{folder}/t", streaming=True)
+    archive(lines, f"{folder}/log", f"{folder}/c", spread=4).awaitTermination()
+    assert rows(read_events(spark, "text", f"{folder}/log")) == rows(frame)
+    assert topic_files(spark, f"{folder}/log").count() == 3
