@@ -98,29 +98,33 @@ class Lattice:
         at[(self.hashes[at] != hashes) | (at < 0)] = -1
         return at
 
-    def _filtered(self, sums: np.ndarray, start: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-        """Forward weights (logarithms if long) and places of the pieces by end and length, for segments of one length."""
+    def _filtered(self, sums: np.ndarray, start: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Forward weights, and weights and places of the pieces by end and length, for segments of one length.
+
+        The weights are logarithms if the segments are long.
+        """
         n, most = len(start), min(self.longest, length)
-        place = np.full((n, length + 1, most + 1), -1, np.int32)
+        # The segments lie side by side, so that a step of all of them is one run of memory.
+        place = np.full((length + 1, most + 1, n), -1, np.int32)
+        at = start[None, :] + np.arange(length + 1)[:, None]
+        upto, back = sums[at], powers(len(sums))[1][at]
         for size in range(1, most + 1):
-            ends = np.arange(size, length + 1)
-            at = start[:, None] + ends[None, :]
-            place[:, size:, size] = self.find(self.hash(sums, at - size, at))
+            place[size:, size] = self.find(mix((upto[size:] - upto[:-size]) * back[:-size] + np.uint64(size)))
         if length <= self.long:
             weight = np.where(place >= 0, self.weights[place], 0.0)
-            forward = np.zeros((n, length + 1))
-            forward[:, 0] = 1.0
+            forward = np.zeros((length + 1, n))
+            forward[0] = 1.0
             for end in range(1, length + 1):
                 for size in range(1, min(most, end) + 1):
-                    forward[:, end] += forward[:, end - size] * weight[:, end, size]
-            return forward, place
+                    forward[end] += forward[end - size] * weight[end, size]
+            return forward, weight, place
         log = np.where(place >= 0, self.logs[place], -np.inf)
-        forward = np.full((n, length + 1), -np.inf)
-        forward[:, 0] = 0.0
+        forward = np.full((length + 1, n), -np.inf)
+        forward[0] = 0.0
         for end in range(1, length + 1):
             sizes = np.arange(1, min(most, end) + 1)
-            forward[:, end] = np.logaddexp.reduce(forward[:, end - sizes] + log[:, end, sizes], axis=1)
-        return forward, place
+            forward[end] = np.logaddexp.reduce(forward[end - sizes] + log[end, sizes], axis=0)
+        return forward, log, place
 
     def sample(self, classes: np.ndarray, start: np.ndarray, end: np.ndarray, random: Callable) -> tuple[np.ndarray, np.ndarray]:
         """Start and id of the sampled pieces of segments of known characters.
@@ -133,55 +137,56 @@ class Lattice:
         at, ids = [], []
         for length in np.unique(lengths).tolist():
             own = np.flatnonzero(lengths == length)
-            _, first, same = np.unique(hashes[own], return_index=True, return_inverse=True)
+            order = np.argsort(hashes[own], kind="stable")
+            found = hashes[own[order]]
+            new = np.ones(len(own), bool)
+            new[1:] = found[1:] != found[:-1]
+            first, same = order[new], np.cumsum(new) - 1
             step = max(1, (1 << 20) // ((length + 1) * (min(self.longest, length) + 1)))
-            order = np.argsort(same, kind="stable")
-            cuts = np.searchsorted(same[order], np.arange(0, len(first) + step, step))
+            cuts = np.searchsorted(same, np.arange(0, len(first) + step, step))
             for lo, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
                 rows = own[order[a:b]]
-                which = same[order[a:b]] - lo * step
-                forward, place = self._filtered(sums, start[own[first[lo * step : (lo + 1) * step]]], length)
+                which = same[a:b] - lo * step
+                forward, weight, place = self._filtered(sums, start[own[first[lo * step : (lo + 1) * step]]], length)
                 now = np.full(len(rows), length)
                 for stop in range(length, 0, -1):
                     live = np.flatnonzero(now == stop)
                     if not len(live):
                         continue
-                    sizes = np.arange(1, min(self.longest, stop) + 1)
+                    most = min(self.longest, stop)
                     u = which[live]
-                    arcs = place[u, stop][:, sizes]
-                    before = forward[u][:, stop - sizes]
+                    # By length: what is left before the last piece, and that piece.
+                    before, last = forward[stop - most : stop, u][::-1], weight[stop, 1 : most + 1, u].T
                     if length <= self.long:
-                        odds = np.where(arcs >= 0, before * self.weights[arcs], 0.0)
+                        odds = before * last
                     else:
-                        odds = np.where(arcs >= 0, before + self.logs[arcs], -np.inf)
-                        odds = np.exp(odds - odds.max(axis=1, keepdims=True))
-                    upto = np.cumsum(odds, axis=1)
-                    drawn = random(start[rows[live]] + stop) * upto[:, -1]
-                    pick = np.minimum((upto <= drawn[:, None]).sum(axis=1), len(sizes) - 1)
+                        odds = before + last
+                        odds = np.exp(odds - odds.max(axis=0))
+                    upto = np.cumsum(odds, axis=0)
+                    drawn = random(start[rows[live]] + stop) * upto[-1]
+                    pick = np.zeros(len(live), np.int64)
+                    for bound in upto[:-1]:
+                        pick += bound <= drawn
                     # Rounding may point behind the last possible piece.
-                    last = len(sizes) - 1 - (odds[:, ::-1] > 0).argmax(axis=1)
-                    pick = np.minimum(pick, last)
-                    now[live] = stop - sizes[pick]
+                    if len(off := np.flatnonzero(odds[pick, np.arange(len(live))] == 0)):
+                        pick[off] = most - 1 - (odds[::-1, off] > 0).argmax(axis=0)
+                    now[live] = stop - 1 - pick
                     at.append(start[rows[live]] + now[live])
-                    ids.append(self.ids[arcs[np.arange(len(live)), pick]])
+                    ids.append(self.ids[place[stop, pick + 1, u]])
         return np.concatenate(at), np.concatenate(ids)
 
     def encode(self, texts: list[str], keys: np.ndarray) -> list[np.ndarray]:
         """Sampled ids of each text; ``keys`` (64 bits each) seed the draws of the rows."""
         if not texts:
             return []
-        wide = [np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32) for t in texts]
-        lead = np.array([SPACE], np.uint32)
-        parts, sizes = [], []
-        for w in wide:
-            sizes.append(len(w) + 1 if len(w) else 0)
-            if len(w):
-                w = np.where(w == SPACE, np.uint32(LITERAL), w)
-                parts += [lead, np.where(w == 0x20, np.uint32(SPACE), w)]
+        # Each text that is not empty has a space at its head.
+        sizes = [len(t) + 1 if t else 0 for t in texts]
         bounds = np.concatenate([[0], np.cumsum(sizes)])
-        if not parts:
+        if not bounds[-1]:
             return [np.zeros(0, np.int32) for _ in texts]
-        codes = np.concatenate(parts)
+        codes = np.frombuffer("".join([f" {t}" for t in texts if t]).encode("utf-32-le", "surrogatepass"), np.uint32).copy()
+        codes[codes == SPACE] = LITERAL
+        codes[codes == 0x20] = SPACE
         classes = self.class_of[codes]
         new = np.ones(len(codes), bool)
         new[1:] = ~self.joined[classes[:-1], classes[1:]]
@@ -211,7 +216,8 @@ class Lattice:
             ids.append(self.byte_ids[list(raw)])
             rank.append(np.arange(len(raw)))
         at_, ids_, rank_ = np.concatenate(at), np.concatenate(ids), np.concatenate(rank)
-        order = np.lexsort((rank_, at_))
+        # A character has at most four bytes.
+        order = np.argsort(at_ * 4 + rank_)
         cuts = np.searchsorted(at_[order], bounds)
         ids_ = ids_[order]
         return [ids_[lo:hi] for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
