@@ -8,23 +8,28 @@ from pyspark.sql import functions as F
 from tallyline.session import stored
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first())
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether each node with an edge ``a`` to a lesser ``b`` has one only, to a node that has none."""
+    ends = edges.select(F.col("a").alias("n"), F.lit(1).alias("down"), F.lit(0).alias("up")).union(
+        edges.select("b", F.lit(0), F.lit(1))
+    )
+    nodes = ends.groupBy("n").agg(F.sum("down").alias("down"), F.max("up").alias("up"))
+    most = F.max(F.when(F.col("down") > 0, F.col("down") + F.col("up")))
+    return nodes.agg(most.alias("most")).first()["most"] in (None, 1)
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
     """``id`` and ``component_id`` (the least id reachable) of every node that ``a`` and ``b`` name.
 
     Alternating large-star and small-star steps, each a join with the least neighbour of every
-    node, until the edges are stars around the least node. A node with very many edges is
-    aggregated before the shuffle, and its join with the stored result can be split. Edges with a
-    null end and loops are left out. Each step is a table in the shared folder, so a lost executor
-    costs one step.
+    node, until the edges are stars around the least node; edges that are stars already take no
+    step. A node with very many edges is aggregated before the shuffle, and its join with the stored
+    result can be split. Edges with a null end and loops are left out. Each step is a table in the
+    shared folder, so a lost executor costs one step.
     """
     edges = edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     edges = stored(edges, "edges")
-    before = _state(edges)
-    while before[0]:
+    while not _are_stars(edges):
         ends = edges.union(edges.select("b", "a"))
         least = ends.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         least = stored(least, "least")
@@ -33,10 +38,6 @@ def connected_components(edges: DataFrame) -> DataFrame:
         least = stored(large.groupBy("a").agg(F.min("b").alias("m")), "least")
         small = large.join(least, "a").where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         edges = stored(small.union(least).distinct(), "edges")
-        after = _state(edges)
-        if after == before:
-            break
-        before = after
     return edges.select(F.col("a").alias("id"), F.col("b").alias("component_id")).union(
         edges.select("b", "b").distinct()
     )

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallyline.llm import minhash
+from tallyline.llm import graph, minhash
 from tests.llm.brute import near_duplicates, shingle_set
 
 KIND = "doc_id LONG, text STRING"
@@ -70,3 +70,20 @@ def test_estimates_are_near_the_truth():
     equal = 1 - planes.any(axis=0).mean()
     chance = 2.0**-minhash.BITS
     assert abs((equal - chance) / (1 - chance) - 2000 / 3000) < 0.16
+
+
+def test_components_take_no_step_behind_the_stars(spark, monkeypatch):
+    steps, real = [], graph.stored
+    monkeypatch.setattr(graph, "stored", lambda df, label: steps.append(label) or real(df, label))
+
+    def components(edges):
+        steps.clear()
+        found = graph.connected_components(spark.createDataFrame(edges, "a long, b long"))
+        return sorted(map(tuple, found.collect()))
+
+    assert components([(0, 2), (3, 0), (5, 4), (7, 7), (None, 8)]) == [(0, 0), (2, 0), (3, 0), (4, 4), (5, 4)]
+    assert steps == ["edges"]
+    assert components([]) == [] and steps == ["edges"]
+    assert components([(i, i + 1) for i in range(20)]) == [(i, 0) for i in range(21)]
+    # One edge to two lesser nodes, and a chain of two.
+    assert components([(3, 1), (3, 2)]) == components([(3, 2), (2, 1)]) == [(1, 1), (2, 1), (3, 1)]
