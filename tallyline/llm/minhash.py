@@ -128,7 +128,7 @@ def _confirmed(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, percent: in
     rows = near.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a").join(
         texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b"
     )
-    return stored(rows.select("a", "b", "ta", "tb").mapInArrow(_linked(percent), "a long, b long").distinct(), "links")
+    return stored(rows.select("a", "b", "ta", "tb").mapInArrow(_linked(percent), "a long, b long"), "links")
 
 
 def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,7 +147,7 @@ def _held(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     counts = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("held"), F.min("doc_id").alias("doc_id"))
     counts = stored(counts, "held")
     alone = counts.where("held = 1").groupBy("doc_id").agg(F.count(F.lit(1)).alias("alone"))
-    return rows.join(counts.where("held > 1").select("shingle", "held"), "shingle"), stored(alone, "alone")
+    return rows.join(counts.where("held > 1").select("shingle", "held"), "shingle"), alone
 
 
 def _rare_pairs(held: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -189,9 +189,17 @@ def _with_components(buckets: DataFrame, component: DataFrame) -> DataFrame:
 
 
 def _joined(component: DataFrame, links: DataFrame) -> DataFrame:
-    """The components with further links, from the stars that there are already."""
-    stars = component.where("id != component_id").select(F.col("id").alias("a"), F.col("component_id").alias("b"))
-    return stored(connected_components(stars.union(links)), "components")
+    """The components with further links.
+
+    Only components are linked here, whatever their size; the nodes that have none stand for themselves.
+    """
+    for end in ("a", "b"):
+        of_end = component.select(F.col("id").alias(end), F.col("component_id").alias("c"))
+        links = links.join(of_end, end, "left").withColumn(end, F.coalesce("c", end)).drop("c")
+    joined = connected_components(stored(links.select("a", "b").distinct(), "component-links"))
+    root = joined.select(F.col("id").alias("component_id"), F.col("component_id").alias("root"))
+    members = component.join(root, "component_id", "left").select("id", F.coalesce("root", "component_id").alias("component_id"))
+    return stored(members.union(joined.join(component, "id", "left_anti").select("id", "component_id")), "components")
 
 
 def _further(
@@ -240,17 +248,17 @@ def minhash_components(
     spark = docs.sparkSession
     signed = stored(signatures(docs, id_col, text_col), "signatures")
     named = signed.where("n_shingles > 0 and doc_id is not null")
-    classes = stored(
-        named.groupBy("digest").agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("n")), "classes"
-    )
-    nodes = named.join(classes.select(F.col("node").alias("doc_id"), "digest"), ["doc_id", "digest"], "left_semi")
+    # Rows with the same digest have the same signature, so the least document needs no join to have it.
+    same = (F.first(c).alias(c) for c in ("n_shingles", "bands", "sketch"))
+    classes = stored(named.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), *same), "classes")
+    nodes = classes.drop("digest")
     keys = nodes.select("doc_id", F.explode("bands").alias("key"))
     full = keys.groupBy("key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
     # As a table, so that the join can be split where a bucket holds very many documents.
     full = stored(full.select("key", "first"), "full-buckets")
     # Only members of buckets with company, each with the least member.
     buckets = stored(keys.join(full, "key"), "buckets")
-    nodes = stored(nodes.join(buckets.select("doc_id").distinct(), "doc_id", "left_semi"), "nodes")
+    nodes = stored(nodes.drop("bands").join(buckets.select("doc_id").distinct(), "doc_id", "left_semi"), "nodes")
     near = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     texts = stored(near.join(nodes.select("doc_id").distinct(), "doc_id", "left_semi"), "texts")
 
@@ -259,12 +267,12 @@ def minhash_components(
 
     links = confirm(buckets.select(F.col("first").alias("a"), F.col("doc_id").alias("b")))
 
-    component = stored(connected_components(links), "components")
+    component = connected_components(links)
     apart = stored(_with_components(buckets, component), "apart")
     if not apart.isEmpty():
         component = _further(apart, component, nodes, texts, percent, confirm)
     component = component.withColumnRenamed("id", "node")
-    of_class = classes.join(component, "node", "left").select(
+    of_class = classes.select("digest", F.col("doc_id").alias("node")).join(component, "node", "left").select(
         "digest", F.coalesce("component_id", "node").alias("component_id")
     )
     out = signed.select("doc_id", "n_shingles", "digest").join(of_class, "digest", "left")

@@ -87,3 +87,35 @@ def test_components_take_no_step_behind_the_stars(spark, monkeypatch):
     assert components([(i, i + 1) for i in range(20)]) == [(i, 0) for i in range(21)]
     # One edge to two lesser nodes, and a chain of two.
     assert components([(3, 1), (3, 2)]) == components([(3, 2), (2, 1)]) == [(1, 1), (2, 1), (3, 1)]
+
+
+def test_components_write_few_tables(spark, monkeypatch):
+    steps, real = [], graph.stored
+    monkeypatch.setattr(graph, "stored", lambda df, label: steps.append(label) or real(df, label))
+    # A chain needs the steps; repeated edges, and stars, need none.
+    edges = spark.createDataFrame([(0, 2), (2, 0), (0, 2), (1, 5), (5, 4), (None, 7)], "a long, b long")
+    got = sorted(map(tuple, graph.connected_components(edges).collect()))
+    assert got == [(0, 0), (1, 1), (2, 0), (4, 1), (5, 1)] and len(steps) == 5
+    steps.clear()
+    got = graph.connected_components(edges.where("a = 0 or a = 2")).collect()
+    assert sorted(map(tuple, got)) == [(0, 0), (2, 0)] and len(steps) == 1
+
+
+def test_further_links_join_whole_components(spark, monkeypatch):
+    steps, real = [], graph.stored
+    monkeypatch.setattr(graph, "stored", lambda df, label: steps.append(label) or real(df, label))
+    component = spark.createDataFrame([(i, 10 * (i // 10)) for i in range(40)], "id long, component_id long")
+    links = spark.createDataFrame([(5, 17), (18, 2), (33, 91), (33, 92), (27, 28), (70, 71)], "a long, b long")
+    got = sorted(map(tuple, minhash._joined(component, links).collect()))
+    root = {0: 0, 1: 0, 2: 20, 3: 30}
+    assert got == sorted([(i, root[i // 10]) for i in range(40)] + [(91, 30), (92, 30), (70, 70), (71, 70)])
+    # The components, not their members, are linked; here the links are stars.
+    assert steps == ["edges"]
+
+
+def test_every_step_writes_few_tables(spark, corpus, monkeypatch):
+    steps, real = [], graph.stored
+    for module in (graph, minhash):
+        monkeypatch.setattr(module, "stored", lambda df, label: steps.append(label) or real(df, label))
+    assert found(spark.createDataFrame(corpus, KIND).repartition(5)) == near_duplicates(corpus)
+    assert "left" in steps and len(steps) < 34
