@@ -251,14 +251,14 @@ def minhash_components(
     # Rows with the same digest have the same signature, so the least document needs no join to have it.
     same = (F.first(c).alias(c) for c in ("n_shingles", "bands", "sketch"))
     classes = stored(named.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), *same), "classes")
-    nodes = classes.drop("digest")
+    nodes = classes
     keys = nodes.select("doc_id", F.explode("bands").alias("key"))
     full = keys.groupBy("key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
     # As a table, so that the join can be split where a bucket holds very many documents.
     full = stored(full.select("key", "first"), "full-buckets")
     # Only members of buckets with company, each with the least member.
     buckets = stored(keys.join(full, "key"), "buckets")
-    nodes = stored(nodes.drop("bands").join(buckets.select("doc_id").distinct(), "doc_id", "left_semi"), "nodes")
+    nodes = stored(nodes.join(buckets.select("doc_id").distinct(), "doc_id", "left_semi"), "nodes")
     near = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     texts = stored(near.join(nodes.select("doc_id").distinct(), "doc_id", "left_semi"), "texts")
 
