@@ -14,6 +14,8 @@ def spark():
     session = build_session("tests", "local[4]", **{
         "spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "4g",
+        # Tests find their input in plans by its path, which Spark cuts after 100 characters by default.
+        "spark.sql.maxMetadataStringLength": "2000",
     })
     session.sparkContext.setLogLevel("OFF")
     if not session.conf.get("spark.checkpoint.dir", None):
