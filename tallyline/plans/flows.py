@@ -23,7 +23,8 @@ from tallyline.streaming.control import emit_restart, on_restart
 from tallyline.streaming.epochs import activate_epoch, active_table, covered_units, publish_cut, rotate_epoch, uncovered
 from tallyline.streaming.history import appended_once, compact_history, current_snapshot, drop_compacted, read_history
 from tallyline.streaming.queries import (
-    AT_ONCE, DRAIN, LIVE_TRIGGER, append_raw_view, archive, lane_of, publish, replay, run_until_ok, snapshot_stream, write_snapshot,
+    AT_ONCE, DRAIN, LIVE_TRIGGER, append_raw_view, archive, lane_of, publish, replay, run_until_ok, small_batches,
+    snapshot_stream, write_snapshot,
 )
 from tallyline.streaming.watch import BatchWatch, observed
 
@@ -460,20 +461,21 @@ def rows_per_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of every micro-batch of a topic that is read file by file, as the queries report them.
 
     A micro-batch costs the driver about the same time however small it is, so the topic has lanes, each
-    with a query of its own, and these run at the same time.
+    with a query of its own, and these run at the same time (``small_batches``).
     """
     work = work_dir(spark, "batch-sizes")
     publish(payloads(spark, sf_dir).repartition("unit"), f"{work}/topic", lanes=READ_LANES)
     with BatchWatch(spark) as watch:
         queries = []
-        for lane in range(READ_LANES):
-            events = read_events(
-                spark, "text", lane_of(f"{work}/topic", lane), streaming=True, options={"maxFilesPerTrigger": "1"}
-            )
-            queries.append(
-                observed(events).writeStream.format("noop").option("checkpointLocation", f"{work}/checkpoint_{lane}")
-                .trigger(**DRAIN).start()
-            )
+        with small_batches(spark, work):
+            for lane in range(READ_LANES):
+                events = read_events(
+                    spark, "text", lane_of(f"{work}/topic", lane), streaming=True, options={"maxFilesPerTrigger": "1"}
+                )
+                queries.append(
+                    observed(events).writeStream.format("noop").option("checkpointLocation", f"{work}/checkpoint_{lane}")
+                    .trigger(**DRAIN).start()
+                )
         sizes = []
         for query in queries:
             query.awaitTermination()

@@ -14,6 +14,11 @@ def _at(spark: SparkSession, path: str):
     return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
 
 
+def is_local(spark: SparkSession, path: str) -> bool:
+    """Whether a path is on a disk, as this machine sees it, and in no store of its own."""
+    return _at(spark, path)[0].getUri().getScheme() == "file"
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, place = _at(spark, path)
     return fs.exists(place)

@@ -25,7 +25,7 @@ from tallyline.streaming import (
 )
 from tallyline.streaming import compact_archive, compaction, read_archive_lines
 from tallyline.streaming.epochs import uncovered
-from tallyline.streaming.queries import AT_ONCE, DRAIN, LIVE_TRIGGER, lane_of
+from tallyline.streaming.queries import AT_ONCE, BY_FILE_SYSTEM, DRAIN, FILE_MANAGER, LIVE_TRIGGER, LOG_DELAY, lane_of, small_batches
 from tallyline.streaming.release import cut_of
 from tallyline.session import LISTING_TASKS
 from tests.helpers import payload, rows, write_unit
@@ -692,6 +692,57 @@ def test_more_batches_are_reported_than_a_query_keeps_by_itself(spark, topic, fo
         spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", before)
 
 
+def file_manager(query):
+    return query._jsq.streamingQuery().offsetLog().fileManager().getClass().getName()
+
+
+def test_rows_per_batch_checkpoints_start_no_process_to_rename(spark, tmp_path, monkeypatch):
+    # 23 units, one of them a row, with a hole in the numbers and one event twice.
+    ids = [n for n in range(11_001) if not 700 <= n < 800] + [5]
+    rest = ["timestamp_ntz'2024-01-01 00:00:00' AS ts", "1L AS user_id", "'a' AS event_type", "1D AS value", "'{\"k\": 1}' AS props"]
+    events = spark.createDataFrame([(n,) for n in ids], "event_id BIGINT").selectExpr("event_id", *rest)
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    seen = []
+
+    class Watch(BatchWatch):
+        def take(self, query, wait_s=60.0):
+            seen.append(query)
+            return super().take(query, wait_s)
+
+    monkeypatch.setattr(flows, "BatchWatch", Watch)
+    names = [FILE_MANAGER, LOG_DELAY, "spark.sql.adaptive.enabled", "spark.sql.ui.explainMode"]
+    before = [spark.conf.get(name, None) for name in names]
+    assert rows(flows.rows_per_batch(spark, str(tmp_path))) == [(1,), (400,), *[(500,)] * 20, (501,)]
+    assert [spark.conf.get(name, None) for name in names] == before
+    assert len(seen) == flows.READ_LANES and {file_manager(query) for query in seen} == {BY_FILE_SYSTEM}
+
+
+def test_small_batches_leave_other_stores_and_settings_alone(spark, topic, folder):
+    own = "org.apache.spark.sql.execution.streaming.checkpointing.FileContextBasedCheckpointFileManager"
+
+    def run(name):
+        query = observed(stream(spark, topic)).writeStream.format("noop").option("checkpointLocation", f"{folder}/{name}")
+        return query.trigger(**DRAIN).start()
+
+    with pytest.raises(RuntimeError), small_batches(spark, folder):
+        assert spark.conf.get(FILE_MANAGER) == BY_FILE_SYSTEM
+        raise RuntimeError("lost at the start")
+    assert spark.conf.get(FILE_MANAGER, None) is None
+    spark.conf.set(FILE_MANAGER, own)
+    try:
+        with BatchWatch(spark) as watch, small_batches(spark, folder):
+            query = run("c")
+        assert sorted(b["rows"] for b in watch.take(query)) == [3, 3, 3, 4, 4, 4] and file_manager(query) == own
+        assert spark.conf.get(FILE_MANAGER) == own
+    finally:
+        spark.conf.unset(FILE_MANAGER)
+    # Stopped and started again, a query goes on from the checkpoint that the other way has written.
+    write_unit(topic, "u6", [payload("c")])
+    with BatchWatch(spark) as watch, small_batches(spark, folder):
+        query = run("c")
+    assert [(b["batch_id"], b["rows"]) for b in watch.take(query)] == [(6, 1)] and file_manager(query) == BY_FILE_SYSTEM
+
+
 def listing_tasks(spark, name, act):
     """Tasks of the largest stage of the jobs that ``act`` runs."""
     spark.sparkContext.setJobGroup(name, name)
